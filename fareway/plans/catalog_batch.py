@@ -342,7 +342,7 @@ def fn_epoch_millis(spark, sf):
 
 
 @query("fn_month_sequence", """SELECT o_orderkey, list_transform(generate_series(date_trunc('month', o_orderdate),
-date_trunc('month', o_orderdate + INTERVAL 75 DAY), INTERVAL 1 MONTH), m -> strftime(m, '%Y-%m')) AS months FROM orders""")
+date_trunc('month', o_orderdate + INTERVAL 75 DAY), INTERVAL 1 MONTH), lambda m: strftime(m, '%Y-%m')) AS months FROM orders""")
 def fn_month_sequence(spark, sf):
     o = spark.read.parquet(f"{sf}/orders.parquet")
     return o.select("o_orderkey", X.month_sequence("o_orderdate", F.date_add("o_orderdate", 75)).alias("months"))

@@ -206,4 +206,7 @@ def with_fixtures(body: str, extra_ctes: str = "") -> str:
     ctes = duck_fixture_ctes()
     if extra_ctes:
         ctes += ",\n" + extra_ctes
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{stripped[5:]}"
     return f"WITH {ctes}\n{body}"
