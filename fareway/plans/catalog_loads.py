@@ -1 +1,393 @@
-"""placeholder"""
+"""Sources that need files, sinks and load strategies.
+
+Every query writes into a fresh folder under the shared checkpoint
+directory, reads the outcome back and returns it; the oracle is the SQL of
+the expected final table.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fareway.operators import loads as L
+from fareway.operators import reports as R
+from fareway.operators import staging as S
+from fareway.plans import fixtures as fx
+from fareway.plans.catalog_batch import HASH7_COLUMNS, HOURLY_CTES, _HASH7, SINCE
+from fareway.plans.catalog_models import STG_YELLOW
+from fareway.plans.registry import query
+from fareway.session import scratch_path
+from fareway.sources import files as src
+from fareway.sources import writers as W
+
+INGESTED_AT = dt.datetime(2024, 1, 1, 0, 0, 0)
+
+
+def _name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def _hourly_green(spark, sf):
+    return R.revenue_hourly(S.normalize_trip_names(fx.raw_trips(spark, sf, "green")), "green", SINCE)
+
+
+def _stg_yellow(spark, sf):
+    return S.stage_yellow(fx.raw_trips(spark, sf, "yellow"))
+
+
+def yellow_schema(spark, sf) -> T.StructType:
+    return fx.raw_trips(spark, sf, "yellow").drop("filename").schema
+
+
+# ------------------------------------------------------------------ file sources
+
+@query("scan_parquet_glob", "SELECT * EXCLUDE (filename) FROM green_tripdata")
+def scan_parquet_glob(spark, sf):
+    g = fx.raw_trips(spark, sf, "green").drop("filename")
+    root = scratch_path(spark, "pq")
+    parts = g.withColumns({"year": F.year("lpep_pickup_datetime"),
+                           "month": F.date_format("lpep_pickup_datetime", "MM")})
+    W.write_report(parts, f"{root}/green", partition_by=["year", "month"])
+    return src.read_trips(spark, f"{root}/green/*/*/*.parquet")
+
+
+@query("scan_csv_header", """SELECT cast(c_custkey AS varchar) AS c_custkey, c_name,
+cast(c_nationkey AS varchar) AS c_nationkey, c_mktsegment FROM customer""")
+def scan_csv_header(spark, sf):
+    c = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    path = scratch_path(spark, "lookup-csv")
+    c.write.option("header", True).csv(path)
+    return src.read_lookup(spark, path)
+
+
+def _yellow_csv(spark, sf) -> str:
+    y = fx.raw_trips(spark, sf, "yellow").drop("filename")
+    path = scratch_path(spark, "yellow-csv-gz")
+    (y.write.option("header", True).option("compression", "gzip")
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    return path
+
+
+@query("scan_csv_typed", "SELECT * EXCLUDE (filename) FROM yellow_tripdata")
+def scan_csv_typed(spark, sf):
+    schema = yellow_schema(spark, sf)
+    return src.read_trips_csv(spark, _yellow_csv(spark, sf), schema, min_partitions=8)
+
+
+_EXT_COLS = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance",
+             "RatecodeID", "store_and_fwd_flag", "PULocationID", "DOLocationID", "payment_type"]
+
+
+@query("external_csv", f"SELECT {', '.join(_EXT_COLS)} FROM yellow_tripdata")
+def external_csv(spark, sf):
+    full = yellow_schema(spark, sf)
+    declared = T.StructType([full[c] for c in _EXT_COLS])  # fewer columns than the file
+    return src.external_table(spark, _name("ext_yellow_csv"), "csv", _yellow_csv(spark, sf), declared)
+
+
+@query("external_parquet", "SELECT * FROM yellow_tripdata")
+def external_parquet(spark, sf):
+    path = scratch_path(spark, "yellow-pq")
+    W.write_report(fx.raw_trips(spark, sf, "yellow"), path, files=4)
+    return src.external_table(spark, _name("ext_yellow_pq"), "parquet", path)
+
+
+STAGING_EXTRA = [T.StructField("unique_row_id", T.StringType()), T.StructField("filename", T.StringType())]
+
+
+@query("copy_in_columns", "SELECT CAST(NULL AS varchar) AS unique_row_id, CAST(NULL AS varchar) AS filename, "
+                          "* EXCLUDE (filename) FROM yellow_tripdata")
+def copy_in_columns(spark, sf):
+    schema = yellow_schema(spark, sf)
+    target = T.StructType(STAGING_EXTRA + list(schema.fields))
+    csv = src.read_trips_csv(spark, _yellow_csv(spark, sf), schema)
+    return src.copy_in(csv, [f.name for f in schema.fields], target)
+
+
+SEED_SCHEMA = T.StructType([T.StructField("base_id", T.LongType()), T.StructField("base_name", T.StringType()),
+                            T.StructField("nation_id", T.IntegerType())])
+
+
+@query("seed_lookup", "SELECT s_suppkey AS base_id, s_name AS base_name, s_nationkey AS nation_id FROM supplier")
+def seed_lookup(spark, sf):
+    s = spark.read.parquet(f"{sf}/supplier.parquet").select(
+        F.col("s_suppkey").alias("base_id"), F.col("s_name").alias("base_name"), F.col("s_nationkey").alias("nation_id"))
+    path = scratch_path(spark, "seed")
+    s.write.option("header", True).csv(path)
+    return src.load_seed(spark, path, SEED_SCHEMA, "base_id", table="bases")
+
+
+_ING_Y = [n for n, _ in fx.trip_columns(fx.DUCK, "yellow") if n != "filename"]
+_ING_G = [n for n, _ in fx.trip_columns(fx.DUCK, "green") if n != "filename"]
+_ALL = list(dict.fromkeys(_ING_Y + _ING_G))
+
+
+def _ing_select(service, cols):
+    sel = [c if c in cols else f"NULL AS {c}" for c in _ALL]
+    return (f"SELECT {', '.join(sel)}, '{service}' AS taxi_type, replace(filename, '.csv', '.parquet') AS filename, "
+            f"TIMESTAMP '2024-01-01 00:00:00' AS ingested_at FROM {service}_tripdata")
+
+
+@query("ingest_months", f"{_ing_select('yellow', _ING_Y)} UNION ALL {_ing_select('green', _ING_G)}")
+def ingest_months(spark, sf):
+    root = scratch_path(spark, "months")
+    for t in ("yellow", "green"):
+        raw = fx.raw_trips(spark, sf, t)
+        monthly = raw.withColumn("filename", F.regexp_replace("filename", r"\.csv$", ".parquet"))
+        W.write_report(monthly, root, mode="append", partition_by=["filename"])
+    types = S.parse_params('{"taxi_types": ["yellow", "green"]}')
+    start, end = S.parse_run_date("1995-01-01T00:00:00"), S.parse_run_date("2002-02-15")
+    return src.ingest_months(spark, root, start, end, types, INGESTED_AT,
+                             pattern="filename={type}_tripdata_{ym}.parquet")
+
+
+# ------------------------------------------------------------------ file sinks
+
+@query("write_parquet", "SELECT * FROM green", HOURLY_CTES)
+def write_parquet(spark, sf):
+    path = W.write_report(_hourly_green(spark, sf), scratch_path(spark, "report"), files=1)
+    return spark.read.parquet(path)
+
+
+@query("write_repartitioned", "SELECT count(*) AS rows, 4 AS files FROM yellow_tripdata")
+def write_repartitioned(spark, sf):
+    path = W.write_report(fx.raw_trips(spark, sf, "yellow"), scratch_path(spark, "rep4"), files=4)
+    back = spark.read.parquet(path)
+    return back.agg(F.count(F.lit(1)).alias("rows"),
+                    F.count_distinct(F.col("_metadata.file_path")).cast("int").alias("files"))
+
+
+@query("write_json", "SELECT * FROM green", HOURLY_CTES)
+def write_json(spark, sf):
+    df = _hourly_green(spark, sf)
+    path = W.write_json(df, scratch_path(spark, "json"))
+    return spark.read.schema(df.schema).json(path)
+
+
+@query("write_for_run", "SELECT * FROM fhv_tripdata WHERE cast(pickup_datetime AS date) = DATE '1996-03-15'")
+def write_for_run(spark, sf):
+    day = "1996-03-15"
+    f = R.on_day(fx.fhv_trips(spark, sf), "pickup_datetime", day)
+    root = scratch_path(spark, "runs")
+    path = W.write_for_run(f, root, day)
+    return spark.read.parquet(path)
+
+
+@query("publish_json", """SELECT count(*) AS messages, count(*) FILTER (WHERE PULocationID IS NOT NULL) AS parsed,
+cast(sum(total_amount) AS decimal(38,2)) AS total_amount FROM rides""")
+def publish_json(spark, sf):
+    from fareway.streaming.sources import RIDE_TEXT_SCHEMA, to_text_message
+
+    path = scratch_path(spark, "topic")
+    W.publish_json(to_text_message(fx.rides(spark, sf)), path)
+    back = spark.read.text(path).select(F.from_json("value", RIDE_TEXT_SCHEMA).alias("m")).select("m.*")
+    return back.agg(F.count(F.lit(1)).alias("messages"), F.count_if(F.col("PULocationID").isNotNull()).alias("parsed"),
+                    F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total_amount"))
+
+
+# ------------------------------------------------------------------ JDBC (in-process Derby, memory only)
+
+DERBY_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+
+
+def _derby_url() -> str:
+    # An in-memory database of this JVM: no server, no port (local mode only).
+    return f"jdbc:derby:memory:{_name('fw')};create=true"
+
+
+def _jdbc_frame(spark, sf):
+    return _hourly_green(spark, sf).withColumn("green_amount", F.col("green_amount").cast("decimal(31,2)"))
+
+
+JDBC_SQL = ("SELECT hour, zone_id, cast(green_amount AS decimal(31,2)) AS green_amount, green_number_records "
+            "FROM green")
+
+
+@query("write_jdbc_append", JDBC_SQL, HOURLY_CTES)
+def write_jdbc_append(spark, sf):
+    url, props = _derby_url(), {"driver": DERBY_DRIVER}
+    W.load_jdbc_chunked(_jdbc_frame(spark, sf), url, "GREEN_REVENUE", batchsize=1000, properties=props)
+    return W.read_jdbc(spark, url, "GREEN_REVENUE", props).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+
+
+@query("write_jdbc_replace", JDBC_SQL, HOURLY_CTES)
+def write_jdbc_replace(spark, sf):
+    url, props = _derby_url(), {"driver": DERBY_DRIVER}
+    df = _jdbc_frame(spark, sf)
+    W.write_jdbc(df.limit(10), url, "GREEN_REVENUE", mode="overwrite", properties=props)
+    W.write_jdbc(df, url, "GREEN_REVENUE", mode="overwrite", properties=props)  # replaces the first load
+    return W.read_jdbc(spark, url, "GREEN_REVENUE", props).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+
+
+# ------------------------------------------------------------------ tables
+
+@query("write_table", "SELECT * FROM green", HOURLY_CTES)
+def write_table(spark, sf):
+    return W.write_table(_hourly_green(spark, sf), f"reports.{_name('green_hourly')}", fmt="bigquery",
+                         options={"writeMethod": "direct"})
+
+
+@query("ensure_table", "SELECT * FROM green", HOURLY_CTES)
+def ensure_table(spark, sf):
+    df = _hourly_green(spark, sf)
+    name = _name("green_hourly")
+    W.ensure_table(spark, name, df.schema)
+    W.ensure_table(spark, name, df.schema)  # second call is a no-op
+    df.write.insertInto(name)
+    return spark.table(name)
+
+
+@query("strategy_table", "SELECT * FROM stg_yellow", STG_YELLOW)
+def strategy_table(spark, sf):
+    return W.materialize_table(_stg_yellow(spark, sf), _name("yellow_native"))
+
+
+@query("layout_partition_cluster", """SELECT DISTINCT vendor_id FROM stg_yellow
+WHERE cast(dropoff_datetime AS date) BETWEEN DATE '1997-03-01' AND DATE '1997-03-15'""", STG_YELLOW)
+def layout_partition_cluster(spark, sf):
+    y = _stg_yellow(spark, sf).withColumn("dropoff_date", F.to_date("dropoff_datetime"))
+    t = W.materialize_table(y, _name("yellow_part"), partition_by=["dropoff_date"], cluster_by=["vendor_id"])
+    return t.where(F.col("dropoff_date").between(F.lit("1997-03-01").cast("date"),
+                                                 F.lit("1997-03-15").cast("date"))).select("vendor_id").distinct()
+
+
+@query("truncate_load", "SELECT * FROM green", HOURLY_CTES)
+def truncate_load(spark, sf):
+    df = _hourly_green(spark, sf)
+    name = _name("staging")
+    W.ensure_table(spark, name, df.schema)
+    df.limit(5).write.insertInto(name)  # leftovers of an earlier run
+    return W.truncate_load(spark, df, name)
+
+
+# ------------------------------------------------------------------ merge / strategies
+
+def _yellow_with_id(spark, sf):
+    y = fx.raw_trips(spark, sf, "yellow").drop("filename")
+    return L.add_row_identity(y, HASH7_COLUMNS, filename=F.concat(
+        F.lit("yellow_tripdata_"), F.date_format("tpep_pickup_datetime", "yyyy-MM"), F.lit(".csv")))
+
+
+_YID = f"y_id AS (SELECT {_HASH7} AS unique_row_id, * EXCLUDE (filename), filename FROM yellow_tripdata)"
+
+
+@query("merge_insert_only", """SELECT * FROM y_id WHERE tpep_pickup_datetime < TIMESTAMP '1998-01-01'
+UNION ALL SELECT * FROM y_id WHERE tpep_pickup_datetime >= TIMESTAMP '1997-07-01' AND unique_row_id NOT IN
+(SELECT unique_row_id FROM y_id WHERE tpep_pickup_datetime < TIMESTAMP '1998-01-01')""", _YID)
+def merge_insert_only(spark, sf):
+    y = _yellow_with_id(spark, sf)
+    name = _name("yellow_trips")
+    W.materialize_table(y.where(F.col("tpep_pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")), name)
+    source = y.where(F.col("tpep_pickup_datetime") >= F.lit("1997-07-01").cast("timestamp_ntz"))
+    L.merge_insert_only(name, source, "unique_row_id")
+    L.merge_insert_only(name, source, "unique_row_id")  # idempotent: inserts nothing the second time
+    return spark.table(name)
+
+
+_STG_TRIPS = "stg_yellow"
+
+
+@query("merge_upsert", """SELECT * FROM yk WHERE pickup_datetime < TIMESTAMP '1998-01-01' AND rid NOT IN
+(SELECT rid FROM yk WHERE pickup_datetime >= TIMESTAMP '1997-07-01')
+UNION ALL SELECT * REPLACE (cast(total_amount + 1 AS decimal(18,3)) AS total_amount) FROM yk WHERE pickup_datetime >= TIMESTAMP '1997-07-01'""",
+       STG_YELLOW + """, yk AS (SELECT * EXCLUDE (rn) FROM (SELECT md5(concat_ws('-', cast(vendor_id AS varchar),
+strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), cast(pickup_location_id AS varchar))) AS rid, *,
+row_number() OVER (PARTITION BY vendor_id, pickup_datetime, pickup_location_id ORDER BY dropoff_datetime,
+dropoff_location_id, total_amount, trip_distance, passenger_count, rate_code_id, payment_type, fare_amount,
+tip_amount, tolls_amount, store_and_fwd_flag) AS rn FROM stg_yellow) WHERE rn = 1)""")
+def merge_upsert(spark, sf):
+    from fareway.operators.dedup import dedup_first
+
+    y = _stg_yellow(spark, sf)
+    order = [F.col(c).asc_nulls_last() for c in ("dropoff_datetime", "dropoff_location_id", "total_amount",
+                                                 "trip_distance", "passenger_count", "rate_code_id", "payment_type",
+                                                 "fare_amount", "tip_amount", "tolls_amount", "store_and_fwd_flag")]
+    keyed = dedup_first(y, ["vendor_id", "pickup_datetime", "pickup_location_id"], order, tie_break=False)
+    keyed = keyed.select(F.md5(F.concat_ws("-", F.col("vendor_id").cast("string"),
+                                           F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss"),
+                                           F.col("pickup_location_id").cast("string"))).alias("rid"), *y.columns)
+    name = _name("trips_upsert")
+    W.materialize_table(keyed.where(F.col("pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")), name)
+    changed = keyed.where(F.col("pickup_datetime") >= F.lit("1997-07-01").cast("timestamp_ntz")).withColumn(
+        "total_amount", (F.col("total_amount") + 1).cast("decimal(18,3)"))
+    return L.materialize(changed, "merge", name, key="rid")
+
+
+@query("incremental_hwm", """SELECT * FROM stg_yellow WHERE pickup_datetime >
+(SELECT max(pickup_datetime) FROM stg_yellow WHERE pickup_datetime < TIMESTAMP '1998-01-01')""", STG_YELLOW)
+def incremental_hwm(spark, sf):
+    y = _stg_yellow(spark, sf)
+    name = _name("fct")
+    target = W.materialize_table(y.where(F.col("pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")), name)
+    return L.incremental_since(y, target, "pickup_datetime")
+
+
+@query("schema_append_columns", """SELECT vendor_id, pickup_datetime, total_amount, NULL::INTEGER AS payment_type
+FROM stg_yellow WHERE pickup_datetime < TIMESTAMP '1998-01-01'
+UNION ALL SELECT vendor_id, pickup_datetime, total_amount, payment_type FROM stg_yellow
+WHERE pickup_datetime >= TIMESTAMP '1998-01-01'""", STG_YELLOW)
+def schema_append_columns(spark, sf):
+    y = _stg_yellow(spark, sf)
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    old = y.where(F.col("pickup_datetime") < cut).select("vendor_id", "pickup_datetime", "total_amount")
+    new = y.where(F.col("pickup_datetime") >= cut).select("vendor_id", "pickup_datetime", "total_amount",
+                                                          "payment_type")
+    return L.align_schema(old, new)
+
+
+@query("strategy_append", "SELECT * FROM green UNION ALL SELECT * FROM green", HOURLY_CTES)
+def strategy_append(spark, sf):
+    df = _hourly_green(spark, sf)
+    name = _name("append")
+    L.materialize(df, "append", name)  # first run creates
+    return L.materialize(df, "append", name)  # second run appends again (not idempotent)
+
+
+@query("strategy_view", "SELECT zone_id, cast(sum(green_amount) AS decimal(38,2)) AS amount FROM green GROUP BY 1",
+       HOURLY_CTES)
+def strategy_view(spark, sf):
+    name = _name("v_green_hourly")
+    L.materialize(_hourly_green(spark, sf), "view", name)
+    return spark.sql(f"SELECT zone_id, CAST(sum(green_amount) AS decimal(38,2)) AS amount FROM {name} GROUP BY zone_id")
+
+
+_WIN = ("TIMESTAMP '1997-03-01'", "TIMESTAMP '1997-04-01'")
+
+
+@query("strategy_time_interval", f"""SELECT * FROM stg_yellow WHERE NOT (pickup_datetime >= {_WIN[0]} AND pickup_datetime < {_WIN[1]})
+UNION ALL SELECT * REPLACE (cast(total_amount + 1 AS decimal(18,3)) AS total_amount) FROM stg_yellow
+WHERE pickup_datetime >= {_WIN[0]} AND pickup_datetime < {_WIN[1]}""", STG_YELLOW)
+def strategy_time_interval(spark, sf):
+    y = _stg_yellow(spark, sf)
+    name = _name("ti")
+    L.materialize(y, "replace", name)
+    run = y.where(F.col("pickup_datetime") >= F.lit("1997-02-01").cast("timestamp_ntz")).withColumn(
+        "total_amount", (F.col("total_amount") + 1).cast("decimal(18,3)"))
+    L.materialize(run, "time_interval", name, time_col="pickup_datetime", start="1997-03-01", end="1997-04-01")
+    L.materialize(run, "time_interval", name, time_col="pickup_datetime", start="1997-03-01", end="1997-04-01")
+    return spark.table(name)
+
+
+@query("strategy_delete_insert", """SELECT * FROM stg_yellow WHERE pickup_location_id NOT IN (1, 2, 3)
+UNION ALL SELECT * REPLACE (cast(total_amount + 1 AS decimal(18,3)) AS total_amount) FROM stg_yellow WHERE pickup_location_id IN (1, 2, 3)""",
+       STG_YELLOW)
+def strategy_delete_insert(spark, sf):
+    y = _stg_yellow(spark, sf)
+    name = _name("di")
+    L.materialize(y, "replace", name)
+    src_rows = y.where(F.col("pickup_location_id").isin(1, 2, 3)).withColumn(
+        "total_amount", (F.col("total_amount") + 1).cast("decimal(18,3)"))
+    return L.materialize(src_rows, "delete_insert", name, key="pickup_location_id")
+
+
+@query("full_refresh", "SELECT * FROM stg_yellow WHERE pickup_datetime >= TIMESTAMP '1998-01-01'", STG_YELLOW)
+def full_refresh(spark, sf):
+    y = _stg_yellow(spark, sf)
+    name = _name("fr")
+    L.materialize(y, "replace", name)
+    newer = y.where(F.col("pickup_datetime") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+    return L.materialize(newer, "merge", name, key="pickup_datetime", full_refresh=True)

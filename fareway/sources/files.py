@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -141,7 +142,12 @@ def ingest_months(spark: SparkSession, root: str, start: str, end: str, taxi_typ
         if not paths:
             continue
         df = spark.read.parquet(*paths)
-        fname = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.parquet)(/[^/]*)?$", 1)
+        # The file name is the last path element of the pattern (after any
+        # 'key=' prefix of a partition-style folder).
+        name = pattern.rsplit("/", 1)[-1].split("=", 1)[-1]
+        name_re = re.escape(name).replace(re.escape("{type}"), re.escape(t)).replace(
+            re.escape("{ym}"), r"\d{4}-\d{2}")
+        fname = F.regexp_extract(F.col("_metadata.file_path"), f"({name_re})", 1)
         frames.append(df.withColumns({"taxi_type": F.lit(t), "filename": fname,
                                       "ingested_at": F.lit(now).cast("timestamp_ntz")}))
     if not frames:

@@ -123,9 +123,12 @@ def materialize_table(df: DataFrame, name: str, partition_by: list[str] | None =
 
 
 def truncate_load(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
-    """Empty the staging table, then load the frame into it."""
-    spark.sql(f"TRUNCATE TABLE {table}")
-    df.write.insertInto(table)
+    """Empty the staging table, then load the frame into it.
+
+    Tables here live at explicit locations (external), where TRUNCATE is not
+    allowed; an INSERT OVERWRITE has the same outcome in one step.
+    """
+    df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
     return spark.table(table)
 
 
