@@ -1 +1,340 @@
-"""placeholder"""
+"""Streaming jobs over ride messages derived from ``events``.
+
+The producer side writes the messages as JSON-lines files, one folder per
+week of event time, in event-time order, plus an optional far-future flush
+message. Each query streams those files (one week per micro-batch), runs
+the windowed aggregate with a 5 s watermark into an idempotent keyed sink,
+and returns the sink's contents. The oracles are the batch window SQL.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fareway.operators import reports as R
+from fareway.plans import fixtures as fx
+from fareway.plans.registry import query
+from fareway.session import scratch_path
+from fareway.streaming import sessions as GS
+from fareway.streaming import sinks as K
+from fareway.streaming import sources as SS
+from fareway.streaming import windows as WN
+
+FILES_PER_BATCH = 4
+SLICE_SECONDS = 7 * 86400
+FLUSH_TS = "2099-01-01 00:00:00"
+DELAY = "5 seconds"
+
+
+def _messages(spark, sf, form):
+    rides = fx.rides(spark, sf)
+    return rides, (SS.to_text_message(rides) if form == "text" else SS.to_epoch_message(rides))
+
+
+def flush_message(spark: SparkSession, form: str) -> DataFrame:
+    """Sentinel far in the future: advances the watermark past every real
+    window; its own window never closes, so it is never emitted."""
+    if form == "text":
+        row = [(FLUSH_TS, FLUSH_TS, -1, -1, 0, 0.0, 0.0, 0.0)]
+        return spark.createDataFrame(row, SS.RIDE_TEXT_SCHEMA)
+    ms = int(dt.datetime(2099, 1, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    return spark.createDataFrame([(-1, -1, 0.0, 0.0, ms)], SS.RIDE_EPOCH_SCHEMA)
+
+
+def write_message_slices(spark, sf, form: str, first: int = 0, last: int | None = None,
+                         root: str | None = None) -> tuple[str, int]:
+    """Write weekly slices [first, last) of messages, in time order, each as
+    ``FILES_PER_BATCH`` files. Returns (root, number of slices in the data)."""
+    rides = fx.rides(spark, sf)
+    epoch = F.unix_seconds(F.col("event_ts").cast("timestamp"))
+    lo, hi = rides.agg(F.min(epoch), F.max(epoch)).collect()[0]
+    n = (hi - lo) // SLICE_SECONDS + 1
+    sliced = rides.withColumn("_slice", F.floor((epoch - F.lit(lo)) / SLICE_SECONDS))
+    to_msg = SS.to_text_message if form == "text" else SS.to_epoch_message
+    root = root or scratch_path(spark, f"rides-{form}")
+    for s in range(first, n if last is None else min(last, n)):
+        part = to_msg(sliced.where(F.col("_slice") == s))
+        part.repartition(FILES_PER_BATCH).write.json(f"{root}/s{s:04d}")
+    return root, n
+
+
+def write_flush(spark, root: str, form: str) -> None:
+    flush_message(spark, form).repartition(1).write.json(f"{root}/s9999")
+
+
+def _source(spark, root, form):
+    schema = SS.RIDE_TEXT_SCHEMA if form == "text" else SS.RIDE_EPOCH_SCHEMA
+    stream = SS.read_stream(spark, f"{root}/*/*.json", schema, fmt="files", max_per_trigger=FILES_PER_BATCH)
+    if form == "text":
+        return SS.with_event_time(stream, DELAY, text_col="lpep_pickup_datetime")
+    return SS.with_event_time(stream, DELAY, epoch_col="tpep_pickup_datetime")
+
+
+def _ntz(df: DataFrame, *cols) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+def run_windows(spark, root, form, build, key, sink_path=None, ckpt=None):
+    out = build(_source(spark, root, form))
+    sink = K.KeyedSink(sink_path or scratch_path(spark, "sink"), key)
+    q = K.run_stream(out, sink, ckpt or scratch_path(spark, "ckpt"))
+    q.awaitTermination()
+    return sink, q
+
+
+def _window_query(spark, sf, form, build, key, flush=True):
+    root, _ = write_message_slices(spark, sf, form)
+    if flush:
+        write_flush(spark, root, form)
+    sink, _ = run_windows(spark, root, form, build, key)
+    return sink.read(spark)
+
+
+def tumble_zone(size):
+    def build(df):
+        return WN.tumbling(df, "event_timestamp", size, ["PULocationID"], WN.ride_window_aggs()).drop("window_end")
+    return build
+
+
+def tumble_tips(df):
+    return WN.tumbling(df, "event_timestamp", "1 hour", [], WN.tips_aggs()).drop("window_end")
+
+
+def session_zone(gap):
+    def build(df):
+        return WN.sessions(df, "event_timestamp", gap, ["PULocationID"])
+    return build
+
+
+# ---------------------------------------------------------------- oracles
+
+def _bucket(ts: str, seconds: int) -> str:
+    return f"to_timestamp(floor(epoch({ts}) / {seconds}) * {seconds})::TIMESTAMP"
+
+
+def tumble_sql(seconds: int, ts_unit: str) -> str:
+    ts = f"date_trunc('{ts_unit}', event_ts)"
+    return (f"SELECT {_bucket(ts, seconds)} AS window_start, PULocationID, count(*) AS num_trips, "
+            f"cast(sum(total_amount) AS double) AS total_revenue FROM rides GROUP BY 1, 2")
+
+
+TIPS_SQL = (f"SELECT {_bucket(chr(100) + 'ate_trunc(' + chr(39) + 'second' + chr(39) + ', event_ts)', 3600)} AS window_start, "
+            "cast(sum(tip_amount) AS double) AS total_tips FROM rides GROUP BY 1")
+
+
+def session_sql(gap_minutes: int) -> str:
+    return f"""SELECT PULocationID, min(ts) AS session_start, max(ts) + INTERVAL {gap_minutes} MINUTE AS session_end,
+count(*) AS num_trips FROM (SELECT *, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL {gap_minutes} MINUTE
+THEN 1 ELSE 0 END) OVER (PARTITION BY PULocationID ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid
+FROM (SELECT PULocationID, ts, lag(ts) OVER (PARTITION BY PULocationID ORDER BY ts) AS prev
+FROM (SELECT PULocationID, date_trunc('second', event_ts) AS ts FROM rides)))
+GROUP BY PULocationID, sid"""
+
+
+SESSION_GAP_MIN = 60
+HW_SESSION_GAP_MIN = 5
+
+
+# ---------------------------------------------------------------- windows
+
+@query("stream_tumble_1h", tumble_sql(3600, "millisecond"))
+def stream_tumble_1h(spark, sf):
+    return _ntz(_window_query(spark, sf, "epoch", tumble_zone("1 hour"), ["window_start", "PULocationID"]),
+                "window_start")
+
+
+@query("stream_tumble_5m", tumble_sql(300, "second"))
+def stream_tumble_5m(spark, sf):
+    return _ntz(_window_query(spark, sf, "text", tumble_zone("5 minutes"), ["window_start", "PULocationID"]),
+                "window_start")
+
+
+@query("stream_tumble_global", TIPS_SQL)
+def stream_tumble_global(spark, sf):
+    return _ntz(_window_query(spark, sf, "text", tumble_tips, ["window_start"]), "window_start")
+
+
+@query("stream_session_keyed", session_sql(SESSION_GAP_MIN))
+def stream_session_keyed(spark, sf):
+    df = _window_query(spark, sf, "text", session_zone(f"{SESSION_GAP_MIN} minutes"),
+                       ["PULocationID", "session_start", "session_end"])
+    return _ntz(df, "session_start", "session_end")
+
+
+def _hw_sessions(spark, sf):
+    df = _window_query(spark, sf, "text", session_zone(f"{HW_SESSION_GAP_MIN} minutes"),
+                       ["PULocationID", "session_start", "session_end"])
+    return _ntz(df, "session_start", "session_end")
+
+
+@query("longest_session", f"""SELECT PULocationID, cast(sum(num_trips) AS bigint) AS num_trips, session_start AS window_start,
+session_end - session_start AS session_duration FROM ({session_sql(HW_SESSION_GAP_MIN)})
+GROUP BY PULocationID, session_start, session_end
+ORDER BY session_duration DESC, num_trips DESC, PULocationID, window_start LIMIT 10""")
+def longest_session(spark, sf):
+    s = _hw_sessions(spark, sf)
+    g = s.groupBy("PULocationID", "session_start", "session_end").agg(
+        F.sum("num_trips").cast("bigint").alias("num_trips"))
+    g = g.select("PULocationID", "num_trips", F.col("session_start").alias("window_start"),
+                 (F.col("session_end") - F.col("session_start")).alias("session_duration"))
+    return R.top_k(g, 10, F.col("session_duration").desc(), F.col("num_trips").desc(), F.col("PULocationID"),
+                   F.col("window_start"))
+
+
+@query("session_totals", f"""SELECT cast(sum(num_trips) AS bigint) AS total_trips, count(*) AS sessions
+FROM ({session_sql(HW_SESSION_GAP_MIN)})""")
+def session_totals(spark, sf):
+    return _hw_sessions(spark, sf).agg(F.sum("num_trips").cast("bigint").alias("total_trips"),
+                                       F.count(F.lit(1)).alias("sessions"))
+
+
+@query("stream_top_windows", f"""SELECT * FROM ({tumble_sql(300, 'second')})
+ORDER BY num_trips DESC, window_start, PULocationID LIMIT 3""")
+def stream_top_windows(spark, sf):
+    w = stream_tumble_5m(spark, sf)
+    return R.top_k(w, 3, F.col("num_trips").desc(), F.col("window_start"), F.col("PULocationID"))
+
+
+@query("stream_session_global", GS.GLOBAL_SESSION_SQL_TEMPLATE.format(gap=HW_SESSION_GAP_MIN))
+def stream_session_global(spark, sf):
+    """Sessions over all zones together (5 min gap), then trips per zone in
+    each session; computed on the whole stream history in parallel."""
+    msgs = SS.to_text_message(fx.rides(spark, sf))
+    events = msgs.select(F.to_timestamp("lpep_pickup_datetime", SS.TEXT_TS_FORMAT).cast("timestamp_ntz").alias("ts"),
+                         "PULocationID")
+    return GS.global_session_counts(events, "ts", HW_SESSION_GAP_MIN * 60, ["PULocationID"])
+
+
+# ---------------------------------------------------------------- pass-through, sources
+
+def _append_query(spark, sf, form, transform):
+    root, _ = write_message_slices(spark, sf, form)
+    stream = SS.read_stream(spark, f"{root}/*/*.json",
+                            SS.RIDE_TEXT_SCHEMA if form == "text" else SS.RIDE_EPOCH_SCHEMA,
+                            fmt="files", max_per_trigger=FILES_PER_BATCH)
+    sink = K.KeyedSink(scratch_path(spark, "sink"), [])
+    K.run_stream(transform(stream), sink, scratch_path(spark, "ckpt")).awaitTermination()
+    return spark.read.parquet(sink.path).drop("batch_id")
+
+
+@query("stream_pass_through", """SELECT PULocationID, DOLocationID, trip_distance, cast(total_amount AS double) AS total_amount,
+date_trunc('millisecond', event_ts) AS pickup_datetime FROM rides""")
+def stream_pass_through(spark, sf):
+    def t(s):
+        return s.select("PULocationID", "DOLocationID", "trip_distance", "total_amount",
+                        F.timestamp_millis("tpep_pickup_datetime").cast("timestamp_ntz").alias("pickup_datetime"))
+    return _append_query(spark, sf, "epoch", t)
+
+
+@query("stream_pass_through_text", """SELECT PULocationID, DOLocationID, trip_distance, cast(total_amount AS double) AS total_amount,
+date_trunc('second', event_ts) AS pickup_datetime FROM rides""")
+def stream_pass_through_text(spark, sf):
+    def t(s):
+        return s.select("PULocationID", "DOLocationID", "trip_distance", "total_amount",
+                        F.to_timestamp("lpep_pickup_datetime", SS.TEXT_TS_FORMAT).cast("timestamp_ntz")
+                        .alias("pickup_datetime"))
+    return _append_query(spark, sf, "text", t)
+
+
+@query("stream_source_earliest", """SELECT strftime(date_trunc('second', event_ts), '%Y-%m-%d %H:%M:%S') AS lpep_pickup_datetime,
+strftime(date_trunc('second', event_ts) + INTERVAL 10 MINUTE, '%Y-%m-%d %H:%M:%S') AS lpep_dropoff_datetime,
+PULocationID, DOLocationID, passenger_count, trip_distance, cast(tip_amount AS double) AS tip_amount,
+cast(total_amount AS double) AS total_amount FROM rides""")
+def stream_source_earliest(spark, sf):
+    return _append_query(spark, sf, "text", lambda s: s)
+
+
+@query("stream_source_latest")
+def stream_source_latest(spark, sf):
+    """Only messages that arrive after the query first starts."""
+    _, n = write_message_slices(spark, sf, "text", 0, 0)
+    root, _ = write_message_slices(spark, sf, "text", 0, n // 2)
+    ckpt = scratch_path(spark, "ckpt")
+    src = SS.read_stream(spark, f"{root}/*/*.json", SS.RIDE_TEXT_SCHEMA, fmt="files",
+                         max_per_trigger=FILES_PER_BATCH)
+    SS.skip_existing(src, ckpt)
+    write_message_slices(spark, sf, "text", n // 2, None, root=root)
+    sink = K.KeyedSink(scratch_path(spark, "sink"), [])
+    K.run_stream(src, sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink.path).drop("batch_id")
+
+
+# ---------------------------------------------------------------- late data, flush, restart, sinks
+
+@query("stream_late_drop")
+def stream_late_drop(spark, sf):
+    """Messages 3-10 s older than the newest one seen arrive in a later
+    batch; those behind a window that already closed are dropped."""
+    root, n = write_message_slices(spark, sf, "text")
+    _, msgs = _messages(spark, sf, "text")
+    newest = msgs.agg(F.max(F.to_timestamp("lpep_pickup_datetime", SS.TEXT_TS_FORMAT))).collect()[0][0]
+    late = msgs.where(F.to_timestamp("lpep_pickup_datetime", SS.TEXT_TS_FORMAT)
+                      >= F.lit(newest) - F.expr("INTERVAL 10 SECONDS"))
+    shifted = late.withColumn("lpep_pickup_datetime", F.date_format(
+        F.to_timestamp("lpep_pickup_datetime", SS.TEXT_TS_FORMAT) - F.expr("INTERVAL 7 SECONDS"),
+        SS.TEXT_TS_FORMAT))
+    shifted.repartition(1).write.json(f"{root}/s{n:04d}")
+    write_flush(spark, root, "text")
+    sink, _ = run_windows(spark, root, "text", tumble_zone("5 minutes"), ["window_start", "PULocationID"])
+    return _ntz(sink.read(spark), "window_start")
+
+
+@query("stream_flush", f"""SELECT (SELECT count(*) FROM ({tumble_sql(3600, 'second')}) w
+WHERE w.window_start + INTERVAL 1 HOUR <= (SELECT max(date_trunc('second', event_ts)) FROM rides) - INTERVAL 5 SECOND)
+AS windows_without_flush, (SELECT count(*) FROM ({tumble_sql(3600, 'second')})) AS windows_with_flush""")
+def stream_flush(spark, sf):
+    root, _ = write_message_slices(spark, sf, "text")
+    without, _ = run_windows(spark, root, "text", tumble_zone("1 hour"), ["window_start", "PULocationID"])
+    n_without = without.read(spark)
+    write_flush(spark, root, "text")
+    with_flush, _ = run_windows(spark, root, "text", tumble_zone("1 hour"), ["window_start", "PULocationID"])
+    a = n_without.count() if n_without is not None else 0
+    b = with_flush.read(spark).count()
+    return spark.createDataFrame([(a, b)], "windows_without_flush bigint, windows_with_flush bigint")
+
+
+@query("stream_restart", tumble_sql(300, "second"))
+def stream_restart(spark, sf):
+    """Stop after the first half of the input, resume from the checkpoint:
+    the sink equals one uninterrupted run."""
+    _, n = write_message_slices(spark, sf, "text", 0, 0)
+    root, _ = write_message_slices(spark, sf, "text", 0, max(1, n // 2))
+    sink_path, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    run_windows(spark, root, "text", tumble_zone("5 minutes"), ["window_start", "PULocationID"], sink_path, ckpt)
+    write_message_slices(spark, sf, "text", max(1, n // 2), None, root=root)
+    write_flush(spark, root, "text")
+    sink, _ = run_windows(spark, root, "text", tumble_zone("5 minutes"), ["window_start", "PULocationID"],
+                          sink_path, ckpt)
+    return _ntz(sink.read(spark), "window_start")
+
+
+@query("stream_upsert", TIPS_SQL)
+def stream_upsert(spark, sf):
+    """Keyed upsert sink; a replayed micro-batch replaces its own rows."""
+    root, _ = write_message_slices(spark, sf, "text")
+    write_flush(spark, root, "text")
+    sink, q = run_windows(spark, root, "text", tumble_tips, ["window_start"])
+    last = spark.read.parquet(sink.path).agg(F.max("batch_id")).collect()[0][0]
+    copy = scratch_path(spark, "replay")
+    spark.read.parquet(f"{sink.path}/batch_id={last}").write.parquet(copy)
+    sink(spark.read.parquet(copy), last)  # the same batch delivered again
+    return _ntz(sink.read(spark), "window_start")
+
+
+@query("stream_jdbc_append", """SELECT PULocationID, DOLocationID, trip_distance, cast(total_amount AS double) AS total_amount,
+date_trunc('millisecond', event_ts) AS pickup_datetime FROM rides""")
+def stream_jdbc_append(spark, sf):
+    from fareway.plans.catalog_loads import DERBY_DRIVER, _derby_url
+
+    url, props = _derby_url(), {"driver": DERBY_DRIVER}
+    root, _ = write_message_slices(spark, sf, "epoch")
+    stream = SS.read_stream(spark, f"{root}/*/*.json", SS.RIDE_EPOCH_SCHEMA, fmt="files",
+                            max_per_trigger=FILES_PER_BATCH)
+    out = stream.select("PULocationID", "DOLocationID", "trip_distance", "total_amount",
+                        F.timestamp_millis("tpep_pickup_datetime").alias("pickup_datetime"))
+    K.run_stream(out, K.jdbc_append(url, "PROCESSED_EVENTS", props), scratch_path(spark, "ckpt")).awaitTermination()
+    back = spark.read.jdbc(url, "PROCESSED_EVENTS", properties=props)
+    return back.withColumn("pickup_datetime", F.col("pickup_datetime").cast("timestamp_ntz"))

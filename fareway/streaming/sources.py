@@ -78,7 +78,7 @@ def read_stream(spark: SparkSession, source: str, schema: T.StructType, start: s
 
     ``fmt='kafka'``: ``source`` is the topic, ``start`` the starting offsets
     ('earliest' or 'latest'). ``fmt='files'``: ``source`` is a folder of
-    JSON-lines files; 'latest' then skips files present at start.
+    JSON-lines files.
     """
     if fmt == "kafka":
         if not kafka_available(spark):
@@ -92,8 +92,8 @@ def read_stream(spark: SparkSession, source: str, schema: T.StructType, start: s
     reader = spark.readStream.schema(schema)
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
-    if start == "latest":
-        reader = reader.option("latestFirst", False).option("maxFileAge", "0s")
+    # For files, 'latest' is a checkpoint that already holds the files
+    # present at start (see ``skip_existing``).
     return reader.json(source)
 
 
@@ -112,3 +112,12 @@ def with_event_time(df: DataFrame, delay: str = "5 seconds", text_col: str | Non
     else:
         ts = F.col(ts_col).cast("timestamp")
     return df.withColumn(out, ts).withWatermark(out, delay)
+
+
+def skip_existing(stream: DataFrame, checkpoint: str) -> None:
+    """'Start from latest' for a file source: record the files present now
+    in ``checkpoint`` without emitting them; a query started later from the
+    same checkpoint only sees files that arrive afterwards."""
+    q = (stream.writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda df, i: None).trigger(availableNow=True).start())
+    q.awaitTermination()
