@@ -391,3 +391,46 @@ def full_refresh(spark, sf):
     L.materialize(y, "replace", name)
     newer = y.where(F.col("pickup_datetime") >= F.lit("1998-01-01").cast("timestamp_ntz"))
     return L.materialize(newer, "merge", name, key="pickup_datetime", full_refresh=True)
+
+
+# ------------------------------------------------------------------ E5 file load, row counts
+
+@query("load_month", f"""SELECT {_HASH7} AS unique_row_id,
+CASE WHEN tpep_pickup_datetime < TIMESTAMP '1998-07-01' THEN 'yellow_tripdata_a.csv' ELSE 'yellow_tripdata_b.csv' END
+AS filename, * EXCLUDE (filename) FROM yellow_tripdata""")
+def load_month(spark, sf):
+    """Two trip files loaded through staging with insert-only merges; the
+    first file is loaded twice and the second load inserts nothing."""
+    from fareway.plans.jobs import load_trip_file
+
+    schema = yellow_schema(spark, sf)
+    cut = F.lit("1998-07-01").cast("timestamp_ntz")
+    y = fx.raw_trips(spark, sf, "yellow").drop("filename")
+    files = {}
+    for name, cond in (("yellow_tripdata_a.csv", F.col("tpep_pickup_datetime") < cut),
+                       ("yellow_tripdata_b.csv", F.col("tpep_pickup_datetime") >= cut)):
+        path = scratch_path(spark, "download")
+        y.where(cond).write.option("header", True).option("compression", "gzip").option(
+            "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+        files[name] = path
+    full = T.StructType(STAGING_EXTRA + list(schema.fields))
+    staging, target = _name("yellow_staging"), _name("yellow_tripdata")
+    W.ensure_table(spark, staging, full)
+    W.ensure_table(spark, target, full)
+    for name in ("yellow_tripdata_a.csv", "yellow_tripdata_b.csv", "yellow_tripdata_a.csv"):
+        load_trip_file(spark, files[name], schema, name, staging, target, HASH7_COLUMNS)
+    return spark.table(target)
+
+
+@query("row_counts", """SELECT 'green_tripdata' AS table_name, count(*) AS row_count FROM green_tripdata
+UNION ALL SELECT 'yellow_tripdata', count(*) FROM yellow_tripdata
+UNION ALL SELECT 'stg_fhv', count(*) FROM fhv_tripdata WHERE dispatching_base_num IS NOT NULL""")
+def row_counts(spark, sf):
+    frames = [("green_tripdata", fx.raw_trips(spark, sf, "green")),
+              ("yellow_tripdata", fx.raw_trips(spark, sf, "yellow")),
+              ("stg_fhv", S.stage_fhv(fx.fhv_trips(spark, sf)))]
+    out = None
+    for name, df in frames:
+        c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        out = c if out is None else out.unionByName(c)
+    return out

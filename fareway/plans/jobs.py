@@ -182,3 +182,24 @@ def avg_price_by_brand(products: DataFrame) -> DataFrame:
     price = F.col("price").cast("decimal(18,2)")
     agg = products.groupBy("brand").agg(F.round(R.exact_avg(price), 2).alias("avg_price"))
     return agg.orderBy(F.col("avg_price").desc())
+
+
+# ---------------------------------------------------------------- E5 file load
+
+
+def load_trip_file(spark: SparkSession, csv_path: str, schema, filename: str, staging: str, target: str,
+                   hash_columns: list[str]) -> int:
+    """One trip file into the warehouse table: typed CSV read, staging
+    reloaded (truncate + load of the listed columns), hash identity and file
+    name added, then an insert-only merge on the identity. Re-loading a
+    file inserts nothing. Returns the number of inserted rows."""
+    from fareway.operators.loads import add_row_identity, merge_insert_only
+    from fareway.sources.files import copy_in, read_trips_csv
+    from fareway.sources.writers import truncate_load
+
+    raw = read_trips_csv(spark, csv_path, schema)
+    staged_schema = spark.table(staging).schema
+    truncate_load(spark, copy_in(raw, [f.name for f in schema.fields], staged_schema), staging)
+    staged = spark.table(staging).drop("unique_row_id", "filename")
+    with_id = add_row_identity(staged, hash_columns, filename=filename)
+    return merge_insert_only(target, with_id.select(*spark.table(target).columns), "unique_row_id")
