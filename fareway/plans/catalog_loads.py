@@ -249,10 +249,17 @@ def strategy_table(spark, sf):
 @query("layout_partition_cluster", """SELECT DISTINCT vendor_id FROM stg_yellow
 WHERE cast(dropoff_datetime AS date) BETWEEN DATE '1997-03-01' AND DATE '1997-03-15'""", STG_YELLOW)
 def layout_partition_cluster(spark, sf):
-    y = _stg_yellow(spark, sf).withColumn("dropoff_date", F.to_date("dropoff_datetime"))
-    t = W.materialize_table(y, _name("yellow_part"), partition_by=["dropoff_date"], cluster_by=["vendor_id"])
-    return t.where(F.col("dropoff_date").between(F.lit("1997-03-01").cast("date"),
-                                                 F.lit("1997-03-15").cast("date"))).select("vendor_id").distinct()
+    """Partitioned by the filtered column (dropoff month folders) and
+    clustered by (dropoff date, vendor) inside the files: the date filter
+    prunes folders and parquet row groups."""
+    y = _stg_yellow(spark, sf).withColumns({
+        "dropoff_date": F.to_date("dropoff_datetime"),
+        "dropoff_month": F.trunc(F.to_date("dropoff_datetime"), "month")})
+    t = W.materialize_table(y, _name("yellow_part"), partition_by=["dropoff_month"],
+                            cluster_by=["dropoff_date", "vendor_id"])
+    lo, hi = F.lit("1997-03-01").cast("date"), F.lit("1997-03-15").cast("date")
+    return (t.where(F.col("dropoff_month").between(F.trunc(lo, "month"), F.trunc(hi, "month")))
+            .where(F.col("dropoff_date").between(lo, hi)).select("vendor_id").distinct())
 
 
 @query("truncate_load", "SELECT * FROM green", HOURLY_CTES)
