@@ -181,3 +181,15 @@ def test_union_by_name_fills_missing(spark):
     b = spark.createDataFrame([(2, 3.0)], "id int, b double")
     got = sorted(tuple(r) for r in S.union_by_name([a, b]).collect())
     assert got == [(1, "x", None), (2, None, 3.0)]
+
+
+def test_pandas_udf_matches_native_expression(spark):
+    from fareway.functions.udf import register, vendor_code_udf
+
+    df = spark.createDataFrame([(0,), (1,), (2,), (8,), (None,)], "v int")
+    a = [r[0] for r in df.select(vendor_code_udf("v")).collect()]
+    b = [r[0] for r in df.select(X.vendor_code("v")).collect()]
+    assert a == b
+    register(spark)
+    df.createOrReplaceTempView("vendors_t")
+    assert [r[0] for r in spark.sql("SELECT vendor_code(v) FROM vendors_t").collect()] == b
