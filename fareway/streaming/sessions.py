@@ -1,72 +1,110 @@
-"""Global (unkeyed) session windows, computed in parallel.
-
-A global session chains *all* events, whatever their zone, while
-consecutive events are at most ``gap`` apart; then trips are counted per
-zone inside each session. Spark's ``session_window`` needs a grouping key
-and would push every event through one key (one task, one state row), so
-this is written as a distributed gaps-and-islands instead:
-
-1. distinct event times (map-side de-duplicated, so a hot timestamp costs
-   one row per task), range-partitioned by time into balanced slices;
-2. within a slice, a session starts where the time since the previous
-   event exceeds ``gap``;
-3. one summary row per slice (first/last time, last start) is enough to fix
-   the slice boundaries: the driver walks those few rows in order (their
-   number is the partition count, not the data size);
-4. every time gets its session start by a running max within its slice;
-5. events are pre-aggregated per (time, zone) and joined to their session.
+"""Session windows computed in parallel, with or without a session key.
+
+A session chains events (of one key, or of all keys when there is none)
+while consecutive events are at most ``gap`` apart; trips are then counted
+per ``count_keys`` inside each session. Spark's ``session_window`` keeps
+every event of a key in one task (and refuses an unkeyed stream), so a hot
+key, or the unkeyed case, would run through a single task. This is a
+distributed gaps-and-islands instead:
+
+1. distinct (key, event time) pairs, map-side de-duplicated so a hot
+   timestamp costs one row per task, range-partitioned on (key, time) into
+   balanced slices: a hot key's time range is split across many slices;
+2. within a slice, a session starts where the key changes or the time since
+   the previous event of the key exceeds ``gap``;
+3. one summary row per slice (first and last (key, time), last start) fixes
+   the slice boundaries; the driver walks those rows in order. Their number
+   is the partition count, not the data size;
+4. every (key, time) gets its session start by a running max within its
+   slice and key;
+5. events are pre-aggregated per (key, time, count keys) and joined to
+   their session.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def global_session_counts(events: DataFrame, ts: str, gap_seconds: int, keys: list[str],
-                          slices: int | None = None) -> DataFrame:
+def _null_safe_eq(a: DataFrame, b: DataFrame, cols: list[str]):
+    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in cols])
+
+
+def session_counts(events: DataFrame, ts: str, gap_seconds: int, session_keys: list[str] | None = None,
+                   count_keys: list[str] | None = None, slices: int | None = None) -> DataFrame:
+    sk = list(session_keys or [])
+    ck = [c for c in (count_keys or []) if c not in sk]
     spark = events.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    t = F.col("ts")
-    times = events.select(F.col(ts).alias("ts")).where(t.isNotNull()).distinct()
-    ranged = times.repartitionByRange(slices, "ts").withColumn("pid", F.spark_partition_id())
-    # Reliable checkpoint (shared checkpoint folder): pins the slice ids and
-    # cuts lineage so the two uses below read the same slices.
+    gap_us = gap_seconds * 1_000_000
+
+    base = events.select(*sk, *ck, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us")).where(
+        F.col("_us").isNotNull())
+    times = base.select(*sk, "_us").distinct()
+    ranged = times.repartitionByRange(slices, *sk, "_us").withColumn("pid", F.spark_partition_id())
+    # Reliable checkpoint in the shared checkpoint folder: pins the slice ids
+    # and cuts lineage so both uses below read the same slices.
     ranged = ranged.checkpoint(eager=True)
 
-    w = Window.partitionBy("pid").orderBy("ts")
-    secs = F.unix_micros(t.cast("timestamp"))
-    gap_us = gap_seconds * 1_000_000
-    local = ranged.withColumn("_us", secs).withColumn("_prev", F.lag("_us").over(w))
-    local = local.withColumn("_start", F.col("_prev").isNotNull() & (F.col("_us") - F.col("_prev") > gap_us))
+    wk = Window.partitionBy("pid", *sk).orderBy("_us")
+    run = wk.rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("_prev", F.lag("_us").over(wk))
+    local = local.withColumn("_start", F.col("_prev").isNull() | (F.col("_us") - F.col("_prev") > gap_us))
+    local = local.withColumn("_ls", F.max(F.when(F.col("_start") & F.col("_prev").isNotNull(), F.col("_us"))
+                                          ).over(run))
 
+    key_cols = [F.col(c) for c in sk]
     summary = (local.groupBy("pid")
-               .agg(F.min("_us").alias("lo"), F.max("_us").alias("hi"),
-                    F.max(F.when(F.col("_start"), F.col("_us"))).alias("last_start"))
+               .agg(F.min(F.struct(*key_cols, F.col("_us"))).alias("first"),
+                    F.max(F.struct(*key_cols, F.col("_us"), F.col("_ls"))).alias("last"))
                .orderBy("pid").collect())
-    rows, prev_hi, carry = [], None, None
+
+    rows, prev = [], None
     for r in summary:
-        first_starts = prev_hi is None or r["lo"] - prev_hi > gap_us
-        carry_in = r["lo"] if first_starts else carry
-        rows.append((r["pid"], bool(first_starts), carry_in))
-        carry = r["last_start"] if r["last_start"] is not None else carry_in
-        prev_hi = r["hi"]
-    bounds = spark.createDataFrame(rows, "pid int, first_starts boolean, carry_in bigint")
+        f, last = r["first"], r["last"]
+        fkey, fus = tuple(f[c] for c in sk), f["_us"]
+        lkey, lus, lls = tuple(last[c] for c in sk), last["_us"], last["_ls"]
+        first_starts = prev is None or prev[0] != fkey or fus - prev[1] > gap_us
+        carry_in = fus if first_starts else prev[2]
+        if lls is not None:
+            carry_out = lls
+        elif lkey == fkey:
+            carry_out = carry_in
+        else:  # a key that changes inside the slice starts there
+            carry_out = None
+        rows.append((r["pid"], *fkey, fus, bool(first_starts), carry_in))
+        prev = (lkey, lus, carry_out)
+    schema = ["pid int"] + [f"`_fk_{c}` {dict(local.dtypes)[c]}" for c in sk] + [
+        "_fus bigint", "first_starts boolean", "carry_in bigint"]
+    bounds = spark.createDataFrame(rows, ", ".join(schema))
 
     fixed = local.join(F.broadcast(bounds), "pid")  # one row per slice
-    is_start = F.when(F.col("_prev").isNull(), F.col("first_starts")).otherwise(F.col("_start"))
-    run = Window.partitionBy("pid").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
-    mapped = fixed.withColumn("_sess_us", F.coalesce(F.max(F.when(is_start, F.col("_us"))).over(run),
-                                                     F.col("carry_in")))
-    mapped = mapped.select("ts", "_us", "_sess_us")
-
-    ends = mapped.groupBy("_sess_us").agg((F.max("_us") + F.lit(gap_us)).alias("_end_us"))
-    per_time = events.groupBy(F.col(ts).alias("ts"), *keys).agg(F.count(F.lit(1)).alias("_n"))
-    joined = per_time.join(mapped.select("ts", "_sess_us"), "ts").join(ends, "_sess_us")
-    out = joined.groupBy("_sess_us", "_end_us", *keys).agg(F.sum("_n").cast("bigint").alias("num_trips"))
-    return out.select(F.timestamp_micros("_sess_us").cast("timestamp_ntz").alias("session_start"),
-                      F.timestamp_micros("_end_us").cast("timestamp_ntz").alias("session_end"),
-                      *keys, "num_trips")
+    is_first = F.col("_us") == F.col("_fus")
+    for c in sk:
+        is_first = is_first & F.col(c).eqNullSafe(F.col(f"_fk_{c}"))
+    is_start = F.when(is_first, F.col("first_starts")).otherwise(F.col("_start"))
+    mapped = fixed.withColumn("_sess", F.max(F.when(is_start, F.col("_us"))).over(run))
+    mapped = mapped.withColumn("_sess", F.coalesce("_sess", "carry_in")).select(*sk, "_us", "_sess")
+
+    ends = mapped.groupBy(*sk, "_sess").agg((F.max("_us") + F.lit(gap_us)).alias("_end"))
+    per_time = base.groupBy(*sk, "_us", *ck).agg(F.count(F.lit(1)).alias("_n"))
+    j1 = per_time.alias("p").join(mapped.alias("m"), _null_safe_eq(per_time.alias("p"), mapped.alias("m"),
+                                                                   sk + ["_us"]))
+    j1 = j1.select(*[F.col(f"p.{c}") for c in sk], "m._sess", *[F.col(f"p.{c}") for c in ck], "p._n")
+    j2 = j1.alias("a").join(ends.alias("e"), _null_safe_eq(j1.alias("a"), ends.alias("e"), sk + ["_sess"]))
+    j2 = j2.select(*[F.col(f"a.{c}") for c in sk], "a._sess", "e._end", *[F.col(f"a.{c}") for c in ck], "a._n")
+    out = j2.groupBy(*sk, "_sess", "_end", *ck).agg(F.sum("_n").cast("bigint").alias("num_trips"))
+    return out.select(*sk, F.timestamp_micros("_sess").cast("timestamp_ntz").alias("session_start"),
+                      F.timestamp_micros("_end").cast("timestamp_ntz").alias("session_end"), *ck, "num_trips")
+
+
+def global_session_counts(events: DataFrame, ts: str, gap_seconds: int, keys: list[str],
+                          slices: int | None = None) -> DataFrame:
+    """Sessions over all events together, then trips per ``keys`` inside."""
+    return session_counts(events, ts, gap_seconds, [], keys, slices)
 
 
 GLOBAL_SESSION_SQL_TEMPLATE = """WITH e AS (SELECT date_trunc('second', event_ts) AS ts, PULocationID FROM rides),

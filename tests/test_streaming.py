@@ -140,3 +140,29 @@ def test_keyed_sink_replay_is_idempotent(spark):
 
 def test_unique_dirs():
     assert uuid.uuid4().hex != uuid.uuid4().hex
+
+
+def _brute_keyed_sessions(events, gap):
+    by_key = {}
+    for t, k, z in events:
+        by_key.setdefault(k, []).append((t, z))
+    out = []
+    for k, rows in by_key.items():
+        sub = _brute_global_sessions(rows, gap)
+        out += [(k, a, b, z, n) for a, b, z, n in sub]
+    return sorted(out, key=lambda r: (r[0] is None, r[0] or 0, r[1:]))
+
+
+def test_keyed_sessions_split_a_hot_key_and_match_brute_force(spark):
+    rnd = random.Random(11)
+    events, t = [], T0
+    for _ in range(2000):
+        t += dt.timedelta(seconds=rnd.choice([0, 20, 120, 299, 300, 301, 1200]))
+        k = 7 if rnd.random() < 0.4 else rnd.choice([1, 2, 3, None])  # key 7 holds ~40% of rows
+        events.append((t, k, rnd.randrange(3)))
+    df = spark.createDataFrame(events, "ts timestamp_ntz, k int, zone int")
+    want = _brute_keyed_sessions(events, 300)
+    for slices in (1, 5, 13):
+        got = GS.session_counts(df, "ts", 300, ["k"], ["zone"], slices=slices).collect()
+        got = sorted((tuple(r) for r in got), key=lambda r: (r[0] is None, r[0] or 0, r[1:]))
+        assert got == want
