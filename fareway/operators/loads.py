@@ -41,24 +41,18 @@ def insert_only_rows(target: DataFrame, source: DataFrame, key: str | list[str])
 
 def merge_insert_only(target_table: str, source: DataFrame, key: str | list[str]) -> int:
     """WHEN NOT MATCHED THEN INSERT: append the new rows; existing rows are
-    never rewritten. Returns the number of inserted rows."""
+    never rewritten. Returns the number of inserted rows.
+
+    The anti-join reads the target's file listing fixed at planning time,
+    so the appended files are not read back by the same job. The counts
+    come from parquet footers.
+    """
     spark = source.sparkSession
     target = spark.table(target_table)
-    new = insert_only_rows(target, source, key).select(*target.columns)
-    staged = _stage(spark, new, f"{target_table}-insert")
-    n = staged.count()
-    staged.write.insertInto(target_table)
-    return n
-
-
-def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared checkpoint folder and read back: cuts lineage so
-    the append does not re-read the target it was computed from."""
-    from fareway.session import scratch_path
-
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    before = target.count()
+    insert_only_rows(target, source, key).select(*target.columns).write.insertInto(target_table)
+    spark.catalog.refreshTable(target_table)
+    return spark.table(target_table).count() - before
 
 
 def upsert_rows(target: DataFrame, source: DataFrame, key: str | list[str],

@@ -26,6 +26,12 @@ def write_report(df: DataFrame, path: str, files: int | None = None, mode: str =
     return path
 
 
+def files_for(df: DataFrame, rows_per_file: int = 5_000_000) -> int:
+    """File count for a report: one file per ``rows_per_file`` rows (at
+    least one), so 'one file' stays one file only while the data is small."""
+    return max(1, -(-df.count() // rows_per_file))
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """JSON-lines records (one object per line)."""
     df.write.mode(mode).json(path)
