@@ -28,6 +28,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareway.session import checkpoint_dir
+
 
 def _null_safe_eq(a: DataFrame, b: DataFrame, cols: list[str]):
     return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in cols])
@@ -38,6 +40,7 @@ def session_counts(events: DataFrame, ts: str, gap_seconds: int, session_keys: l
     sk = list(session_keys or [])
     ck = [c for c in (count_keys or []) if c not in sk]
     spark = events.sparkSession
+    checkpoint_dir(spark)  # the shared folder the checkpoint below writes to
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     gap_us = gap_seconds * 1_000_000
 
@@ -53,8 +56,9 @@ def session_counts(events: DataFrame, ts: str, gap_seconds: int, session_keys: l
     run = wk.rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_prev", F.lag("_us").over(wk))
     local = local.withColumn("_start", F.col("_prev").isNull() | (F.col("_us") - F.col("_prev") > gap_us))
-    local = local.withColumn("_ls", F.max(F.when(F.col("_start") & F.col("_prev").isNotNull(), F.col("_us"))
-                                          ).over(run))
+    # Running last session start per key within the slice. The slice's very
+    # first row counts as a start here only tentatively (fixed below).
+    local = local.withColumn("_ls", F.max(F.when(F.col("_start"), F.col("_us"))).over(run))
 
     key_cols = [F.col(c) for c in sk]
     summary = (local.groupBy("pid")
@@ -69,12 +73,9 @@ def session_counts(events: DataFrame, ts: str, gap_seconds: int, session_keys: l
         lkey, lus, lls = tuple(last[c] for c in sk), last["_us"], last["_ls"]
         first_starts = prev is None or prev[0] != fkey or fus - prev[1] > gap_us
         carry_in = fus if first_starts else prev[2]
-        if lls is not None:
-            carry_out = lls
-        elif lkey == fkey:
-            carry_out = carry_in
-        else:  # a key that changes inside the slice starts there
-            carry_out = None
+        # The last row's session start: its own key's last start in the slice,
+        # unless that is the slice's first row, whose start may be carried in.
+        carry_out = carry_in if (lkey == fkey and lls == fus) else lls
         rows.append((r["pid"], *fkey, fus, bool(first_starts), carry_in))
         prev = (lkey, lus, carry_out)
     schema = ["pid int"] + [f"`_fk_{c}` {dict(local.dtypes)[c]}" for c in sk] + [

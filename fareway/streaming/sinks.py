@@ -30,6 +30,8 @@ class KeyedSink:
             if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
                 return None
             raise
+        if not self.key:  # append-only sink: every batch's rows
+            return raw.drop("batch_id")
         w = Window.partitionBy(*self.key).orderBy(F.col("batch_id").desc())
         return raw.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "batch_id")
 

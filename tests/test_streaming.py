@@ -166,3 +166,13 @@ def test_keyed_sessions_split_a_hot_key_and_match_brute_force(spark):
         got = GS.session_counts(df, "ts", 300, ["k"], ["zone"], slices=slices).collect()
         got = sorted((tuple(r) for r in got), key=lambda r: (r[0] is None, r[0] or 0, r[1:]))
         assert got == want
+
+
+def test_keyed_sessions_continue_across_slices(spark):
+    # key 1 at the end of one slice and the start of the next, no gap: one session
+    events = [(T0 + dt.timedelta(seconds=60 * i), k, 0) for k in (1, 2) for i in range(40)]
+    df = spark.createDataFrame(events, "ts timestamp_ntz, k int, zone int")
+    want = _brute_keyed_sessions(events, 300)
+    for slices in (2, 3, 7, 40):
+        got = sorted(tuple(r) for r in GS.session_counts(df, "ts", 300, ["k"], ["zone"], slices=slices).collect())
+        assert got == want
