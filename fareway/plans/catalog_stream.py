@@ -239,15 +239,23 @@ def stream_pass_through_text(spark, sf):
     return _append_query(spark, sf, "text", t)
 
 
-@query("stream_source_earliest", """SELECT strftime(date_trunc('second', event_ts), '%Y-%m-%d %H:%M:%S') AS lpep_pickup_datetime,
+_TEXT_MSG_SQL = """SELECT strftime(date_trunc('second', event_ts), '%Y-%m-%d %H:%M:%S') AS lpep_pickup_datetime,
 strftime(date_trunc('second', event_ts) + INTERVAL 10 MINUTE, '%Y-%m-%d %H:%M:%S') AS lpep_dropoff_datetime,
 PULocationID, DOLocationID, passenger_count, trip_distance, cast(tip_amount AS double) AS tip_amount,
-cast(total_amount AS double) AS total_amount FROM rides""")
+cast(total_amount AS double) AS total_amount FROM rides"""
+
+# Messages of the later half of the weekly slices (the ones that arrive after
+# a query started 'from latest').
+_LATEST_WHERE = f""" WHERE floor((floor(epoch(event_ts)) - (SELECT min(floor(epoch(event_ts))) FROM rides)) / {SLICE_SECONDS})
+>= (SELECT floor((floor((max(floor(epoch(event_ts))) - min(floor(epoch(event_ts)))) / {SLICE_SECONDS}) + 1) / 2) FROM rides)"""
+
+
+@query("stream_source_earliest", _TEXT_MSG_SQL)
 def stream_source_earliest(spark, sf):
     return _append_query(spark, sf, "text", lambda s: s)
 
 
-@query("stream_source_latest")
+@query("stream_source_latest", _TEXT_MSG_SQL + _LATEST_WHERE)
 def stream_source_latest(spark, sf):
     """Only messages that arrive after the query first starts."""
     _, n = write_message_slices(spark, sf, "text", 0, 0)
