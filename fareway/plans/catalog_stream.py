@@ -344,5 +344,5 @@ def stream_jdbc_append(spark, sf):
     out = stream.select("PULocationID", "DOLocationID", "trip_distance", "total_amount",
                         F.timestamp_millis("tpep_pickup_datetime").alias("pickup_datetime"))
     K.run_stream(out, K.jdbc_append(url, "PROCESSED_EVENTS", props), scratch_path(spark, "ckpt")).awaitTermination()
-    back = spark.read.jdbc(url, "PROCESSED_EVENTS", properties=props)
+    back = spark.read.jdbc(url, "PROCESSED_EVENTS", properties=props).drop("BATCH_ID", "batch_id")
     return back.withColumn("pickup_datetime", F.col("pickup_datetime").cast("timestamp_ntz"))
