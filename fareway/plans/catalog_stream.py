@@ -191,11 +191,23 @@ def session_totals(spark, sf):
                                        F.count(F.lit(1)).alias("sessions"))
 
 
-@query("stream_top_windows", f"""SELECT * FROM ({tumble_sql(300, 'second')})
-ORDER BY num_trips DESC, window_start, PULocationID LIMIT 3""")
+@query("stream_top_windows", f"""SELECT * FROM (SELECT 'trips' AS ranking, window_start, PULocationID,
+cast(num_trips AS double) AS value FROM ({tumble_sql(300, 'second')})
+ORDER BY num_trips DESC, window_start, PULocationID LIMIT 3)
+UNION ALL SELECT * FROM (SELECT 'tips' AS ranking, window_start, CAST(NULL AS INTEGER) AS PULocationID,
+total_tips AS value FROM ({TIPS_SQL}) ORDER BY total_tips DESC, window_start LIMIT 10)""")
 def stream_top_windows(spark, sf):
+    """Read-out queries over the stored window sinks: the 3 busiest 5-minute
+    zone windows and the 10 hours with the largest tips."""
     w = stream_tumble_5m(spark, sf)
-    return R.top_k(w, 3, F.col("num_trips").desc(), F.col("window_start"), F.col("PULocationID"))
+    trips = R.top_k(w, 3, F.col("num_trips").desc(), F.col("window_start"), F.col("PULocationID")).select(
+        F.lit("trips").alias("ranking"), "window_start", "PULocationID",
+        F.col("num_trips").cast("double").alias("value"))
+    t = stream_tumble_global(spark, sf)
+    tips = R.top_k(t, 10, F.col("total_tips").desc(), F.col("window_start")).select(
+        F.lit("tips").alias("ranking"), "window_start", F.lit(None).cast("int").alias("PULocationID"),
+        F.col("total_tips").alias("value"))
+    return trips.unionByName(tips)
 
 
 @query("stream_session_global", GS.GLOBAL_SESSION_SQL_TEMPLATE.format(gap=HW_SESSION_GAP_MIN))
