@@ -110,3 +110,17 @@ def test_copy_in_null_pads(spark):
                            T.StructField("b", T.StringType())])
     assert tuple(src.copy_in(df, ["a", "b"], target).collect()[0]) == (None, 1, "x")
     assert F is not None
+
+
+def test_revenue_job_writes_all_outputs_and_matches_query(spark, sf_small):
+    from fareway.plans import fixtures as fx
+    from fareway.plans.catalog_batch import SINCE, revenue_zones_df
+    from fareway.plans.jobs import revenue_job
+
+    out = scratch_path(spark, "t-revenue")
+    paths = revenue_job(spark, fx.raw_trips(spark, sf_small, "green"), fx.raw_trips(spark, sf_small, "yellow"),
+                        src.read_lookup_frame(fx.zones(spark, sf_small, id_as_string=True)), out, since=SINCE)
+    assert set(paths) == {"green", "yellow", "total", "zones"}
+    got = sorted(repr(tuple(r)) for r in spark.read.parquet(paths["zones"]).collect())
+    want = sorted(repr(tuple(r)) for r in revenue_zones_df(spark, sf_small).collect())
+    assert got == want and len(got) > 0
