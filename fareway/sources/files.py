@@ -120,12 +120,78 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def canonical_columns(schemas: list[T.StructType]) -> dict[str, T.StructField]:
+    """One spelling and one type per column (names case-insensitive) over
+    files whose footers differ: the same type is kept; mixed integral types
+    widen to bigint, any fractional mix to double, mixed timestamps to NTZ,
+    anything else to string."""
+    seen: dict[str, list[T.StructField]] = {}
+    for sch in schemas:
+        for f in sch.fields:
+            seen.setdefault(f.name.lower(), []).append(f)
+    out = {}
+    for low, fields in seen.items():
+        types = {f.dataType for f in fields}
+        if len(types) == 1:
+            dtype = fields[0].dataType
+        elif all(isinstance(t, _INTEGRAL) for t in types):
+            dtype = T.LongType()
+        elif all(isinstance(t, _INTEGRAL + _FRACTIONAL) for t in types):
+            dtype = T.DoubleType()
+        elif all(isinstance(t, (T.TimestampType, T.TimestampNTZType)) for t in types):
+            dtype = T.TimestampNTZType()
+        else:
+            dtype = T.StringType()
+        out[low] = T.StructField(fields[0].name, dtype, True)
+    return out
+
+
+def read_schema_groups(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Parquet files with differing footers (types or name case): one scan
+    per distinct footer schema, each cast to the canonical columns, then
+    concatenated by name. Files sharing a schema (the usual case) are one
+    scan.
+
+    Fast path: one scan with ``mergeSchema`` (footers read by a distributed
+    job). Spark rejects conflicting types there, and case-variant names would
+    come out twice; only then are the footers grouped file by file.
+    """
+    try:
+        merged = spark.read.option("mergeSchema", "true").parquet(*paths)
+        names = [c.lower() for c in merged.columns]
+        if len(names) == len(set(names)):
+            return merged.withColumn("_file_path", F.col("_metadata.file_path"))
+    except Exception as e:  # noqa: BLE001 - conflicting footer types
+        if "CANNOT_MERGE" not in str(e) and "merge" not in str(e).lower():
+            raise
+    groups: dict[str, list[str]] = {}
+    schemas: dict[str, T.StructType] = {}
+    for p in paths:
+        sch = spark.read.parquet(p).schema
+        key = sch.json()
+        groups.setdefault(key, []).append(p)
+        schemas[key] = sch
+    canon = canonical_columns(list(schemas.values()))
+    frames = []
+    for key, ps in groups.items():
+        df = spark.read.parquet(*ps)
+        cols = [F.col(f"`{f.name}`").cast(canon[f.name.lower()].dataType).alias(canon[f.name.lower()].name)
+                for f in schemas[key].fields]
+        frames.append(df.select(*cols, F.col("_metadata.file_path").alias("_file_path")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def ingest_months(spark: SparkSession, root: str, start: str, end: str, taxi_types: list[str],
                   now: dt.datetime, pattern: str = "{type}_tripdata_{ym}.parquet") -> DataFrame:
     """Trips of every (type, month) in ``[start month, end month]``.
 
-    Missing files are skipped with a warning. Each service is read with a
-    single scan over its existing files; ``filename`` comes from the file
+    Missing files are skipped with a warning. Each service is read with one
+    scan per distinct file schema (monthly files drift in types and name
+    case; see ``read_schema_groups``); ``filename`` comes from the file
     metadata, so no per-file plan is built. Services with different columns
     are concatenated by name (missing columns NULL). With no file at all
     the result keeps a minimal schema (taxi_type, filename, ingested_at).
@@ -141,15 +207,15 @@ def ingest_months(spark: SparkSession, root: str, start: str, end: str, taxi_typ
                 print(f"Warning: skipping missing {p}")
         if not paths:
             continue
-        df = spark.read.parquet(*paths)
+        df = read_schema_groups(spark, paths)
         # The file name is the last path element of the pattern (after any
         # 'key=' prefix of a partition-style folder).
         name = pattern.rsplit("/", 1)[-1].split("=", 1)[-1]
         name_re = re.escape(name).replace(re.escape("{type}"), re.escape(t)).replace(
             re.escape("{ym}"), r"\d{4}-\d{2}")
-        fname = F.regexp_extract(F.col("_metadata.file_path"), f"({name_re})", 1)
+        fname = F.regexp_extract(F.col("_file_path"), f"({name_re})", 1)
         frames.append(df.withColumns({"taxi_type": F.lit(t), "filename": fname,
-                                      "ingested_at": F.lit(now).cast("timestamp_ntz")}))
+                                      "ingested_at": F.lit(now).cast("timestamp_ntz")}).drop("_file_path"))
     if not frames:
         schema = "taxi_type string, filename string, ingested_at timestamp_ntz"
         return spark.createDataFrame([], schema)

@@ -124,3 +124,17 @@ def test_revenue_job_writes_all_outputs_and_matches_query(spark, sf_small):
     got = sorted(repr(tuple(r)) for r in spark.read.parquet(paths["zones"]).collect())
     want = sorted(repr(tuple(r)) for r in revenue_zones_df(spark, sf_small).collect())
     assert got == want and len(got) > 0
+
+
+def test_ingest_months_schema_drift(spark):
+    root = scratch_path(spark, "t-drift")
+    spark.createDataFrame([(1, 2, 1.5)], "VendorID int, passenger_count int, Airport_fee double").write.parquet(
+        f"{root}/yellow_tripdata_2024-01.parquet")
+    spark.createDataFrame([(2, 3.0, 2.5)], "VendorID bigint, passenger_count double, airport_fee double").write.parquet(
+        f"{root}/yellow_tripdata_2024-02.parquet")
+    out = src.ingest_months(spark, root, "2024-01-01", "2024-02-28", ["yellow"], dt.datetime(2024, 3, 1))
+    types = dict(out.dtypes)
+    assert types["VendorID"] == "bigint" and types["passenger_count"] == "double"
+    assert [c for c in out.columns if c.lower() == "airport_fee"] == ["Airport_fee"]
+    got = sorted((r.VendorID, r.passenger_count, r.Airport_fee, r.filename) for r in out.collect())
+    assert got == [(1, 2.0, 1.5, "yellow_tripdata_2024-01.parquet"), (2, 3.0, 2.5, "yellow_tripdata_2024-02.parquet")]
