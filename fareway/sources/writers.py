@@ -99,7 +99,8 @@ def current_location(spark: SparkSession, name: str) -> str:
 
 
 def materialize_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                      cluster_by: list[str] | None = None, location: str | None = None) -> DataFrame:
+                      cluster_by: list[str] | None = None, location: str | None = None,
+                      spread: int = 4) -> DataFrame:
     """Create-or-replace table from a query (CTAS).
 
     The new contents go to a fresh location and the table is re-pointed, so
@@ -112,10 +113,14 @@ def materialize_table(df: DataFrame, name: str, partition_by: list[str] | None =
     loc = location or table_location(spark, name)
     out = df
     if partition_by:
-        # Range-partition on (partition, cluster) columns: each task writes a
-        # contiguous, sorted run, and a hot partition value (say one month with
-        # a third of the rows) is split across tasks instead of one.
-        out = out.repartitionByRange(*[F.col(c) for c in partition_by + list(cluster_by or [])])
+        # Hash on the partition columns plus a deterministic salt taken from
+        # the cluster columns: a hot partition value (say one month with a
+        # third of the rows) is written by ``spread`` tasks instead of one,
+        # rows of one cluster key stay in one file, and no sampling pass over
+        # the input is needed (a range repartition would add one).
+        salt_src = [F.col(c) for c in (cluster_by or [])] or [F.col(c) for c in df.columns]
+        salt = F.pmod(F.xxhash64(*salt_src), F.lit(spread))
+        out = out.repartition(*[F.col(c) for c in partition_by], salt)
     if cluster_by:
         out = out.sortWithinPartitions(*(partition_by or []), *cluster_by)
     w = out.write.mode("overwrite")
