@@ -121,7 +121,8 @@ def tumble_sql(seconds: int, ts_unit: str) -> str:
             f"cast(sum(total_amount) AS double) AS total_revenue FROM rides GROUP BY 1, 2")
 
 
-TIPS_SQL = (f"SELECT {_bucket(chr(100) + 'ate_trunc(' + chr(39) + 'second' + chr(39) + ', event_ts)', 3600)} AS window_start, "
+_TS_SECOND = "date_trunc('second', event_ts)"
+TIPS_SQL = (f"SELECT {_bucket(_TS_SECOND, 3600)} AS window_start, "
             "cast(sum(tip_amount) AS double) AS total_tips FROM rides GROUP BY 1")
 
 
