@@ -203,3 +203,20 @@ def load_trip_file(spark: SparkSession, csv_path: str, schema, filename: str, st
     staged = spark.table(staging).drop("unique_row_id", "filename")
     with_id = add_row_identity(staged, hash_columns, filename=filename)
     return merge_insert_only(target, with_id.select(*spark.table(target).columns), "unique_row_id")
+
+
+def build_fact_incremental(spark: SparkSession, table: str, trips: DataFrame, dim_zones: DataFrame,
+                           full_refresh: bool = False) -> DataFrame:
+    """The fact table as an incremental model with a unique key.
+
+    First build (or ``full_refresh``): the whole fact. Later builds: only
+    trips after the table's latest pickup, upserted on ``trip_id``; new
+    columns of the model are appended to the table (old rows NULL).
+    """
+    from fareway.operators.loads import materialize
+
+    if full_refresh or not spark.catalog.tableExists(table):
+        return materialize(fct_trips(trips, dim_zones), "replace", table)
+    existing = spark.table(table)
+    new = fct_trips(trips, dim_zones, since=existing)
+    return materialize(new, "merge", table, key="trip_id")

@@ -138,3 +138,22 @@ def test_ingest_months_schema_drift(spark):
     assert [c for c in out.columns if c.lower() == "airport_fee"] == ["Airport_fee"]
     got = sorted((r.VendorID, r.passenger_count, r.Airport_fee, r.filename) for r in out.collect())
     assert got == [(1, 2.0, 1.5, "yellow_tripdata_2024-01.parquet"), (2, 3.0, 2.5, "yellow_tripdata_2024-02.parquet")]
+
+
+def test_incremental_fact_build(spark, sf_small):
+    from fareway.operators import staging as S
+    from fareway.plans import fixtures as fx
+    from fareway.plans.jobs import build_fact_incremental, fct_trips, int_trips, int_trips_unioned
+
+    trips = int_trips(int_trips_unioned(fx.raw_trips(spark, sf_small, "green"), fx.raw_trips(spark, sf_small, "yellow")),
+                      fx.payment_lookup(spark))
+    zones = S.dim_zones(fx.zones(spark, sf_small))
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    name = _name("fct")
+    build_fact_incremental(spark, name, trips.where(F.col("pickup_datetime") < cut), zones)
+    n1 = spark.table(name).count()
+    build_fact_incremental(spark, name, trips, zones)  # only newer trips are added
+    build_fact_incremental(spark, name, trips, zones)  # nothing newer: unchanged
+    full = fct_trips(trips, zones)
+    assert n1 < spark.table(name).count() == full.count()
+    assert spark.table(name).select("trip_id").distinct().count() == full.count()
