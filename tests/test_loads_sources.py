@@ -157,3 +157,20 @@ def test_incremental_fact_build(spark, sf_small):
     full = fct_trips(trips, zones)
     assert n1 < spark.table(name).count() == full.count()
     assert spark.table(name).select("trip_id").distinct().count() == full.count()
+
+
+def test_revenue_cli_on_files(spark, sf_small):
+    from fareway.plans import fixtures as fx
+    from fareway.plans.catalog_batch import SINCE, revenue_zones_df
+    from fareway.plans.jobs import revenue_job
+    from fareway.plans.revenue_cli import main  # noqa: F401 - importable entry point
+
+    root = scratch_path(spark, "t-cli")
+    for svc in ("green", "yellow"):
+        fx.raw_trips(spark, sf_small, svc).write.parquet(f"{root}/pq/{svc}/2024/01")
+    fx.zones(spark, sf_small, id_as_string=True).write.option("header", True).csv(f"{root}/zones")
+    out = revenue_job(spark, src.read_trips(spark, f"{root}/pq/green/*/*"), src.read_trips(spark, f"{root}/pq/yellow/*/*"),
+                      src.read_lookup(spark, f"{root}/zones"), f"{root}/report", since=SINCE, files=1)
+    got = sorted(repr(tuple(r)) for r in spark.read.parquet(out["zones"]).collect())
+    want = sorted(repr(tuple(r)) for r in revenue_zones_df(spark, sf_small).collect())
+    assert got == want
