@@ -14,24 +14,26 @@ from fareway.session import scratch_path
 
 
 def write_report(df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite",
-                 partition_by: list[str] | None = None) -> str:
-    """Parquet output. ``files=n`` asks for n files: a ``repartition`` keeps
-    the upstream stages fully parallel (``coalesce`` would shrink them)."""
+                 partition_by: list[str] | None = None, max_records_per_file: int | None = 5_000_000) -> str:
+    """Parquet output.
+
+    By default the file count follows the data: AQE coalesces the last
+    shuffle of a report into few partitions (one file while it is small) and
+    ``max_records_per_file`` caps a file as it grows, without an extra pass
+    to count rows. ``files=n`` asks for exactly n files; a ``repartition``
+    keeps the upstream stages fully parallel (``coalesce`` would shrink them).
+    """
     if files:
         df = df.repartition(files)
     w = df.write.mode(mode)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
 
 
-def files_for(df: DataFrame, rows_per_file: int = 5_000_000) -> int:
-    """File count for a report: one file per ``rows_per_file`` rows (at
-    least one), so 'one file' stays one file only while the data is small."""
-    return max(1, -(-df.count() // rows_per_file))
-
-
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """JSON-lines records (one object per line)."""
     df.write.mode(mode).json(path)
