@@ -36,17 +36,24 @@ def _null_safe_eq(a: DataFrame, b: DataFrame, cols: list[str]):
 
 
 def session_counts(events: DataFrame, ts: str, gap_seconds: int, session_keys: list[str] | None = None,
-                   count_keys: list[str] | None = None, slices: int | None = None) -> DataFrame:
+                   count_keys: list[str] | None = None, slices: int | None = None,
+                   rows_per_slice: int = 2_000_000) -> DataFrame:
+    """Sessions per ``session_keys`` (all events together when empty) with
+    trip counts per ``count_keys``. ``slices`` defaults to enough slices for
+    ``rows_per_slice`` distinct (key, time) pairs each, at least the shuffle
+    partition count."""
     sk = list(session_keys or [])
     ck = [c for c in (count_keys or []) if c not in sk]
     spark = events.sparkSession
     checkpoint_dir(spark)  # the shared folder the checkpoint below writes to
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     gap_us = gap_seconds * 1_000_000
 
     base = events.select(*sk, *ck, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us")).where(
         F.col("_us").isNotNull())
-    times = base.select(*sk, "_us").distinct()
+    times = base.select(*sk, "_us").distinct().checkpoint(eager=True)
+    if not slices:
+        n = times.count()  # cheap: reads the checkpointed pairs
+        slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // rows_per_slice), 1)
     ranged = times.repartitionByRange(slices, *sk, "_us").withColumn("pid", F.spark_partition_id())
     # Reliable checkpoint in the shared checkpoint folder: pins the slice ids
     # and cuts lineage so both uses below read the same slices.
