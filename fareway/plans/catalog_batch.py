@@ -471,11 +471,25 @@ def dim_zones_q(spark, sf):
     return S.dim_zones(fx.zones(spark, sf))
 
 
-@query("profile", """SELECT count(*) AS row_count, count(*) - count(VendorID) AS null_VendorID,
+# The table DDL a preview of the yellow file prints (written out by hand).
+_YELLOW_DDL = ("CREATE TABLE yellow_tripdata (`VendorID` int, `tpep_pickup_datetime` timestamp_ntz, "
+               "`tpep_dropoff_datetime` timestamp_ntz, `passenger_count` bigint, `trip_distance` double, "
+               "`RatecodeID` int, `store_and_fwd_flag` string, `PULocationID` int, `DOLocationID` int, "
+               "`payment_type` int, `fare_amount` decimal(18,2), `extra` decimal(18,2), `mta_tax` decimal(18,2), "
+               "`tip_amount` decimal(18,2), `tolls_amount` decimal(18,2), `improvement_surcharge` decimal(18,2), "
+               "`total_amount` decimal(18,2), `congestion_surcharge` decimal(18,2), `filename` string)")
+
+
+@query("profile", f"""SELECT count(*) AS row_count, 19 AS column_count, count(*) - count(VendorID) AS null_VendorID,
 count(*) - count(payment_type) AS null_payment_type, count(DISTINCT PULocationID) AS distinct_PULocationID,
-min(tpep_pickup_datetime) AS min_pickup, max(tpep_pickup_datetime) AS max_pickup FROM yellow_tripdata""")
+min(tpep_pickup_datetime) AS min_pickup, max(tpep_pickup_datetime) AS max_pickup,
+'{_YELLOW_DDL}' AS ddl FROM yellow_tripdata""")
 def profile(spark, sf):
-    from fareway.operators.quality import profile as prof
+    """Preview of a frame: shape, null and distinct counts, time span (one
+    aggregate pass) and the table DDL of its schema."""
+    from fareway.operators.quality import profile as prof, schema_ddl
 
-    return prof(fx.raw_trips(spark, sf, "yellow"), nulls=["VendorID", "payment_type"],
-                distinct=["PULocationID"], span="tpep_pickup_datetime")
+    y = fx.raw_trips(spark, sf, "yellow")
+    out = prof(y, nulls=["VendorID", "payment_type"], distinct=["PULocationID"], span="tpep_pickup_datetime")
+    return out.withColumns({"column_count": F.lit(len(y.columns)),
+                            "ddl": F.lit(schema_ddl(y, "yellow_tripdata"))})
