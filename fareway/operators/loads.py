@@ -72,7 +72,9 @@ def upsert_rows(target: DataFrame, source: DataFrame, key: str | list[str],
         if dup:
             raise ValueError(f"source has several rows for one {k}; pass dedupe=")
     kept = target.join(source.select(*k).distinct(), on=k, how="left_anti")
-    return kept.unionByName(source.select(*target.columns), allowMissingColumns=True)
+    # New source columns are appended (old rows NULL): schema change
+    # 'append new columns'.
+    return kept.unionByName(source, allowMissingColumns=True)
 
 
 def delete_insert_rows(target: DataFrame, source: DataFrame, key: str | list[str]) -> DataFrame:
@@ -144,3 +146,12 @@ def materialize(df: DataFrame, strategy: str, table: str, key: str | list[str] |
     else:
         raise ValueError(f"unknown strategy {strategy}; one of {STRATEGIES}")
     return materialize_table(new, table, partition_by=partition_by)
+
+
+def merge_upsert(target_table: str, source: DataFrame, key: str | list[str],
+                 dedupe: list[Column] | None = None) -> DataFrame:
+    """Upsert merge into a table on a unique key (matched rows replaced,
+    others inserted), written to a new location and re-pointed."""
+    spark = source.sparkSession
+    new = upsert_rows(spark.table(target_table), source, key, dedupe)
+    return materialize_table(new, target_table)

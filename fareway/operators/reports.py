@@ -156,3 +156,24 @@ def zone_totals(fct_or_trips: DataFrame, zone_col: str, amount: str = "total_amo
 
 def broadcast_dim(df: DataFrame) -> DataFrame:
     return bounded_broadcast(df)
+
+
+def from_files(df: DataFrame, pattern: str, col: str = "filename") -> DataFrame:
+    """Rows loaded from files matching a SQL LIKE pattern ('_' matches any
+    one character, so '2021_03%' also matches '2021-03')."""
+    return df.where(F.col(col).like(pattern))
+
+
+def zone_ranking(mart: DataFrame, service: str, year: int, k: int = 1) -> DataFrame:
+    """Top pickup zones by total revenue for one service and year, from the
+    monthly mart (ties broken by zone name)."""
+    m = mart.where((F.col("service_type") == service) & (F.year("revenue_month") == year))
+    agg = m.groupBy("pickup_zone").agg(F.sum("revenue_monthly_total_amount").cast("decimal(38,3)").alias("total_revenue"))
+    return top_k(agg, k, F.col("total_revenue").desc(), F.col("pickup_zone").asc())
+
+
+def month_trips(mart: DataFrame, service: str, month_start: str) -> DataFrame:
+    """Total trips of one service in one month, from the monthly mart."""
+    m = mart.where((F.col("service_type") == service)
+                   & (F.col("revenue_month") == F.lit(month_start).cast("timestamp_ntz")))
+    return m.agg(F.sum("total_monthly_trips").cast("bigint").alias("trips"))

@@ -279,6 +279,7 @@ FILENAME_PATTERNS = ["yellow_tripdata_1997%", "green_tripdata_1997%", "yellow_tr
 def count_by_filename(spark, sf):
     both = fx.raw_trips(spark, sf, "yellow").select("filename").unionByName(
         fx.raw_trips(spark, sf, "green").select("filename"))
+    # one scan, one conditional count per pattern (same rows as R.from_files)
     return both.agg(*[F.count_if(F.col("filename").like(p)).alias(f"n{i}") for i, p in enumerate(FILENAME_PATTERNS)])
 
 

@@ -34,7 +34,7 @@ def _messages(spark, sf, form):
     return rides, (SS.to_text_message(rides) if form == "text" else SS.to_epoch_message(rides))
 
 
-def flush_message(spark: SparkSession, form: str) -> DataFrame:
+def flush_event(spark: SparkSession, form: str) -> DataFrame:
     """Sentinel far in the future: advances the watermark past every real
     window; its own window never closes, so it is never emitted."""
     if form == "text":
@@ -62,7 +62,7 @@ def write_message_slices(spark, sf, form: str, first: int = 0, last: int | None
 
 
 def write_flush(spark, root: str, form: str) -> None:
-    flush_message(spark, form).repartition(1).write.json(f"{root}/s9999")
+    flush_event(spark, form).repartition(1).write.json(f"{root}/s9999")
 
 
 def _source(spark, root, form):

@@ -123,3 +123,6 @@ s AS (SELECT ts, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL {gap} MINUTE
 b AS (SELECT sid, min(ts) AS session_start, max(ts) + INTERVAL {gap} MINUTE AS session_end FROM s GROUP BY sid)
 SELECT b.session_start, b.session_end, e.PULocationID, count(*) AS num_trips
 FROM e JOIN s ON e.ts = s.ts JOIN b ON s.sid = b.sid GROUP BY 1, 2, 3"""
+
+
+global_sessions = global_session_counts

@@ -89,3 +89,8 @@ def run_stream(df: DataFrame, sink, checkpoint: str, output_mode: str = "append"
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return w.start()
+
+
+# Names of the survey's signatures.
+upsert_batch = KeyedSink
+write_stream = run_stream
