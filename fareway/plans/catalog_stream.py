@@ -1,8 +1,8 @@
 """Streaming jobs over ride messages derived from ``events``.
 
 The producer side writes the messages as JSON-lines files, one folder per
-week of event time, in event-time order, plus an optional far-future flush
-message. Each query streams those files (one week per micro-batch), runs
+two weeks of event time, in event-time order, plus an optional far-future flush
+message. Each query streams those files (one folder per micro-batch), runs
 the windowed aggregate with a 5 s watermark into an idempotent keyed sink,
 and returns the sink's contents. The oracles are the batch window SQL.
 """
@@ -24,7 +24,7 @@ from fareway.streaming import sources as SS
 from fareway.streaming import windows as WN
 
 FILES_PER_BATCH = 4
-SLICE_SECONDS = 7 * 86400
+SLICE_SECONDS = 14 * 86400
 FLUSH_TS = "2099-01-01 00:00:00"
 DELAY = "5 seconds"
 
@@ -46,7 +46,7 @@ def flush_event(spark: SparkSession, form: str) -> DataFrame:
 
 def write_message_slices(spark, sf, form: str, first: int = 0, last: int | None = None,
                          root: str | None = None) -> tuple[str, int]:
-    """Write weekly slices [first, last) of messages, in time order, each as
+    """Write time slices [first, last) of messages, in time order, each as
     ``FILES_PER_BATCH`` files. Returns (root, number of slices in the data)."""
     rides = fx.rides(spark, sf)
     epoch = F.unix_seconds(F.col("event_ts").cast("timestamp"))
