@@ -193,3 +193,20 @@ def test_pandas_udf_matches_native_expression(spark):
     register(spark)
     df.createOrReplaceTempView("vendors_t")
     assert [r[0] for r in spark.sql("SELECT vendor_code(v) FROM vendors_t").collect()] == b
+
+
+def test_from_files_like_underscore_wildcard(spark):
+    df = spark.createDataFrame([("yellow_tripdata_2021-03.csv",), ("yellow_tripdata_2021_03.csv",),
+                                ("yellow_tripdata_2021-04.csv",)], "filename string")
+    assert R.from_files(df, "yellow_tripdata_2021_03%").count() == 2
+
+
+def test_merge_upsert_table(spark):
+    import uuid
+
+    from fareway.sources.writers import materialize_table
+
+    name = f"up_{uuid.uuid4().hex[:8]}"
+    materialize_table(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), name)
+    L.merge_upsert(name, spark.createDataFrame([("b", 20), ("c", 3)], "k string, v int"), "k")
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == [("a", 1), ("b", 20), ("c", 3)]
