@@ -26,6 +26,7 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     and gives adaptive execution exact sizes for the joins that follow.
     """
     path = scratch_path(spark, name)
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")  # this job's shuffle files go with it
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
