@@ -32,7 +32,7 @@ from itertools import chain
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from fareway.llm.common import small_batches, table
 
@@ -359,9 +359,11 @@ def encode_documents(docs: DataFrame, path: str | None = None, text: str = "text
 
     ``path``: a byte-level BPE file that every executor can open; by default the installed public one.
     """
-    kept = docs.select(*keep)
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    out += ", n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>")
+    fields = [docs.schema[c] for c in keep] + [T.StructField("n_tokens", T.LongType())]
+    if digest:
+        fields += [T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    else:
+        fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path or vocabulary())
@@ -387,7 +389,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, text: str = "text
             else:
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(first, pa.list_(pa.int32()))], [*names, "ids"])
 
-    return docs.select(*keep, docs[text].cast("string").alias("_bpe_text")).mapInArrow(run, out)
+    return docs.select(*keep, docs[text].cast("string").alias("_bpe_text")).mapInArrow(run, T.StructType(fields))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,6 +44,17 @@ def row_key(*cols: str) -> tuple[Column, Column]:
     return F.xxhash64(F.lit(1), *cols), F.xxhash64(F.lit(2), *[F.reverse(F.col(c).cast("string")) for c in cols], *cols)
 
 
+def packed(docs: DataFrame, *cols: str) -> DataFrame:
+    """``cols`` beside the whole row in ``_doc``, so that no other column of ``docs`` can clash with a working column."""
+    return docs.select(F.struct("*").alias("_doc"), *cols)
+
+
+def unpacked(df: DataFrame, **new: Column) -> DataFrame:
+    """The rows kept in ``_doc``, with ``new`` values for columns that they have."""
+    names = df.schema["_doc"].dataType.names
+    return df.select(*[new.get(c, F.col("_doc")[c]).alias(c) for c in names])
+
+
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Arrow batches of few rows: one row may be a very long text."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

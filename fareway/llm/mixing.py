@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from fareway.llm.common import WORD, count_words, row_key, table, text_or_empty
+from fareway.llm.common import WORD, count_words, packed, row_key, table, text_or_empty, unpacked
 
 WEIGHTS, SHARE, MAX_REPEAT = (5, 2, 1), 1.5, 2
 
@@ -120,9 +120,9 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The one copy per source that the budget cuts keeps its first ``taken`` words, joined by spaces.
     """
-    cols = docs.columns
-    queued = queue(docs, count_words(text_or_empty()))
+    queued = queue(packed(docs, "doc_id", "source", "text"), count_words(text_or_empty()))
     out = mix(queued)
     head = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("taken").cast("int")), " ")
-    out = out.withColumn("text", F.when(F.col("taken") < F.col("size"), head).otherwise(F.col("text")))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*cols)
+    cut = F.col("taken") < F.col("size")
+    return unpacked(out, text=F.when(cut, head).otherwise(F.col("text")),
+                    n_chars=F.when(cut, F.length(head)).otherwise(F.col("_doc.n_chars")).cast("long"))

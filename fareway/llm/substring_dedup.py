@@ -27,8 +27,8 @@ shard with many segments is dealt to several tasks, each with the automaton.
 
 Defined results: null and empty texts and texts below ``WINDOW`` words lose
 nothing. Two rows equal in id and text are two places, so both lose all
-words if they have 35 or more. Empty tables give empty results. Extra columns pass through
-``dedup``; names starting with ``_s_`` are reserved.
+words if they have 35 or more. Empty tables give empty results. Extra columns of
+any name pass through the stage.
 """
 
 from __future__ import annotations
@@ -39,9 +39,11 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from fareway.llm.common import materialize, row_key, small_batches, table, text_or_empty, word_spans, words_of
+from fareway.llm.common import (
+    materialize, packed, row_key, small_batches, table, text_or_empty, unpacked, word_spans, words_of,
+)
 from fareway.llm.hashing import phrases, signed, text_key, word_hashes
 
 WINDOW, PHRASE, BLOCK = 35, 8, 7
@@ -205,7 +207,7 @@ def _finish(digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             new, n, removed = [], [], []
-            for text, marked in zip(b["_s_text"].to_pylist(), b["_s_marked"].to_pylist(), strict=True):
+            for text, marked in zip(b["text"].to_pylist(), b["marked"].to_pylist(), strict=True):
                 if marked:
                     rest, kept, total, gone = cut(text, [(m["lo"], m["hi"]) for m in marked])
                 elif digest:
@@ -216,9 +218,8 @@ def _finish(digest: bool):
                 new.append(hashlib.sha256(kept.encode()).hexdigest() if digest else rest)
                 n.append(total)
                 removed.append(gone)
-            names = [c for c in b.schema.names if c not in ("_s_text", "_s_marked")]
-            yield pa.RecordBatch.from_arrays([b[c] for c in names] + [pa.array(new, pa.string()), pa.array(n, pa.int64()), pa.array(
-                removed, pa.int64())], [*names, "_s_new", "_s_n", "_s_removed"])
+            yield pa.RecordBatch.from_arrays([b[0], pa.array(new, pa.string()), pa.array(n, pa.int64()), pa.array(
+                removed, pa.int64())], [b.schema.names[0], "new", "n_words", "n_removed"])
 
     return run
 
@@ -259,37 +260,33 @@ def repeated_places(spark: SparkSession, docs: DataFrame, shard_windows: int = 5
     marks = materialize(spark, dealt.mapInArrow(_locate, "s1 long, s2 long, lo int, hi int"), "sub-marks")
     hits = seg.select("s1", "s2", "r1", "r2", "start").join(marks, ["s1", "s2"]).select(
         "r1", "r2", F.struct((F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi")).alias("m"))
-    marked = hits.groupBy("r1", "r2").agg(F.sort_array(F.collect_set("m")).alias("_s_marked"))
+    marked = hits.groupBy("r1", "r2").agg(F.sort_array(F.collect_set("m")).alias("marked"))
     return held, marked
 
 
-def dedup(spark: SparkSession, docs: DataFrame, digest: bool = False) -> DataFrame:
-    """``docs`` plus ``_s_new`` (the rest of the text, or with ``digest`` its hash), ``_s_n``, ``_s_removed``."""
+def dedup(spark: SparkSession, docs: DataFrame, keep: str, digest: bool = False) -> DataFrame:
+    """Column ``keep`` of ``docs`` (with ``doc_id`` and ``text``), ``new`` (the rest of the text, or with ``digest``
+    the hash of its words), ``n_words`` and ``n_removed``."""
     small_batches(spark, 400)
-    cols = docs.columns
     r1, r2 = row_key("doc_id", "text")
-    held, marked = repeated_places(spark, docs.withColumn("text", text_or_empty()).withColumns({"r1": r1, "r2": r2}))
-    hit = F.col("runs").isNotNull()
-    none = F.lit(None).cast("array<struct<lo:int,hi:int>>")
-    rest = held.filter(~hit).withColumn("_s_marked", none)
-    lost = held.filter(hit).join(marked, ["r1", "r2"], "left")
-    keep = [c for c in cols if not digest or c != "text"]
-    both = [d.select(*keep, F.col("text").alias("_s_text"), "_s_marked") for d in (rest, lost)]
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in both[0].select(*keep).schema)
-    out += ", _s_new string, _s_n long, _s_removed long"
-    return both[0].union(both[1]).mapInArrow(_finish(digest), out)
+    docs = docs.withColumn("text", text_or_empty()).withColumns({"r1": r1, "r2": r2})
+    held, marked = repeated_places(spark, docs)
+    rest = held.filter("runs is null").withColumn("marked", F.lit(None).cast("array<struct<lo:int,hi:int>>"))
+    lost = held.filter("runs is not null").join(marked, ["r1", "r2"], "left")
+    both = rest.select(keep, "text", "marked").union(lost.select(keep, "text", "marked"))
+    schema = T.StructType([docs.schema[keep], T.StructField("new", T.StringType()), T.StructField("n_words", T.LongType()),
+                           T.StructField("n_removed", T.LongType())])
+    return both.mapInArrow(_finish(digest), schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup(spark, docs, digest=True).select(
-        "doc_id", F.col("_s_n").alias("n_words"), F.col("_s_removed").alias("n_removed"), F.col("_s_new").alias("kept_sha256"))
+    return dedup(spark, docs, "doc_id", digest=True).withColumnRenamed("new", "kept_sha256")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline form: texts without their repeated words. Every document stays, even with an empty text."""
-    cols = docs.columns
-    out = dedup(spark, docs)
-    changed = F.col("_s_removed") > 0
-    return (out.withColumn("text", F.when(changed, F.col("_s_new")).otherwise(F.col("text")))
-            .withColumn("n_chars", F.when(changed, F.length("_s_new")).otherwise(F.col("n_chars")).cast("long")).select(*cols))
+    out = dedup(spark, packed(docs, "doc_id", "text"), "_doc")
+    changed = F.col("n_removed") > 0
+    return unpacked(out, text=F.when(changed, F.col("new")).otherwise(F.col("_doc.text")),
+                    n_chars=F.when(changed, F.length("new")).otherwise(F.col("_doc.n_chars")).cast("long"))

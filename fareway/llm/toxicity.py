@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fareway.llm.common import materialize, small_batches, table, text_or_empty
+from fareway.llm.common import materialize, packed, small_batches, table, text_or_empty, unpacked
 
 # Letters that look like Latin ones, and characters used in place of letters.
 HOMOGLYPHS = dict(zip("авекмнорстухіјѕԁһԛԝγαοερτυικν", "abekmhopctyxijsdhqwyaoeptuikv", strict=True))
@@ -251,8 +251,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline form: documents with a score of 0.7 or more go."""
-    cols = docs.columns
     model = fitted(spark, docs, sf_dir)
-    scored = score(docs.withColumnRenamed("score", "_score") if "score" in cols else docs, model)
-    scored = scored.filter(F.col("score") < 0.7).drop("score")
-    return (scored.withColumnRenamed("_score", "score") if "score" in cols else scored).select(*cols)
+    return unpacked(score(packed(docs, "text"), model).filter(F.col("score") < 0.7))
