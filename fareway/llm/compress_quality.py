@@ -12,8 +12,7 @@ turns it into the probability of label 1.
 Bounds: ``sample`` rows per class; ``dict_bytes`` per dictionary.
 
 Defined results: a null or empty text has evidence 0 in all views. Without
-usable labels of both classes the score is the share of good labels (0.5
-without labels). Equal rows score alike; extra columns are kept.
+usable labels of both classes every score is 0.5. Equal rows score alike; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -103,8 +102,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, trained: Colu
     counts = rows.groupBy("label").agg(F.count("*").alias("n")).collect()
     n = {r["label"]: r["n"] for r in counts}
     if len(n) < 2 or min(n.values()) < 2:
-        share = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1)
-        return Model([], [math.log(share / (1 - share))])
+        return Model([], [0.0])
     half = F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(2)) == 0
     # What reaches the driver is bounded: at most six passages of a chunk's size from each text of the half sample.
     places = F.transform(F.sequence(F.lit(0), F.least(F.lit(5), F.floor(F.length("text") / CHUNK).cast("int"))),
@@ -112,7 +110,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, trained: Colu
     got = rows.filter(half).select("label", F.xxhash64("text").alias("o"), places.alias("parts")).orderBy("o").collect()
     texts = {y: [p.encode() for r in got if r["label"] == y for p in r["parts"] if p] for y in (0, 1)}
     if not texts[0] or not texts[1]:
-        return Model([], [math.log((n[1] + 0.5) / (n[0] + 0.5))])
+        return Model([], [0.0])
     model = Model([tuple(build_dictionary([view(t) for t in texts[y]], dict_bytes) for y in (1, 0)) for view in VIEWS], [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +120,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, trained: Colu
 
     got = rows.filter(~half).select("text", "label").mapInArrow(run, "x array<double>, label int").orderBy("x", "label").collect()
     if len({r["label"] for r in got}) < 2:
-        return Model([], [math.log((n[1] + 0.5) / (n[0] + 0.5))])
+        return Model([], [0.0])
     # Rows are drawn per class, so the score is the probability at equal shares of both labels.
     x, y = np.array([r["x"] for r in got]), np.array([r["label"] for r in got], dtype=float)
     model.curve = fit_logistic(x, y, ridge=0.1).tolist()

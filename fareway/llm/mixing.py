@@ -90,7 +90,7 @@ def mix(queued: DataFrame, max_repeat: int = MAX_REPEAT, ordered: bool = True) -
     """One row per taken copy (``copy``, ``taken``, ``finish``), in the order the scheduler serves them."""
     copies = F.array(*[F.struct(
         F.lit(c).alias("copy"), _taken(c).alias("taken"),
-        ((F.col("_m_start") + c * F.col("source_size") + F.col("size")) / F.col("target")).alias("finish"))
+        F.try_divide(F.col("_m_start") + c * F.col("source_size") + F.col("size"), F.col("target")).alias("finish"))
         for c in range(max_repeat)])
     out = queued.withColumn("_m_copy", F.explode(F.filter(copies, lambda x: x["taken"] > 0)))
     out = out.select("*", "_m_copy.*").drop("_m_copy")

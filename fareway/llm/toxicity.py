@@ -17,8 +17,8 @@ by its length, goes through a logistic curve fitted on the same sample.
 Bounds: at most ``sample`` training rows per class, ``max_terms`` terms.
 
 Defined results: a null or empty text has no hits and gets the lowest score.
-Without usable labels of both classes the lexicon is empty and every score is
-the share of toxic labels (0 without labels). Equal rows score alike; extra
+Without usable labels of both classes, or with no term that stands out, the
+lexicon is empty and every score is low: nothing is rejected. Equal rows score alike; extra
 columns of the input are kept; doubled label rows count as toxic if any is.
 """
 
@@ -203,11 +203,9 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, trained: Colu
     """Lexicon and curve from ``labels.toxic`` of the rows for which ``trained`` holds."""
     rows = materialize(spark, sample_rows(training_rows(docs, labels, "toxic", trained), sample), "toxic-sample")
     per_class = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    n = sum(per_class.values())
-    if len(per_class) < 2:
-        share = per_class.get(1, 0) / max(1, n)
-        return Model({}, [math.log((share + 1e-6) / (1 - share + 1e-6)), 0.0, 0.0])
-    lexicon = learn_lexicon(rows)
+    lexicon = learn_lexicon(rows) if len(per_class) == 2 else {}
+    if not lexicon:
+        return Model({}, [-6.0, 0.0, 0.0])
     model = Model(lexicon, [0.0, 0.0, 0.0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
