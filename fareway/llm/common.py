@@ -27,8 +27,17 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(spark, name)
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")  # this job's shuffle files go with it
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that no later plan reads."""
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(text: str = "text") -> Column:
@@ -40,8 +49,8 @@ def count_words(text: Column) -> Column:
 
 
 def row_key(*cols: str) -> tuple[Column, Column]:
-    """128 hash bits of the given columns, as two longs."""
-    return F.xxhash64(F.lit(1), *cols), F.xxhash64(F.lit(2), *[F.reverse(F.col(c).cast("string")) for c in cols], *cols)
+    """128 hash bits of the given columns, as two longs: the leading constant seeds the hash of what follows."""
+    return F.xxhash64(F.lit(1), *cols), F.xxhash64(F.lit(2), *cols)
 
 
 def packed(docs: DataFrame, *cols: str) -> DataFrame:

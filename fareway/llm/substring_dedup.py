@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fareway.llm.common import (
-    materialize, packed, row_key, small_batches, table, text_or_empty, unpacked, word_spans, words_of,
+    discard, materialize, packed, row_key, small_batches, table, text_or_empty, unpacked, word_spans, words_of,
 )
 from fareway.llm.hashing import phrases, signed, text_key, word_hashes
 
@@ -234,6 +234,7 @@ def repeated_places(spark: SparkSession, docs: DataFrame, shard_windows: int = 5
     # Rows equal in id and text share a key, so their runs come several times.
     runs = runs.withColumn("runs", F.array_distinct("runs"))
     held = materialize(spark, docs.join(runs, ["r1", "r2"], "left"), "sub-docs")
+    discard(spark, a, recurring)
     seg = materialize(spark, held.filter("runs is not null").select("r1", "r2", "text", "runs").mapInArrow(
         _emit_segments, "r1 long, r2 long, start int, a long, s1 long, s2 long, words string"), "sub-segments")
     distinct = materialize(spark, seg.groupBy("s1", "s2", "a").agg(F.count("*").alias("copies"), F.first("words").alias(
@@ -247,9 +248,9 @@ def repeated_places(spark: SparkSession, docs: DataFrame, shard_windows: int = 5
     shard = F.pmod(F.xxhash64("a"), F.lit(shards)).alias("shard")
     places = confirmed.groupBy("s1", "s2").agg(F.sort_array(F.collect_list("pos")).alias("places"))
     texts = distinct.select("s1", "s2", "words", shard)
-    size = texts.groupBy("shard").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(max(500, shard_windows // 50)))).cast(
-        "int").alias("salts"))
-    size = materialize(spark, size, "sub-shards")
+    # A shard with over twice the mean number of segments is dealt to several tasks, each with its automaton.
+    mean = max(1000, 2 * distinct.count() // shards)
+    size = materialize(spark, texts.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(mean)).cast("int").alias("salts")), "sub-shards")
     patterns = texts.join(places, ["s1", "s2"]).join(size, "shard").select(
         "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), "s1", "s2", "words",
         "places")
@@ -258,6 +259,7 @@ def repeated_places(spark: SparkSession, docs: DataFrame, shard_windows: int = 5
         "words", F.lit(None).cast("array<int>").alias("places"))
     dealt = patterns.union(stream).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
     marks = materialize(spark, dealt.mapInArrow(_locate, "s1 long, s2 long, lo int, hi int"), "sub-marks")
+    discard(spark, distinct, confirmed, size)
     hits = seg.select("s1", "s2", "r1", "r2", "start").join(marks, ["s1", "s2"]).select(
         "r1", "r2", F.struct((F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi")).alias("m"))
     marked = hits.groupBy("r1", "r2").agg(F.sort_array(F.collect_set("m")).alias("marked"))
