@@ -114,7 +114,7 @@ def _search_blocks(k: int):
     return run
 
 
-def search(spark: SparkSession, vectors: DataFrame, is_query, k: int = 5, block_rows: int = 20_000) -> DataFrame:
+def search(spark: SparkSession, vectors: DataFrame, is_query, k: int = 5, block_rows: int = 5_000) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` for quantized ``vectors``; ``is_query``: a condition on vec_id."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     vectors = materialize(spark, vectors.withColumn("dim", F.size("v")).withColumn("h", F.xxhash64("v")), "topk")
