@@ -102,11 +102,10 @@ def month_sequence(start: ColumnOrName, end: ColumnOrName) -> Column:
 
 
 def _hash_text(c: Column, dtype: str) -> Column:
-    """Engine-neutral text of a value, so hashes match other SQL engines."""
+    """Text of a value with all its digits: microseconds without trailing
+    zeros, the shortest exact text of a double."""
     if dtype.startswith("timestamp"):
-        return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-    if dtype in ("double", "float"):
-        return c.cast("decimal(38,6)").cast("string")
+        return c.cast("timestamp_ntz").cast("string")
     return c.cast("string")
 
 

@@ -1,8 +1,7 @@
 """Equi-joins of trips to their dimensions.
 
-Lookups (zones, payment types, vendors) are broadcast only after their row
-count is proven small; otherwise the join falls back to a shuffle join that
-Catalyst/AQE plan as usual.
+No hint and no count: Catalyst broadcasts a lookup below its byte threshold,
+and adaptive execution decides again from the sizes it has seen.
 """
 
 from __future__ import annotations
@@ -10,21 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only if it has at most this many rows.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the frame provably has <= ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()``: it stops as soon as the
-    bound is exceeded, so it stays cheap even on a large input, and a frame
-    over the bound is joined by shuffle instead.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def enrich_payment(trips: DataFrame, lookup: DataFrame, code: str = "payment_type",
                    lookup_code: str = "payment_type", label: str = "description",
                    out_label: str = "payment_type_description", unknown: str = "Unknown") -> DataFrame:
@@ -32,7 +16,7 @@ def enrich_payment(trips: DataFrame, lookup: DataFrame, code: str = "payment_typ
 
     The output code column is the coalesced one.
     """
-    lk = bounded_broadcast(lookup.select(F.col(lookup_code).alias("_pk"), F.col(label).alias("_pl")))
+    lk = lookup.select(F.col(lookup_code).alias("_pk"), F.col(label).alias("_pl"))
     t = trips.withColumn(code, F.coalesce(F.col(code), F.lit(0)))
     return (t.join(lk, t[code] == lk["_pk"], "left")
             .withColumn(out_label, F.coalesce(F.col("_pl"), F.lit(unknown)))
@@ -42,7 +26,7 @@ def enrich_payment(trips: DataFrame, lookup: DataFrame, code: str = "payment_typ
 def enrich_zones(trips: DataFrame, zones: DataFrame, pickup: str = "pickup_location_id",
                  dropoff: str = "dropoff_location_id") -> DataFrame:
     """Role-playing dimension: the zone table joined twice (pickup, dropoff)."""
-    z = bounded_broadcast(zones.select("location_id", "borough", "zone"))
+    z = zones.select("location_id", "borough", "zone")
     pz = z.select(F.col("location_id").alias("_pz_id"), F.col("borough").alias("pickup_borough"),
                   F.col("zone").alias("pickup_zone"))
     dz = z.select(F.col("location_id").alias("_dz_id"), F.col("borough").alias("dropoff_borough"),
@@ -63,5 +47,4 @@ def outer_revenue(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 
 def join_lookup_by_text_id(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str) -> DataFrame:
     """Inner join of an integer key to a text id of a lookup (cast explicit)."""
-    lk = bounded_broadcast(lookup)
-    return df.join(lk, df[key] == lk[lookup_key].try_cast("int"), "inner")
+    return df.join(lookup, df[key] == lookup[lookup_key].try_cast("int"), "inner")

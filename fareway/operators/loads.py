@@ -9,11 +9,14 @@ old version in place.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareway.functions.columns import row_hash
-from fareway.sources.writers import materialize_table
+from fareway.session import scratch_path
+from fareway.sources.writers import materialize_table, partition_columns
 
 
 def add_row_identity(df: DataFrame, cols: list[str], filename: str | Column | None = None,
@@ -50,7 +53,7 @@ def merge_insert_only(target_table: str, source: DataFrame, key: str | list[str]
     spark = source.sparkSession
     target = spark.table(target_table)
     before = target.count()
-    insert_only_rows(target, source, key).select(*target.columns).write.insertInto(target_table)
+    append_rows(target_table, insert_only_rows(target, source, key))
     spark.catalog.refreshTable(target_table)
     return spark.table(target_table).count() - before
 
@@ -114,6 +117,79 @@ def align_schema(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(source, allowMissingColumns=True)
 
 
+def append_rows(table: str, rows: DataFrame) -> None:
+    """Append by name. Columns that the table lacks are added to it first
+    (old rows read NULL); columns that the rows lack are NULL."""
+    spark = rows.sparkSession
+    have = {c.lower() for c in spark.table(table).columns}
+    new = [f for f in rows.schema.fields if f.name.lower() not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+    given = {c.lower() for c in rows.columns}
+    fields = spark.table(table).schema.fields
+    rows.select(*[F.col(f"`{f.name}`") if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name)
+                  for f in fields]).write.insertInto(table)
+
+
+def touched_rows(table: str, source: DataFrame, key: str | list[str] | None = None, time_col: str | None = None,
+                 start: str | None = None, end: str | None = None) -> DataFrame:
+    """The rows of ``table`` in partitions that a load can change: those of
+    the source, those that hold a matched key, and those with a time in the
+    window. An unpartitioned table is one partition."""
+    spark = source.sparkSession
+    target = spark.table(table)
+    parts = partition_columns(spark, table)
+    if not parts:
+        return target
+    found = target.select(*parts).limit(0)
+    if set(parts) <= set(source.columns):
+        found = found.union(source.select(*parts))
+    if key:
+        k = _keys(key)
+        found = found.union(target.join(source.select(*k).distinct(), on=k, how="left_semi").select(*parts))
+    if time_col:
+        t = F.col(time_col)
+        found = found.union(target.where((t >= F.lit(start).cast("timestamp_ntz")) & (t < F.lit(end).cast(
+            "timestamp_ntz"))).select(*parts))
+    same = [target[c].eqNullSafe(F.col(f"_p_{c}")) for c in parts]
+    return target.join(found.distinct().select(*[F.col(c).alias(f"_p_{c}") for c in parts]),
+                       reduce(lambda a, b: a & b, same), "left_semi")
+
+
+def rewrite(table: str, touched: DataFrame, new: DataFrame, source: DataFrame, key=None, time_col=None) -> DataFrame:
+    """Put ``new`` in the place of the ``touched`` rows of ``table``.
+
+    Without partitions, or when columns are added, the table is written anew
+    with its layout. Otherwise ``new`` is written aside (it reads the files
+    that it replaces) and the touched partitions are overwritten from there;
+    partitions that end up empty are dropped.
+    """
+    spark = source.sparkSession
+    parts = partition_columns(spark, table)
+    columns = spark.table(table).columns
+    if not parts or set(new.columns) != set(columns):
+        if parts:
+            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in parts])
+            old = touched.select(*[F.col(c).alias(f"_p_{c}") for c in parts]).distinct()
+            new = spark.table(table).join(old, same, "left_anti").unionByName(new, allowMissingColumns=True)
+        return materialize_table(new, table, partition_by=parts or None)
+    aside = scratch_path(spark, "rewrite")
+    new.select(*columns).write.parquet(aside)
+    ready = spark.read.schema(spark.table(table).schema).parquet(aside)
+    gone = touched.select(*parts).distinct().exceptAll(ready.select(*parts).distinct())
+    for r in gone.collect():  # partition values only
+        spec = ", ".join(f"{c} = " + ("NULL" if r[c] is None else f"'{r[c]}'") for c in parts)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        ready.hint("rebalance", *parts).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 STRATEGIES = ("append", "replace", "view", "time_interval", "delete_insert", "merge", "full_refresh")
 
 
@@ -134,9 +210,11 @@ def materialize(df: DataFrame, strategy: str, table: str, key: str | list[str] |
     if strategy in ("replace", "full_refresh") or full_refresh or not exists:
         return materialize_table(df, table, partition_by=partition_by)
     if strategy == "append":
-        df.select(*spark.table(table).columns).write.insertInto(table)
+        append_rows(table, df)
         return spark.table(table)
-    target = spark.table(table)
+    if strategy != "time_interval":
+        time_col = None
+    target = touched_rows(table, df, key, time_col, start, end)
     if strategy == "time_interval":
         new = time_interval_rows(target, df, time_col, start, end)
     elif strategy == "delete_insert":
@@ -145,13 +223,14 @@ def materialize(df: DataFrame, strategy: str, table: str, key: str | list[str] |
         new = upsert_rows(target, df, key)
     else:
         raise ValueError(f"unknown strategy {strategy}; one of {STRATEGIES}")
-    return materialize_table(new, table, partition_by=partition_by)
+    return rewrite(table, target, new, df, key, time_col)
 
 
 def merge_upsert(target_table: str, source: DataFrame, key: str | list[str],
                  dedupe: list[Column] | None = None) -> DataFrame:
     """Upsert merge into a table on a unique key (matched rows replaced,
-    others inserted), written to a new location and re-pointed."""
+    others inserted). A partitioned table keeps its layout and only the
+    partitions that the source touches are written again."""
     spark = source.sparkSession
-    new = upsert_rows(spark.table(target_table), source, key, dedupe)
-    return materialize_table(new, target_table)
+    target = touched_rows(target_table, source, key)
+    return rewrite(target_table, target, upsert_rows(target, source, key, dedupe), source, key)

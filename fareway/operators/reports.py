@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareway.operators.joins import bounded_broadcast
 
 
 def money_sum(c: str | Column, scale: int = 2) -> Column:
@@ -141,8 +140,9 @@ def rows_at_max(df: DataFrame, col: str, cond: Column | None = None,
     return out.select(*select) if select else out
 
 
-def avg_price(df: DataFrame, key: str = "brand", value: str = "price") -> DataFrame:
-    return df.groupBy(key).agg(F.round(F.avg(value), 2).alias("avg_price"))
+def ordered(df: DataFrame, *cols: str) -> DataFrame:
+    """Globally sorted for a written report: range partitions, each sorted (no single task)."""
+    return df.orderBy(*cols)
 
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
@@ -150,14 +150,6 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def zone_totals(fct_or_trips: DataFrame, zone_col: str, amount: str = "total_amount") -> DataFrame:
-    return fct_or_trips.groupBy(zone_col).agg(money_sum(amount).alias("zone_amount"))
-
-
-def broadcast_dim(df: DataFrame) -> DataFrame:
-    return bounded_broadcast(df)
-
-
 def from_files(df: DataFrame, pattern: str, col: str = "filename") -> DataFrame:
     """Rows loaded from files matching a SQL LIKE pattern ('_' matches any
     one character, so '2021_03%' also matches '2021-03')."""

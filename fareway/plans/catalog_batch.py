@@ -56,6 +56,9 @@ total AS (SELECT coalesce(g.hour, y.hour) AS hour, coalesce(g.zone_id, y.zone_id
   green_amount, green_number_records, yellow_amount, yellow_number_records
   FROM green g FULL OUTER JOIN yellow y ON g.hour = y.hour AND g.zone_id = y.zone_id)""")
 
+# The same report over the whole table, for the sinks.
+HOURLY_ALL = _HOURLY.format(p="green", pre="lpep", since="0001-01-01")
+
 REVENUE_ZONES_SQL = """
 SELECT t.hour, t.green_amount, t.green_number_records, t.yellow_amount, t.yellow_number_records,
        z.Borough, z.Zone, z.service_zone
@@ -96,13 +99,6 @@ def scan_pruned_limit(spark, sf):
                                      "total_amount"], 1000)
 
 
-@query("range_source", "SELECT row_number() OVER () - 1 AS id FROM lineitem")
-def range_source(spark, sf):
-    # Number-range source sized by the data it stands in for.
-    n = spark.read.parquet(f"{sf}/lineitem.parquet").count()
-    return spark.range(n)
-
-
 # ------------------------------------------------------------------ projections / filters
 
 @query("project_filter", """SELECT PULocationID, DOLocationID, total_amount FROM yellow_tripdata
@@ -194,7 +190,7 @@ def rows_at_max(spark, sf):
 
 def _zone_day_totals(spark, sf, how: str) -> DataFrame:
     g = R.on_day(_green(spark, sf), "pickup_datetime", DAY)
-    z = J.bounded_broadcast(fx.zones(spark, sf))
+    z = fx.zones(spark, sf)
     j = g.join(z, g.PULocationID == z.LocationID, how)
     return j.groupBy(F.col("Zone").alias("zone")).agg(
         F.round(F.sum("total_amount").cast("decimal(38,2)"), 2).alias("zone_amount"))
@@ -209,11 +205,11 @@ def biggest_zone(spark, sf):
                    F.col("zone").asc_nulls_first())
 
 
-@query("biggest_zone_inner", f"""WITH zone_totals AS (
-SELECT z.Zone AS zone, round(cast(sum(g.total_amount) AS decimal(38,2)), 2) AS zone_amount
-FROM green_tripdata g JOIN zones z ON g.PULocationID = z.LocationID
-WHERE cast(g.lpep_pickup_datetime AS date) = DATE '{DAY}' GROUP BY 1)
-SELECT * FROM zone_totals ORDER BY zone_amount DESC, zone ASC LIMIT 1""")
+@query("biggest_zone_inner", f"""SELECT zone, zone_amount FROM (
+SELECT z.Zone AS zone, cast(sum(d.amount) AS decimal(38,2)) AS zone_amount FROM zones z, (
+ SELECT PULocationID AS id, sum(total_amount) AS amount FROM green_tripdata
+ WHERE lpep_pickup_datetime >= TIMESTAMP '{DAY}' AND lpep_pickup_datetime < TIMESTAMP '{DAY}' + INTERVAL 1 DAY GROUP BY ALL) d
+WHERE d.id = z.LocationID GROUP BY ALL) QUALIFY row_number() OVER (ORDER BY zone_amount DESC, zone) = 1""")
 def biggest_zone_inner(spark, sf):
     return R.top_k(_zone_day_totals(spark, sf, "inner"), 1, F.col("zone_amount").desc(), F.col("zone").asc())
 
@@ -226,7 +222,7 @@ WHERE pz.Zone = '{PICKUP_ZONE_NAME}' AND g.lpep_pickup_datetime >= TIMESTAMP '{M
 GROUP BY 1, 2 ORDER BY max_tip_amount DESC, dropoff_zone ASC NULLS FIRST LIMIT 1""")
 def largest_tip(spark, sf):
     g = R.in_window(_green(spark, sf), "pickup_datetime", MONTH, MONTH_END)
-    z = J.bounded_broadcast(fx.zones(spark, sf))
+    z = fx.zones(spark, sf)
     pz = z.select(F.col("LocationID").alias("pu_id"), F.col("Zone").alias("pickup_zone"))
     dz = z.select(F.col("LocationID").alias("do_id"), F.col("Zone").alias("dropoff_zone"))
     j = (g.join(pz, g.PULocationID == pz.pu_id, "left").join(dz, g.DOLocationID == dz.do_id, "left")
@@ -241,7 +237,7 @@ WHERE date_trunc('month', y.tpep_pickup_datetime) = TIMESTAMP '{MONTH}'
 GROUP BY 1 ORDER BY trips ASC, zone ASC NULLS FIRST LIMIT 10""")
 def least_frequent_zone(spark, sf):
     y = R.in_month(_yellow(spark, sf), "pickup_datetime", MONTH)
-    z = J.bounded_broadcast(src.read_lookup_frame(fx.zones(spark, sf, id_as_string=True)))
+    z = src.read_lookup_frame(fx.zones(spark, sf, id_as_string=True))
     j = y.join(z, y.PULocationID == z.LocationID.try_cast("int"), "left")
     agg = j.groupBy(F.col("Zone").alias("zone")).agg(F.count(F.lit(1)).alias("trips"))
     return R.top_k(agg, 10, F.col("trips").asc(), F.col("zone").asc_nulls_first())
@@ -349,10 +345,10 @@ def fn_month_sequence(spark, sf):
     return o.select("o_orderkey", X.month_sequence("o_orderdate", F.date_add("o_orderdate", 75)).alias("months"))
 
 
-_HASH7 = ("md5(coalesce(cast(VendorID AS varchar), '') || coalesce(strftime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S'), '')"
-          " || coalesce(strftime(tpep_dropoff_datetime, '%Y-%m-%d %H:%M:%S'), '') || coalesce(cast(PULocationID AS varchar), '')"
+_HASH7 = ("md5(coalesce(cast(VendorID AS varchar), '') || coalesce(cast(tpep_pickup_datetime AS varchar), '')"
+          " || coalesce(cast(tpep_dropoff_datetime AS varchar), '') || coalesce(cast(PULocationID AS varchar), '')"
           " || coalesce(cast(DOLocationID AS varchar), '') || coalesce(cast(fare_amount AS varchar), '')"
-          " || coalesce(cast(cast(trip_distance AS decimal(38,6)) AS varchar), ''))")
+          " || coalesce(cast(trip_distance AS varchar), ''))")
 HASH7_COLUMNS = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID",
                  "fare_amount", "trip_distance"]
 
@@ -365,7 +361,7 @@ def row_identity(spark, sf):
 
 
 @query("row_identity_bytes", """SELECT unhex(md5(coalesce(cast(VendorID AS varchar), '')
-|| coalesce(strftime(lpep_pickup_datetime, '%Y-%m-%d %H:%M:%S'), '') || coalesce(strftime(lpep_dropoff_datetime, '%Y-%m-%d %H:%M:%S'), '')
+|| coalesce(cast(lpep_pickup_datetime AS varchar), '') || coalesce(cast(lpep_dropoff_datetime AS varchar), '')
 || coalesce(cast(PULocationID AS varchar), '') || coalesce(cast(DOLocationID AS varchar), ''))) AS unique_row_id,
 filename, VendorID FROM green_tripdata""")
 def row_identity_bytes(spark, sf):
@@ -494,3 +490,19 @@ def profile(spark, sf):
     out = prof(y, nulls=["VendorID", "payment_type"], distinct=["PULocationID"], span="tpep_pickup_datetime")
     return out.withColumns({"column_count": F.lit(len(y.columns)),
                             "ddl": F.lit(schema_ddl(y, "yellow_tripdata"))})
+
+
+# ------------------------------------------------------------------ A4 with the optional fee columns
+
+@query("revenue_monthly_fees", """SELECT PULocationID AS pickup_zone, date_trunc('month', tpep_pickup_datetime) AS revenue_month,
+cast(sum(CASE WHEN PULocationID % 5 = 0 THEN 1.75 ELSE 0 END) AS decimal(38,2)) AS revenue_monthly_Airport_fee,
+cast(sum(CASE WHEN DOLocationID % 2 = 0 THEN 0.75 END) AS decimal(38,2)) AS revenue_monthly_cbd_congestion_fee,
+cast(sum(total_amount) AS decimal(38,2)) AS revenue_monthly_total_amount FROM yellow_tripdata GROUP BY 1, 2""")
+def revenue_monthly_fees(spark, sf):
+    """Monthly revenue of trips that carry the airport and congestion-zone fees."""
+    y = _yellow(spark, sf).withColumns({
+        "Airport_fee": F.when(F.col("PULocationID") % 5 == 0, F.lit("1.75")).otherwise(F.lit("0")).cast("decimal(18,2)"),
+        "cbd_congestion_fee": F.when(F.col("DOLocationID") % 2 == 0, F.lit("0.75")).cast("decimal(18,2)"),
+        "service_type": F.lit("Yellow")})
+    return R.revenue_monthly(y).select("pickup_zone", "revenue_month", "revenue_monthly_Airport_fee",
+                                       "revenue_monthly_cbd_congestion_fee", "revenue_monthly_total_amount")

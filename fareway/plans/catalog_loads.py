@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +18,7 @@ from fareway.operators import loads as L
 from fareway.operators import reports as R
 from fareway.operators import staging as S
 from fareway.plans import fixtures as fx
-from fareway.plans.catalog_batch import HASH7_COLUMNS, HOURLY_CTES, _HASH7, SINCE
+from fareway.plans.catalog_batch import HASH7_COLUMNS, HOURLY_ALL, _HASH7
 from fareway.plans.catalog_models import STG_YELLOW
 from fareway.plans.registry import query
 from fareway.session import scratch_path
@@ -32,7 +33,7 @@ def _name(prefix: str) -> str:
 
 
 def _hourly_green(spark, sf):
-    return R.revenue_hourly(S.normalize_trip_names(fx.raw_trips(spark, sf, "green")), "green", SINCE)
+    return R.revenue_hourly(S.normalize_trip_names(fx.raw_trips(spark, sf, "green")), "green")
 
 
 def _stg_yellow(spark, sf):
@@ -68,7 +69,7 @@ def _yellow_csv(spark, sf) -> str:
     y = fx.raw_trips(spark, sf, "yellow").drop("filename")
     path = scratch_path(spark, "yellow-csv-gz")
     (y.write.option("header", True).option("compression", "gzip")
-     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
     return path
 
 
@@ -147,7 +148,7 @@ def ingest_months(spark, sf):
 
 # ------------------------------------------------------------------ file sinks
 
-@query("write_parquet", "SELECT * FROM green", HOURLY_CTES)
+@query("write_parquet", "SELECT * FROM green", HOURLY_ALL)
 def write_parquet(spark, sf):
     # one file while the report is small (AQE coalescing), more as it grows
     path = W.write_report(_hourly_green(spark, sf), scratch_path(spark, "report"))
@@ -162,7 +163,7 @@ def write_repartitioned(spark, sf):
                     F.count_distinct(F.col("_metadata.file_path")).cast("int").alias("files"))
 
 
-@query("write_json", "SELECT * FROM green", HOURLY_CTES)
+@query("write_json", "SELECT * FROM green", HOURLY_ALL)
 def write_json(spark, sf):
     df = _hourly_green(spark, sf)
     path = W.write_json(df, scratch_path(spark, "json"))
@@ -190,49 +191,15 @@ def publish_json(spark, sf):
                     F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total_amount"))
 
 
-# ------------------------------------------------------------------ JDBC (in-process Derby, memory only)
-
-DERBY_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
-
-
-def _derby_url() -> str:
-    # An in-memory database of this JVM: no server, no port (local mode only).
-    return f"jdbc:derby:memory:{_name('fw')};create=true"
-
-
-def _jdbc_frame(spark, sf):
-    return _hourly_green(spark, sf).withColumn("green_amount", F.col("green_amount").cast("decimal(31,2)"))
-
-
-JDBC_SQL = ("SELECT hour, zone_id, cast(green_amount AS decimal(31,2)) AS green_amount, green_number_records "
-            "FROM green")
-
-
-@query("write_jdbc_append", JDBC_SQL, HOURLY_CTES)
-def write_jdbc_append(spark, sf):
-    url, props = _derby_url(), {"driver": DERBY_DRIVER}
-    W.load_jdbc_chunked(_jdbc_frame(spark, sf), url, "GREEN_REVENUE", batchsize=1000, properties=props)
-    return W.read_jdbc(spark, url, "GREEN_REVENUE", props).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
-
-
-@query("write_jdbc_replace", JDBC_SQL, HOURLY_CTES)
-def write_jdbc_replace(spark, sf):
-    url, props = _derby_url(), {"driver": DERBY_DRIVER}
-    df = _jdbc_frame(spark, sf)
-    W.write_jdbc(df.limit(10), url, "GREEN_REVENUE", mode="overwrite", properties=props)
-    W.write_jdbc(df, url, "GREEN_REVENUE", mode="overwrite", properties=props)  # replaces the first load
-    return W.read_jdbc(spark, url, "GREEN_REVENUE", props).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
-
-
 # ------------------------------------------------------------------ tables
 
-@query("write_table", "SELECT * FROM green", HOURLY_CTES)
+@query("write_table", "SELECT * FROM green", HOURLY_ALL)
 def write_table(spark, sf):
     return W.write_table(_hourly_green(spark, sf), f"reports.{_name('green_hourly')}", fmt="bigquery",
-                         options={"writeMethod": "direct"})
+                         options={"writeMethod": "direct"}, fallback=True)
 
 
-@query("ensure_table", "SELECT * FROM green", HOURLY_CTES)
+@query("ensure_table", "SELECT * FROM green", HOURLY_ALL)
 def ensure_table(spark, sf):
     df = _hourly_green(spark, sf)
     name = _name("green_hourly")
@@ -263,7 +230,7 @@ def layout_partition_cluster(spark, sf):
             .where(F.col("dropoff_date").between(lo, hi)).select("vendor_id").distinct())
 
 
-@query("truncate_load", "SELECT * FROM green", HOURLY_CTES)
+@query("truncate_load", "SELECT * FROM green", HOURLY_ALL)
 def truncate_load(spark, sf):
     df = _hourly_green(spark, sf)
     name = _name("staging")
@@ -303,7 +270,7 @@ _STG_TRIPS = "stg_yellow"
 (SELECT rid FROM yk WHERE pickup_datetime >= TIMESTAMP '1997-07-01')
 UNION ALL SELECT * REPLACE (cast(total_amount + 1 AS decimal(18,3)) AS total_amount) FROM yk WHERE pickup_datetime >= TIMESTAMP '1997-07-01'""",
        STG_YELLOW + """, yk AS (SELECT * EXCLUDE (rn) FROM (SELECT md5(concat_ws('-', cast(vendor_id AS varchar),
-strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), cast(pickup_location_id AS varchar))) AS rid, *,
+cast(pickup_datetime AS varchar), cast(pickup_location_id AS varchar))) AS rid, *,
 row_number() OVER (PARTITION BY vendor_id, pickup_datetime, pickup_location_id ORDER BY dropoff_datetime,
 dropoff_location_id, total_amount, trip_distance, passenger_count, rate_code_id, payment_type, fare_amount,
 tip_amount, tolls_amount, store_and_fwd_flag) AS rn FROM stg_yellow) WHERE rn = 1)""")
@@ -347,7 +314,7 @@ def schema_append_columns(spark, sf):
     return L.align_schema(old, new)
 
 
-@query("strategy_append", "SELECT * FROM green UNION ALL SELECT * FROM green", HOURLY_CTES)
+@query("strategy_append", "SELECT * FROM green UNION ALL SELECT * FROM green", HOURLY_ALL)
 def strategy_append(spark, sf):
     df = _hourly_green(spark, sf)
     name = _name("append")
@@ -356,7 +323,7 @@ def strategy_append(spark, sf):
 
 
 @query("strategy_view", "SELECT zone_id, cast(sum(green_amount) AS decimal(38,2)) AS amount FROM green GROUP BY 1",
-       HOURLY_CTES)
+       HOURLY_ALL)
 def strategy_view(spark, sf):
     name = _name("v_green_hourly")
     L.materialize(_hourly_green(spark, sf), "view", name)
@@ -419,7 +386,7 @@ def load_month(spark, sf):
                        ("yellow_tripdata_b.csv", F.col("tpep_pickup_datetime") >= cut)):
         path = scratch_path(spark, "download")
         y.where(cond).write.option("header", True).option("compression", "gzip").option(
-            "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+            "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
         files[name] = path
     full = T.StructType(STAGING_EXTRA + list(schema.fields))
     staging, target = _name("yellow_staging"), _name("yellow_tripdata")
@@ -442,3 +409,39 @@ def row_counts(spark, sf):
         c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+# ------------------------------------------------------------------ O1 sorted report, green month load
+
+@query("report_sorted", """SELECT *, row_number() OVER (ORDER BY hour, zone_id) AS position FROM green""", HOURLY_ALL)
+def report_sorted(spark, sf):
+    """The written report is in order: each row's place in the files, in the
+    order of their names, is its rank by hour and zone."""
+    path = W.write_report(R.ordered(_hourly_green(spark, sf), "hour", "zone_id"), scratch_path(spark, "sorted"))
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_f"), F.col("_metadata.row_index").alias("_i"))
+    before = rows.groupBy("_f").agg(F.count(F.lit(1)).alias("_n")).select("_f", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # one row per file
+    return rows.join(before, "_f").withColumn("position", F.col("_before") + F.col("_i") + 1).drop("_f", "_i", "_before")
+
+
+GREEN_HASH_COLUMNS = ["VendorID", "lpep_pickup_datetime", "lpep_dropoff_datetime", "PULocationID", "DOLocationID",
+                      "fare_amount", "trip_distance"]
+
+
+@query("load_month_green", f"""SELECT {_HASH7.replace('tpep_', 'lpep_')} AS unique_row_id,
+'green_tripdata.csv' AS filename, * EXCLUDE (filename) FROM green_tripdata""")
+def load_month_green(spark, sf):
+    """The green month load: the file is loaded twice, the second load inserts nothing."""
+    from fareway.plans.jobs import load_trip_file
+
+    g = fx.raw_trips(spark, sf, "green").drop("filename")
+    path = scratch_path(spark, "download")
+    g.write.option("header", True).option("compression", "gzip").option(
+        "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+    full = T.StructType(STAGING_EXTRA + list(g.schema.fields))
+    staging, target = _name("green_staging"), _name("green_tripdata")
+    W.ensure_table(spark, staging, full)
+    W.ensure_table(spark, target, full)
+    for _ in range(2):
+        load_trip_file(spark, path, g.schema, "green_tripdata.csv", staging, target, GREEN_HASH_COLUMNS)
+    return spark.table(target)

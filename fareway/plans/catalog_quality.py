@@ -91,9 +91,8 @@ def check_custom(spark, sf):
                                "(SELECT CASE WHEN count(*) > 0 THEN 0 ELSE 1 END FROM elt_report)"), ELT)
 def check_row_count(spark, sf):
     from fareway.operators import reports as R
-    from fareway.plans.catalog_models import REPORT_END, REPORT_START
 
-    rep = R.trips_report(elt_staging_df(spark, sf, REPORT_START, REPORT_END), REPORT_START, REPORT_END)
+    rep = R.trips_report(elt_staging_df(spark, sf))
     return Q.check_row_count(rep, "elt_report")
 
 
@@ -134,7 +133,7 @@ def check_primary_key(spark, sf):
     _row("accepted_values", "stg_yellow", "payment_type",
          "(SELECT count(*) FROM stg_yellow WHERE payment_type NOT IN (1, 2, 3, 4, 5, 6))"),
     _row("unique", "stg_yellow", "trip_key", f"(SELECT count(*) FROM (SELECT k FROM (SELECT md5(concat_ws('-', "
-         f"cast(vendor_id AS varchar), strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), cast(pickup_location_id AS varchar))) "
+         f"cast(vendor_id AS varchar), cast(pickup_datetime AS varchar), cast(pickup_location_id AS varchar))) "
          f"AS k FROM stg_yellow) GROUP BY k HAVING count(*) > 1))"),
     _row("relationships", "stg_yellow", "dropoff_location_id",
          "(SELECT count(*) FROM stg_yellow y WHERE dropoff_location_id IS NOT NULL AND NOT EXISTS "

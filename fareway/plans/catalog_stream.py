@@ -10,6 +10,7 @@ and returns the sink's contents. The oracles are the batch window SQL.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -171,16 +172,15 @@ def _hw_sessions(spark, sf):
     return _ntz(df, "session_start", "session_end")
 
 
-@query("longest_session", f"""SELECT PULocationID, cast(sum(num_trips) AS bigint) AS num_trips, session_start AS window_start,
-session_end - session_start AS session_duration FROM ({session_sql(HW_SESSION_GAP_MIN)})
-GROUP BY PULocationID, session_start, session_end
-ORDER BY session_duration DESC, num_trips DESC, PULocationID, window_start LIMIT 10""")
+@query("longest_session", f"""SELECT PULocationID, cast(num_trips AS bigint) AS num_trips, session_start AS window_start,
+date_diff('second', session_start, session_end) AS session_duration FROM ({session_sql(HW_SESSION_GAP_MIN)})
+QUALIFY row_number() OVER (ORDER BY date_diff('second', session_start, session_end) DESC, num_trips DESC, PULocationID,
+session_start) <= 10""")
 def longest_session(spark, sf):
+    """The ten longest sessions; the length in whole seconds."""
     s = _hw_sessions(spark, sf)
-    g = s.groupBy("PULocationID", "session_start", "session_end").agg(
-        F.sum("num_trips").cast("bigint").alias("num_trips"))
-    g = g.select("PULocationID", "num_trips", F.col("session_start").alias("window_start"),
-                 (F.col("session_end") - F.col("session_start")).alias("session_duration"))
+    g = s.select("PULocationID", F.col("num_trips").cast("bigint").alias("num_trips"), F.col("session_start").alias("window_start"),
+                 F.timestamp_diff("SECOND", "session_start", "session_end").alias("session_duration"))
     return R.top_k(g, 10, F.col("session_duration").desc(), F.col("num_trips").desc(), F.col("PULocationID"),
                    F.col("window_start"))
 
@@ -311,9 +311,9 @@ def stream_flush(spark, sf):
     n_without = without.read(spark)
     write_flush(spark, root, "text")
     with_flush, _ = run_windows(spark, root, "text", tumble_zone("1 hour"), ["window_start", "PULocationID"])
-    a = n_without.count() if n_without is not None else 0
-    b = with_flush.read(spark).count()
-    return spark.createDataFrame([(a, b)], "windows_without_flush bigint, windows_with_flush bigint")
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    both = n_without.select(one.alias("a"), zero.alias("b")).union(with_flush.read(spark).select(zero, one))
+    return both.agg(F.sum("a").alias("windows_without_flush"), F.sum("b").alias("windows_with_flush"))
 
 
 @query("stream_restart", tumble_sql(300, "second"))
@@ -344,17 +344,20 @@ def stream_upsert(spark, sf):
     return _ntz(sink.read(spark), "window_start")
 
 
-@query("stream_jdbc_append", """SELECT PULocationID, DOLocationID, trip_distance, cast(total_amount AS double) AS total_amount,
-date_trunc('millisecond', event_ts) AS pickup_datetime FROM rides""")
-def stream_jdbc_append(spark, sf):
-    from fareway.plans.catalog_loads import DERBY_DRIVER, _derby_url
-
-    url, props = _derby_url(), {"driver": DERBY_DRIVER}
-    root, _ = write_message_slices(spark, sf, "epoch")
-    stream = SS.read_stream(spark, f"{root}/*/*.json", SS.RIDE_EPOCH_SCHEMA, fmt="files",
-                            max_per_trigger=FILES_PER_BATCH)
-    out = stream.select("PULocationID", "DOLocationID", "trip_distance", "total_amount",
-                        F.timestamp_millis("tpep_pickup_datetime").alias("pickup_datetime"))
-    K.run_stream(out, K.jdbc_append(url, "PROCESSED_EVENTS", props), scratch_path(spark, "ckpt")).awaitTermination()
-    back = spark.read.jdbc(url, "PROCESSED_EVENTS", properties=props).drop("BATCH_ID", "batch_id")
-    return back.withColumn("pickup_datetime", F.col("pickup_datetime").cast("timestamp_ntz"))
+# ---------------------------------------------------------------- T12 view over a windowed stream
+
+@query("stream_view_insert", f"""SELECT window_start, PULocationID, num_trips FROM ({tumble_sql(300, "second")})
+WHERE num_trips > 1""")
+def stream_view_insert(spark, sf):
+    """A temporary view over the windowed stream, and a streaming insert of
+    a SQL query on that view into the keyed sink."""
+    root, _ = write_message_slices(spark, sf, "text")
+    write_flush(spark, root, "text")
+
+    def build(df):
+        view = f"windowed_{uuid.uuid4().hex[:8]}"
+        tumble_zone("5 minutes")(df).createOrReplaceTempView(view)
+        return spark.sql(f"SELECT window_start, PULocationID, num_trips FROM {view} WHERE num_trips > 1")
+
+    sink, _ = run_windows(spark, root, "text", build, ["window_start", "PULocationID"])
+    return _ntz(sink.read(spark), "window_start")

@@ -30,11 +30,11 @@ def revenue_job(spark: SparkSession, green: DataFrame, yellow: DataFrame, zones_
     out = {}
     for name, df in (("green", green), ("yellow", yellow)):
         agg = R.revenue_hourly(S.normalize_trip_names(df), name, since)
-        out[name] = write_report(agg, f"{output}/{name}", files=files)
+        out[name] = write_report(R.ordered(agg, "hour", "zone_id"), f"{output}/{name}", files=files)
     g = spark.read.parquet(out["green"])
     y = spark.read.parquet(out["yellow"])
     total = J.outer_revenue(g, y, ["hour", "zone_id"])
-    out["total"] = write_report(total, f"{output}/total", files=files)
+    out["total"] = write_report(R.ordered(total, "hour", "zone_id"), f"{output}/total", files=files)
     named = J.join_lookup_by_text_id(spark.read.parquet(out["total"]), zones_text, "zone_id", "LocationID")
     out["zones"] = write_report(named.drop("LocationID", "zone_id"), f"{output}/zones", files=files)
     return out
@@ -50,9 +50,10 @@ TRIP_KEY = ["vendor_id", "pickup_datetime", "pickup_location_id", "service_type"
 
 
 def int_trips(unioned: DataFrame, payment_lookup: DataFrame) -> DataFrame:
-    """Payment label + surrogate trip id, then keep the first trip per
-    (vendor, pickup second, pickup zone, service) by dropoff time."""
-    enriched = J.enrich_payment(unioned, payment_lookup)
+    """The first trip per (vendor, pickup time, pickup zone, service) by
+    dropoff time, then payment label and surrogate trip id for what is left."""
+    first = dedup_first(unioned, TRIP_KEY, [F.col("dropoff_datetime").asc_nulls_last()])
+    enriched = J.enrich_payment(first, payment_lookup)
     types = {f.name: f.dataType.simpleString() for f in enriched.schema.fields}
     enriched = enriched.withColumn("trip_id", X.surrogate_key([(F.col(c), types[c]) for c in TRIP_KEY]))
     cols = ["trip_id", "vendor_id", "service_type", "rate_code_id", "pickup_location_id",
@@ -60,7 +61,7 @@ def int_trips(unioned: DataFrame, payment_lookup: DataFrame) -> DataFrame:
             "passenger_count", "trip_distance", "trip_type", "fare_amount", "extra", "mta_tax",
             "tip_amount", "tolls_amount", "ehail_fee", "improvement_surcharge", "total_amount",
             "payment_type", "payment_type_description"]
-    return dedup_first(enriched.select(*cols), TRIP_KEY, [F.col("dropoff_datetime").asc_nulls_last()])
+    return enriched.select(*cols)
 
 
 FCT_COLUMNS = ["trip_id", "vendor_id", "service_type", "rate_code_id", "pickup_location_id",
@@ -139,7 +140,7 @@ def elt_staging(ingested: DataFrame, payment_lookup: DataFrame, start: str | Non
     base = base.where(F.col("pickup_datetime").isNotNull() & (F.col("total_amount") >= 0)
                       & (F.col("fare_amount") >= 0))
     base = R.in_window(base, "pickup_datetime", start, end)
-    lk = J.bounded_broadcast(payment_lookup.select("payment_type_id", "payment_type_name"))
+    lk = payment_lookup.select("payment_type_id", "payment_type_name")
     # NULL payment codes never match the lookup (plain equality).
     joined = base.join(lk, base.payment_type == lk.payment_type_id, "left").drop("payment_type_id")
     key = ["taxi_type", "pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id",

@@ -30,7 +30,7 @@ def read_lookup_frame(df: DataFrame) -> DataFrame:
 
 
 def read_trips_csv(spark: SparkSession, path: str, schema: T.StructType,
-                   timestamp_format: str = "yyyy-MM-dd HH:mm:ss",
+                   timestamp_format: str = "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
                    min_partitions: int | None = None) -> DataFrame:
     """Typed CSV read (gzip or plain) with declared nullable columns.
 
@@ -124,10 +124,21 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
+_INTEGRAL_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _widest_decimal(types) -> T.DecimalType:
+    """The decimal with the most digits before and after the point that any of the exact types has."""
+    scale = max(t.scale if isinstance(t, T.DecimalType) else 0 for t in types)
+    whole = max(t.precision - t.scale if isinstance(t, T.DecimalType) else _INTEGRAL_DIGITS[type(t)] for t in types)
+    return T.DecimalType(min(38, whole + scale), min(scale, max(0, 38 - whole)))
+
+
 def canonical_columns(schemas: list[T.StructType]) -> dict[str, T.StructField]:
     """One spelling and one type per column (names case-insensitive) over
     files whose footers differ: the same type is kept; mixed integral types
-    widen to bigint, any fractional mix to double, mixed timestamps to NTZ,
+    widen to bigint, exact types to a decimal that holds them all, a mix with
+    floating point to double, mixed timestamps to NTZ,
     anything else to string."""
     seen: dict[str, list[T.StructField]] = {}
     for sch in schemas:
@@ -140,6 +151,8 @@ def canonical_columns(schemas: list[T.StructType]) -> dict[str, T.StructField]:
             dtype = fields[0].dataType
         elif all(isinstance(t, _INTEGRAL) for t in types):
             dtype = T.LongType()
+        elif all(isinstance(t, _INTEGRAL + (T.DecimalType,)) for t in types):
+            dtype = _widest_decimal(types)
         elif all(isinstance(t, _INTEGRAL + _FRACTIONAL) for t in types):
             dtype = T.DoubleType()
         elif all(isinstance(t, (T.TimestampType, T.TimestampNTZType)) for t in types):

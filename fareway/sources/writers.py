@@ -26,7 +26,7 @@ def write_report(df: DataFrame, path: str, files: int | None = None, mode: str =
     if files:
         df = df.repartition(files)
     w = df.write.mode(mode)
-    if max_records_per_file:
+    if max_records_per_file and not files:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -95,14 +95,12 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, location:
     return spark.table(name)
 
 
-def current_location(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
 def materialize_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                      cluster_by: list[str] | None = None, location: str | None = None,
-                      spread: int = 4) -> DataFrame:
+                      cluster_by: list[str] | None = None, location: str | None = None) -> DataFrame:
     """Create-or-replace table from a query (CTAS).
 
     The new contents go to a fresh location and the table is re-pointed, so
@@ -115,20 +113,22 @@ def materialize_table(df: DataFrame, name: str, partition_by: list[str] | None =
     loc = location or table_location(spark, name)
     out = df
     if partition_by:
-        # Hash on the partition columns plus a deterministic salt taken from
-        # the cluster columns: a hot partition value (say one month with a
-        # third of the rows) is written by ``spread`` tasks instead of one,
-        # rows of one cluster key stay in one file, and no sampling pass over
-        # the input is needed (a range repartition would add one).
-        salt_src = [F.col(c) for c in (cluster_by or [])] or [F.col(c) for c in df.columns]
-        salt = F.pmod(F.xxhash64(*salt_src), F.lit(spread))
-        out = out.repartition(*[F.col(c) for c in partition_by], salt)
+        # Rebalance by the partition columns: small partition values share a
+        # task, and a hot one (say a month with a third of the rows) is split
+        # by its size at run time, without a sampling pass.
+        out = out.hint("rebalance", *partition_by)
     if cluster_by:
         out = out.sortWithinPartitions(*(partition_by or []), *cluster_by)
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(loc)
+    same = spark.catalog.tableExists(name) and not partition_by and not partition_columns(spark, name) and [
+        (f.name, f.dataType) for f in spark.table(name).schema.fields] == [(f.name, f.dataType) for f in df.schema.fields]
+    if same:  # one catalog change: readers see the old or the new contents
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{loc}'")
+        spark.catalog.refreshTable(name)
+        return spark.table(name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     part = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
@@ -149,15 +149,14 @@ def truncate_load(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, table: str, fmt: str | None = None, options: dict | None = None,
-                location: str | None = None) -> DataFrame:
+                location: str | None = None, fallback: bool = False) -> DataFrame:
     """Warehouse sink through a connector when it is available, otherwise a
-    parquet table at an explicit location."""
-    spark = df.sparkSession
+    parquet table at an explicit location, if ``fallback`` allows that."""
     if fmt:
         try:
             df.write.format(fmt).options(**(options or {})).mode("overwrite").save(table)
             return df
         except Exception as e:  # noqa: BLE001 - connector absent
-            if "DATA_SOURCE_NOT_FOUND" not in str(e) and "ClassNotFound" not in str(e):
+            if not fallback or "DATA_SOURCE_NOT_FOUND" not in str(e) and "ClassNotFound" not in str(e):
                 raise
     return materialize_table(df, table.replace(".", "_"), location=location)

@@ -15,8 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 class KeyedSink:
-    def __init__(self, path: str, key: list[str]):
+    def __init__(self, path: str, key: list[str], schema=None):
+        """``schema``: what ``read`` returns, empty, before the first batch."""
         self.path = path.rstrip("/")
+        self.schema = schema
         self.key = list(key)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -28,7 +30,9 @@ class KeyedSink:
             raw = spark.read.parquet(self.path)
         except Exception as e:  # noqa: BLE001 - nothing emitted yet
             if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-                return None
+                if self.schema is None:
+                    raise ValueError(f"nothing written to {self.path} yet, and no schema given") from e
+                return spark.createDataFrame([], self.schema)
             raise
         if not self.key:  # append-only sink: every batch's rows
             return raw.drop("batch_id")
@@ -90,7 +94,3 @@ def run_stream(df: DataFrame, sink, checkpoint: str, output_mode: str = "append"
         w = w.trigger(processingTime=processing_time)
     return w.start()
 
-
-# Names of the survey's signatures.
-upsert_batch = KeyedSink
-write_stream = run_stream

@@ -174,3 +174,37 @@ def test_revenue_cli_on_files(spark, sf_small):
     got = sorted(repr(tuple(r)) for r in spark.read.parquet(out["zones"]).collect())
     want = sorted(repr(tuple(r)) for r in revenue_zones_df(spark, sf_small).collect())
     assert got == want
+
+
+def test_identity_keeps_every_digit(spark):
+    df = spark.sql("""SELECT * FROM VALUES (timestamp_ntz'2024-01-01 00:00:00.1', 1.00000001D), (timestamp_ntz'2024-01-01 00:00:00.9', 1.00000001D),
+        (timestamp_ntz'2024-01-01 00:00:00.1', 1.00000002D) AS t(ts, x)""")
+    assert L.add_row_identity(df, ["ts", "x"]).select("unique_row_id").distinct().count() == 3
+
+
+def test_append_and_merge_add_new_columns(spark):
+    name = _name("grow")
+    L.materialize(spark.createDataFrame([(1,)], "a int"), "replace", name)
+    L.materialize(spark.createDataFrame([(2, "x")], "a int, b string"), "append", name)
+    assert L.merge_insert_only(name, spark.createDataFrame([(2, "y", 1.5), (3, "z", 2.5)], "a int, b string, c double"), "a") == 1
+    got = sorted((tuple(r) for r in spark.table(name).select("a", "b", "c").collect()), key=str)
+    assert got == [(1, None, None), (2, "x", None), (3, "z", 2.5)]
+
+
+def test_upsert_keeps_layout_and_untouched_partitions(spark):
+    name = _name("parts")
+    L.materialize(spark.createDataFrame([(1, 10, "a"), (2, 20, "b"), (3, 30, "c")], "k int, v int, p string"), "replace", name,
+                  partition_by=["p"])
+    files = {r["p"]: r["f"] for r in spark.table(name).select("p", F.col("_metadata.file_path").alias("f")).collect()}
+    L.merge_upsert(name, spark.createDataFrame([(1, 11, "b"), (4, 40, "b")], "k int, v int, p string"), "k")
+    assert W.partition_columns(spark, name) == ["p"]
+    assert sorted(tuple(r) for r in spark.table(name).select("k", "v", "p").collect()) == [
+        (1, 11, "b"), (2, 20, "b"), (3, 30, "c"), (4, 40, "b")]
+    after = {r["p"]: r["f"] for r in spark.table(name).select("p", F.col("_metadata.file_path").alias("f")).collect()}
+    assert after["c"] == files["c"] and after["b"] != files["b"] and "a" not in after
+
+
+def test_widest_decimal():
+    a, b = T.DecimalType(18, 2), T.DecimalType(18, 3)
+    out = src.canonical_columns([T.StructType([T.StructField("x", t)]) for t in (a, b, T.LongType())])
+    assert out["x"].dataType == T.DecimalType(22, 3)

@@ -85,12 +85,6 @@ def test_parse_params_fallbacks():
     assert S.parse_run_date(" 2024-01-05T10:00:00 ") == "2024-01-05"
 
 
-def test_bounded_broadcast_falls_back(spark):
-    df = spark.range(10)
-    assert "broadcast" not in J.bounded_broadcast(df, max_rows=5)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" in J.bounded_broadcast(df, max_rows=50)._jdf.queryExecution().logical().toString().lower()
-
-
 def test_enrich_payment_null_code_becomes_zero(spark):
     trips = spark.createDataFrame([(None,), (1,), (9,)], "payment_type int")
     lk = spark.createDataFrame([(0, "Flex"), (1, "Card")], "payment_type int, description string")

@@ -4,7 +4,6 @@ import datetime as dt
 import json
 import os
 import random
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -138,10 +137,6 @@ def test_keyed_sink_replay_is_idempotent(spark):
     assert sorted(tuple(r) for r in sink.read(spark).collect()) == [(1, 10), (2, 25)]
 
 
-def test_unique_dirs():
-    assert uuid.uuid4().hex != uuid.uuid4().hex
-
-
 def _brute_keyed_sessions(events, gap):
     by_key = {}
     for t, k, z in events:
@@ -176,15 +171,3 @@ def test_keyed_sessions_continue_across_slices(spark):
     for slices in (2, 3, 7, 40):
         got = sorted(tuple(r) for r in GS.session_counts(df, "ts", 300, ["k"], ["zone"], slices=slices).collect())
         assert got == want
-
-
-def test_jdbc_sink_replay_does_not_duplicate(spark):
-    url = f"jdbc:derby:memory:t{uuid.uuid4().hex[:8]};create=true"
-    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    sink = K.jdbc_append(url, "T_EVENTS", props)
-    b0 = spark.createDataFrame([(1,), (2,)], "v int")
-    sink(b0, 0)
-    sink(spark.createDataFrame([(3,)], "v int"), 1)
-    sink(spark.createDataFrame([(3,)], "v int"), 1)  # replay of batch 1
-    got = sorted(r[0] for r in spark.read.jdbc(url, "T_EVENTS", properties=props).select("V").collect())
-    assert got == [1, 2, 3]
