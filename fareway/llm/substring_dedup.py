@@ -14,10 +14,10 @@ a word sequence that also starts anywhere else, in any document.
    segment's copies. Those counted twice or more recur; one place of each is
    kept as its example.
 4. Automata: recurring windows are patterns of Aho-Corasick automata, sharded
-   by anchor. Words are read in blocks (``BLOCK`` words are one letter, one
-   stream per phase), so a pattern has ``WINDOW / BLOCK`` letters. All distinct
+   by anchor. Words are read in blocks (``BLOCK`` words have one short code, one
+   stream per phase), so a pattern has ``WINDOW / BLOCK`` codes. All distinct
    segments stream through the automaton of their shard; every match marks
-   the words of its window. Letters are looked up by their words, so matches
+   the words of its window. Codes are looked up by their words, so matches
    are exact.
 5. Marks go to all copies of a segment and are united per document.
 
@@ -47,6 +47,7 @@ from fareway.llm.common import (
 from fareway.llm.hashing import phrases, signed, text_key, word_hashes
 
 WINDOW, PHRASE, BLOCK = 35, 8, 7
+CODE, UNKNOWN = 5, "     "  # characters per block number; a block that no pattern has
 
 
 def anchors(texts: list[list[str]]) -> tuple[np.ndarray, ...]:
@@ -118,21 +119,36 @@ def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 class PhraseAutomaton:
-    """Aho-Corasick over windows as sequences of word blocks."""
+    """Aho-Corasick over windows as sequences of word blocks.
+
+    A block's number is written with ``CODE`` characters of a small alphabet: the automaton looks through a node's
+    edges one by one, so a node must not have an edge per block.
+    """
 
     def __init__(self) -> None:
-        self.block: dict[str, int] = {}
-        self.machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
+        self.block: dict[str, str] = {}
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         self.ready = False
 
-    def _letters(self, words: list[str], phase: int, learn: bool) -> tuple[int, ...]:
-        keys = [" ".join(words[i:i + BLOCK]) for i in range(phase, len(words) - BLOCK + 1, BLOCK)]
-        if learn:
-            return tuple(self.block.setdefault(k, len(self.block) + 1) for k in keys)
-        return tuple(self.block.get(k, 0) for k in keys)
-
-    def add(self, window: list[str]) -> None:
-        self.machine.add_word(self._letters(window, 0, True))
+    def _learn(self, block: str) -> str:
+        n, code = len(self.block), ""
+        if n >= 64**CODE:
+            raise OverflowError("more blocks in a shard than codes: raise CODE")
+        for _ in range(CODE):
+            n, digit = divmod(n, 64)
+            code += chr(48 + digit)
+        self.block[block] = code
+        return code
+
+    def add(self, words: list[str], places: list[int]) -> None:
+        """The windows of ``words`` that start at ``places``; a block that several of them share is read once."""
+        get, codes = self.block.get, {}
+        for p in places:
+            for i in range(p, p + WINDOW, BLOCK):
+                if i not in codes:
+                    block = " ".join(words[i:i + BLOCK])
+                    codes[i] = get(block) or self._learn(block)
+            self.machine.add_word("".join([codes[i] for i in range(p, p + WINDOW, BLOCK)]))
 
     def locate(self, words: list[str]) -> list[int]:
         """Start of every occurrence of a pattern."""
@@ -141,12 +157,11 @@ class PhraseAutomaton:
         self.ready = True
         if not len(self.machine):
             return []
-        letters = WINDOW // BLOCK
-        found = []
-        for phase in range(min(BLOCK, len(words))):
-            seq = self._letters(words, phase, False)
-            if len(seq) >= letters:
-                found += [phase + (end - letters + 1) * BLOCK for end, _ in self.machine.iter(seq)]
+        get, found = self.block.get, []
+        for phase in range(BLOCK):
+            text = "".join([get(" ".join(words[i:i + BLOCK]), UNKNOWN) for i in range(phase, len(words) - BLOCK + 1, BLOCK)])
+            if len(text) >= CODE * (WINDOW // BLOCK):
+                found += [phase + ((end + 1) // CODE) * BLOCK - WINDOW for end, _ in self.machine.iter(text) if (end + 1) % CODE == 0]
         return sorted(found)
 
 
@@ -172,8 +187,7 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at, machine = (shard, salt), PhraseAutomaton()
             words = words.split(" ")
             if kind == 0:
-                for p in places:
-                    machine.add(words[p:p + WINDOW])
+                machine.add(words, places)
                 continue
             for a, z in spans(machine.locate(words)):
                 s1.append(x1)
@@ -224,7 +238,7 @@ def _finish(digest: bool):
     return run
 
 
-def repeated_places(spark: SparkSession, docs: DataFrame, shard_windows: int = 50_000) -> tuple[DataFrame, DataFrame]:
+def repeated_places(spark: SparkSession, docs: DataFrame, shard_windows: int = 20_000) -> tuple[DataFrame, DataFrame]:
     """``docs`` (r1, r2, text, ...) written with the ``runs`` of windows that may recur, and (r1, r2, marked) for rows that lose words."""
     a = materialize(spark, docs.select("r1", "r2", "text").mapInArrow(
         _emit_anchors, "a long, r1 long, r2 long, start int, n int"), "sub-anchors")
