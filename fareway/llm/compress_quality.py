@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fareway.llm.common import materialize, small_batches, table, text_or_empty
-from fareway.llm.toxicity import fit_logistic, sample_rows, training_rows
+from fareway.llm.toxicity import fit_logistic, sample_rows
 
 CHUNK = 1024
 _SHAPE = bytes(97 if 97 <= b <= 122 or b >= 128 else 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else b for b in range(256))
@@ -98,7 +98,7 @@ class Model:
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, trained: Column, sample: int = 600,
           dict_bytes: int = 16_384) -> Model:
     """Dictionaries from one half of a bounded sample of labelled rows, the curve from the other half."""
-    rows = materialize(spark, sample_rows(training_rows(docs, labels, "quality", trained), sample), "quality-sample")
+    rows = materialize(spark, sample_rows(spark, docs, labels, "quality", trained, sample), "quality-sample")
     counts = rows.groupBy("label").agg(F.count("*").alias("n")).collect()
     n = {r["label"]: r["n"] for r in counts}
     if len(n) < 2 or min(n.values()) < 2:

@@ -73,22 +73,21 @@ def fold(text: str) -> str:
     return f" {' '.join(text.translate(_table()).split())} "
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, trained: Column) -> DataFrame:
-    """``doc_id``, ``text``, ``label`` of labelled training rows."""
+def sample_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str, trained: Column,
+                per_class: int) -> DataFrame:
+    """``doc_id``, ``text``, ``label`` of the ``per_class`` training rows of each class with the smallest hashes of
+    their text, each text once. Only ids and hashes of the other rows are shuffled; the picks, at most
+    ``2 * per_class`` rows of three numbers, are broadcast back to the texts."""
     y = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(label).cast("int").alias("label")).filter(trained)
-    return docs.select("doc_id", text_or_empty().alias("text")).join(y, "doc_id")
-
-
-def sample_rows(rows: DataFrame, per_class: int) -> DataFrame:
-    """The ``per_class`` rows of each class with the smallest hashes of their text, each text once."""
-    rows = rows.withColumn("_o", F.xxhash64("text"))
-    picks = []
-    for y in (0, 1):
-        own = rows.filter(F.col("label") == y).select("label", "_o", "doc_id").groupBy("_o").agg(
-            F.min("doc_id").alias("doc_id")).orderBy("_o").limit(per_class)
-        picks.append(own.select("doc_id"))
-    return rows.drop("_o").join(picks[0].union(picks[1]).dropDuplicates(), "doc_id", "left_semi")
+    keyed = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("_o")).join(y, "doc_id")
+    own = [keyed.filter(F.col("label") == v).groupBy("_o").agg(F.min("doc_id").alias("doc_id")).orderBy("_o").limit(
+        per_class).withColumn("label", F.lit(v)) for v in (0, 1)]
+    picks = materialize(spark, own[0].union(own[1]), f"{label}-picks")
+    texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("_o", F.xxhash64("text"))
+    # Rows equal in id and text count once, so the sample keeps its bound.
+    return texts.join(F.broadcast(picks), ["doc_id", "_o"]).groupBy("doc_id", "_o", "label").agg(
+        F.min("text").alias("text")).select("doc_id", "text", "label")
 
 
 def _emit_terms(lengths: tuple[int, ...]):
@@ -201,7 +200,7 @@ class Model:
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, trained: Column, sample: int = 1500) -> Model:
     """Lexicon and curve from ``labels.toxic`` of the rows for which ``trained`` holds."""
-    rows = materialize(spark, sample_rows(training_rows(docs, labels, "toxic", trained), sample), "toxic-sample")
+    rows = materialize(spark, sample_rows(spark, docs, labels, "toxic", trained, sample), "toxic-sample")
     per_class = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     lexicon = learn_lexicon(rows) if len(per_class) == 2 else {}
     if not lexicon:
