@@ -89,7 +89,7 @@ def session_counts(events: DataFrame, ts: str, gap_seconds: int, session_keys: l
         "_fus bigint", "first_starts boolean", "carry_in bigint"]
     bounds = spark.createDataFrame(rows, ", ".join(schema))
 
-    fixed = local.join(F.broadcast(bounds), "pid")  # one row per slice
+    fixed = local.join(bounds, "pid")  # one row per slice; Spark broadcasts it below its byte threshold
     is_first = F.col("_us") == F.col("_fus")
     for c in sk:
         is_first = is_first & F.col(c).eqNullSafe(F.col(f"_fk_{c}"))
@@ -102,9 +102,10 @@ def session_counts(events: DataFrame, ts: str, gap_seconds: int, session_keys: l
     j1 = per_time.alias("p").join(mapped.alias("m"), _null_safe_eq(per_time.alias("p"), mapped.alias("m"),
                                                                    sk + ["_us"]))
     j1 = j1.select(*[F.col(f"p.{c}") for c in sk], "m._sess", *[F.col(f"p.{c}") for c in ck], "p._n")
-    j2 = j1.alias("a").join(ends.alias("e"), _null_safe_eq(j1.alias("a"), ends.alias("e"), sk + ["_sess"]))
-    j2 = j2.select(*[F.col(f"a.{c}") for c in sk], "a._sess", "e._end", *[F.col(f"a.{c}") for c in ck], "a._n")
-    out = j2.groupBy(*sk, "_sess", "_end", *ck).agg(F.sum("_n").cast("bigint").alias("num_trips"))
+    # Totals first: a long session reaches the join with its ends as one row per count key.
+    totals = j1.groupBy(*sk, "_sess", *ck).agg(F.sum("_n").cast("bigint").alias("num_trips"))
+    j2 = totals.alias("a").join(ends.alias("e"), _null_safe_eq(totals.alias("a"), ends.alias("e"), sk + ["_sess"]))
+    out = j2.select(*[F.col(f"a.{c}") for c in sk], "a._sess", "e._end", *[F.col(f"a.{c}") for c in ck], "a.num_trips")
     return out.select(*sk, F.timestamp_micros("_sess").cast("timestamp_ntz").alias("session_start"),
                       F.timestamp_micros("_end").cast("timestamp_ntz").alias("session_end"), *ck, "num_trips")
 
