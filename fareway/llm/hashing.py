@@ -22,10 +22,15 @@ def _add(word: str) -> int:
     return h
 
 
-def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
-    """64-bit finaliser."""
+def seed_bits(seed: int) -> int:
+    return (seed * 0xD6E8FEB86659FD93 + 0x2545F4914F6CDD1D) & (2**64 - 1)
+
+
+def mix(x: np.ndarray, seed: int | None = 0) -> np.ndarray:
+    """64-bit finaliser. ``seed`` None: ``x`` holds the seed's bits already."""
     with np.errstate(over="ignore"):
-        x = x ^ np.uint64((seed * 0xD6E8FEB86659FD93 + 0x2545F4914F6CDD1D) & (2**64 - 1))
+        if seed is not None:
+            x = x ^ np.uint64(seed_bits(seed))
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))

@@ -14,6 +14,7 @@ similarity s a key agrees with probability of about s ** L, so at 0.8 one of
    in a group of copies is close to the original. Members are compared with
    centres only, never with each other. Members that are not linked to the
    centre meet again, with a centre of their own, for ``ROUNDS`` rounds.
+   Those still unlinked then are joined exactly (``exact_links``).
 3. Each distinct pair is verified: shingles of both texts are aligned in
    order. As shingles are unique by their occurrence number, the longest
    common subsequence is a longest increasing subsequence of positions; pairs
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fareway.llm.common import materialize, packed, row_key, small_batches, table, text_or_empty, unpacked, words_of
-from fareway.llm.hashing import mix, phrases, signed, text_key, word_hashes
+from fareway.llm.hashing import mix, phrases, seed_bits, signed, text_key, word_hashes
 
 K, L, SKETCHES, ROUNDS, THRESHOLD = 5, 5, 24, 3, 0.8
 _normal = re.compile(r"[^\W_]+").findall
@@ -72,15 +73,16 @@ def labelled_shingles(words: list[str]) -> np.ndarray:
 def sketches(s: np.ndarray, n: int = SKETCHES, size: int = L) -> np.ndarray:
     """Per seed: a hash of the ``size`` smallest shingles in text order."""
     take = min(size, len(s))
-    out = np.empty(n, np.uint64)
-    for i in range(n):
-        at = np.sort(np.argpartition(mix(s, 100 + i), take - 1)[:take])
-        acc = np.uint64(take)
-        with np.errstate(over="ignore"):
-            for v in s[at]:
-                acc = acc * np.uint64(0x9E3779B97F4A7C15) + v
-        out[i] = acc
-    return mix(out, 5)
+    at = np.empty((n, take), np.int64)
+    step = max(1, 16_384 // len(s))  # seeds at a time
+    for i in range(0, n, step):
+        own = mix(s ^ np.array([[seed_bits(100 + j)] for j in range(i, min(i + step, n))], np.uint64), None)
+        at[i:i + step] = np.argpartition(own, take - 1, axis=1)[:, :take]
+    acc = np.full(n, take, np.uint64)
+    with np.errstate(over="ignore"):
+        for v in s[np.sort(at, axis=1)].T:
+            acc = acc * np.uint64(0x9E3779B97F4A7C15) + v
+    return mix(acc, 5)
 
 
 def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
@@ -167,24 +169,58 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             return labels
 
 
-def candidate_links(spark: SparkSession, texts: DataFrame, members: DataFrame, threshold: float, rounds: int) -> DataFrame:
-    """Verified links (a, b) among nodes. ``texts``: (k, s) shingles; ``members``: (k, band, h, pop)."""
+def verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, threshold: float, name: str) -> DataFrame:
+    """(a, b, sim) of ``pairs`` (a, b). ``texts``: (k, s) shingles."""
+    sides = pairs.join(texts.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b").join(
+        texts.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a")
+    return materialize(spark, sides.select("a", "b", "sa", "sb").mapInArrow(
+        _verify(threshold), "a long, b long, sim double"), name)
+
+
+def exact_links(spark: SparkSession, near: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """All links (a, b) between nodes of ``near`` (k, label) whose labels differ, without a chance to miss one.
+
+    Shingles are ordered by rarity among ``near``. Two texts that reach ``threshold`` share one of the first
+    n - ceil(threshold * n) + 1 shingles of either, and behind the first shared one enough are left on both
+    sides. So texts meet under their rare shingles; those that all share are reached by few. The label with
+    most members under a shingle is compared with the others, never with itself.
+    """
+    own = near.join(texts, "k").select("k", "label", F.size("s").alias("n"), F.explode("s").alias("w"))
+    own = materialize(spark, own, "near-own")
+    often = own.groupBy("w").agg(F.count("*").alias("df")).filter("df > 1")
+    common = own.join(often, "w").groupBy("k", "label", "n").agg(F.sort_array(F.collect_list(F.struct("df", "w"))).alias("g"))
+    alone = F.col("n") - F.size("g")  # shingles of no other text come first
+    first = F.greatest(F.lit(0), F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1 - alone).cast("int")
+    keys = materialize(spark, common.select("k", "label", "n", alone.alias("u"), F.posexplode(F.slice("g", F.lit(1), first)).alias(
+        "i", "e")).select("k", "label", "n", (F.col("n") - F.col("u") - F.col("i")).alias("rest"), F.col("e.w").alias("w")), "near-prefix")
+    main = keys.groupBy("w", "label").agg(F.count("*").alias("c")).groupBy("w").agg(
+        F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1")
+    lists = materialize(spark, keys.join(main.drop("labels"), "w"), "near-lists")
+    reach = F.least("x.rest", "y.rest") >= threshold / (1 + threshold) * (F.col("x.n") + F.col("y.n")) - 1e-9
+    once = F.expr("y.label = y.main or x.k < y.k")
+    met = lists.filter("label != main").alias("x").join(lists.alias("y"), F.expr("x.w = y.w and x.label != y.label") & once & reach)
+    pairs = materialize(spark, met.select(F.least("x.k", "y.k").alias("a"), F.greatest("x.k", "y.k").alias("b")).distinct(), "near-rare")
+    return verified(spark, pairs, texts, threshold, "near-exact").filter(F.col("sim") >= threshold).select("a", "b")
+
+
+def candidate_links(spark: SparkSession, texts: DataFrame, members: DataFrame, threshold: float,
+                    rounds: int) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) among nodes, and the members still unlinked after ``rounds``.
+
+    ``texts``: (k, s) shingles; ``members``: (k, band, h, pop)."""
     links, left = None, members
     for i in range(rounds):
         centre = left.groupBy("band", "h").agg(F.max_by("k", F.struct("pop", "k")).alias("c"), F.count("*").alias("n")).filter("n > 1")
         met = materialize(spark, left.join(centre.select("band", "h", "c"), ["band", "h"]).filter("k != c"), f"near-met{i}")
         pairs = materialize(spark, met.select(F.col("k").alias("a"), F.col("c").alias("b")).distinct(), f"near-pairs{i}")
-        sides = pairs.join(texts.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b").join(
-            texts.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a")
-        seen = materialize(spark, sides.select("a", "b", "sa", "sb").mapInArrow(
-            _verify(threshold), "a long, b long, sim double"), f"near-seen{i}")
+        seen = verified(spark, pairs, texts, threshold, f"near-seen{i}")
         new = seen.filter(F.col("sim") >= threshold).select("a", "b").distinct()
         links = new if links is None else links.union(new)
-        if i + 1 == rounds or not seen.filter(F.col("sim") < threshold).limit(1).count():
-            break
         far = seen.filter(F.col("sim") < threshold).select(F.col("a").alias("k"), F.col("b").alias("c")).distinct()
         left = materialize(spark, met.join(far, ["k", "c"], "left_semi").select("k", "band", "h", "pop"), f"near-left{i}")
-    return links
+        if not left.limit(1).count():
+            break
+    return links, left
 
 
 def classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -207,7 +243,12 @@ def classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD,
     reps = members.select("k").distinct().join(nodes.select("k", "rep.r1", "rep.r2"), "k")
     texts = materialize(spark, keyed.join(reps, ["r1", "r2"]).select("k", "text").mapInArrow(
         _emit_shingles, "k long, s array<long>").dropDuplicates(["k"]), "near-shingles")
-    labels = components(spark, candidate_links(spark, texts, members, threshold, rounds))
+    links, left = candidate_links(spark, texts, members, threshold, rounds)
+    labels = components(spark, links)
+    near = left.select("k").distinct().join(labels, "k", "left").select("k", F.coalesce("label", "k").alias("label"))
+    more = exact_links(spark, near, texts, threshold)
+    if more.limit(1).count():
+        labels = components(spark, links.union(more))
     named = materialize(spark, nodes.select("k", "rep").join(labels, "k", "left").select(
         "k", "rep", F.coalesce("label", "k").alias("label")), "near-named")
     first = materialize(spark, named.groupBy("label").agg(F.min("rep").alias("first")), "near-first")
