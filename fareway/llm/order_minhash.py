@@ -14,7 +14,9 @@ similarity s a key agrees with probability of about s ** L, so at 0.8 one of
    in a group of copies is close to the original. Members are compared with
    centres only, never with each other. Members that are not linked to the
    centre meet again, with a centre of their own, for ``ROUNDS`` rounds.
-   Those still unlinked then are joined exactly (``exact_links``).
+   Members of buckets that then still span several classes, linked or not,
+   are joined exactly (``exact_links``): a pair with an equal key is either in
+   one class already or compared.
 3. Each distinct pair is verified: shingles of both texts are aligned in
    order. As shingles are unique by their occurrence number, the longest
    common subsequence is a longest increasing subsequence of positions; pairs
@@ -203,11 +205,8 @@ def exact_links(spark: SparkSession, near: DataFrame, texts: DataFrame, threshol
     return verified(spark, pairs, texts, threshold, "near-exact").filter(F.col("sim") >= threshold).select("a", "b")
 
 
-def candidate_links(spark: SparkSession, texts: DataFrame, members: DataFrame, threshold: float,
-                    rounds: int) -> tuple[DataFrame, DataFrame]:
-    """Verified links (a, b) among nodes, and the members still unlinked after ``rounds``.
-
-    ``texts``: (k, s) shingles; ``members``: (k, band, h, pop)."""
+def candidate_links(spark: SparkSession, texts: DataFrame, members: DataFrame, threshold: float, rounds: int) -> DataFrame:
+    """Verified links (a, b) of members with centres. ``texts``: (k, s) shingles; ``members``: (k, band, h, pop)."""
     links, left = None, members
     for i in range(rounds):
         centre = left.groupBy("band", "h").agg(F.max_by("k", F.struct("pop", "k")).alias("c"), F.count("*").alias("n")).filter("n > 1")
@@ -216,11 +215,11 @@ def candidate_links(spark: SparkSession, texts: DataFrame, members: DataFrame, t
         seen = verified(spark, pairs, texts, threshold, f"near-seen{i}")
         new = seen.filter(F.col("sim") >= threshold).select("a", "b").distinct()
         links = new if links is None else links.union(new)
+        if i + 1 == rounds or not seen.filter(F.col("sim") < threshold).limit(1).count():
+            break
         far = seen.filter(F.col("sim") < threshold).select(F.col("a").alias("k"), F.col("b").alias("c")).distinct()
         left = materialize(spark, met.join(far, ["k", "c"], "left_semi").select("k", "band", "h", "pop"), f"near-left{i}")
-        if not left.limit(1).count():
-            break
-    return links, left
+    return links
 
 
 def classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -243,9 +242,12 @@ def classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD,
     reps = members.select("k").distinct().join(nodes.select("k", "rep.r1", "rep.r2"), "k")
     texts = materialize(spark, keyed.join(reps, ["r1", "r2"]).select("k", "text").mapInArrow(
         _emit_shingles, "k long, s array<long>").dropDuplicates(["k"]), "near-shingles")
-    links, left = candidate_links(spark, texts, members, threshold, rounds)
+    links = candidate_links(spark, texts, members, threshold, rounds)
     labels = components(spark, links)
-    near = left.select("k").distinct().join(labels, "k", "left").select("k", F.coalesce("label", "k").alias("label"))
+    inside = materialize(spark, members.select("k", "band", "h").join(labels, "k", "left").withColumn(
+        "label", F.coalesce("label", "k")), "near-inside")
+    mixed = inside.groupBy("band", "h").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y")
+    near = inside.join(mixed, ["band", "h"], "left_semi").select("k", "label").distinct()
     more = exact_links(spark, near, texts, threshold)
     if more.limit(1).count():
         labels = components(spark, links.union(more))

@@ -373,6 +373,24 @@ def test_near_family_under_one_template(spark, tmp_path):
     assert sum(g != w for g, w in zip(near_classes(spark, tmp_path, texts), want, strict=True)) == 0
 
 
+def test_near_chain_in_a_group_of_copies(spark, tmp_path):
+    """A-B and B-C are linked, A-C is not, and A is the centre of most buckets of B and C."""
+    rng = random.Random(9)
+
+    def edited(w, at, n):
+        return [*w[:at], *(f"e{rng.randrange(10**9)}" for _ in range(n)), *w[at + n:]]
+
+    a = [f"a{i}" for i in range(200)]
+    texts = [a] + [edited(a, rng.randrange(200), 1) for _ in range(250)]
+    for _ in range(60):
+        b = edited(a, rng.randrange(5, 90), 1)
+        texts += [b, edited(b, rng.randrange(100, 180), 16)]
+    texts = [" ".join(w) for w in texts]
+    want = brute_classes(texts)
+    assert set(want) == {0}
+    assert sum(g != w for g, w in zip(near_classes(spark, tmp_path, texts), want, strict=True)) == 0
+
+
 def test_near_awkward(spark, folders):
     got = collections.defaultdict(set)
     for r in order_minhash.query(spark, folders[0]).collect():
