@@ -16,7 +16,9 @@ similarity s a key agrees with probability of about s ** L, so at 0.8 one of
    centre meet again, with a centre of their own, for ``ROUNDS`` rounds.
    Members of buckets that then still span several classes, linked or not,
    are joined exactly (``exact_links``): a pair with an equal key is either in
-   one class already or compared.
+   one class already or compared. Texts of up to ``SHORT`` shingles, for which
+   keys of five shingles are too coarse, are joined exactly with all texts that
+   can reach 0.8 with them, whatever their keys.
 3. Each distinct pair is verified: shingles of both texts are aligned in
    order. As shingles are unique by their occurrence number, the longest
    common subsequence is a longest increasing subsequence of positions; pairs
@@ -47,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fareway.llm.common import materialize, packed, row_key, small_batches, table, text_or_empty, unpacked, words_of
 from fareway.llm.hashing import mix, phrases, seed_bits, signed, text_key, word_hashes
 
-K, L, SKETCHES, ROUNDS, THRESHOLD = 5, 5, 24, 3, 0.8
+K, L, SKETCHES, ROUNDS, THRESHOLD, SHORT = 5, 5, 24, 3, 0.8, 15
 _normal = re.compile(r"[^\W_]+").findall
 
 
@@ -116,20 +118,23 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> fl
 
 def _emit_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        k1, k2, sk = [], [], []
+        k1, k2, n, sk = [], [], [], []
         for text in b["text"].to_pylist():
             words = normal_words(text)
             if not words:
                 k1.append(None)
                 k2.append(None)
+                n.append(None)
                 sk.append(None)
                 continue
             x, y = text_key(" ".join(words))
             k1.append(x)
             k2.append(y)
-            sk.append(signed(sketches(labelled_shingles(words))).tolist())
+            s = labelled_shingles(words)
+            n.append(len(s))
+            sk.append(signed(sketches(s)).tolist())
         yield pa.RecordBatch.from_arrays([b["doc_id"], b["r1"], b["r2"], pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(
-            sk, pa.list_(pa.int64()))], ["doc_id", "r1", "r2", "k1", "k2", "sk"])
+            n, pa.int32()), pa.array(sk, pa.list_(pa.int64()))], ["doc_id", "r1", "r2", "k1", "k2", "n", "sk"])
 
 
 def _emit_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,17 +234,18 @@ def classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD,
     docs = docs.select("doc_id", text_or_empty().alias("text"))
     keyed = docs.withColumns({"r1": r1, "r2": r2})
     rows = materialize(spark, keyed.select("doc_id", "r1", "r2", "text").mapInArrow(_emit_sketches, (
-        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, r1 long, r2 long, k1 long, k2 long, sk array<long>")), "near-rows")
+        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, r1 long, r2 long, k1 long, k2 long, n int, sk array<long>")), "near-rows")
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "r1", "r2")
     node = F.col("k1")  # a text's words as 64 bits
     nodes = materialize(spark, rows.filter("k1 is not null").groupBy(node.alias("k")).agg(
-        F.min(place).alias("rep"), F.first("sk").alias("sk")), "near-nodes")
+        F.min(place).alias("rep"), F.first("n").alias("n"), F.first("sk").alias("sk")), "near-nodes")
+    short = nodes.filter(F.col("n") <= int(SHORT / threshold)).select("k")
     keys = nodes.select("k", F.posexplode("sk").alias("band", "h"))
     busy = materialize(spark, keys.groupBy("band", "h").agg(F.count("*").alias("n")).filter("n > 1"), "near-busy")
     members = materialize(spark, keys.join(busy, ["band", "h"]), "near-members")
     pop = members.groupBy("k").agg(F.sum("n").alias("pop"))
     members = materialize(spark, members.drop("n").join(pop, "k"), "near-popular")
-    reps = members.select("k").distinct().join(nodes.select("k", "rep.r1", "rep.r2"), "k")
+    reps = members.select("k").union(short).distinct().join(nodes.select("k", "rep.r1", "rep.r2"), "k")
     texts = materialize(spark, keyed.join(reps, ["r1", "r2"]).select("k", "text").mapInArrow(
         _emit_shingles, "k long, s array<long>").dropDuplicates(["k"]), "near-shingles")
     links = candidate_links(spark, texts, members, threshold, rounds)
@@ -247,7 +253,8 @@ def classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD,
     inside = materialize(spark, members.select("k", "band", "h").join(labels, "k", "left").withColumn(
         "label", F.coalesce("label", "k")), "near-inside")
     mixed = inside.groupBy("band", "h").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y")
-    near = inside.join(mixed, ["band", "h"], "left_semi").select("k", "label").distinct()
+    near = inside.join(mixed, ["band", "h"], "left_semi").select("k", "label").union(
+        short.join(labels, "k", "left").select("k", F.coalesce("label", "k"))).distinct()
     more = exact_links(spark, near, texts, threshold)
     if more.limit(1).count():
         labels = components(spark, links.union(more))

@@ -391,6 +391,18 @@ def test_near_chain_in_a_group_of_copies(spark, tmp_path):
     assert sum(g != w for g, w in zip(near_classes(spark, tmp_path, texts), want, strict=True)) == 0
 
 
+def test_near_short_texts(spark, tmp_path):
+    """8 against 9 words and the like: texts of few shingles that differ by one word at an end."""
+    texts = []
+    for n in range(5, 20):
+        for i in range(6):
+            w = [f"s{n}x{i}y{j}" for j in range(n + 1)]
+            texts += [" ".join(w[:n]), " ".join(w)]
+    want = brute_classes(texts)
+    assert want[36:48] == [36, 36, 38, 38, 40, 40, 42, 42, 44, 44, 46, 46]  # 8 and 9 words
+    assert sum(g != w for g, w in zip(near_classes(spark, tmp_path, texts), want, strict=True)) == 0
+
+
 def test_near_awkward(spark, folders):
     got = collections.defaultdict(set)
     for r in order_minhash.query(spark, folders[0]).collect():
