@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from fareway.llm import (
-    bpe, compress_quality, mixing, order_minhash, quality_rules, sharding, substring_dedup, topk, toxicity, warc,
+    bpe, collocations, compress_quality, decontaminate, fill_middle, mixing, order_minhash, quality_rules, sharding,
+    substring_dedup, topk, toxicity, warc,
 )
 
 QUERIES = {
@@ -17,6 +18,13 @@ QUERIES = {
     "op8_order_minhash": order_minhash.query,
     "op9_feistel_sharding": sharding.query,
     "op10_topk": topk.query,
+    "op11_fill_middle": fill_middle.query,
+    "op12_decontaminate": decontaminate.query,
+    "op13_collocations": collocations.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_fill_middle": fill_middle.ORACLE,
+    "op12_decontaminate": decontaminate.ORACLE,
+    "op13_collocations": collocations.ORACLE,
+}
