@@ -290,32 +290,85 @@ def targets(sizes, weights=(5, 2, 1)):
     return out
 
 
-def test_mixing(spark, folders):
-    for sf in (folders[0], SF):
-        rows = [(r["source"], len(words(r["text"] or ""))) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+def plain_mix(rows, target, size, passes=2, end=1.0):
+    """Words taken of every row by serving each source in hash order; equal rows in a row. ``rows``: (s, h1, h2, size)."""
+    out = collections.Counter()
+    buckets = max(64, int(len(set(rows))**0.5))
+    for s in {r[0] for r in rows}:
+        at = 0
+        mine = sorted((r for r in rows if r[0] == s), key=lambda r: ((r[1] % 2**64 >> 16) % buckets, r))
+        taken = [0] * len(mine)
+        for _ in range(passes):
+            for i, r in enumerate(mine):
+                taken[i] += max(0, min(r[3], math.floor(target[s] * end - at + 1e-6)))
+                at += r[3]
+        for r, n in zip(mine, taken):
+            out[(*r, n)] += 1
+    return out
+
+
+@pytest.fixture(scope="module")
+def mixed_docs(spark):
+    """Sources of very different sizes; one holds many equal rows, one is cut within a run of equal rows."""
+    rng = random.Random(9)
+    rows = [(i, " ".join("w" for _ in range(rng.randrange(40))), rng.choice(["a", "b", "b", "b", "c", None])) for i in range(300)]
+    rows += [(1000, "same text of five words", "hot")] * 200 + [(1001, "x", "dots")] * 77 + [(2000, "one two three", "small")]
+    rows += [(3000, "", "nothing"), (3001, None, "nothing")]
+    return spark.createDataFrame([(*r, "y", "z", 3) for r in rows], "doc_id long, text string, source string, h1 string, _doc string, size int")
+
+
+@pytest.mark.parametrize("budget", [None, 1000.0])
+def test_mixing_takes_what_the_queue_serves(spark, mixed_docs, folders, budget):
+    for docs in (mixed_docs, spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{folders[0]}/documents.parquet")):
+        keys = mixing.keyed(docs, mixing.count_words(mixing.text_or_empty()), ["doc_id", "text"])
+        rows = [tuple(r) for r in keys.select("s", "h1", "h2", "size").collect()]
         sizes = collections.Counter()
-        for s, n in rows:
+        for s, _, _, n in rows:
             sizes[s] += n
         want = targets(sizes)
-        source = {r["doc_id"]: r["source"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-        got = mixing.query(spark, sf).collect()
+        end = 1.0 if budget is None else min(1.0, budget / sum(want.values()))
+        got = mixing.mix(spark, keys, budget=budget).withColumn("taken", F.col("whole") * F.col("size") + F.col("part"))
+        got = got.select(mixing.source_key("_doc.source").alias("s"), mixing.row_key("_doc.doc_id", "_doc.text")[0].bitwiseXOR(
+            F.lit(11)).alias("h1"), mixing.row_key("_doc.doc_id", "_doc.text")[1].alias("h2"), "size", "taken", "target", "source_size").collect()
+        assert collections.Counter(tuple(r)[:5] for r in got) == plain_mix(rows, want, sizes, end=end)
         taken = collections.Counter()
         for r in got:
-            assert 0 <= r["taken"] <= 2 * r["size"]
-            if r["doc_id"] is not None:
-                assert r["source_size"] == sizes[source[r["doc_id"]]]
-                assert math.isclose(r["target"], want[source[r["doc_id"]]], rel_tol=1e-9)
-            taken[(r["source_size"], round(r["target"], 6))] += r["taken"]
-        for (_, t), n in taken.items():
-            assert abs(n - t) % max(t, 1) < 1 or abs(n / t - round(n / t)) < 0.01
+            assert math.isclose(r["target"], want[r["s"]], rel_tol=1e-9) and r["source_size"] == sizes[r["s"]]
+            taken[r["s"]] += r["taken"]
+        assert all(abs(taken[s] - want[s] * end) < 1 + 1e-6 for s in sizes)
+
+
+def test_mixing_query(spark, folders):
+    for sf in (folders[0], SF):
+        got = mixing.query(spark, sf).collect()
+        assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+        assert all(0 <= r["taken"] <= 2 * r["size"] for r in got)
         assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mixing.query(spark, sf).collect()), key=str)
 
 
-def test_mixing_order(spark, docs):
-    q = mixing.queue(docs.select("doc_id", "source", "text"), F.size(F.split("text", " ")).cast("long"))
-    rows = mixing.mix(q.filter("size > 0")).collect()
+def test_mixing_order(spark, mixed_docs):
+    keys = mixing.keyed(mixed_docs, mixing.count_words(mixing.text_or_empty()), ["doc_id", "text"])
+    queued = mixing.queue(spark, keys)
+    rows = mixing.schedule(spark, queued).collect()
     assert [r["finish"] for r in rows] == sorted(r["finish"] for r in rows)
-    assert max(r["copy"] for r in rows) <= 1
+    served = 0
+    for r in rows:
+        served += r["taken"]
+        assert r["served"] == served
+    assert max(r["pass"] for r in rows) == 1
+
+
+def test_mixing_stage(spark, mixed_docs):
+    docs = mixed_docs.withColumn("n_chars", F.length("text")).withColumn("lang", F.lit("en"))
+    out = mixing.stage(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = collections.Counter()
+    for r in out.collect():
+        assert (r["h1"], r["_doc"], r["size"]) == ("y", "z", 3) and r["n_chars"] == len(r["text"])
+        got[r["doc_id"]] += len(words(r["text"]))
+    keys = mixing.keyed(docs, mixing.count_words(mixing.text_or_empty()), ["doc_id", "text"])
+    want = mixing.mix(spark, keys).groupBy("_doc.doc_id").agg(F.sum(F.col("whole") * F.col("size") + F.col("part")).alias("n"))
+    assert got == {r["doc_id"]: r["n"] for r in want.collect() if r["n"]}
 
 
 # 8 ---------------------------------------------------------------------------------------------
