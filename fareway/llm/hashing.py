@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -57,3 +60,67 @@ def text_key(text: str) -> tuple[int, int]:
     """128 hash bits of a text, as two signed longs."""
     d = xxhash.xxh3_128_digest(text)
     return int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
+
+
+_SPACE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
+
+
+@dataclass
+class Spans:
+    """Words of a column of texts as byte ranges: ``starts`` and ``ends`` in ``data``, ``owner`` (row of the column),
+    and ``first`` (index of each row's first word, one more at the end)."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    owner: np.ndarray
+    first: np.ndarray
+
+    def words(self, lo: int, hi: int) -> bytes:
+        """Words ``lo`` to ``hi``, joined by one space."""
+        if lo >= hi:
+            return b""
+        return b" ".join(self.data[self.starts[lo]:self.ends[hi - 1]].tobytes().split())
+
+    def hashes(self) -> np.ndarray:
+        return hash_spans(self.data, self.starts, self.ends)
+
+
+def word_spans(texts: pa.Array) -> Spans:
+    """Words (runs of bytes other than white space) of a string column without nulls, found without decoding it."""
+    n = len(texts)
+    offsets = np.frombuffer(texts.buffers()[1], np.int32, n + 1, 4 * texts.offset).astype(np.int64) if n else np.zeros(1, np.int64)
+    held = texts.buffers()[2] if n else None
+    data = np.frombuffer(held, np.uint8, int(offsets[-1] - offsets[0]), int(offsets[0])) if held is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    space = _SPACE[data]
+    edge = np.zeros(len(data) + 1, bool)  # a text starts here
+    edge[offsets] = True
+    before, after = edge[:-1].copy(), edge[1:].copy()
+    before[1:] |= space[:-1]
+    after[:-1] |= space[1:]
+    starts = np.flatnonzero(~space & before)
+    ends = np.flatnonzero(~space & after) + 1
+    first = np.searchsorted(starts, offsets)
+    return Spans(data, starts, ends, np.repeat(np.arange(n), np.diff(first)), first)
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A non-zero 64-bit hash of every byte range, eight bytes of all ranges at a time."""
+    view = np.ndarray(len(data) + 1, np.dtype("<u8"), np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    left = ends - starts
+    h = mix(left.astype(np.uint64), 5)
+    long = np.flatnonzero(left > 4096)
+    at, rows = starts.copy(), np.flatnonzero(left <= 4096)
+    while len(rows):
+        chunk, rest = view[at[rows]], left[rows]
+        short = np.flatnonzero(rest < 8)
+        chunk[short] &= (np.uint64(1) << (8 * rest[short]).astype(np.uint64)) - np.uint64(1)
+        h[rows] = mix(h[rows] ^ chunk, 6)
+        rows = rows[rest > 8]
+        at[rows] += 8
+        left[rows] -= 8
+    for i in long.tolist():
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]].tobytes())
+    h[h == 0] = 1
+    return h

@@ -16,15 +16,18 @@ a word sequence that also starts anywhere else, in any document.
 4. Automata: recurring windows are patterns of Aho-Corasick automata, sharded
    by anchor. Words are read in blocks (``BLOCK`` words have one short code, one
    stream per phase), so a pattern has ``WINDOW / BLOCK`` codes. All distinct
-   segments stream through the automaton of their shard; every match marks
-   the words of its window. Codes are looked up by their words, so matches
-   are exact.
+   segments stream through the automaton of their shard, a batch at a time;
+   every match marks the words of its window.
 5. Marks go to all copies of a segment and are united per document.
 
 Hot phrases: counts are combined before shuffles; joins on phrase or segment
 are plain equi-joins over written tables, which adaptive execution splits; a
 shard with many segments is dealt to several tasks, each with the automaton.
 
+Words are byte ranges found and hashed with vector operations; texts are
+never decoded before they are cut. Phrases, windows and blocks are equal if their
+64- to 320-bit hashes are.
+
 Defined results: null and empty texts and texts below ``WINDOW`` words lose
 nothing. Two rows equal in id and text are two places, so both lose all
 words if they have 35 or more. Empty tables give empty results. Extra columns of
@@ -42,77 +45,81 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fareway.llm.common import (
-    discard, materialize, packed, row_key, small_batches, table, text_or_empty, unpacked, word_spans, words_of,
+    discard, materialize, packed, row_key, small_batches, table, text_or_empty, unpacked, word_spans as find_words,
 )
-from fareway.llm.hashing import phrases, signed, text_key, word_hashes
+from fareway.llm.hashing import phrases, signed, text_key, word_spans
 
 WINDOW, PHRASE, BLOCK = 35, 8, 7
-CODE, UNKNOWN = 5, "     "  # characters per block number; a block that no pattern has
+CODE, UNKNOWN = 5, " "  # characters per block number; the character of a block that no pattern has
 
 
-def anchors(texts: list[list[str]]) -> tuple[np.ndarray, ...]:
-    """Per segment of all texts: text index, start word, number of windows, anchor hash."""
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+def anchors(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Per segment: first word, number of windows, anchor hash. ``h``, ``owner``: hash and text of every word."""
+    n = len(h) - WINDOW + 1
     empty = np.zeros(0, np.int64)
-    if sizes.sum() < WINDOW:
-        return empty, empty, empty, empty.view(np.uint64)
-    h = np.concatenate([word_hashes(t) for t in texts])
+    if n <= 0:
+        return empty, empty, empty.view(np.uint64)
     p = phrases(h, PHRASE)
     span = WINDOW - PHRASE + 1
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    first = np.cumsum(sizes) - sizes
-    n = len(h) - WINDOW + 1
     at = np.empty(n, np.int64)
-    for i in range(0, n, 100_000):  # the smallest phrase of each window, the leftmost of equal ones
-        view = np.lib.stride_tricks.sliding_window_view(p[i:i + 100_000 + span - 1], span)[:n - i]
-        at[i:i + len(view)] = view.argmin(axis=1) + np.arange(i, i + len(view))
+    low = np.uint64((1 << 17) - 1)
+    for i in range(0, n, 100_000):
+        # The smallest phrase of each window; low bits give its place, so the leftmost of equal ones wins.
+        part = p[i:i + 100_000 + span - 1][:n - i + span - 1]
+        key = (part & ~low) | np.arange(len(part), dtype=np.uint64)
+        width = 1
+        while 2 * width <= span:  # minima of spans of twice the width
+            key = np.minimum(key[:-width], key[width:])
+            width *= 2
+        if width < span:
+            key = np.minimum(key[:len(key) - (span - width)], key[span - width:])
+        at[i:i + len(key)] = (key & low).astype(np.int64) + i
     inside = np.flatnonzero(owner[:n] == owner[WINDOW - 1:])  # windows within one text
     if not len(inside):
-        return empty, empty, empty, empty.view(np.uint64)
+        return empty, empty, empty.view(np.uint64)
     a = at[inside]
     new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (inside[1:] != inside[:-1] + 1)]))
-    count = np.diff(np.append(new, len(inside)))
-    start = inside[new]
-    return owner[start], start - first[owner[start]], count, p[a[new]]
+    return inside[new], np.diff(np.append(new, len(inside))), p[a[new]]
 
 
 def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        owner, start, count, a = anchors([words_of(t) for t in b["text"].to_pylist()])
+        w = word_spans(b["text"])
+        start, count, a = anchors(w.hashes(), w.owner)
+        owner = w.owner[start]
+        o = pa.array(owner)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(signed(a)), b["r1"].take(pa.array(owner)), b["r2"].take(pa.array(owner)),
-             pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))], ["a", "r1", "r2", "start", "n"])
+            [pa.array(signed(a)), b["r1"].take(o), b["r2"].take(o), pa.array((start - w.first[owner]).astype(np.int32)),
+             pa.array(count.astype(np.int32))], ["a", "r1", "r2", "start", "n"])
 
 
 def _emit_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out: dict[str, list] = {c: [] for c in ("r1", "r2", "start", "a", "s1", "s2", "words")}
-        for r1, r2, text, runs in zip(b["r1"].to_pylist(), b["r2"].to_pylist(), b["text"].to_pylist(),
-                                      b["runs"].to_pylist(), strict=True):
-            words = words_of(text)
-            for run in runs:
-                segment = " ".join(words[run["start"]:run["start"] + run["n"] + WINDOW - 1])
-                s1, s2 = text_key(segment)
-                for c, v in zip(out, (r1, r2, run["start"], run["a"], s1, s2, segment), strict=True):
-                    out[c].append(v)
-        out["start"] = pa.array(out["start"], pa.int32())
-        yield pa.RecordBatch.from_pydict(out, pa.schema([("r1", pa.int64()), ("r2", pa.int64()), ("start", pa.int32()), (
-            "a", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("words", pa.string())]))
+        w = word_spans(b["text"])
+        runs = b["runs"]
+        size = np.diff(runs.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(size)), size)
+        flat = runs.flatten()
+        start, count = flat.field("start").to_numpy(), flat.field("n").to_numpy()
+        lo = w.first[owner] + start
+        segments = [w.words(i, j) for i, j in zip(lo.tolist(), (lo + count + WINDOW - 1).tolist(), strict=True)]
+        keys = [text_key(s) for s in segments]
+        o = pa.array(owner)
+        yield pa.RecordBatch.from_arrays(
+            [b["r1"].take(o), b["r2"].take(o), pa.array(start, pa.int32()), flat.field("a"), pa.array([k[0] for k in keys], pa.int64()),
+             pa.array([k[1] for k in keys], pa.int64()), pa.array(segments, pa.binary()).cast(pa.string())],
+            ["r1", "r2", "start", "a", "s1", "s2", "words"])
 
 
 def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Two hashes of every window of each segment, with the segment's copies and the window's place."""
     for b in batches:
-        texts = [t.split(" ") for t in b["words"].to_pylist()]
-        if not texts:
-            continue
-        sizes = np.array([len(t) for t in texts])
-        h = np.concatenate([word_hashes(t) for t in texts])
-        owner = np.repeat(np.arange(len(texts)), sizes)
+        w = word_spans(b["words"])
+        h = w.hashes()
         w1, w2 = phrases(h, WINDOW, 3), phrases(h, WINDOW, 4)
-        start = np.flatnonzero(owner[:len(w1)] == owner[WINDOW - 1:])
-        o = pa.array(owner[start])
-        pos = start - (np.cumsum(sizes) - sizes)[owner[start]]
+        start = np.flatnonzero(w.owner[:len(w1)] == w.owner[WINDOW - 1:])
+        o = pa.array(w.owner[start])
+        pos = start - w.first[w.owner[start]]
         yield pa.RecordBatch.from_arrays(
             [pa.array(signed(w1[start])), pa.array(signed(w2[start])), b["copies"].take(o), b["s1"].take(o), b["s2"].take(o),
              pa.array(pos.astype(np.int32))], ["w1", "w2", "copies", "s1", "s2", "pos"])
@@ -121,86 +128,97 @@ def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 class PhraseAutomaton:
     """Aho-Corasick over windows as sequences of word blocks.
 
-    A block's number is written with ``CODE`` characters of a small alphabet: the automaton looks through a node's
-    edges one by one, so a node must not have an edge per block.
+    A block is known by the hash of its words; its number is written with ``CODE`` characters of a small alphabet, as
+    the automaton looks through a node's edges one by one: a node must not have an edge per block.
     """
 
     def __init__(self) -> None:
-        self.block: dict[str, str] = {}
-        self.machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        self.ready = False
-
-    def _learn(self, block: str) -> str:
-        n, code = len(self.block), ""
-        if n >= 64**CODE:
+        self.blocks = np.zeros(0, np.uint64)
+        self.codes = np.zeros((1, CODE), np.uint8)
+        self.patterns: list[np.ndarray] = []  # block hashes of windows, one row each
+        self.machine: ahocorasick.Automaton | None = None
+
+    def add(self, rows: np.ndarray) -> None:
+        self.patterns.append(rows)
+
+    def _build(self) -> None:
+        rows = np.concatenate(self.patterns)
+        self.blocks, number = np.unique(rows, return_inverse=True)
+        digits, n = [], np.arange(len(self.blocks) + 1)
+        if len(n) > 64**CODE:
             raise OverflowError("more blocks in a shard than codes: raise CODE")
         for _ in range(CODE):
-            n, digit = divmod(n, 64)
-            code += chr(48 + digit)
-        self.block[block] = code
-        return code
-
-    def add(self, words: list[str], places: list[int]) -> None:
-        """The windows of ``words`` that start at ``places``; a block that several of them share is read once."""
-        get, codes = self.block.get, {}
-        for p in places:
-            for i in range(p, p + WINDOW, BLOCK):
-                if i not in codes:
-                    block = " ".join(words[i:i + BLOCK])
-                    codes[i] = get(block) or self._learn(block)
-            self.machine.add_word("".join([codes[i] for i in range(p, p + WINDOW, BLOCK)]))
-
-    def locate(self, words: list[str]) -> list[int]:
-        """Start of every occurrence of a pattern."""
-        if not self.ready and len(self.machine):
-            self.machine.make_automaton()
-        self.ready = True
-        if not len(self.machine):
-            return []
-        get, found = self.block.get, []
-        for phase in range(BLOCK):
-            text = "".join([get(" ".join(words[i:i + BLOCK]), UNKNOWN) for i in range(phase, len(words) - BLOCK + 1, BLOCK)])
-            if len(text) >= CODE * (WINDOW // BLOCK):
-                found += [phase + ((end + 1) // CODE) * BLOCK - WINDOW for end, _ in self.machine.iter(text) if (end + 1) % CODE == 0]
-        return sorted(found)
-
-
-def spans(starts: list[int], width: int = WINDOW) -> list[tuple[int, int]]:
-    """Union of [s, s + width) as disjoint intervals."""
-    out: list[tuple[int, int]] = []
-    for s in starts:
-        if out and s <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], s + width))
-        else:
-            out.append((s, s + width))
-    return out
+            digits.append(48 + n % 64)
+            n //= 64
+        self.codes = np.stack(digits, 1).astype(np.uint8)
+        self.codes[-1] = ord(UNKNOWN)
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        width = CODE * (WINDOW // BLOCK)
+        text = self.codes[number.reshape(rows.shape)].tobytes().decode("ascii")
+        for i in range(0, len(text), width):
+            self.machine.add_word(text[i:i + width])
+        self.machine.make_automaton()
+
+    def locate(self, blocks: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        """First words of all occurrences of patterns. ``blocks``: hash of the block from each word on; ``inside``:
+        whether the block lies within one segment."""
+        if not self.patterns:
+            return np.zeros(0, np.int64)
+        if self.machine is None:
+            self._build()
+        at = np.searchsorted(self.blocks, blocks)
+        at[at == len(self.blocks)] = 0
+        at[(self.blocks[at] != blocks) | ~inside] = len(self.blocks)
+        found = []
+        for phase in range(min(BLOCK, len(at))):
+            stream = at[phase::BLOCK]
+            text = self.codes[stream].tobytes().decode("ascii")
+            ends = np.array([end for end, _ in self.machine.iter(text)], np.int64) + 1
+            ends = ends[ends % CODE == 0]
+            found.append(phase + (ends // CODE) * BLOCK - WINDOW)
+        return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
+def unite(starts: np.ndarray, owner: np.ndarray, width: int = WINDOW) -> tuple[np.ndarray, ...]:
+    """Union of [s, s + width) per owner: owner, low and high end of disjoint intervals. ``starts`` rise."""
+    if not len(starts):
+        return starts, starts, starts
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(starts) > width) | (owner[1:] != owner[:-1])]))
+    last = np.append(new[1:], len(starts)) - 1
+    return owner[new], starts[new], starts[last] + width
 
 
 def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (shard, salt, kind): a shard's patterns build its automaton, its segments stream through."""
     at, machine = None, PhraseAutomaton()
     for b in batches:
-        s1, s2, lo, hi = [], [], [], []
-        for shard, salt, kind, x1, x2, words, places in zip(*(b[c].to_pylist() for c in (
-                "shard", "salt", "kind", "s1", "s2", "words", "places")), strict=True):
-            if at != (shard, salt):
-                at, machine = (shard, salt), PhraseAutomaton()
-            words = words.split(" ")
-            if kind == 0:
-                machine.add(words, places)
+        shard, salt, kind = (b[c].to_numpy() for c in ("shard", "salt", "kind"))
+        change = np.flatnonzero((np.diff(shard) != 0) | (np.diff(salt) != 0) | (np.diff(kind) != 0)) + 1
+        edges = [0, *change.tolist(), len(shard)]
+        for x, y in zip(edges[:-1], edges[1:], strict=True):
+            if x == y:
+                continue
+            if at != (shard[x], salt[x]):
+                at, machine = (shard[x], salt[x]), PhraseAutomaton()
+            w = word_spans(b["words"].slice(x, y - x))
+            blocks = phrases(w.hashes(), BLOCK, 5)
+            if kind[x] == 0:
+                places = b["places"].slice(x, y - x)
+                owner = np.repeat(np.arange(y - x), np.diff(places.offsets.to_numpy()))
+                first = w.first[owner] + places.flatten().to_numpy()
+                machine.add(blocks[first[:, None] + np.arange(0, WINDOW, BLOCK)])
                 continue
-            for a, z in spans(machine.locate(words)):
-                s1.append(x1)
-                s2.append(x2)
-                lo.append(a)
-                hi.append(z)
-        yield pa.RecordBatch.from_arrays([pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(lo, pa.int32()),
-                                          pa.array(hi, pa.int32())], ["s1", "s2", "lo", "hi"])
+            starts = machine.locate(blocks, w.owner[:len(blocks)] == w.owner[BLOCK - 1:])
+            starts = starts[w.owner[starts] == w.owner[starts + WINDOW - 1]]  # not from one segment into the next
+            owner, lo, hi = unite(starts, w.owner[starts])
+            o, before = pa.array(owner + x), w.first[owner]
+            yield pa.RecordBatch.from_arrays([b["s1"].take(o), b["s2"].take(o), pa.array((lo - before).astype(np.int32)),
+                                              pa.array((hi - before).astype(np.int32))], ["s1", "s2", "lo", "hi"])
 
 
 def cut(text: str, marked: list[tuple[int, int]]) -> tuple[str, str, int, int]:
     """Text without the marked words (the rest as it stands), its words joined by spaces, word counts: all, removed."""
-    found = list(word_spans(text))
+    found = list(find_words(text))
     gone = bytearray(len(found))
     for a, z in marked:
         gone[a:z] = b"\x01" * (z - a)
@@ -220,16 +238,18 @@ def cut(text: str, marked: list[tuple[int, int]]) -> tuple[str, str, int, int]:
 def _finish(digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            w = word_spans(b["text"])
+            counts = np.diff(w.first).tolist()
             new, n, removed = [], [], []
-            for text, marked in zip(b["text"].to_pylist(), b["marked"].to_pylist(), strict=True):
+            for row, marked in enumerate(b["marked"].to_pylist()):
                 if marked:
-                    rest, kept, total, gone = cut(text, [(m["lo"], m["hi"]) for m in marked])
+                    rest, kept, total, gone = cut(b["text"][row].as_py(), [(m["lo"], m["hi"]) for m in marked])
+                    kept = kept.encode()
                 elif digest:
-                    words = words_of(text)
-                    rest, kept, total, gone = text, " ".join(words), len(words), 0
+                    rest, kept, total, gone = "", w.words(w.first[row], w.first[row + 1]), counts[row], 0
                 else:
-                    rest, kept, total, gone = text, "", len(words_of(text)), 0
-                new.append(hashlib.sha256(kept.encode()).hexdigest() if digest else rest)
+                    rest, kept, total, gone = b["text"][row].as_py(), b"", counts[row], 0
+                new.append(hashlib.sha256(kept).hexdigest() if digest else rest)
                 n.append(total)
                 removed.append(gone)
             yield pa.RecordBatch.from_arrays([b[0], pa.array(new, pa.string()), pa.array(n, pa.int64()), pa.array(
@@ -244,9 +264,8 @@ def repeated_places(spark: SparkSession, docs: DataFrame, shard_windows: int = 2
         _emit_anchors, "a long, r1 long, r2 long, start int, n int"), "sub-anchors")
     recurring = materialize(spark, a.groupBy("a").agg(F.count("*").alias("c")).filter(
         "c > 1").select("a"), "sub-recurring")
-    runs = a.join(recurring, "a", "left_semi").groupBy("r1", "r2").agg(F.collect_list(F.struct("start", "n", "a")).alias("runs"))
-    # Rows equal in id and text share a key, so their runs come several times.
-    runs = runs.withColumn("runs", F.array_distinct("runs"))
+    # Rows equal in id and text share a key, so their runs come several times: a set drops them before the shuffle.
+    runs = a.join(recurring, "a", "left_semi").groupBy("r1", "r2").agg(F.collect_set(F.struct("start", "n", "a")).alias("runs"))
     held = materialize(spark, docs.join(runs, ["r1", "r2"], "left"), "sub-docs")
     discard(spark, a, recurring)
     seg = materialize(spark, held.filter("runs is not null").select("r1", "r2", "text", "runs").mapInArrow(
