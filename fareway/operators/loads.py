@@ -1,22 +1,28 @@
 """Load strategies over plain parquet tables.
 
 Parquet tables have no MERGE/UPDATE/DELETE, so each strategy is written as
-the relational result it stands for (anti-join + union, filtered union) and
-materialised to a *new* location, after which the table is re-pointed. A
-running reader never sees a half-written table and a failed job leaves the
-old version in place.
+the relational result it stands for (anti-join + union, filtered union). On a
+partitioned table only the partitions that a load can change are read, and
+their new contents go to versioned folders that are switched one by one
+(``sources/versions.py``); an unpartitioned table goes to a new location as a
+whole. A running reader never sees a half-written partition, a failed job
+leaves old or new contents, and superseded folders are removed.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareway.functions.columns import row_hash
+from fareway.operators import key_summary as KS
+from fareway.operators.reports import in_window
 from fareway.session import scratch_path
-from fareway.sources.writers import materialize_table, partition_columns
+from fareway.sources import versions as V
+from fareway.sources.writers import add_columns, materialize_table, partition_columns
 
 
 def add_row_identity(df: DataFrame, cols: list[str], filename: str | Column | None = None,
@@ -42,20 +48,28 @@ def insert_only_rows(target: DataFrame, source: DataFrame, key: str | list[str])
     return source.join(existing, on=k, how="left_anti")
 
 
-def merge_insert_only(target_table: str, source: DataFrame, key: str | list[str]) -> int:
+def merge_insert_only(target_table: str, source: DataFrame, key: str | list[str], within: list[str] | None = None) -> int:
     """WHEN NOT MATCHED THEN INSERT: append the new rows; existing rows are
     never rewritten. Returns the number of inserted rows.
 
-    The anti-join reads the target's file listing fixed at planning time,
-    so the appended files are not read back by the same job. The counts
-    come from parquet footers.
+    Only files that may hold a key of the source are read (``key_summary``).
+    ``within`` names columns that equal keys agree on, such as those that a
+    hash key is made of: their ranges tell files apart when the key's cannot.
+    The anti-join reads the file listing fixed at planning time, so
+    the appended files are not read back by the same job.
     """
     spark = source.sparkSession
+    V.recover(spark, target_table)
+    k = _keys(key)
     target = spark.table(target_table)
-    before = target.count()
-    append_rows(target_table, insert_only_rows(target, source, key))
+    have = set(target.columns)
+    columns = list(dict.fromkeys([*k, *[c for c in within or () if c in have and c in source.columns]]))
+    source = staged(source)
+    KS.summarise(spark, target_table, k, columns)
+    files = KS.may_hold(target_table, source, k, columns)
+    append_rows(target_table, insert_only_rows(target.where(F.col("_metadata.file_path").isin(sorted(files))), source, k))
     spark.catalog.refreshTable(target_table)
-    return spark.table(target_table).count() - before
+    return KS.summarise(spark, target_table, k, columns)
 
 
 def upsert_rows(target: DataFrame, source: DataFrame, key: str | list[str],
@@ -121,72 +135,74 @@ def append_rows(table: str, rows: DataFrame) -> None:
     """Append by name. Columns that the table lacks are added to it first
     (old rows read NULL); columns that the rows lack are NULL."""
     spark = rows.sparkSession
-    have = {c.lower() for c in spark.table(table).columns}
-    new = [f for f in rows.schema.fields if f.name.lower() not in have]
-    if new:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+    V.recover(spark, table)
+    add_columns(table, rows)
+    conform(table, rows).write.insertInto(table)
+
+
+def conform(table: str, rows: DataFrame) -> DataFrame:
+    """``rows`` with exactly the columns of ``table``; those they lack are NULL."""
     given = {c.lower() for c in rows.columns}
-    fields = spark.table(table).schema.fields
-    rows.select(*[F.col(f"`{f.name}`") if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name)
-                  for f in fields]).write.insertInto(table)
+    return rows.select(*[F.col(f"`{f.name}`") if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in rows.sparkSession.table(table).schema.fields])
+
+
+@dataclass
+class Touched:
+    """The part of a table that a load can change: its rows and, by partition value, its folders."""
+
+    rows: DataFrame
+    parts: list[str]
+    folders: dict[tuple, str]
+
+
+def staged(source: DataFrame) -> DataFrame:
+    """The source, evaluated once: a load reads it for its partitions, its keys and its rows."""
+    path = scratch_path(source.sparkSession, "load-source")
+    source.write.parquet(path)
+    return source.sparkSession.read.schema(source.schema).parquet(path)
 
 
 def touched_rows(table: str, source: DataFrame, key: str | list[str] | None = None, time_col: str | None = None,
-                 start: str | None = None, end: str | None = None) -> DataFrame:
-    """The rows of ``table`` in partitions that a load can change: those of
-    the source, those that hold a matched key, and those with a time in the
-    window. An unpartitioned table is one partition."""
+                 start: str | None = None, end: str | None = None) -> Touched:
+    """The partitions of ``table`` that hold a matched key, a partition value of
+    the source, or a time in the window. An unpartitioned table is one partition.
+
+    Partition values and folders pass the driver; they become a filter on the
+    partition columns, so only those folders are listed and read."""
     spark = source.sparkSession
+    V.recover(spark, table)
     target = spark.table(table)
     parts = partition_columns(spark, table)
     if not parts:
-        return target
-    found = target.select(*parts).limit(0)
+        return Touched(target, parts, {})
+    found = []
     if set(parts) <= set(source.columns):
-        found = found.union(source.select(*parts))
+        found.append(target.join(source.select(*parts).distinct().withColumnsRenamed({c: f"_p_{c}" for c in parts}),
+                                 reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in parts]), "left_semi"))
     if key:
         k = _keys(key)
-        found = found.union(target.join(source.select(*k).distinct(), on=k, how="left_semi").select(*parts))
+        found.append(target.join(source.select(*k).distinct(), on=k, how="left_semi"))
     if time_col:
         t = F.col(time_col)
-        found = found.union(target.where((t >= F.lit(start).cast("timestamp_ntz")) & (t < F.lit(end).cast(
-            "timestamp_ntz"))).select(*parts))
-    same = [target[c].eqNullSafe(F.col(f"_p_{c}")) for c in parts]
-    return target.join(found.distinct().select(*[F.col(c).alias(f"_p_{c}") for c in parts]),
-                       reduce(lambda a, b: a & b, same), "left_semi")
-
-
-def rewrite(table: str, touched: DataFrame, new: DataFrame, source: DataFrame, key=None, time_col=None) -> DataFrame:
-    """Put ``new`` in the place of the ``touched`` rows of ``table``.
-
-    Without partitions, or when columns are added, the table is written anew
-    with its layout. Otherwise ``new`` is written aside (it reads the files
-    that it replaces) and the touched partitions are overwritten from there;
-    partitions that end up empty are dropped.
-    """
-    spark = source.sparkSession
-    parts = partition_columns(spark, table)
-    columns = spark.table(table).columns
-    if not parts or set(new.columns) != set(columns):
-        if parts:
-            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in parts])
-            old = touched.select(*[F.col(c).alias(f"_p_{c}") for c in parts]).distinct()
-            new = spark.table(table).join(old, same, "left_anti").unionByName(new, allowMissingColumns=True)
-        return materialize_table(new, table, partition_by=parts or None)
-    aside = scratch_path(spark, "rewrite")
-    new.select(*columns).write.parquet(aside)
-    ready = spark.read.schema(spark.table(table).schema).parquet(aside)
-    gone = touched.select(*parts).distinct().exceptAll(ready.select(*parts).distinct())
-    for r in gone.collect():  # partition values only
-        spec = ", ".join(f"{c} = " + ("NULL" if r[c] is None else f"'{r[c]}'") for c in parts)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        ready.hint("rebalance", *parts).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
-    spark.catalog.refreshTable(table)
+        found.append(target.where((t >= F.lit(start).cast("timestamp_ntz")) & (t < F.lit(end).cast("timestamp_ntz"))))
+    values = {tuple(r) for f in found for r in f.select(*parts).distinct().collect()}
+    rows = target.where(reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [
+        F.col(c).eqNullSafe(F.lit(v).cast(target.schema[c].dataType)) for c, v in zip(parts, value, strict=True)])
+        for value in values], F.lit(False)))
+    return Touched(rows, parts, V.folders(rows, parts) if values else {})
+
+
+def rewrite(table: str, touched: Touched, new: DataFrame) -> DataFrame:
+    """Put ``new`` in the place of the touched rows of ``table``.
+
+    Without partitions the table is written anew. Otherwise columns that the
+    table lacks are added first (old rows read NULL), and only the touched partitions are written."""
+    spark = new.sparkSession
+    if not touched.parts:
+        return materialize_table(new, table)
+    add_columns(table, new)
+    V.switch(spark, table, touched.parts, V.write_version(conform(table, new), table, touched.parts), touched.folders)
     return spark.table(table)
 
 
@@ -212,18 +228,16 @@ def materialize(df: DataFrame, strategy: str, table: str, key: str | list[str] |
     if strategy == "append":
         append_rows(table, df)
         return spark.table(table)
-    if strategy != "time_interval":
-        time_col = None
-    target = touched_rows(table, df, key, time_col, start, end)
-    if strategy == "time_interval":
-        new = time_interval_rows(target, df, time_col, start, end)
-    elif strategy == "delete_insert":
-        new = delete_insert_rows(target, df, key)
-    elif strategy == "merge":
-        new = upsert_rows(target, df, key)
-    else:
+    if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy}; one of {STRATEGIES}")
-    return rewrite(table, target, new, df, key, time_col)
+    if strategy == "time_interval":
+        df = staged(in_window(df, time_col, start, end))
+        target = touched_rows(table, df, time_col=time_col, start=start, end=end)
+        return rewrite(table, target, time_interval_rows(target.rows, df, time_col, start, end))
+    df = staged(df)
+    target = touched_rows(table, df, key)
+    rows = delete_insert_rows if strategy == "delete_insert" else upsert_rows
+    return rewrite(table, target, rows(target.rows, df, key))
 
 
 def merge_upsert(target_table: str, source: DataFrame, key: str | list[str],
@@ -231,6 +245,6 @@ def merge_upsert(target_table: str, source: DataFrame, key: str | list[str],
     """Upsert merge into a table on a unique key (matched rows replaced,
     others inserted). A partitioned table keeps its layout and only the
     partitions that the source touches are written again."""
-    spark = source.sparkSession
+    source = staged(source)
     target = touched_rows(target_table, source, key)
-    return rewrite(target_table, target, upsert_rows(target, source, key, dedupe), source, key)
+    return rewrite(target_table, target, upsert_rows(target.rows, source, key, dedupe))

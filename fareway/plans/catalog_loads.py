@@ -258,8 +258,8 @@ def merge_insert_only(spark, sf):
     name = _name("yellow_trips")
     W.materialize_table(y.where(F.col("tpep_pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")), name)
     source = y.where(F.col("tpep_pickup_datetime") >= F.lit("1997-07-01").cast("timestamp_ntz"))
-    L.merge_insert_only(name, source, "unique_row_id")
-    L.merge_insert_only(name, source, "unique_row_id")  # idempotent: inserts nothing the second time
+    L.merge_insert_only(name, source, "unique_row_id", within=HASH7_COLUMNS)
+    L.merge_insert_only(name, source, "unique_row_id", within=HASH7_COLUMNS)  # idempotent: inserts nothing the second time
     return spark.table(name)
 
 

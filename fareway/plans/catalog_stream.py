@@ -4,7 +4,8 @@ The producer side writes the messages as JSON-lines files, one folder per
 two weeks of event time, in event-time order, plus an optional far-future flush
 message. Each query streams those files (one folder per micro-batch), runs
 the windowed aggregate with a 5 s watermark into an idempotent keyed sink,
-and returns the sink's contents. The oracles are the batch window SQL.
+and returns the sink's contents. The oracles are the batch window SQL. An
+empty table gives empty results.
 """
 
 from __future__ import annotations
@@ -19,22 +20,19 @@ from fareway.operators import reports as R
 from fareway.plans import fixtures as fx
 from fareway.plans.registry import query
 from fareway.session import scratch_path
+from fareway.sources import versions as V
 from fareway.streaming import sessions as GS
 from fareway.streaming import sinks as K
 from fareway.streaming import sources as SS
 from fareway.streaming import windows as WN
 
-FILES_PER_BATCH = 4
+BATCHES = 4  # micro-batches that the files of a query are dealt to: a batch has more files, and tasks, as the data grow
+ROWS_PER_FILE = 1_000_000
 SLICE_SECONDS = 14 * 86400
 FLUSH_TS = "2099-01-01 00:00:00"
 DELAY = "5 seconds"
 
 
-def _messages(spark, sf, form):
-    rides = fx.rides(spark, sf)
-    return rides, (SS.to_text_message(rides) if form == "text" else SS.to_epoch_message(rides))
-
-
 def flush_event(spark: SparkSession, form: str) -> DataFrame:
     """Sentinel far in the future: advances the watermark past every real
     window; its own window never closes, so it is never emitted."""
@@ -47,28 +45,50 @@ def flush_event(spark: SparkSession, form: str) -> DataFrame:
 
 def write_message_slices(spark, sf, form: str, first: int = 0, last: int | None = None,
                          root: str | None = None) -> tuple[str, int]:
-    """Write time slices [first, last) of messages, in time order, each as
-    ``FILES_PER_BATCH`` files. Returns (root, number of slices in the data)."""
+    """Write time slices [first, last) of messages, one folder each, in one
+    pass: range-partitioned by event time, so that files are in time order.
+    Returns (root, number of slices in the data), 0 for an empty table."""
     rides = fx.rides(spark, sf)
     epoch = F.unix_seconds(F.col("event_ts").cast("timestamp"))
-    lo, hi = rides.agg(F.min(epoch), F.max(epoch)).collect()[0]
+    lo, hi = rides.agg(F.min(epoch), F.max(epoch)).first()
+    root = root or scratch_path(spark, f"rides-{form}")
+    if lo is None:
+        return root, 0
     n = (hi - lo) // SLICE_SECONDS + 1
-    sliced = rides.withColumn("_slice", F.floor((epoch - F.lit(lo)) / SLICE_SECONDS))
+    number = F.floor((epoch - F.lit(lo)) / SLICE_SECONDS)
     to_msg = SS.to_text_message if form == "text" else SS.to_epoch_message
-    root = root or scratch_path(spark, f"rides-{form}")
-    for s in range(first, n if last is None else min(last, n)):
-        part = to_msg(sliced.where(F.col("_slice") == s))
-        part.repartition(FILES_PER_BATCH).write.json(f"{root}/s{s:04d}")
+    part = rides.where((number >= first) & (number < (n if last is None else min(last, n))))
+    messages = to_msg(part, F.format_string("%04d", number).alias("s"), F.col("event_ts").alias("_at"))
+    messages = messages.repartitionByRange("_at").sortWithinPartitions("s", "_at").drop("_at")
+    messages.write.mode("append").partitionBy("s").option("maxRecordsPerFile", ROWS_PER_FILE).json(root)
+    put_in_order(spark, root)
     return root, n
 
 
+_STARTED: dict[str, int] = {}
+
+
+def put_in_order(spark: SparkSession, root: str) -> None:
+    """A file stream reads files by their time: give them the order of their names, as one producer would."""
+    now = _STARTED.setdefault(root, int(dt.datetime.now().timestamp() * 1000) - 86_400_000)
+    files = [f for folder in V.children(spark, root) if "/s=" in folder for f in V.children(spark, folder) if f.endswith(".json")]
+    for i, f in enumerate(files):
+        path, fs = V._fs(spark, f)
+        fs.setTimes(path, now + i, -1)
+
+
+def files_per_trigger(spark: SparkSession, root: str) -> int:
+    files = sum(f.endswith(".json") for folder in V.children(spark, root) if "/s=" in folder for f in V.children(spark, folder))
+    return max(1, -(-files // BATCHES))
+
+
 def write_flush(spark, root: str, form: str) -> None:
-    flush_event(spark, form).repartition(1).write.json(f"{root}/s9999")
+    flush_event(spark, form).repartition(1).write.json(f"{root}/s=9999")
 
 
 def _source(spark, root, form):
     schema = SS.RIDE_TEXT_SCHEMA if form == "text" else SS.RIDE_EPOCH_SCHEMA
-    stream = SS.read_stream(spark, f"{root}/*/*.json", schema, fmt="files", max_per_trigger=FILES_PER_BATCH)
+    stream = SS.read_stream(spark, f"{root}/*/*.json", schema, fmt="files", max_per_trigger=files_per_trigger(spark, root))
     if form == "text":
         return SS.with_event_time(stream, DELAY, text_col="lpep_pickup_datetime")
     return SS.with_event_time(stream, DELAY, epoch_col="tpep_pickup_datetime")
@@ -80,7 +100,7 @@ def _ntz(df: DataFrame, *cols) -> DataFrame:
 
 def run_windows(spark, root, form, build, key, sink_path=None, ckpt=None):
     out = build(_source(spark, root, form))
-    sink = K.KeyedSink(sink_path or scratch_path(spark, "sink"), key)
+    sink = K.KeyedSink(sink_path or scratch_path(spark, "sink"), key, out.schema)
     q = K.run_stream(out, sink, ckpt or scratch_path(spark, "ckpt"))
     q.awaitTermination()
     return sink, q
@@ -104,10 +124,16 @@ def tumble_tips(df):
     return WN.tumbling(df, "event_timestamp", "1 hour", [], WN.tips_aggs()).drop("window_end")
 
 
-def session_zone(gap):
-    def build(df):
-        return WN.sessions(df, "event_timestamp", gap, ["PULocationID"])
-    return build
+def _session_query(spark, sf, gap_minutes, session_keys, count_keys):
+    """Sessions of the streamed messages, into a keyed sink."""
+    root, _ = write_message_slices(spark, sf, "text")
+    write_flush(spark, root, "text")
+    stream = _source(spark, root, "text")
+    sink = K.KeyedSink(scratch_path(spark, "sink"), [*session_keys, "session_start", *count_keys])
+    writer = GS.SessionStream(scratch_path(spark, "sessions"), sink, "event_timestamp", gap_minutes * 60, session_keys, count_keys)
+    sink.schema = writer.schema(stream)
+    K.run_stream(stream, writer, scratch_path(spark, "ckpt")).awaitTermination()
+    return _ntz(sink.read(spark), "session_start", "session_end")
 
 
 # ---------------------------------------------------------------- oracles
@@ -161,15 +187,11 @@ def stream_tumble_global(spark, sf):
 
 @query("stream_session_keyed", session_sql(SESSION_GAP_MIN))
 def stream_session_keyed(spark, sf):
-    df = _window_query(spark, sf, "text", session_zone(f"{SESSION_GAP_MIN} minutes"),
-                       ["PULocationID", "session_start", "session_end"])
-    return _ntz(df, "session_start", "session_end")
+    return _session_query(spark, sf, SESSION_GAP_MIN, ["PULocationID"], [])
 
 
 def _hw_sessions(spark, sf):
-    df = _window_query(spark, sf, "text", session_zone(f"{HW_SESSION_GAP_MIN} minutes"),
-                       ["PULocationID", "session_start", "session_end"])
-    return _ntz(df, "session_start", "session_end")
+    return _session_query(spark, sf, HW_SESSION_GAP_MIN, ["PULocationID"], [])
 
 
 @query("longest_session", f"""SELECT PULocationID, cast(num_trips AS bigint) AS num_trips, session_start AS window_start,
@@ -213,12 +235,9 @@ def stream_top_windows(spark, sf):
 
 @query("stream_session_global", GS.GLOBAL_SESSION_SQL_TEMPLATE.format(gap=HW_SESSION_GAP_MIN))
 def stream_session_global(spark, sf):
-    """Sessions over all zones together (5 min gap), then trips per zone in
-    each session; computed on the whole stream history in parallel."""
-    msgs = SS.to_text_message(fx.rides(spark, sf))
-    events = msgs.select(F.to_timestamp("lpep_pickup_datetime", SS.TEXT_TS_FORMAT).cast("timestamp_ntz").alias("ts"),
-                         "PULocationID")
-    return GS.global_session_counts(events, "ts", HW_SESSION_GAP_MIN * 60, ["PULocationID"])
+    """Sessions over all zones together (5 min gap) inside the stream, then
+    trips per zone in each session."""
+    return _session_query(spark, sf, HW_SESSION_GAP_MIN, [], ["PULocationID"])
 
 
 # ---------------------------------------------------------------- pass-through, sources
@@ -227,10 +246,11 @@ def _append_query(spark, sf, form, transform):
     root, _ = write_message_slices(spark, sf, form)
     stream = SS.read_stream(spark, f"{root}/*/*.json",
                             SS.RIDE_TEXT_SCHEMA if form == "text" else SS.RIDE_EPOCH_SCHEMA,
-                            fmt="files", max_per_trigger=FILES_PER_BATCH)
-    sink = K.KeyedSink(scratch_path(spark, "sink"), [])
-    K.run_stream(transform(stream), sink, scratch_path(spark, "ckpt")).awaitTermination()
-    return spark.read.parquet(sink.path).drop("batch_id")
+                            fmt="files", max_per_trigger=files_per_trigger(spark, root))
+    out = transform(stream)
+    sink = K.KeyedSink(scratch_path(spark, "sink"), [], out.schema)
+    K.run_stream(out, sink, scratch_path(spark, "ckpt")).awaitTermination()
+    return sink.read(spark)
 
 
 @query("stream_pass_through", """SELECT PULocationID, DOLocationID, trip_distance, cast(total_amount AS double) AS total_amount,
@@ -275,12 +295,12 @@ def stream_source_latest(spark, sf):
     root, _ = write_message_slices(spark, sf, "text", 0, n // 2)
     ckpt = scratch_path(spark, "ckpt")
     src = SS.read_stream(spark, f"{root}/*/*.json", SS.RIDE_TEXT_SCHEMA, fmt="files",
-                         max_per_trigger=FILES_PER_BATCH)
+                         max_per_trigger=files_per_trigger(spark, root))
     SS.skip_existing(src, ckpt)
     write_message_slices(spark, sf, "text", n // 2, None, root=root)
-    sink = K.KeyedSink(scratch_path(spark, "sink"), [])
+    sink = K.KeyedSink(scratch_path(spark, "sink"), [], src.schema)
     K.run_stream(src, sink, ckpt).awaitTermination()
-    return spark.read.parquet(sink.path).drop("batch_id")
+    return sink.read(spark)
 
 
 # ---------------------------------------------------------------- late data, flush, restart, sinks
@@ -294,9 +314,9 @@ def stream_late_drop(spark, sf):
     root, n = write_message_slices(spark, sf, "text")
     rides = fx.rides(spark, sf)
     epoch = F.unix_seconds(F.col("event_ts").cast("timestamp"))
-    lo = rides.agg(F.min(epoch)).collect()[0][0]
+    lo = rides.agg(F.min(epoch)).first()[0]
     late = SS.to_text_message(rides.where(F.floor((epoch - F.lit(lo)) / SLICE_SECONDS) == 0))
-    late.repartition(FILES_PER_BATCH).write.json(f"{root}/s{n:04d}")
+    late.coalesce(1).write.json(f"{root}/s={n:04d}")
     write_flush(spark, root, "text")
     sink, _ = run_windows(spark, root, "text", tumble_zone("5 minutes"), ["window_start", "PULocationID"])
     return _ntz(sink.read(spark), "window_start")
@@ -337,10 +357,12 @@ def stream_upsert(spark, sf):
     root, _ = write_message_slices(spark, sf, "text")
     write_flush(spark, root, "text")
     sink, q = run_windows(spark, root, "text", tumble_tips, ["window_start"])
-    last = spark.read.parquet(sink.path).agg(F.max("batch_id")).collect()[0][0]
-    copy = scratch_path(spark, "replay")
-    spark.read.parquet(f"{sink.path}/batch_id={last}").write.parquet(copy)
-    sink(spark.read.parquet(copy), last)  # the same batch delivered again
+    ids = sink.pending(spark)
+    if ids:
+        copy = scratch_path(spark, "replay")
+        spark.read.parquet(f"{sink.path}/batches/batch_id={ids[-1]}").write.parquet(copy)
+        sink(spark.read.parquet(copy), ids[-1])  # the same batch delivered again
+    sink.compact(spark, ids[-1] if ids else -1)
     return _ntz(sink.read(spark), "window_start")
 
 

@@ -192,18 +192,19 @@ def load_trip_file(spark: SparkSession, csv_path: str, schema, filename: str, st
                    hash_columns: list[str]) -> int:
     """One trip file into the warehouse table: typed CSV read, staging
     reloaded (truncate + load of the listed columns), hash identity and file
-    name added, then an insert-only merge on the identity. Re-loading a
+    name added, then an insert-only merge on the identity. Columns that staging
+    or target lack are added to them. Re-loading a
     file inserts nothing. Returns the number of inserted rows."""
     from fareway.operators.loads import add_row_identity, merge_insert_only
     from fareway.sources.files import copy_in, read_trips_csv
-    from fareway.sources.writers import truncate_load
+    from fareway.sources.writers import add_columns, truncate_load
 
     raw = read_trips_csv(spark, csv_path, schema)
-    staged_schema = spark.table(staging).schema
-    truncate_load(spark, copy_in(raw, [f.name for f in schema.fields], staged_schema), staging)
+    add_columns(staging, raw)
+    truncate_load(spark, copy_in(raw, [f.name for f in schema.fields], spark.table(staging).schema), staging)
     staged = spark.table(staging).drop("unique_row_id", "filename")
     with_id = add_row_identity(staged, hash_columns, filename=filename)
-    return merge_insert_only(target, with_id.select(*spark.table(target).columns), "unique_row_id")
+    return merge_insert_only(target, with_id, "unique_row_id", within=hash_columns)
 
 
 def build_fact_incremental(spark: SparkSession, table: str, trips: DataFrame, dim_zones: DataFrame,

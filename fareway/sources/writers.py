@@ -6,11 +6,14 @@ Table locations are explicit paths under the shared checkpoint folder
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareway.session import scratch_path
+from fareway.sources import versions
 
 
 def write_report(df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite",
@@ -123,27 +126,62 @@ def materialize_table(df: DataFrame, name: str, partition_by: list[str] | None =
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(loc)
-    same = spark.catalog.tableExists(name) and not partition_by and not partition_columns(spark, name) and [
+    exists = spark.catalog.tableExists(name)
+    old = [versions.location(spark, name)] if exists else []
+    old += [f"{f}.versions" for f in old]
+    same = exists and not partition_by and not partition_columns(spark, name) and [
         (f.name, f.dataType) for f in spark.table(name).schema.fields] == [(f.name, f.dataType) for f in df.schema.fields]
     if same:  # one catalog change: readers see the old or the new contents
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{loc}'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {versions.literal(loc)}")
         spark.catalog.refreshTable(name)
-        return spark.table(name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    part = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet {part} LOCATION '{loc}'")
-    if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+    else:
+        swap_table(spark, name, df.schema, loc, partition_by, exists)
+    versions.remove(spark, [f for f in old if f != loc])
     return spark.table(name)
 
 
+def swap_table(spark: SparkSession, name: str, schema: T.StructType, loc: str, partition_by: list[str] | None, exists: bool) -> None:
+    """Register the written folder under ``name``. The new table is complete before the
+    old one steps aside, and the old one comes back if the new one cannot take its name."""
+    tag = uuid.uuid4().hex[:8]
+    fresh, aside = f"{name}_new_{tag}", f"{name}_old_{tag}"
+    part = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {fresh} ({cols}) USING parquet {part} LOCATION {versions.literal(loc)}")
+    try:
+        if partition_by:
+            spark.sql(f"MSCK REPAIR TABLE {fresh}")
+        if exists:
+            spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+        try:
+            spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+        except Exception:
+            if exists:
+                spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+            raise
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    if exists:
+        spark.sql(f"DROP TABLE {aside}")
+
+
+def add_columns(table: str, rows: DataFrame) -> None:
+    """Schema change 'append new columns': columns of ``rows`` that the table lacks are added; its rows read NULL."""
+    spark = rows.sparkSession
+    have = {c.lower() for c in spark.table(table).columns}
+    new = [f for f in rows.schema.fields if f.name.lower() not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+
+
 def truncate_load(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
-    """Empty the staging table, then load the frame into it.
+    """Empty the staging table, then load the frame into it. Columns of the frame that the table lacks are added.
 
     Tables here live at explicit locations (external), where TRUNCATE is not
     allowed; an INSERT OVERWRITE has the same outcome in one step.
     """
+    add_columns(table, df)
     df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
     return spark.table(table)
 

@@ -8,7 +8,7 @@ Offsets/progress live in the query checkpoint, not in a consumer group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +38,8 @@ RIDE_TEXT_SCHEMA = T.StructType([
 TEXT_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def to_text_message(rides: DataFrame) -> DataFrame:
-    """Ride rows -> text-form message columns (sub-second digits dropped)."""
+def to_text_message(rides: DataFrame, *more: Column) -> DataFrame:
+    """Ride rows -> text-form message columns (sub-second digits dropped), and ``more``."""
     return rides.select(
         timestamp_text("event_ts").alias("lpep_pickup_datetime"),
         timestamp_text(F.col("event_ts") + F.expr("INTERVAL 10 MINUTES")).alias("lpep_dropoff_datetime"),
@@ -49,17 +49,19 @@ def to_text_message(rides: DataFrame) -> DataFrame:
         F.col("trip_distance").cast("double").alias("trip_distance"),
         F.col("tip_amount").cast("double").alias("tip_amount"),
         F.col("total_amount").cast("double").alias("total_amount"),
+        *more,
     )
 
 
-def to_epoch_message(rides: DataFrame) -> DataFrame:
-    """Ride rows -> epoch-form message columns (millisecond pickup time)."""
+def to_epoch_message(rides: DataFrame, *more: Column) -> DataFrame:
+    """Ride rows -> epoch-form message columns (millisecond pickup time), and ``more``."""
     return rides.select(
         F.col("PULocationID").cast("int").alias("PULocationID"),
         F.col("DOLocationID").cast("int").alias("DOLocationID"),
         F.col("trip_distance").cast("double").alias("trip_distance"),
         F.col("total_amount").cast("double").alias("total_amount"),
         epoch_millis("event_ts").alias("tpep_pickup_datetime"),
+        *more,
     )
 
 

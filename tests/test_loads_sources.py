@@ -4,12 +4,15 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fareway.operators import key_summary as KS
 from fareway.operators import loads as L
 from fareway.session import scratch_path
 from fareway.sources import files as src
+from fareway.sources import versions as V
 from fareway.sources import writers as W
 
 
@@ -204,6 +207,143 @@ def test_upsert_keeps_layout_and_untouched_partitions(spark):
     assert after["c"] == files["c"] and after["b"] != files["b"] and "a" not in after
 
 
+def _rows(spark, name, *cols):
+    return sorted((tuple(r) for r in spark.table(name).select(*cols).collect()), key=str)
+
+
+def test_deleted_rows_stay_deleted(spark):
+    """A partition that a merge empties does not come back with the next append to it."""
+    name = _name("moved")
+    L.materialize(spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, v string, p int"), "replace", name, partition_by=["p"])
+    L.merge_upsert(name, spark.createDataFrame([(1, "moved", 2)], "k int, v string, p int"), "k")
+    assert _rows(spark, name, "k", "v", "p") == [(1, "moved", 2), (2, "b", 2)]
+    L.append_rows(name, spark.createDataFrame([(3, "new", 1)], "k int, v string, p int"))
+    assert _rows(spark, name, "k", "v", "p") == [(1, "moved", 2), (2, "b", 2), (3, "new", 1)]
+
+
+def test_partition_values_of_any_text(spark):
+    values = ["O'Hare", "a/b c", "50%", "back\\slash", "é", 'quote"', None, "x=y", "plus+"]
+    name = _name("texts")
+    L.materialize(spark.createDataFrame([(i, i, v) for i, v in enumerate(values)], "k int, v int, p string"), "replace", name,
+                  partition_by=["p"])
+    for _ in range(2):
+        L.merge_upsert(name, spark.createDataFrame([(i, 10 * i, v) for i, v in enumerate(values)], "k int, v int, p string"), "k")
+    assert _rows(spark, name, "k", "v", "p") == sorted(((i, 10 * i, v) for i, v in enumerate(values)), key=str)
+    L.merge_upsert(name, spark.createDataFrame([(i, 1, "one") for i in range(len(values))], "k int, v int, p string"), "k")
+    assert _rows(spark, name, "k", "v", "p") == [(i, 1, "one") for i in range(len(values))]
+
+
+@pytest.mark.parametrize("fail_at", [0, 1, 2])
+def test_failed_switch_leaves_old_or_new_and_is_finished_later(spark, monkeypatch, fail_at):
+    name = _name("broken")
+    old = [(i, "old", i % 3) for i in range(9)]
+    L.materialize(spark.createDataFrame(old, "k int, v string, p int"), "replace", name, partition_by=["p"])
+    new = spark.createDataFrame([(i, "new", i % 3) for i in range(6)] + [(8, "new", 0)], "k int, v string, p int")
+    apply = V._apply
+
+    def broken(spark, table, steps):
+        apply(spark, table, steps[:fail_at])
+        raise RuntimeError("lost the driver")
+
+    monkeypatch.setattr(V, "_apply", broken)
+    with pytest.raises(RuntimeError):
+        L.merge_upsert(name, new, "k")
+    monkeypatch.undo()
+    spark.catalog.refreshTable(name)
+    want = {k: (k, "new", p) for k, _, p in [(i, "", i % 3) for i in range(6)] + [(8, "", 0)]} | {6: (6, "old", 0), 7: (7, "old", 1)}
+    for p in range(3):  # each partition is as before or as it will be
+        now = sorted(r for r in _rows(spark, name, "k", "v", "p") if r[2] == p)
+        assert now in (sorted(r for r in old if r[2] == p), sorted(r for r in want.values() if r[2] == p))
+    L.append_rows(name, spark.createDataFrame([(20, "later", 1)], "k int, v string, p int"))
+    assert _rows(spark, name, "k", "v", "p") == sorted([*want.values(), (20, "later", 1)], key=str)
+
+
+def test_superseded_folders_are_removed(spark):
+    name = _name("clean")
+    L.materialize(spark.createDataFrame([(i, i, i % 3) for i in range(9)], "k int, v int, p int"), "replace", name, partition_by=["p"])
+    before = set(V.folders(spark.table(name), ["p"]).values())
+    L.merge_upsert(name, spark.createDataFrame([(1, 100, 1)], "k int, v int, p int"), "k")
+    after = V.folders(spark.table(name), ["p"])
+    gone = before - set(after.values())
+    assert len(gone) == 1 and not any(V.children(spark, f) for f in gone)
+    assert all(V.children(spark, f) for f in after.values())
+    assert not [f for f in V.children(spark, V.side_folder(spark, name)) if "/switch-" in f]
+
+
+@pytest.mark.parametrize("partition_by", [None, ["p"]])
+def test_failing_replace_keeps_the_table(spark, monkeypatch, partition_by):
+    name = _name("kept")
+    L.materialize(spark.createDataFrame([(1, 1)], "k int, p int"), "replace", name, partition_by=partition_by)
+    first = V.location(spark, name)
+    monkeypatch.setattr(W, "swap_table", lambda *a: (_ for _ in ()).throw(RuntimeError("no catalog")))
+    with pytest.raises(RuntimeError):
+        L.materialize(spark.createDataFrame([("x", 2)], "other string, p int"), "replace", name, partition_by=["p"])
+    assert _rows(spark, name, "k", "p") == [(1, 1)]
+    monkeypatch.undo()
+    L.materialize(spark.createDataFrame([("x", 2)], "other string, p int"), "replace", name, partition_by=["p"])
+    assert _rows(spark, name, "other", "p") == [("x", 2)] and W.partition_columns(spark, name) == ["p"]
+    assert not V.children(spark, first)
+
+
+def test_partitioned_time_interval_and_delete_insert(spark):
+    t = lambda m, d: dt.datetime(2024, m, d)
+    base = spark.createDataFrame([(1, t(1, 5), 1), (2, t(2, 5), 2), (3, t(2, 25), 2), (4, t(3, 5), 3)], "k int, t timestamp_ntz, m int")
+    name = _name("pti")
+    L.materialize(base, "replace", name, partition_by=["m"])
+    untouched = V.folders(spark.table(name), ["m"])
+    run = spark.createDataFrame([(9, t(2, 7), 2), (8, t(3, 30), 3)], "k int, t timestamp_ntz, m int")
+    for _ in range(2):
+        L.materialize(run, "time_interval", name, time_col="t", start="2024-02-01", end="2024-02-20")
+    assert _rows(spark, name, "k", "m") == [(1, 1), (3, 2), (4, 3), (9, 2)]
+    now = V.folders(spark.table(name), ["m"])
+    assert now[1,] == untouched[1,] and now[3,] == untouched[3,] and now[2,] != untouched[2,]
+    L.materialize(spark.createDataFrame([(3, t(1, 1), 1), (3, t(3, 1), 3)], "k int, t timestamp_ntz, m int"), "delete_insert", name, key="k")
+    assert _rows(spark, name, "k", "m") == [(1, 1), (3, 1), (3, 3), (4, 3), (9, 2)]
+
+
+def test_load_adds_columns_to_a_partitioned_table(spark):
+    name = _name("wide")
+    L.materialize(spark.createDataFrame([(1, 1), (2, 2)], "k int, p int"), "replace", name, partition_by=["p"])
+    before = V.folders(spark.table(name), ["p"])
+    L.merge_upsert(name, spark.createDataFrame([(2, "x", 2)], "k int, extra string, p int"), "k")
+    assert _rows(spark, name, "k", "extra", "p") == [(1, None, 1), (2, "x", 2)]
+    assert V.folders(spark.table(name), ["p"])[1,] == before[1,]
+
+
+def test_truncate_load_and_file_load_add_columns(spark):
+    name = _name("stage")
+    W.ensure_table(spark, name, T.StructType([T.StructField("a", T.IntegerType())]))
+    W.truncate_load(spark, spark.createDataFrame([(1, "x")], "a int, b string"), name)
+    assert _rows(spark, name, "a", "b") == [(1, "x")]
+
+
+def test_merge_reads_only_files_that_may_hold_its_keys(spark):
+    name = _name("big")
+    month = lambda m: spark.range(40).select(
+        F.md5(F.concat_ws("-", F.lit(m), "id")).alias("k"), F.lit(dt.datetime(2024, m, 1)).cast("timestamp_ntz").alias("t"), F.col("id"))
+    W.ensure_table(spark, name, month(1).schema)
+    read = []
+    for m in range(1, 7):
+        assert L.merge_insert_only(name, month(m), "k", within=["t"]) == 40
+        read.append(len(KS.may_hold(name, month(m), ["k"], ["k", "t"])))
+    assert len(KS.file_names(spark.table(name))) >= 6 and len(set(read)) == 1  # as many files for the sixth month as for the first
+    assert L.merge_insert_only(name, month(2), "k", within=["t"]) == 0
+    assert L.merge_insert_only(name, month(2).unionByName(month(9).limit(3)), "k", within=["t"]) == 3
+    # Without columns that go with the key, the bitmaps tell files apart.
+    hold = KS.may_hold(name, month(4).where("id in (3, 30)"), ["k"], ["k"])
+    assert 1 <= len(hold) <= 3
+    scan = spark.table(name).where(F.col("_metadata.file_path").isin(sorted(hold)))
+    assert scan.join(month(4), "k", "left_semi").count() >= 2
+
+
+def test_merge_keeps_rows_with_null_keys_and_nulls_beside_keys(spark):
+    name = _name("nulls")
+    W.materialize_table(spark.createDataFrame([("a", None, 1), ("b", 5, 2)], "k string, w int, v int"), name)
+    src = spark.createDataFrame([("a", None, 9), (None, None, 3), ("c", None, 4), ("b", 5, 7)], "k string, w int, v int")
+    assert L.merge_insert_only(name, src, "k", within=["w"]) == 2
+    assert _rows(spark, name, "k", "w", "v") == sorted([("a", None, 1), ("b", 5, 2), (None, None, 3), ("c", None, 4)], key=str)
+
+
 def test_widest_decimal():
     a, b = T.DecimalType(18, 2), T.DecimalType(18, 3)
     out = src.canonical_columns([T.StructType([T.StructField("x", t)]) for t in (a, b, T.LongType())])
