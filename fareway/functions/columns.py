@@ -6,8 +6,9 @@ whole-stage codegen; nothing runs per row in Python.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
@@ -44,6 +45,18 @@ def safe_cast(c: ColumnOrName, data_type: str, strict: bool = False) -> Column:
     return c.cast(data_type) if strict else c.try_cast(data_type)
 
 
+def exact(df: DataFrame, name: str) -> Column:
+    """A column whose sums do not depend on the order of their rows.
+
+    Floating point becomes ``decimal(38,20)``: all digits of the shortest text
+    that gives the value back, down to 1e-20; sums below 1e18 in size are exact, and
+    larger ones raise an error. Other types are exact as they are.
+    """
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.col(f"`{name}`").cast("decimal(38,20)")
+    return F.col(f"`{name}`")
+
+
 def payment_description(c: ColumnOrName) -> Column:
     code = safe_cast(c, "int")
     expr = None

@@ -77,7 +77,9 @@ def summarise(spark: SparkSession, table: str, key: list[str], columns: list[str
         return pd.DataFrame({"file": pdf["file"].iloc[:1], "bitmap": [np.packbits(field).tobytes()]})
 
     bitmaps = rows.select("file", _hash(key).alias("h")).groupBy("file").applyInPandas(bitmap, "file string, bitmap binary")
-    ranges.join(bitmaps, "file").write.mode("append").parquet(_folder(spark, table))
+    named = spark.createDataFrame([(f,) for f in sorted(new)], "file string")  # a file without rows gets a summary too
+    named.join(ranges.join(bitmaps, "file"), "file", "left").fillna(0, ["rows", *[f"nulls_{c}" for c in columns]]).withColumn(
+        "bitmap", F.coalesce("bitmap", F.lit(bytes(MIN_BITS // 8)))).write.mode("append").parquet(_folder(spark, table))
     return spark.read.parquet(_folder(spark, table)).where(F.col("file").isin(sorted(new))).agg(F.sum("rows")).first()[0] or 0
 
 

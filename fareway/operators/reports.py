@@ -10,9 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareway.functions import columns as X
+
 
 
 def money_sum(c: str | Column, scale: int = 2) -> Column:
+    """Sum rounded once, at the end. Pass floating point through ``columns.exact``."""
     c = F.col(c) if isinstance(c, str) else c
     return F.sum(c).cast(f"decimal(38,{scale})")
 
@@ -58,7 +61,7 @@ def revenue_hourly(df: DataFrame, prefix: str, since: str | None = None,
         df = df.where(F.col(ts) >= F.lit(since).cast("timestamp_ntz"))
     return (df.groupBy(F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz").alias("hour"),
                        F.col(zone).alias("zone_id"))
-            .agg(money_sum("total_amount").alias(f"{prefix}_amount"),
+            .agg(money_sum(X.exact(df, "total_amount")).alias(f"{prefix}_amount"),
                  F.count(F.lit(1)).alias(f"{prefix}_number_records")))
 
 
@@ -78,8 +81,8 @@ def revenue_monthly(df: DataFrame, sums: list[str] | None = None,
         have = {c.lower(): c for c in df.columns}
         sums = [c for c in MONTHLY_SUMS if c.lower() in have]
         sums += [have[c.lower()] for c in MONTHLY_OPTIONAL_SUMS if c.lower() in have]
-    aggs = [money_sum(c).alias(f"revenue_monthly_{'fare' if c == 'fare_amount' else c}") for c in sums]
-    aggs += [exact_avg(c).alias(f"avg_monthly_{c}") for c in avgs]
+    aggs = [money_sum(X.exact(df, c)).alias(f"revenue_monthly_{'fare' if c == 'fare_amount' else c}") for c in sums]
+    aggs += [exact_avg(X.exact(df, c)).alias(f"avg_monthly_{c}") for c in avgs]
     return df.groupBy(F.col("PULocationID").alias("pickup_zone"),
                       F.date_trunc("month", "pickup_datetime").cast("timestamp_ntz").alias("revenue_month"),
                       "service_type").agg(*aggs)
@@ -96,11 +99,11 @@ def monthly_zone_revenue(fct: DataFrame) -> DataFrame:
     applied after grouping, so a NULL zone and a literal 'Unknown Zone'
     stay separate rows (the SQL semantics of grouping by the source column).
     """
-    aggs = [money_sum(c, 3).alias(f"revenue_monthly_{c if c != 'fare_amount' else 'fare'}")
+    aggs = [money_sum(X.exact(fct, c), 3).alias(f"revenue_monthly_{c if c != 'fare_amount' else 'fare'}")
             for c in MART_SUMS]
     aggs += [F.count("trip_id").alias("total_monthly_trips"),
-             exact_avg("passenger_count").alias("avg_monthly_passenger_count"),
-             exact_avg("trip_distance").alias("avg_monthly_trip_distance")]
+             exact_avg(X.exact(fct, "passenger_count")).alias("avg_monthly_passenger_count"),
+             exact_avg(X.exact(fct, "trip_distance")).alias("avg_monthly_trip_distance")]
     g = fct.groupBy(F.col("pickup_zone").alias("_zone"),
                     F.date_trunc("month", "pickup_datetime").cast("timestamp_ntz").alias("revenue_month"),
                     "service_type").agg(*aggs)
@@ -114,14 +117,14 @@ def trips_report(staged: DataFrame, start: str | None = None, end: str | None =
                       "payment_type_name").agg(
         F.count(F.lit(1)).alias("trip_count"),
         int_sum("passenger_count").alias("total_passengers"),
-        F.sum("trip_distance").cast("double").alias("total_distance"),
-        money_sum("fare_amount").alias("total_fare"),
-        money_sum("tip_amount").alias("total_tips"),
-        money_sum("total_amount").alias("total_revenue"),
-        exact_avg("fare_amount").alias("avg_fare"),
-        exact_avg("total_amount").alias("avg_revenue"),
-        exact_avg("trip_distance").alias("avg_trip_distance"),
-        exact_avg("passenger_count").alias("avg_passengers"),
+        F.sum(X.exact(df, "trip_distance")).cast("double").alias("total_distance"),
+        money_sum(X.exact(df, "fare_amount")).alias("total_fare"),
+        money_sum(X.exact(df, "tip_amount")).alias("total_tips"),
+        money_sum(X.exact(df, "total_amount")).alias("total_revenue"),
+        exact_avg(X.exact(df, "fare_amount")).alias("avg_fare"),
+        exact_avg(X.exact(df, "total_amount")).alias("avg_revenue"),
+        exact_avg(X.exact(df, "trip_distance")).alias("avg_trip_distance"),
+        exact_avg(X.exact(df, "passenger_count")).alias("avg_passengers"),
     )
 
 

@@ -160,7 +160,7 @@ cast(sum(improvement_surcharge) AS decimal(38,2)) AS revenue_monthly_improvement
 cast(sum(total_amount) AS decimal(38,2)) AS revenue_monthly_total_amount,
 cast(sum(congestion_surcharge) AS decimal(38,2)) AS revenue_monthly_congestion_surcharge,
 cast(sum(passenger_count) AS double) / count(passenger_count) AS avg_monthly_passenger_count,
-cast(sum(trip_distance) AS double) / count(trip_distance) AS avg_monthly_trip_distance
+cast(sum(cast(trip_distance AS decimal(18,7))) AS double) / count(trip_distance) AS avg_monthly_trip_distance
 FROM ({_union_sql()}) GROUP BY 1, 2, 3""")
 def revenue_monthly(spark, sf):
     return R.revenue_monthly(trips_data(spark, sf))

@@ -14,6 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fareway.functions import columns as X
 from fareway.operators import loads as L
 from fareway.operators import reports as R
 from fareway.operators import staging as S
@@ -188,15 +189,14 @@ def publish_json(spark, sf):
     W.publish_json(to_text_message(fx.rides(spark, sf)), path)
     back = spark.read.text(path).select(F.from_json("value", RIDE_TEXT_SCHEMA).alias("m")).select("m.*")
     return back.agg(F.count(F.lit(1)).alias("messages"), F.count_if(F.col("PULocationID").isNotNull()).alias("parsed"),
-                    F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total_amount"))
+                    F.sum(X.exact(back, "total_amount")).cast("decimal(38,2)").alias("total_amount"))
 
 
 # ------------------------------------------------------------------ tables
 
 @query("write_table", "SELECT * FROM green", HOURLY_ALL)
 def write_table(spark, sf):
-    return W.write_table(_hourly_green(spark, sf), f"reports.{_name('green_hourly')}", fmt="bigquery",
-                         options={"writeMethod": "direct"}, fallback=True)
+    return W.write_table(_hourly_green(spark, sf), f"reports.{_name('green_hourly')}")
 
 
 @query("ensure_table", "SELECT * FROM green", HOURLY_ALL)
@@ -283,7 +283,7 @@ def merge_upsert(spark, sf):
                                                  "fare_amount", "tip_amount", "tolls_amount", "store_and_fwd_flag")]
     keyed = dedup_first(y, ["vendor_id", "pickup_datetime", "pickup_location_id"], order, tie_break=False)
     keyed = keyed.select(F.md5(F.concat_ws("-", F.col("vendor_id").cast("string"),
-                                           F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss"),
+                                           F.col("pickup_datetime").cast("string"),
                                            F.col("pickup_location_id").cast("string"))).alias("rid"), *y.columns)
     name = _name("trips_upsert")
     W.materialize_table(keyed.where(F.col("pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")), name)

@@ -145,7 +145,7 @@ def check_suite(spark, sf):
 
     y = S.stage_yellow(_yellow(spark, sf))
     y = y.withColumn("trip_key", F.md5(F.concat_ws("-", F.col("vendor_id").cast("string"),
-                                                   X.timestamp_text("pickup_datetime"),
+                                                   F.col("pickup_datetime").cast("string"),
                                                    F.col("pickup_location_id").cast("string"))))
     row_level = Q.check_suite(y, "stg_yellow", [("not_null", "vendor_id"), ("non_negative", "total_amount"),
                                                 ("accepted_values", "payment_type", [1, 2, 3, 4, 5, 6])])

@@ -116,12 +116,12 @@ def _window_query(spark, sf, form, build, key, flush=True):
 
 def tumble_zone(size):
     def build(df):
-        return WN.tumbling(df, "event_timestamp", size, ["PULocationID"], WN.ride_window_aggs()).drop("window_end")
+        return WN.tumbling(df, "event_timestamp", size, ["PULocationID"], WN.ride_window_aggs(df)).drop("window_end")
     return build
 
 
 def tumble_tips(df):
-    return WN.tumbling(df, "event_timestamp", "1 hour", [], WN.tips_aggs()).drop("window_end")
+    return WN.tumbling(df, "event_timestamp", "1 hour", [], WN.tips_aggs(df)).drop("window_end")
 
 
 def _session_query(spark, sf, gap_minutes, session_keys, count_keys):
@@ -312,13 +312,16 @@ def stream_late_drop(spark, sf):
     by the watermark and the windows equal those of the on-time data.
     (Rows only seconds behind the bound are tested exactly in pytest.)"""
     root, n = write_message_slices(spark, sf, "text")
+    sink_path, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    run = lambda: run_windows(spark, root, "text", tumble_zone("5 minutes"), ["window_start", "PULocationID"], sink_path, ckpt)
+    run()
     rides = fx.rides(spark, sf)
     epoch = F.unix_seconds(F.col("event_ts").cast("timestamp"))
     lo = rides.agg(F.min(epoch)).first()[0]
     late = SS.to_text_message(rides.where(F.floor((epoch - F.lit(lo)) / SLICE_SECONDS) == 0))
     late.coalesce(1).write.json(f"{root}/s={n:04d}")
     write_flush(spark, root, "text")
-    sink, _ = run_windows(spark, root, "text", tumble_zone("5 minutes"), ["window_start", "PULocationID"])
+    sink, _ = run()
     return _ntz(sink.read(spark), "window_start")
 
 

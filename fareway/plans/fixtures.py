@@ -8,8 +8,9 @@ written once below and rendered for two dialects: Spark (the DataFrames the
 operators run on) and DuckDB (the independent oracle). Only the timestamp
 shift and the month text differ by dialect.
 
-All money columns are ``decimal(18,2)`` so that sums are exact in both
-engines; the views grow linearly with the input tables.
+Money columns of trips are ``decimal(18,2)``; distances are doubles with seven
+decimals, and amounts of messages have seven decimals and very different
+sizes, so that a cut or an order-dependent sum shows. The views grow linearly with the input tables.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ SPARK = "spark"
 DUCK = "duckdb"
 
 
-def _shift(d: str, ts: str, secs: str) -> str:
+def _shift(d: str, ts: str, secs: str, micros: str = "") -> str:
     if d == SPARK:
-        return f"timestampadd(SECOND, cast({secs} AS int), {ts})"
-    return f"({ts} + to_seconds(cast({secs} AS bigint)))"
+        out = f"timestampadd(SECOND, cast({secs} AS int), {ts})"
+        return f"timestampadd(MICROSECOND, cast({micros} AS int), {out})" if micros else out
+    out = f"({ts} + to_seconds(cast({secs} AS bigint)))"
+    return f"({out} + to_microseconds(cast({micros} AS bigint)))" if micros else out
 
 
 def _month_text(d: str, ts: str) -> str:
@@ -38,6 +41,15 @@ def _dec(x: str) -> str:
 
 PICKUP_SECS = "(l_partkey * 37 % 86400)"
 DROPOFF_SECS = "(l_partkey * 37 % 86400 + 60 + l_orderkey * 53 % 7200)"
+# A quarter of the trips starts within a second, down to the microsecond.
+MICROS = "(CASE WHEN l_orderkey % 4 = 1 THEN l_orderkey * 7919 % 1000000 ELSE 0 END)"
+
+
+def _digits(number: str) -> str:
+    """Five more digits and a last 3, below 0.01: no text of a sum ends in a tie."""
+    return f"cast({number} % 10000 * 10 + 3 AS decimal(10,0)) * cast(0.0000001 AS decimal(8,7))"
+
+
 FARE = (
     "CASE WHEN l_orderkey % 97 = 0 THEN cast(0 AS decimal(18,2)) "
     "WHEN l_orderkey % 101 = 0 THEN -cast(l_extendedprice AS decimal(18,2)) "
@@ -52,14 +64,14 @@ DUPLICATE_FILTER = "l_orderkey % 11 = 0"
 def trip_columns(d: str, service: str) -> list[tuple[str, str]]:
     """(name, expression) of the raw trip file of one service, in file order."""
     pre = "tpep" if service == "yellow" else "lpep"
-    pickup = _shift(d, "l_shipdate", PICKUP_SECS)
-    dropoff = _shift(d, "l_shipdate", DROPOFF_SECS)
+    pickup = _shift(d, "l_shipdate", PICKUP_SECS, MICROS)
+    dropoff = _shift(d, "l_shipdate", DROPOFF_SECS, MICROS)
     common = {
         "VendorID": "cast(CASE l_suppkey % 4 WHEN 3 THEN NULL ELSE l_suppkey % 4 END AS int)",
         f"{pre}_pickup_datetime": pickup,
         f"{pre}_dropoff_datetime": dropoff,
         "passenger_count": "cast(l_linenumber AS bigint)",
-        "trip_distance": "l_quantity",
+        "trip_distance": f"cast(cast(cast(l_quantity AS decimal(18,2)) + {_digits('l_orderkey')} AS decimal(18,7)) AS double)",
         "RatecodeID": "cast(l_partkey % 6 + 1 AS int)",
         "store_and_fwd_flag": "CASE WHEN l_linestatus = 'O' THEN 'N' ELSE 'Y' END",
         "PULocationID": "cast(l_suppkey % 27 AS int)",
@@ -126,8 +138,9 @@ def ride_columns(d: str) -> list[tuple[str, str]]:
         ("DOLocationID", "cast(user_id * 7 % 25 AS int)"),
         ("passenger_count", "cast(user_id % 4 + 1 AS int)"),
         ("trip_distance", "value"),
-        ("tip_amount", "cast(cast(value AS decimal(18,2)) * 0.1 AS decimal(18,3))"),
-        ("total_amount", "cast(value AS decimal(18,2))"),
+        ("tip_amount", f"cast(cast(value AS decimal(18,2)) * 0.1 + {_digits('event_id * 7')} AS decimal(18,7))"),
+        ("total_amount", f"cast(cast(value AS decimal(18,2)) * cast(CASE WHEN event_id % 50 = 0 THEN 10000 ELSE 1 END AS decimal(6,0)) "
+                         f"+ {_digits('event_id')} AS decimal(18,7))"),
     ]
 
 

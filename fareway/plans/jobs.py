@@ -140,13 +140,13 @@ def elt_staging(ingested: DataFrame, payment_lookup: DataFrame, start: str | Non
     base = base.where(F.col("pickup_datetime").isNotNull() & (F.col("total_amount") >= 0)
                       & (F.col("fare_amount") >= 0))
     base = R.in_window(base, "pickup_datetime", start, end)
-    lk = payment_lookup.select("payment_type_id", "payment_type_name")
-    # NULL payment codes never match the lookup (plain equality).
-    joined = base.join(lk, base.payment_type == lk.payment_type_id, "left").drop("payment_type_id")
     key = ["taxi_type", "pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id",
            "total_amount"]
-    first = dedup_first(joined, key, [F.col("filename").asc_nulls_last()])
-    return first.withColumn("payment_type_name", F.coalesce("payment_type_name", F.lit("Unknown"))).select(
+    first = dedup_first(base, key, [F.col("filename").asc_nulls_last()])
+    # Labels after the dedup: they follow from the code, and fewer rows need them. NULL codes never match (plain equality).
+    lk = payment_lookup.select("payment_type_id", "payment_type_name")
+    named = first.join(lk, first.payment_type == lk.payment_type_id, "left").drop("payment_type_id")
+    return named.withColumn("payment_type_name", F.coalesce("payment_type_name", F.lit("Unknown"))).select(
         *ELT_COLUMNS)
 
 

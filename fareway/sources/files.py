@@ -127,18 +127,19 @@ _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 _INTEGRAL_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 
 
-def _widest_decimal(types) -> T.DecimalType:
-    """The decimal with the most digits before and after the point that any of the exact types has."""
+def _widest_decimal(types) -> T.DataType:
+    """The decimal with the most digits before and after the point that any of the exact types has;
+    text where that is more than 38 digits, so that no digit is lost."""
     scale = max(t.scale if isinstance(t, T.DecimalType) else 0 for t in types)
     whole = max(t.precision - t.scale if isinstance(t, T.DecimalType) else _INTEGRAL_DIGITS[type(t)] for t in types)
-    return T.DecimalType(min(38, whole + scale), min(scale, max(0, 38 - whole)))
+    return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
 
 
-def canonical_columns(schemas: list[T.StructType]) -> dict[str, T.StructField]:
+def canonical_columns(schemas: list[T.StructType], mixed: dict[str, T.DataType] | None = None) -> dict[str, T.StructField]:
     """One spelling and one type per column (names case-insensitive) over
     files whose footers differ: the same type is kept; mixed integral types
     widen to bigint, exact types to a decimal that holds them all, a mix with
-    floating point to double, mixed timestamps to NTZ,
+    floating point to double or what ``mixed`` says, mixed timestamps to NTZ,
     anything else to string."""
     seen: dict[str, list[T.StructField]] = {}
     for sch in schemas:
@@ -154,7 +155,7 @@ def canonical_columns(schemas: list[T.StructType]) -> dict[str, T.StructField]:
         elif all(isinstance(t, _INTEGRAL + (T.DecimalType,)) for t in types):
             dtype = _widest_decimal(types)
         elif all(isinstance(t, _INTEGRAL + _FRACTIONAL) for t in types):
-            dtype = T.DoubleType()
+            dtype = (mixed or {}).get(low, T.DoubleType())
         elif all(isinstance(t, (T.TimestampType, T.TimestampNTZType)) for t in types):
             dtype = T.TimestampNTZType()
         else:
@@ -163,39 +164,83 @@ def canonical_columns(schemas: list[T.StructType]) -> dict[str, T.StructField]:
     return out
 
 
-def read_schema_groups(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Parquet files with differing footers (types or name case): one scan
-    per distinct footer schema, each cast to the canonical columns, then
-    concatenated by name. Files sharing a schema (the usual case) are one
-    scan.
+def _conflict(e: Exception) -> bool:
+    return "CANNOT_MERGE" in str(e) or "merge" in str(e).lower()
 
-    Fast path: one scan with ``mergeSchema`` (footers read by a distributed
-    job). Spark rejects conflicting types there, and case-variant names would
-    come out twice; only then are the footers grouped file by file.
-    """
+
+def schema_groups(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Runs of ``paths`` whose footers agree, with their schema.
+
+    Footers are read and merged by Spark's distributed ``mergeSchema`` job;
+    paths that disagree are halved and tried again. Files drift from time to time, not one
+    by one, so k changes over n files in order take about k log n jobs. Groups of one schema are joined."""
     try:
-        merged = spark.read.option("mergeSchema", "true").parquet(*paths)
-        names = [c.lower() for c in merged.columns]
-        if len(names) == len(set(names)):
-            return merged.withColumn("_file_path", F.col("_metadata.file_path"))
+        schema = spark.read.option("mergeSchema", "true").parquet(*paths).schema
+        names = [f.name.lower() for f in schema.fields]
+        if len(names) == len(set(names)) or len(paths) == 1:
+            return [(schema, paths)]
     except Exception as e:  # noqa: BLE001 - conflicting footer types
-        if "CANNOT_MERGE" not in str(e) and "merge" not in str(e).lower():
+        if not _conflict(e) or len(paths) == 1:
             raise
-    groups: dict[str, list[str]] = {}
-    schemas: dict[str, T.StructType] = {}
-    for p in paths:
-        sch = spark.read.parquet(p).schema
-        key = sch.json()
-        groups.setdefault(key, []).append(p)
-        schemas[key] = sch
-    canon = canonical_columns(list(schemas.values()))
-    frames = []
-    for key, ps in groups.items():
-        df = spark.read.parquet(*ps)
-        cols = [F.col(f"`{f.name}`").cast(canon[f.name.lower()].dataType).alias(canon[f.name.lower()].name)
-                for f in schemas[key].fields]
-        frames.append(df.select(*cols, F.col("_metadata.file_path").alias("_file_path")))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    half = len(paths) // 2
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, some in schema_groups(spark, paths[:half]) + schema_groups(spark, paths[half:]):
+        groups.setdefault(schema.json(), (schema, []))[1].extend(some)
+    return list(groups.values())
+
+
+def _exact_type(groups: list[tuple[T.StructType, DataFrame]], low: str) -> T.DataType:
+    """A type for a column that is a whole number in some groups and floating point in others, chosen from the data:
+    double if it holds every whole number, bigint if every floating number is whole, else a
+    decimal that holds all digits, else text. One aggregate over the column in all groups."""
+    parts = []
+    for schema, df in groups:
+        for f in schema.fields:
+            if f.name.lower() != low:
+                continue
+            c = F.col(f"`{f.name}`")
+            if isinstance(f.dataType, _INTEGRAL + (T.DecimalType,)):
+                whole = F.lit(True) if isinstance(f.dataType, _INTEGRAL) else c == F.floor(c)
+                digits = c.cast("decimal(38,18)").isNotNull() if isinstance(f.dataType, T.DecimalType) else F.lit(True)
+                parts.append(df.select(F.coalesce(c.cast("double").cast("decimal(38,0)") == c.cast("decimal(38,0)"), F.lit(True)).alias(
+                    "as_double"), F.coalesce(whole, F.lit(True)).alias("as_long"), F.coalesce(digits, F.lit(True)).alias("as_decimal")))
+            else:
+                d = c.cast("double")
+                inside = F.abs(d) < F.lit(1e18)
+                exact = inside & (d.try_cast("decimal(38,18)").cast("double") == d)
+                parts.append(df.select(F.lit(True).alias("as_double"), F.coalesce(inside & (d == F.floor(d)), d.isNull()).alias("as_long"),
+                                       F.coalesce(exact, d.isNull()).alias("as_decimal")))
+    r = reduce(lambda a, b: a.unionByName(b), parts).agg(*[F.coalesce(F.bool_and(c), F.lit(True)).alias(c) for c in (
+        "as_double", "as_long", "as_decimal")]).first()
+    if r["as_double"]:
+        return T.DoubleType()
+    if r["as_long"]:
+        return T.LongType()
+    return T.DecimalType(38, 18) if r["as_decimal"] else T.StringType()
+
+
+def read_schema_groups(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Parquet files with differing footers (types or name case): one scan
+    per distinct schema, each cast to the canonical columns, then
+    concatenated by name. Files sharing a schema (the usual case) are one
+    scan. Names differing in case only are one column."""
+    found = schema_groups(spark, paths)
+    frames = [(schema, spark.read.schema(schema).parquet(*ps)) for schema, ps in found]
+    if len(frames) == 1 and len({f.name.lower() for f in found[0][0].fields}) == len(found[0][0].fields):
+        return frames[0][1].withColumn("_file_path", F.col("_metadata.file_path"))
+    types: dict[str, set] = {}
+    for schema, _ in frames:
+        for f in schema.fields:
+            types.setdefault(f.name.lower(), set()).add(type(f.dataType))
+    floating = (T.FloatType, T.DoubleType)
+    mixed = {low: _exact_type(frames, low) for low, ts in types.items() if len(ts) > 1 and ts & set(floating) and all(
+        issubclass(t, _INTEGRAL + _FRACTIONAL) for t in ts) and not ts <= set(floating)}
+    canon = canonical_columns([schema for schema, _ in frames], mixed)
+    out = []
+    for schema, df in frames:
+        cols = [F.col(f"`{f.name}`").cast(canon[f.name.lower()].dataType).alias(canon[f.name.lower()].name) for f in schema.fields]
+        out.append(df.select(*cols, F.col("_metadata.file_path").alias("_file_path")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
 
 
 def ingest_months(spark: SparkSession, root: str, start: str, end: str, taxi_types: list[str],

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareway.session import scratch_path
-from fareway.sources import versions
+from fareway.sources import versions, warehouse
 
 
 def write_report(df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite",
@@ -186,15 +186,14 @@ def truncate_load(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def write_table(df: DataFrame, table: str, fmt: str | None = None, options: dict | None = None,
-                location: str | None = None, fallback: bool = False) -> DataFrame:
-    """Warehouse sink through a connector when it is available, otherwise a
-    parquet table at an explicit location, if ``fallback`` allows that."""
-    if fmt:
-        try:
-            df.write.format(fmt).options(**(options or {})).mode("overwrite").save(table)
-            return df
-        except Exception as e:  # noqa: BLE001 - connector absent
-            if not fallback or "DATA_SOURCE_NOT_FOUND" not in str(e) and "ClassNotFound" not in str(e):
-                raise
-    return materialize_table(df, table.replace(".", "_"), location=location)
+def write_table(df: DataFrame, table: str, fmt: str = warehouse.FORMAT, options: dict | None = None,
+                location: str | None = None, mode: str = "overwrite") -> DataFrame:
+    """Warehouse sink through a connector; the table as it can be read back.
+
+    By default the library's own connector (two-phase commit into a folder that all machines reach);
+    ``fmt`` names any other on the class path, which is read back by the same name."""
+    spark = df.sparkSession
+    if fmt == warehouse.FORMAT:
+        return warehouse.read(spark, warehouse.write(df, location or table_location(spark, table.replace(".", "-")), mode))
+    df.write.format(fmt).options(**(options or {})).mode(mode).save(table)
+    return spark.read.format(fmt).options(**(options or {})).load(table)

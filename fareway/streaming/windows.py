@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareway.functions.columns import exact
+
 
 def tumbling(df: DataFrame, ts: str, size: str, keys: list[str], aggs: list[Column]) -> DataFrame:
     """Fixed, non-overlapping windows of ``size`` per ``keys``."""
@@ -26,12 +28,11 @@ def sessions(df: DataFrame, ts: str, gap: str, keys: list[str]) -> DataFrame:
                     "num_trips")
 
 
-def ride_window_aggs(amount: str = "total_amount") -> list[Column]:
-    """Trip count and revenue; money summed as decimal so the double result
-    does not depend on arrival order."""
-    return [F.count(F.lit(1)).alias("num_trips"),
-            F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("total_revenue")]
+def ride_window_aggs(df: DataFrame, amount: str = "total_amount") -> list[Column]:
+    """Trip count and revenue; money is summed with all its digits, so the
+    double result does not depend on arrival order."""
+    return [F.count(F.lit(1)).alias("num_trips"), F.sum(exact(df, amount)).cast("double").alias("total_revenue")]
 
 
-def tips_aggs(amount: str = "tip_amount") -> list[Column]:
-    return [F.sum(F.col(amount).cast("decimal(18,3)")).cast("double").alias("total_tips")]
+def tips_aggs(df: DataFrame, amount: str = "tip_amount") -> list[Column]:
+    return [F.sum(exact(df, amount)).cast("double").alias("total_tips")]

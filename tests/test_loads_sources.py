@@ -1,6 +1,7 @@
 """Load strategies on tables and file sources on hand-made files."""
 
 import datetime as dt
+import decimal
 import json
 import os
 
@@ -348,3 +349,78 @@ def test_widest_decimal():
     a, b = T.DecimalType(18, 2), T.DecimalType(18, 3)
     out = src.canonical_columns([T.StructType([T.StructField("x", t)]) for t in (a, b, T.LongType())])
     assert out["x"].dataType == T.DecimalType(22, 3)
+    assert src.canonical_columns([T.StructType([T.StructField("x", t)]) for t in (T.DecimalType(38, 10), T.LongType(), T.DecimalType(
+        38, 2))])["x"].dataType == T.StringType()  # no decimal holds 36 digits before the point and 10 after it
+
+
+def test_drifting_numbers_keep_every_digit(spark):
+    big = 2**60 + 1
+    cases = [([3, 4], [1.5], "double"), ([big], [2.0, 3.0], "bigint"), ([big], [0.25], "decimal(38,18)"), ([big], [1e300], "string")]
+    for i, (whole, real, want) in enumerate(cases):
+        root = scratch_path(spark, "t-digits")
+        spark.createDataFrame([(x,) for x in whole], "x bigint").coalesce(1).write.parquet(f"{root}/a")
+        spark.createDataFrame([(x,) for x in real], "x double").coalesce(1).write.parquet(f"{root}/b")
+        out = src.read_schema_groups(spark, [f"{root}/a", f"{root}/b"])
+        assert dict(out.dtypes)["x"] == want, i
+        if want != "double":
+            assert str(big) in {str(r.x).split(".")[0] for r in out.collect()}
+        assert out.count() == len(whole) + len(real)
+
+
+def test_drift_is_found_by_halving(spark, monkeypatch):
+    root = scratch_path(spark, "t-many")
+    paths = []
+    for i in range(16):
+        name = "fee" if i < 11 else "Fee"
+        spark.createDataFrame([(i, 0.5)], f"id {'int' if i < 5 else 'bigint'}, {name} double").coalesce(1).write.parquet(f"{root}/f{i:02d}")
+        paths.append(f"{root}/f{i:02d}")
+    groups = src.schema_groups(spark, paths)
+    assert sorted(p for _, ps in groups for p in ps) == paths and len(groups) <= 3
+    out = src.read_schema_groups(spark, paths)
+    assert out.columns[:2] == ["id", "fee"] and sorted(r.id for r in out.collect()) == list(range(16))
+    assert out.agg(F.sum("fee")).first()[0] == 8.0
+
+
+def test_warehouse_connector_commits_and_aborts(spark):
+    from fareway.sources import warehouse as H
+
+    path = _local(scratch_path(spark, "t-warehouse"))
+    df = spark.range(1000).select("id", (F.col("id") % 7).cast("int").alias("m"), F.lit(dt.datetime(2024, 1, 1)).cast(
+        "timestamp_ntz").alias("t"), F.col("id").cast("decimal(18,3)").alias("d"))
+    assert W.write_table(df, "reports.x", location=path).exceptAll(df).count() == 0
+    H.write(df.where("id < 10"), path, mode="append")
+    assert H.read(spark, path).count() == 1010
+    before = sorted(os.listdir(f"{path}/data"))
+    bad = df.withColumn("m", F.when(F.col("id") == 999, F.raise_error(F.lit("broken row")).cast("int")).otherwise(F.col("m")))
+    with pytest.raises(Exception, match="broken row"):
+        H.write(bad.repartition(4), path)
+    assert H.read(spark, path).count() == 1010  # the table is as it was, and the write left nothing
+    assert sorted(os.listdir(f"{path}/data")) == before and sorted(os.listdir(path)) == ["data", "manifest.json"]
+    H.write(df.where("id < 3"), path)
+    assert sorted(r.id for r in H.read(spark, path).collect()) == [0, 1, 2] and len(os.listdir(f"{path}/data")) <= 3
+    H.write(df.limit(0), path)
+    assert H.read(spark, path).count() == 0 and H.read(spark, path).dtypes == df.dtypes
+    with pytest.raises(Exception):
+        H.write(bad, f"{path}-new")
+    assert not os.path.exists(f"{path}-new/manifest.json")
+
+
+def test_sums_of_doubles_do_not_depend_on_order(spark):
+    from fareway.operators import reports as R
+    from fareway.streaming import windows as WN
+
+    rows = [(dt.datetime(2024, 1, 1, i % 3), i % 2, v) for i, v in enumerate([0.1234567, 1e9 + 0.0000001, -1e9, 1e-7, 0.3, 12345.6789012] * 40)]
+    exact = {}
+    for t, z, v in rows:
+        exact[t, z] = exact.get((t, z), 0) + decimal.Decimal(repr(v))
+    seen, streamed = set(), set()
+    for n in (1, 3, 16):
+        df = spark.createDataFrame(rows, "pickup_datetime timestamp_ntz, PULocationID int, total_amount double").repartition(n)
+        got = {(r.hour, r.zone_id): r.x_amount for r in R.revenue_hourly(df, "x").collect()}
+        assert got == {k: v.quantize(decimal.Decimal("0.01"), decimal.ROUND_HALF_UP) for k, v in exact.items()}
+        seen.add(str(sorted(got.items())))
+        w = WN.tumbling(df, "pickup_datetime", "1 hour", ["PULocationID"], WN.ride_window_aggs(df))
+        sums = {(r.window_start, r.PULocationID): r.total_revenue for r in w.collect()}
+        assert sums == {k: float(v) for k, v in exact.items()}
+        streamed.add(str(sorted(sums.items())))
+    assert len(seen) == len(streamed) == 1

@@ -69,7 +69,7 @@ def test_late_rows_behind_closed_window_are_dropped(spark):
     _write(root, "b1", [_msg(395, 1)])  # 5 s behind the newest: on time
     _write(root, "b2", [_msg(100, 1), _msg(410, 1)])  # 300 s late: window [0, 5 min) closed in b1
     _write(root, "b3", [_msg(10 ** 8, -1)])
-    build = lambda df: WN.tumbling(df, "event_timestamp", "5 minutes", ["PULocationID"], WN.ride_window_aggs())  # noqa
+    build = lambda df: WN.tumbling(df, "event_timestamp", "5 minutes", ["PULocationID"], WN.ride_window_aggs(df))  # noqa
     sink, q = _run(spark, root, build, ["window_start", "PULocationID"])
     got = sorted((r.window_start.minute, r.num_trips) for r in sink.read(spark).collect())
     assert got == [(0, 1), (5, 3)]
@@ -79,7 +79,7 @@ def test_late_rows_behind_closed_window_are_dropped(spark):
 
 def test_restart_from_checkpoint_equals_single_run(spark):
     msgs = [_msg(i * 37, i % 3, float(i)) for i in range(200)]
-    build = lambda df: WN.tumbling(df, "event_timestamp", "5 minutes", ["PULocationID"], WN.ride_window_aggs())  # noqa
+    build = lambda df: WN.tumbling(df, "event_timestamp", "5 minutes", ["PULocationID"], WN.ride_window_aggs(df))  # noqa
     root = _local(scratch_path(spark, "t-in"))
     _write(root, "b0", msgs[:100])
     ckpt, sink_path = scratch_path(spark, "t-ckpt"), scratch_path(spark, "t-sink")
