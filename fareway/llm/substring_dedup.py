@@ -45,12 +45,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fareway.llm.common import (
-    discard, materialize, packed, row_key, small_batches, table, text_or_empty, unpacked, word_spans as find_words,
+    discard, materialize, packed, row_key, small_batches, table, text_or_empty, unpacked,
 )
-from fareway.llm.hashing import phrases, signed, text_key, word_spans
+from fareway.llm.hashing import Spans, phrases, signed, text_key, word_spans
 
 WINDOW, PHRASE, BLOCK = 35, 8, 7
-CODE, UNKNOWN = 5, " "  # characters per block number; the character of a block that no pattern has
+UNKNOWN = " "  # the character of a block that no pattern has
 
 
 def anchors(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -128,13 +128,14 @@ def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 class PhraseAutomaton:
     """Aho-Corasick over windows as sequences of word blocks.
 
-    A block is known by the hash of its words; its number is written with ``CODE`` characters of a small alphabet, as
-    the automaton looks through a node's edges one by one: a node must not have an edge per block.
+    A block is known by the hash of its words; its number is written with as many characters of a small alphabet as the
+    shard's blocks need, as the automaton looks through a node's edges one by one: a node must not have an edge per block.
     """
 
     def __init__(self) -> None:
         self.blocks = np.zeros(0, np.uint64)
-        self.codes = np.zeros((1, CODE), np.uint8)
+        self.width = 1  # characters per block
+        self.codes = np.zeros((1, 1), np.uint8)
         self.patterns: list[np.ndarray] = []  # block hashes of windows, one row each
         self.machine: ahocorasick.Automaton | None = None
 
@@ -144,19 +145,17 @@ class PhraseAutomaton:
     def _build(self) -> None:
         rows = np.concatenate(self.patterns)
         self.blocks, number = np.unique(rows, return_inverse=True)
-        digits, n = [], np.arange(len(self.blocks) + 1)
-        if len(n) > 64**CODE:
-            raise OverflowError("more blocks in a shard than codes: raise CODE")
-        for _ in range(CODE):
-            digits.append(48 + n % 64)
-            n //= 64
-        self.codes = np.stack(digits, 1).astype(np.uint8)
+        n = np.arange(len(self.blocks) + 1)
+        while 64**self.width < len(n):
+            self.width += 1
+        self.codes = np.stack([48 + n // 64**i % 64 for i in range(self.width)], 1).astype(np.uint8)
         self.codes[-1] = ord(UNKNOWN)
         self.machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        width = CODE * (WINDOW // BLOCK)
+        size = self.width * (WINDOW // BLOCK)
         text = self.codes[number.reshape(rows.shape)].tobytes().decode("ascii")
-        for i in range(0, len(text), width):
-            self.machine.add_word(text[i:i + width])
+        add = self.machine.add_word
+        for i in range(0, len(text), size):
+            add(text[i:i + size])
         self.machine.make_automaton()
 
     def locate(self, blocks: np.ndarray, inside: np.ndarray) -> np.ndarray:
@@ -174,8 +173,8 @@ class PhraseAutomaton:
             stream = at[phase::BLOCK]
             text = self.codes[stream].tobytes().decode("ascii")
             ends = np.array([end for end, _ in self.machine.iter(text)], np.int64) + 1
-            ends = ends[ends % CODE == 0]
-            found.append(phase + (ends // CODE) * BLOCK - WINDOW)
+            ends = ends[ends % self.width == 0]
+            found.append(phase + (ends // self.width) * BLOCK - WINDOW)
         return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
@@ -216,48 +215,45 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array((hi - before).astype(np.int32))], ["s1", "s2", "lo", "hi"])
 
 
-def cut(text: str, marked: list[tuple[int, int]]) -> tuple[str, str, int, int]:
-    """Text without the marked words (the rest as it stands), its words joined by spaces, word counts: all, removed."""
-    found = list(find_words(text))
-    gone = bytearray(len(found))
-    for a, z in marked:
-        gone[a:z] = b"\x01" * (z - a)
-    kept = [m for m, g in zip(found, gone, strict=True) if not g]
-    pieces, last = [], None
-    for i, m in enumerate(found):
-        if gone[i]:
-            continue
-        if last is not None and last == i - 1:
-            pieces.append(text[found[last].end():m.end()])
-        else:
-            pieces.append((" " if pieces else "") + m[0])
-        last = i
-    return "".join(pieces), " ".join(m[0] for m in kept), len(found), len(found) - len(kept)
+def cut(w: Spans, row: int, marked: list[tuple[int, int]]) -> tuple[bytes, bytes, int, int]:
+    """A text without the marked words (the rest as it stands), its words joined by spaces, word counts: all, removed.
+    ``marked``: rising, disjoint ranges of words."""
+    first, n = int(w.first[row]), int(w.first[row + 1] - w.first[row])
+    edges = [0, *[x for span in marked for x in span], n]
+    runs = [(first + a, first + z) for a, z in zip(edges[::2], edges[1::2], strict=True) if a < z]
+    rest = b" ".join([w.data[w.starts[a]:w.ends[z - 1]].tobytes() for a, z in runs])
+    return rest, b" ".join(rest.split()), n, n - sum(z - a for a, z in runs)
 
 
 def _finish(digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             w = word_spans(b["text"])
-            counts = np.diff(w.first).tolist()
+            marks = b["marked"]
             new, n, removed = [], [], []
-            for row, marked in enumerate(b["marked"].to_pylist()):
-                if marked:
-                    rest, kept, total, gone = cut(b["text"][row].as_py(), [(m["lo"], m["hi"]) for m in marked])
-                    kept = kept.encode()
-                elif digest:
-                    rest, kept, total, gone = "", w.words(w.first[row], w.first[row + 1]), counts[row], 0
-                else:
-                    rest, kept, total, gone = b["text"][row].as_py(), b"", counts[row], 0
-                new.append(hashlib.sha256(kept).hexdigest() if digest else rest)
+            for row in range(len(marks)):
+                marked = united([(m["lo"], m["hi"]) for m in marks[row].as_py() or ()])
+                rest, kept, total, gone = cut(w, row, marked)
                 n.append(total)
                 removed.append(gone)
+                new.append(hashlib.sha256(kept).hexdigest() if digest else rest.decode() if gone else None)
             yield pa.RecordBatch.from_arrays([b[0], pa.array(new, pa.string()), pa.array(n, pa.int64()), pa.array(
                 removed, pa.int64())], [b.schema.names[0], "new", "n_words", "n_removed"])
 
     return run
 
 
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Rising ranges without overlap that cover the same words. ``spans`` rise."""
+    out: list[tuple[int, int]] = []
+    for a, z in spans:
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], z))
+        else:
+            out.append((a, z))
+    return out
+
+
 def repeated_places(spark: SparkSession, docs: DataFrame, shard_windows: int = 20_000) -> tuple[DataFrame, DataFrame]:
     """``docs`` (r1, r2, text, ...) written with the ``runs`` of windows that may recur, and (r1, r2, marked) for rows that lose words."""
     a = materialize(spark, docs.select("r1", "r2", "text").mapInArrow(
@@ -274,9 +270,10 @@ def repeated_places(spark: SparkSession, docs: DataFrame, shard_windows: int = 2
         "words")), "sub-distinct")
     w = distinct.select("s1", "s2", "copies", "words").mapInArrow(
         _emit_windows, "w1 long, w2 long, copies long, s1 long, s2 long, pos int")
-    # One example place per recurring window. A segment's copies alone can make its windows recur.
-    confirmed = materialize(spark, w.groupBy("w1", "w2").agg(F.sum("copies").alias("c"), F.min(F.struct(
-        "s1", "s2", "pos")).alias("at")).filter("c > 1").select("at.*"), "sub-confirmed")
+    # One example place per recurring window, whichever comes first: all show the same words, and the table written
+    # fixes the choice. A segment's copies alone can make its windows recur.
+    confirmed = materialize(spark, w.groupBy("w1", "w2").agg(F.sum("copies").alias("c"), *[
+        F.first(c).alias(c) for c in ("s1", "s2", "pos")]).filter("c > 1").select("s1", "s2", "pos"), "sub-confirmed")
     shards = max(1, -(-confirmed.count() // shard_windows))
     shard = F.pmod(F.xxhash64("a"), F.lit(shards)).alias("shard")
     places = confirmed.groupBy("s1", "s2").agg(F.sort_array(F.collect_list("pos")).alias("places"))
@@ -300,8 +297,8 @@ def repeated_places(spark: SparkSession, docs: DataFrame, shard_windows: int = 2
 
 
 def dedup(spark: SparkSession, docs: DataFrame, keep: str, digest: bool = False) -> DataFrame:
-    """Column ``keep`` of ``docs`` (with ``doc_id`` and ``text``), ``new`` (the rest of the text, or with ``digest``
-    the hash of its words), ``n_words`` and ``n_removed``."""
+    """Column ``keep`` of ``docs`` (with ``doc_id`` and ``text``), ``new`` (the rest of the text where words go, else null;
+    with ``digest`` the hash of its words), ``n_words`` and ``n_removed``."""
     small_batches(spark, 400)
     r1, r2 = row_key("doc_id", "text")
     docs = docs.withColumn("text", text_or_empty()).withColumns({"r1": r1, "r2": r2})

@@ -10,11 +10,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from fareway.llm import (
-    bpe, compress_quality, mixing, order_minhash, quality_rules, sharding, substring_dedup, topk, toxicity, warc,
+    bpe, compress_quality, hashing, mixing, order_minhash, quality_rules, sharding, substring_dedup, topk, toxicity, warc,
 )
 
 SF = "/root/testdata/sf0.001"
@@ -270,8 +271,27 @@ def test_substring_dedup(spark, folders, awkward):
 
 
 def test_cut_keeps_layout():
-    assert substring_dedup.cut("a  b\nc d", [(1, 2)]) == ("a c d", "a c d", 4, 1)
-    assert substring_dedup.cut("a\nb  c", []) == ("a\nb  c", "a b c", 3, 0)
+    texts = hashing.word_spans(pa.array(["a  b\nc d", "a\nb  c", "", " x y\tz "]))
+    assert substring_dedup.cut(texts, 0, [(1, 2)]) == (b"a c d", b"a c d", 4, 1)
+    assert substring_dedup.cut(texts, 1, []) == (b"a\nb  c", b"a b c", 3, 0)
+    assert substring_dedup.cut(texts, 2, []) == (b"", b"", 0, 0)
+    assert substring_dedup.cut(texts, 3, [(0, 3)]) == (b"", b"", 3, 3)
+    assert substring_dedup.cut(texts, 3, [(2, 3)]) == (b"x y", b"x y", 3, 1)
+
+
+def test_word_spans_and_hashes():
+    rng = random.Random(1)
+    for trial in range(60):
+        some = ["".join(rng.choice("ab é\n\t€x\x0b\x1f\xa0") for _ in range(rng.choice([0, 1, 3, 30, 400]))) for _ in range(rng.randrange(8))]
+        if trial % 10 == 0:
+            some += ["q" * 5000 + " " + "q" * 5001 + " " + "q" * 5000, "r" * 4096 + "\n" + "r" * 4097]
+        k = rng.randrange(len(some) + 1)
+        spans = hashing.word_spans(pa.array(some, pa.string()).slice(k))
+        want = [(i, w) for i, t in enumerate(some[k:]) for w in words(t)]
+        assert [(int(o), spans.data[a:z].tobytes().decode()) for o, a, z in zip(spans.owner, spans.starts, spans.ends)] == want
+        known = {}
+        assert all(known.setdefault(w, h) == h for (_, w), h in zip(want, spans.hashes().tolist()))
+        assert len(set(known.values())) == len(known)
 
 
 # 7 ---------------------------------------------------------------------------------------------
