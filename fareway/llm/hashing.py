@@ -14,7 +14,7 @@ _cache: dict[str, int] = {}
 
 def word_hashes(words: list[str]) -> np.ndarray:
     """64-bit hashes; a bounded per-worker cache avoids hashing common words again."""
-    if len(_cache) > 1_000_000:
+    if len(_cache) > 200_000:
         _cache.clear()
     get = _cache.get
     return np.fromiter((get(w) or _add(w) for w in words), np.uint64, len(words))
