@@ -4,15 +4,15 @@ A token sequence is the BPE encoding of its bytes exactly if every adjacent
 pair of tokens is the encoding of its own concatenation. So every prefix of
 the input has one possible last token, and encoding is a left-to-right pass:
 at each byte, the token that ends there and is compatible with the last token
-of what precedes it. A token is stable once the paths of all positions that a
-future token can start from (the last ``max_token`` bytes) run through it;
-it is emitted then, so memory does not grow with the input.
-``Merges.lookahead`` is how many bytes beyond a token can still change it: the
-longest chain of merges in which each competes for the right part of the one
-before it and has a smaller rank. It is computed in one pass over the merges.
+of what precedes it. ``Merges.lookahead`` is how many bytes beyond a token can
+still change it: the longest chain of merges in which each competes for the
+right part of the one before it and has a smaller rank. It is computed in one
+pass over the merges. A token is stable once that many bytes behind it are
+read; it is emitted then, so a piece of any length needs a window of bytes only.
 
-Texts are cut at added tokens, then by the byte-level split pattern. Short
-pieces are looked up in a bounded cache before the transducer runs.
+Texts are cut at added tokens, then by the byte-level split pattern, ``CHUNK`` characters at a time; ids are
+hashed, counted and decoded chunk by chunk. Short
+pieces are looked up in a bounded cache; up to 64 characters fit the window and are read in one go.
 
 Defined results: a null text counts as empty: no tokens, and the hash of an
 empty text. Very long texts and pieces stream through. Equal rows give equal
@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from fareway.llm.common import small_batches, table
 
+CHUNK = 100_000  # characters encoded at a time
+
 # Fixed value: the byte-level split pattern of the public vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The same pattern in the standard library's faster classes; equal on texts without a character of ``_odd()`` or above U+FFFF.
@@ -127,14 +129,14 @@ class Merges:
             self.out[node] += self.out[self.link[node]]
 
     def step(self, node: int, c: int) -> int:
-        """The longest suffix, after byte ``c``, that starts a token; found once and kept as an edge."""
+        """The longest suffix, after byte ``c``, that starts a token; found once and kept as an edge, if there is room."""
         key = node << 8 | c
         to = self.next.get(key)
         if to is None:
             if not node:
                 return 0
             to = self.step(self.link[node], c)
-            if to:
+            if to and len(self.next) < 400_000:
                 self.next[key] = to
         return to
 
@@ -173,7 +175,7 @@ class Merges:
         It cannot if, while both form, two edge symbols that exist at the same time merge across the boundary
         first. Of equal ranks, the leftmost merge goes first.
         """
-        if len(self._pair) > 4_000_000:
+        if len(self._pair) > 400_000:
             self._pair.clear()  # bounded: it is found again when needed
         ranks, ok = self.ranks, True
         for x, x_from, x_to in self._spine(a, 1):
@@ -224,34 +226,28 @@ class Transducer:
         self.last: list[int] = []  # last token of each prefix of the buffer, -1 for none
         self.before = -1  # the last token emitted
         self.node = 0  # state of the automaton
-        self.window = merges.max_token
+        self.hold = max(merges.lookahead, merges.max_token)
 
-    def _path(self, i: int) -> list[int]:
-        """Token boundaries on the way to prefix ``i``, from the end."""
-        out = []
+    def _emit(self, stop: int) -> Iterator[int]:
+        """Tokens of the whole buffer's encoding that end at ``stop`` or before."""
+        ends, i = [], len(self.buffer)
         while i > 0:
-            out.append(i)
+            if i <= stop:
+                ends.append(i)
             i -= len(self.merges.bytes_of[self.last[i - 1]])
-        return out
-
-    def _emit(self, stop: int) -> Iterator[int]:
-        for i in reversed(self._path(stop)):
+        for i in reversed(ends):
             self.before = self.last[i - 1]
             yield self.before
-        self.buffer, self.last = self.buffer[stop:], self.last[stop:]
+        if ends:
+            self.buffer, self.last = self.buffer[ends[0]:], self.last[ends[0]:]
 
     def feed(self, data: bytes) -> Iterator[int]:
-        step = 4 * self.window
+        step = 4 * self.hold
         for at in range(0, len(data), step):
             start, self.buffer = len(self.buffer), self.buffer + data[at:at + step]
             self.node = self.merges.last_tokens(self.buffer, self.last, start, self.before, self.node)
-            n = len(self.buffer)
-            if n <= 2 * self.window:
-                continue
-            live = [set(self._path(i)) for i in range(n - self.window + 1, n + 1) if self.last[i - 1] >= 0]
-            stable = set.intersection(*live) if live else set()
-            if stable:
-                yield from self._emit(max(stable))
+            if len(self.buffer) > 2 * self.hold:
+                yield from self._emit(len(self.buffer) - self.merges.lookahead)
 
     def close(self) -> Iterator[int]:
         yield from self._emit(len(self.buffer))
@@ -260,7 +256,7 @@ class Transducer:
 class Encoder:
     """Text to ids. ``cache`` bounds how many short pieces are remembered."""
 
-    def __init__(self, merges: Merges, cache: int = 500_000, longest_cached: int = 64) -> None:
+    def __init__(self, merges: Merges, cache: int = 150_000, longest_cached: int = 64) -> None:
         self.merges, self.size, self.longest = merges, cache, longest_cached
         self.cache: dict[str, tuple[int, ...]] = {}
         self.fast, self.exact = re.compile(FAST), regex.compile(PATTERN)
@@ -298,33 +294,30 @@ class Encoder:
             at = m.end()
         return out + list(self._plain(text[at:]))
 
-    def encode_stream(self, chunks: Iterable[str]) -> Iterator[int]:
-        """Ids of a text that arrives in chunks: only the unfinished last pieces are held back."""
-        hold = max([1, *map(len, self.merges.added)])
-        rest = ""
+    def _safe(self, text: str, start: int) -> int:
+        """A place from ``start`` on, but before the end, where a text can be cut whatever follows: in front of a single
+        space between two other characters, outside of added tokens. 0 if there is none yet."""
+        stop = len(text) - max([2, *map(len, self.merges.added)])
+        added = [m.span() for m in self.special.finditer(text)] if self.special else []
+        at = text.rfind(" ", start, stop)
+        while at > start:
+            if not text[at - 1].isspace() and not text[at + 1].isspace() and not any(a < at < z for a, z in added):
+                return at
+            at = text.rfind(" ", start, at)
+        return 0
+
+    def encode_stream(self, chunks: Iterable[str]) -> Iterator[list[int]]:
+        """Ids of a text that arrives in chunks. What is held back is the end of a chunk from its last safe place on."""
+        rest, seen = "", 0
         for chunk in chunks:
             rest += chunk
-            safe = len(rest) - hold
-            special = [m for m in (self.special.finditer(rest) if self.special else ())]
-            if special and special[-1].end() > 0:
-                yield from self.encode(rest[:special[-1].end()])
-                rest = rest[special[-1].end():]
-                safe = len(rest) - hold
-            done = 0
-            for m in self.exact.finditer(rest):  # a piece is final if another one follows it and ends before ``safe``
-                if m.end() >= safe:
-                    break
-                done, last = m.end(), m.start()
-            if done:
-                yield from self._plain_prefix(rest, last)
-                rest = rest[last:]
-        yield from self.encode(rest)
-
-    def _plain_prefix(self, text: str, stop: int) -> Iterator[int]:
-        for m in self.exact.finditer(text):
-            if m.start() >= stop:
-                break
-            yield from self.cache.get(m[0]) or self._piece(m[0])
+            at = self._safe(rest, seen)
+            if at:
+                yield self.encode(rest[:at])
+                rest, seen = rest[at:], 0
+            else:
+                seen = max(0, len(rest) - 1000)  # no place before; look on from here
+        yield self.encode(rest)
 
 
 class Decoder:
@@ -370,17 +363,22 @@ def encode_documents(docs: DataFrame, path: str | None = None, text: str = "text
         for b in batches:
             n, first, second = [], [], []
             for t in b["_bpe_text"]:
-                ids = enc.encode(t.as_py() or "")
-                n.append(len(ids))
+                text = t.as_py() or ""
+                parts = enc.encode_stream(text[i:i + CHUNK] for i in range(0, max(1, len(text)), CHUNK))
                 if not digest:
-                    first.append(ids)
+                    first.append([i for ids in parts for i in ids])
+                    n.append(len(first[-1]))
                     continue
-                dec, state = Decoder(enc.merges), hashlib.sha256()
-                for i in range(0, len(ids), 65_536):
-                    state.update(dec.feed(ids[i:i + 65_536]).encode())
-                state.update(dec.close().encode())
-                first.append(hashlib.sha256(str(ids)[1:-1].replace(" ", "").encode()).hexdigest())
-                second.append(state.hexdigest())
+                dec, decoded, listed, total = Decoder(enc.merges), hashlib.sha256(), hashlib.sha256(), 0
+                for ids in parts:
+                    if ids:
+                        listed.update((("," if total else "") + str(ids)[1:-1].replace(" ", "")).encode())
+                        decoded.update(dec.feed(ids).encode())
+                        total += len(ids)
+                decoded.update(dec.close().encode())
+                n.append(total)
+                first.append(listed.hexdigest())
+                second.append(decoded.hexdigest())
             cols = [b[c] for c in range(len(keep))] + [pa.array(n, pa.int64())]
             names = [*keep, "n_tokens"]
             if digest:
