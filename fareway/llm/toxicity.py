@@ -10,16 +10,19 @@ distinct contexts (word before, word, word after) in each class, so the same
 passage in many copies counts once. A term enters the lexicon if its share of
 toxic contexts is far above the base rate (log-likelihood ratio against the
 number of terms tried); its weight is its log odds. Words that contain a term
-but stand in a known harmless phrase (``EXCEPTIONS``, and pairs of words seen
-in enough clean texts) do not count. The weight found per text, also divided
+but stand in a harmless phrase do not count: ``EXCEPTIONS``, and learned pairs of neighbouring words that
+hold a term, occur in at least ``min_clean`` distinct contexts of clean training texts, and in no toxic one.
+The weight found per text, also divided
 by its length, goes through a logistic curve fitted on the same sample.
 
-Bounds: at most ``sample`` training rows per class, ``max_terms`` terms.
+Bounds: at most ``sample`` training rows per class; of the terms found in them, the ``max_terms`` that stand out
+most (a term beyond that adds nothing to a score). Pairs are as many as these rows hold.
 
 Defined results: a null or empty text has no hits and gets the lowest score.
-Without usable labels of both classes, or with no term that stands out, the
-lexicon is empty and every score is low: nothing is rejected. Equal rows score alike; extra
-columns of the input are kept; doubled label rows count as toxic if any is.
+Without usable labels of both classes, as in empty tables, or with no term that stands out, the
+lexicon is empty and every score is low: nothing is rejected. Equal rows score alike; terms that stand out equally
+are taken in the order of their text; very long texts are matched in one pass over their folded form; other
+columns, whatever their names but ``score``, are kept; doubled label rows count as toxic if any is.
 """
 
 from __future__ import annotations
@@ -133,6 +136,30 @@ def learn_lexicon(sample: DataFrame, min_contexts: int = 4, max_terms: int = 200
     return out
 
 
+def learn_exceptions(sample: DataFrame, lexicon: dict[str, float], min_clean: int = 3) -> tuple[str, ...]:
+    """Pairs of folded words, one of which holds a term, that only clean texts use, in ``min_clean`` distinct contexts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(lexicon, ())
+        for b in batches:
+            pair, context, label = [], [], []
+            for text, y in zip(b["text"].to_pylist(), b["label"].to_pylist(), strict=True):
+                folded = fold(text)
+                words = ["", *folded.split(), ""]
+                hit = {folded.count(" ", 0, start + 1) for start in matcher.starts(folded)}  # numbers of words, from 1
+                for i in {j for h in hit for j in (h - 1, h)}:
+                    if 1 <= i < len(words) - 2:
+                        pair.append(f"{words[i]} {words[i + 1]}")
+                        context.append(f"{words[i - 1]} {words[i]} {words[i + 1]} {words[i + 2]}")
+                        label.append(y)
+            yield pa.RecordBatch.from_pydict({"pair": pa.array(pair, pa.string()), "context": pa.array(context, pa.string()),
+                                              "label": pa.array(label, pa.int32())})
+
+    seen = sample.select("text", "label").mapInArrow(run, "pair string, context string, label int").distinct()
+    counts = seen.groupBy("pair").agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
+    return tuple(r["pair"] for r in counts.filter((F.col("t") == 0) & (F.col("c") >= min_clean)).orderBy("pair").collect())
+
+
 class Matcher:
     """Aho-Corasick over the lexicon; exception phrases blank the words they cover."""
 
@@ -141,11 +168,15 @@ class Matcher:
         for t, w in lexicon.items():
             self.hits.add_word(t, (w, len(t)))
         for p in exceptions:
-            self.safe.add_word(folded := fold(p), len(folded))
+            self.safe.add_word(folded := fold(p), len(folded))  # folded words fold to themselves
         for a in (self.hits, self.safe):
             if len(a):
                 a.make_automaton()
 
+    def starts(self, folded: str) -> set[int]:
+        """Where hits start, exceptions or not."""
+        return {end - n + 1 for end, (_, n) in self.hits.iter(folded)} if len(self.hits) else set()
+
     def weigh(self, folded: str) -> tuple[float, int]:
         """Total weight and number of hits. Hits that start at the same word count once, by the largest weight."""
         if not len(self.hits):
@@ -180,15 +211,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
 
 
 class Model:
-    def __init__(self, lexicon: dict[str, float], curve: list[float]) -> None:
-        self.lexicon, self.curve = lexicon, curve
+    def __init__(self, lexicon: dict[str, float], curve: list[float], exceptions: tuple[str, ...] = EXCEPTIONS) -> None:
+        self.lexicon, self.curve, self.exceptions = lexicon, curve, exceptions
         self._matcher: Matcher | None = None
 
     def __getstate__(self):
-        return {"lexicon": self.lexicon, "curve": self.curve, "_matcher": None}
+        return self.__dict__ | {"_matcher": None}
 
     def measure(self, text: str) -> tuple[float, int, int]:
-        self._matcher = self._matcher or Matcher(self.lexicon)
+        self._matcher = self._matcher or Matcher(self.lexicon, self.exceptions)
         folded = fold(text)
         return (*self._matcher.weigh(folded), folded.count(" ") - 1)
 
@@ -205,7 +236,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, trained: Colu
     lexicon = learn_lexicon(rows) if len(per_class) == 2 else {}
     if not lexicon:
         return Model({}, [-6.0, 0.0, 0.0])
-    model = Model(lexicon, [0.0, 0.0, 0.0])
+    model = Model(lexicon, [0.0, 0.0, 0.0], (*EXCEPTIONS, *learn_exceptions(rows, lexicon)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -235,7 +266,7 @@ def held_out() -> Column:
 
 
 def fitted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
-    small_batches(spark, 200)
+    small_batches(spark)
     return train(spark, docs, table(spark, sf_dir, "labels"), ~held_out())
 
 
