@@ -9,10 +9,15 @@ sizes (in all, and in the worst chunk) is the evidence, beside what the text
 saves without a dictionary; a logistic curve fitted on other training rows
 turns it into the probability of label 1.
 
-Bounds: ``sample`` rows per class; ``dict_bytes`` per dictionary.
+Rows are drawn per class, so the score is the probability of label 1 at equal shares of both labels, not at
+their rate in the table.
+
+Bounds: ``sample`` rows per class; ``passages`` passages of each for a dictionary; ``dict_bytes`` per dictionary.
 
 Defined results: a null or empty text has evidence 0 in all views. Without
-usable labels of both classes every score is 0.5. Equal rows score alike; extra columns are kept.
+usable labels of both classes, as in empty tables, every score is 0.5. Equal rows score alike, and doubled label
+rows count by the largest label; other columns, whatever their names but ``score``, are kept. Very long texts are
+compressed chunk by chunk.
 """
 
 from __future__ import annotations
@@ -96,17 +101,22 @@ class Model:
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, trained: Column, sample: int = 600,
-          dict_bytes: int = 16_384) -> Model:
-    """Dictionaries from one half of a bounded sample of labelled rows, the curve from the other half."""
+          dict_bytes: int = 16_384, passages: int = 6) -> Model:
+    """Dictionaries from one half of a bounded sample of labelled rows, the curve from the other half.
+
+    Each text of the half sample gives its dictionary ``passages`` passages of ``CHUNK`` characters (all of
+    it, if it is no longer than these), so that what reaches the driver is bounded. Texts are scored whole."""
     rows = materialize(spark, sample_rows(spark, docs, labels, "quality", trained, sample), "quality-sample")
     counts = rows.groupBy("label").agg(F.count("*").alias("n")).collect()
     n = {r["label"]: r["n"] for r in counts}
     if len(n) < 2 or min(n.values()) < 2:
         return Model([], [0.0])
     half = F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(2)) == 0
-    # What reaches the driver is bounded: at most six passages of a chunk's size from each text of the half sample.
-    places = F.transform(F.sequence(F.lit(0), F.least(F.lit(5), F.floor(F.length("text") / CHUNK).cast("int"))),
-                         lambda i: F.substring(F.col("text"), F.floor(F.length("text") * i / 6.0).cast("int") + 1, F.lit(CHUNK)))
+    # Evenly spread over the whole text: the first passage starts it, the last one ends it.
+    size = F.length("text")
+    last = F.least(F.lit(passages), F.greatest(F.lit(1), F.ceil(size / CHUNK))).cast("int") - 1
+    step = F.when(last > 0, (size - CHUNK) / last).otherwise(0.0)
+    places = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.col("text"), F.round(i * step).cast("int") + 1, F.lit(CHUNK)))
     got = rows.filter(half).select("label", F.xxhash64("text").alias("o"), places.alias("parts")).orderBy("o").collect()
     texts = {y: [p.encode() for r in got if r["label"] == y for p in r["parts"] if p] for y in (0, 1)}
     if not texts[0] or not texts[1]:
@@ -142,7 +152,7 @@ def held_out() -> Column:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark, 200)
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(spark, docs, table(spark, sf_dir, "labels"), ~held_out())
     return score(docs, model).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
