@@ -16,9 +16,9 @@ Defined results: null html is an empty payload; a null url has no target
 header. A null page id is written as ``null``, read as null, and never chosen
 as the record to refer to; a payload found under null ids only is all
 ``response``. Rows repeating the smallest id of a payload are all
-``response``. Empty tables give no records. Extra columns are ignored. One
-archive holds up to ``records_per_file`` records and must stay below the
-2 GB limit of a binary value.
+``response``. Empty tables give no records. Extra columns are ignored. A very long
+page is an archive of its own and must stay below the 2 GB limit of a binary value. Gaps
+are logged and counted by ``recovered``; the query fails if there are any.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fareway.llm.common import materialize, table
+from fareway.llm.common import materialize, small_batches, table
 from fareway.session import scratch_path
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed value: base32 digits
@@ -73,13 +73,20 @@ def assign_types(spark: SparkSession, pages: DataFrame, min_revisit_bytes: int =
             .withColumn("refers_to", F.when(again, F.col("first_id"))).drop("first_id"))
 
 
+def escaped(url: Column) -> Column:
+    """Space and control characters as percent codes, each on its own, so that no two URLs become one."""
+    for code in range(33):
+        url = F.replace(url, F.lit(chr(code)), F.lit(f"%{code:02X}"))
+    return url
+
+
 def record_text(now: str = "2024-01-01T00:00:00Z") -> Column:
     """One record without its terminator: version line, headers, blank line, block."""
     revisit = F.col("record_type") == "revisit"
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.col("payload_bytes").cast("string"), F.lit(END))
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("payload")))
-    uri = F.regexp_replace(F.col("url"), r"[\x00-\x20]+", "%20")
+    uri = F.when(F.col("url").rlike(r"[\x00-\x20]"), escaped(F.col("url"))).otherwise(F.col("url"))
 
     def urn(c: str) -> Column:
         return F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("null")), F.lit(">"))
@@ -98,9 +105,19 @@ def record_text(now: str = "2024-01-01T00:00:00Z") -> Column:
     return F.concat(F.concat_ws("\r\n", *lines), F.lit(END), block)
 
 
-def write_archives(typed: DataFrame, path: str, records_per_file: int = 1000) -> None:
-    (typed.select(record_text().alias("value")).write.option("lineSep", END)
-     .option("maxRecordsPerFile", records_per_file).text(path))
+#: Payloads up to so many bytes, and records per archive of these: an archive stays below about 64 MB, or has one record.
+SIZES = ((16 << 10, 4096), (1 << 20, 64), (None, 1))
+
+
+def write_archives(typed: DataFrame, path: str, sizes=SIZES) -> None:
+    """Archives under ``path``, by payload size, so that no file outgrows what one task reads at a time."""
+    low = -1
+    for high, records in sizes:
+        part = typed.filter(F.col("payload_bytes") > low)
+        part = part if high is None else part.filter(F.col("payload_bytes") <= high)
+        part.select(record_text().alias("value")).write.mode("append").option("lineSep", END).option(
+            "maxRecordsPerFile", records).text(path)
+        low = high
 
 
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -148,21 +165,30 @@ def _parse(data: bytes, at: int) -> tuple[dict, int] | str:
             "payload": None if revisit else payload}, stop + 4
 
 
+def _member(data: bytes, at: int) -> tuple[dict, int] | str:
+    """The record in the gzip member at ``at``. The member is fed in bounded views: what follows it is not copied."""
+    z, parts, view, pos = zlib.decompressobj(31), [], memoryview(data), at
+    try:
+        while not z.eof and pos < len(data):
+            parts.append(z.decompress(view[pos:pos + (64 << 10)]))
+            pos += 64 << 10
+    except zlib.error:
+        return "bad gzip member"
+    if not z.eof:
+        return "gzip member not ended"
+    got = _parse(inner := b"".join(parts), 0)
+    if isinstance(got, str):
+        return got
+    return (got[0], min(pos, len(data)) - len(z.unused_data)) if got[1] == len(inner) else "bytes after the record"
+
+
 def salvage(data: bytes) -> Iterator[dict]:
     """Records of one archive, and gaps (``gap`` holds the reason) for bytes that are none."""
     at = bad_from = 0
     why = None
     while at < len(data):
         if data.startswith(b"\x1f\x8b\x08", at):
-            z = zlib.decompressobj(31)
-            try:
-                got = _parse(inner := z.decompress(data[at:]) + z.flush(), 0)
-                if not z.eof:
-                    got = "gzip member not ended"
-                elif not isinstance(got, str):
-                    got = (got[0], len(data) - len(z.unused_data)) if got[1] == len(inner) else "bytes after the record"
-            except zlib.error:
-                got = "bad gzip member"
+            got = _member(data, at)
         else:
             got = _parse(data, at)
         if isinstance(got, str):
@@ -203,10 +229,22 @@ def page_id(urn: str) -> Column:
     return F.expr(f"try_cast(regexp_extract({urn}, 'urn:page:([^>]*)', 1) as bigint)")
 
 
+def recovered(spark: SparkSession, path: str, log: str) -> tuple[DataFrame, int]:
+    """Records of the archives under ``path``, without payloads, and the number of quarantined gaps, which are written
+    to ``log`` (archive, start, stop, gap) whether there are any or not."""
+    rows = materialize(spark, read_archives(spark, path).drop("payload"), "warc-records")
+    gaps = rows.filter("gap is not null").select("archive", "start", "stop", "gap")
+    gaps.write.mode("overwrite").json(log)
+    return rows.filter("gap is null").drop("gap"), gaps.count()
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")  # a row is a whole archive
-    path = scratch_path(spark, "warc")
+    small_batches(spark)
+    path, log = scratch_path(spark, "warc"), scratch_path(spark, "warc-gaps")
     write_archives(assign_types(spark, table(spark, sf_dir, "pages")), path)
-    return read_archives(spark, path).filter("gap is null").select(
+    records, gaps = recovered(spark, path, log)
+    if gaps:  # archives just written: a gap means that pages are missing from the result
+        raise RuntimeError(f"{gaps} damaged ranges in the archives, listed in {log}")
+    return records.select(
         page_id("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         page_id("refers_to").alias("refers_to"))
