@@ -8,7 +8,7 @@ the same order. ``SKETCHES`` sketches per text are the search keys: at
 similarity s a key agrees with probability of about s ** L, so at 0.8 one of
 24 does with probability above 0.999.
 
-1. Texts with equal words are one node (map-side combined).
+1. Texts with equal words (128 hash bits) are one node (map-side combined).
 2. Texts with an equal key form a bucket. A member's popularity is the sum of
    its buckets' sizes; each bucket's centre is its most popular member, which
    in a group of copies is close to the original. Members are compared with
@@ -33,7 +33,8 @@ by adaptive execution; counts and centres are combined before shuffles.
 Defined results: null, empty and wordless texts are classes of their own. A
 text of fewer than ``K`` words is one shingle. The class id is the smallest
 doc_id of the class (null ids last); rows equal in id and text are in one
-class. Ties are broken by id, then by hash. Empty tables give empty results.
+class. Ties are broken by id, then by hash. Empty tables give empty results. A very long text is one row of the shingle
+table. Other columns, whatever their names, are left alone (the stage passes them through).
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from fareway.llm.common import materialize, packed, row_key, small_batches, table, text_or_empty, unpacked, words_of
 from fareway.llm.hashing import mix, phrases, seed_bits, signed, text_key, word_hashes
@@ -227,18 +228,42 @@ def candidate_links(spark: SparkSession, texts: DataFrame, members: DataFrame, t
     return links
 
 
+def renamed_nodes(spark: SparkSession, found: DataFrame) -> DataFrame | None:
+    """Nodes are different word sequences (k1, k2), named by k1. Where several share k1, all but the first get a name
+    (``k``) that no node has: (k1, k2, k), or None if there are none. At 10^11 texts that is some hundred rows."""
+    shared = found.groupBy("k1").agg(F.count("*").alias("c")).filter("c > 1").select("k1")
+    if not shared.head(1):
+        return None
+    clash = materialize(spark, found.join(shared, "k1", "left_semi").select("k1", "k2").withColumn("i", F.row_number().over(
+        Window.partitionBy("k1").orderBy("k2"))).filter("i > 1").select("k1", "k2"), "near-clash")
+    n = clash.count()
+    for seed in range(100):
+        named = materialize(spark, clash.withColumn("k", F.xxhash64(F.lit(seed), "k1", "k2")), "near-moved")
+        if named.select("k").distinct().count() == n and not named.join(found.select(F.col("k1").alias("k")), "k", "left_semi").head(1):
+            return named
+    raise RuntimeError("no free names for texts whose hashes collide")
+
+
+def node_names(rows: DataFrame, moved: DataFrame | None) -> DataFrame:
+    """``rows`` (k1, k2, ...) with their node ``k``; null where k1 is."""
+    if moved is None:
+        return rows.withColumn("k", F.col("k1"))
+    return rows.join(moved.withColumnRenamed("k", "_k"), ["k1", "k2"], "left").withColumn("k", F.coalesce("_k", "k1")).drop("_k")
+
+
 def classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(doc_id, r1, r2, class_id) per row of ``docs``, and (r1, r2) of the rows that stay."""
-    small_batches(spark, 400)
+    small_batches(spark)
     r1, r2 = row_key("doc_id", "text")
     docs = docs.select("doc_id", text_or_empty().alias("text"))
     keyed = docs.withColumns({"r1": r1, "r2": r2})
     rows = materialize(spark, keyed.select("doc_id", "r1", "r2", "text").mapInArrow(_emit_sketches, (
         f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, r1 long, r2 long, k1 long, k2 long, n int, sk array<long>")), "near-rows")
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "r1", "r2")
-    node = F.col("k1")  # a text's words as 64 bits
-    nodes = materialize(spark, rows.filter("k1 is not null").groupBy(node.alias("k")).agg(
+    found = materialize(spark, rows.filter("k1 is not null").groupBy("k1", "k2").agg(
         F.min(place).alias("rep"), F.first("n").alias("n"), F.first("sk").alias("sk")), "near-nodes")
+    moved = renamed_nodes(spark, found)
+    nodes = node_names(found, moved)
     short = nodes.filter(F.col("n") <= int(SHORT / threshold)).select("k")
     keys = nodes.select("k", F.posexplode("sk").alias("band", "h"))
     busy = materialize(spark, keys.groupBy("band", "h").agg(F.count("*").alias("n")).filter("n > 1"), "near-busy")
@@ -262,7 +287,7 @@ def classes(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD,
         "k", "rep", F.coalesce("label", "k").alias("label")), "near-named")
     first = materialize(spark, named.groupBy("label").agg(F.min("rep").alias("first")), "near-first")
     known = materialize(spark, named.join(first, "label").select("k", F.col("first.doc_id").alias("class_id")), "near-classes")
-    out = rows.withColumn("k", F.when(F.col("k1").isNotNull(), node)).join(known, "k", "left")
+    out = node_names(rows, moved).join(known, "k", "left")
     result = out.select("doc_id", "r1", "r2", F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
     stay = first.select("first.r1", "first.r2").union(rows.filter("k1 is null").select("r1", "r2"))
     return result, stay
