@@ -189,6 +189,18 @@ def _named(df: DataFrame, /, **names: str) -> DataFrame:
     return df.select("lang", *[F.col(a).alias(b) for a, b in names.items()])
 
 
+SALTS = 32
+
+
+def first_rows(df: DataFrame, by: str, order: list[Column], k: int) -> DataFrame:
+    """The ``k`` first rows per ``by`` with their ``rank``. A hot group is ranked in ``SALTS`` parts first, so that one
+    task gets at most ``SALTS * k`` of its rows."""
+    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c != by]), F.lit(SALTS))
+    part = F.row_number().over(Window.partitionBy(by, "_salt").orderBy(*order))
+    some = df.withColumn("_salt", salt).withColumn("rank", part).filter(F.col("rank") <= k).drop("_salt")
+    return some.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).filter(F.col("rank") <= k)
+
+
 def collocations(spark: SparkSession, docs: DataFrame, lang: str = "lang", text: str = "text", min_count: int = MIN_COUNT,
                  top: int = TOP, cover: int = COVER, first_level: int = 2, growth: int = 4) -> DataFrame:
     """``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score`` of each language's ``top`` phrases of 2 or
@@ -224,8 +236,7 @@ def collocations(spark: SparkSession, docs: DataFrame, lang: str = "lang", text:
     open_langs = scored.select("lang").distinct()
     depth, settled = first_level * top, None
     while True:
-        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score")))
-        at = scored.join(open_langs, "lang", "left_semi").select("lang", "score").withColumn("_i", rank).filter(F.col("_i") <= depth)
+        at = first_rows(scored.join(open_langs, "lang", "left_semi").select("lang", "x", "y", "score"), "lang", [F.desc("score")], depth)
         levels = materialize(spark, at.groupBy("lang").agg(F.when(F.count("*") < depth, 0).otherwise(
             F.min("score")).cast("long").alias("level")), "levels")
         found = _settle(spark, docs, seed, frequent, scored.join(levels, "lang"), min_count, cover)
@@ -239,9 +250,9 @@ def collocations(spark: SparkSession, docs: DataFrame, lang: str = "lang", text:
         depth *= growth
     for c in "xyz":
         settled = settled.join(often.select("lang", F.col("x").alias(c), F.col("word").alias(f"w{c}")), ["lang", c], "left")
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = settled.withColumn("phrase", F.concat_ws(" ", "wx", "wy", "wz")).withColumn("rank", F.row_number().over(best))
-    return ranked.filter(F.col("rank") <= top).join(n, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    named = settled.select("lang", "score", "a", "l", "r", F.concat_ws(" ", "wx", "wy", "wz").alias("phrase"))
+    ranked = first_rows(named, "lang", [F.desc("score"), F.desc("a"), F.col("phrase")], top)
+    return ranked.join(n, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def _settle(spark: SparkSession, docs: DataFrame, seed: int, frequent, nodes: DataFrame, min_count: int,
@@ -282,17 +293,17 @@ WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
       FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
-g AS (SELECT lang, m, phrase, count(*) AS f FROM (
+g AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f, lang || chr(10) || phrase AS key FROM (
         SELECT lang, m, array_to_string(w[k:k + m - 1], ' ') AS phrase
         FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM p, (VALUES (1), (2), (3)) AS lengths(m) WHERE len(w) >= m))
-      GROUP BY ALL),
+      GROUP BY lang, m, phrase),
 n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE m = 1 GROUP BY lang),
-c AS (SELECT *, string_split(phrase, ' ') AS w FROM g WHERE m >= 2 AND f >= 10),
+c AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM g WHERE m >= 2 AND f >= 10),
+cuts AS MATERIALIZED (SELECT lang, m, phrase, f, k, lang || chr(10) || array_to_string(w[1:k], ' ') AS first_key,
+        lang || chr(10) || array_to_string(w[k + 1:m], ' ') AS rest_key FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
 s AS (SELECT c.lang, c.m, c.phrase, c.f AS a, k, x.f AS l, y.f AS r,
         CAST(CAST(1000000 AS HUGEINT) * c.f * c.f // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
-      FROM (SELECT *, unnest(range(1, m)) AS k FROM c) AS c
-      JOIN g AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
-      JOIN g AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:c.m], ' ')),
+      FROM cuts AS c JOIN g AS x ON x.key = c.first_key JOIN g AS y ON y.key = c.rest_key),
 b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 o AS (SELECT lang, phrase, max(f) AS held FROM (
         SELECT lang, array_to_string(w[1:2], ' ') AS phrase, f FROM c WHERE m = 3
