@@ -24,6 +24,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_quality_rules": quality_rules.oracle(),
     "op11_fill_middle": fill_middle.ORACLE,
     "op12_decontaminate": decontaminate.ORACLE,
     "op13_collocations": collocations.ORACLE,

@@ -7,8 +7,9 @@ scan and one projection without a shuffle.
 
 Defined results: a null text counts as empty. An empty text has 0 in every
 measure and is not kept. Ties and repeated rows are scored alike, one output
-row per input row. Input columns other than ``text`` pass through untouched;
-working columns live in one struct with a reserved name.
+row per input row; empty tables give none. A very long text is one row's array of words. Input columns pass
+through untouched, except that ``failed_rules``, ``base_failed``, ``kept`` and names starting with ``_q`` are
+reserved: columns of these names are replaced.
 """
 
 from __future__ import annotations
@@ -141,3 +142,44 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(docs).select("doc_id", "_q.n_words", "_q.word_chars", "_q.n_symbols", "_q.n_dup_lines",
                                     "_q.n_repeat_words", "base_failed", "kept",
                                     F.concat_ws(",", "failed_rules").alias("failed_rules"))
+
+
+def oracle() -> str:
+    """DuckDB SQL for the rows of ``query``, from the same threshold table."""
+    stops = sorted({w for ws in STOP_WORDS.values() for w in ws})
+    ratios = {"mean_word_chars": ("word_chars", "n_words"), "symbol_ratio": ("n_symbols", "word_chars"),
+              "upper_ratio": ("n_upper", "word_chars"), "exclaim_ratio": ("n_exclaims", "word_chars"),
+              "digit_ratio": ("n_digits", "word_chars"), "dup_line_ratio": ("n_dup_lines", "n_lines"),
+              "repeat_word_ratio": ("n_repeat_words", "n_words")}
+    failed = []
+    for r in RULES:
+        m = r.measure
+        if m in ratios:
+            a, b = ratios[m]
+            m = f"CASE WHEN {b} > 0 THEN CAST({a} AS DOUBLE) / {b} ELSE 0 END"
+        out = [f"{m} < CAST({r.low} AS DOUBLE)"] * (r.low is not None) + [f"{m} > CAST({r.high} AS DOUBLE)"] * (r.high is not None)
+        failed.append(f"CASE WHEN {' OR '.join(out)} THEN '{r.name}' END")
+    word = r"[^\x20\x09-\x0D]"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '{word}+') AS w FROM d),
+windows AS (SELECT r, k, w[k] || ' ' || w[k + 1] || ' ' || w[k + 2] AS p FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS k FROM w)),
+again AS (SELECT r, k FROM windows QUALIFY count(*) OVER (PARTITION BY r, p) > 1),
+repeats AS (SELECT r, count(DISTINCT x) AS n_repeat_words FROM (SELECT r, unnest([k, k + 1, k + 2]) AS x FROM again) GROUP BY r),
+lines AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{word}') GROUP BY r),
+m AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(len(regexp_extract_all(t, '[{SYMBOLS}]')) AS BIGINT) AS n_symbols,
+        CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+        len(list_filter(w, lambda x: lower(x) IN ({", ".join(f"'{x}'" for x in stops)}))) AS n_stop_words,
+        len(regexp_extract_all(t, '\\p{{Lu}}')) AS n_upper, len(regexp_extract_all(t, '[0-9]')) AS n_digits,
+        len(regexp_extract_all(t, '!')) AS n_exclaims,
+        coalesce(list_max(list_transform(w, lambda x: length(x))), 0) AS longest_word
+    FROM w LEFT JOIN repeats USING (r) LEFT JOIN lines USING (r)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        concat_ws(',', {", ".join(failed)}) AS failed_rules FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed_rules = '' AS kept,
+    failed_rules FROM f
+"""
