@@ -64,6 +64,8 @@ def unpacked(df: DataFrame, **new: Column) -> DataFrame:
     return df.select(*[new.get(c, F.col("_doc")[c]).alias(c) for c in names])
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Arrow batches of few rows: one row may be a very long text."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of few rows and bytes: one row may be a very long text, vector or archive. All operators set the
+    same values, so that lazily built frames run alike in whatever order they were built."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "400")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")

@@ -42,12 +42,13 @@ def awkward():
     return rows
 
 
-SCHEMA = "doc_id long, text string, source string, lang string, n_chars long, size string, k string, r1 string, score string, _n int"
+SCHEMA = ("doc_id long, text string, source string, lang string, n_chars long, size string, k string, r1 string, score string, _n int, "
+          "_doc string, h1 string, s int, _b int, words string, label string")
 
 
 @pytest.fixture(scope="module")
 def docs(spark, awkward):
-    return spark.createDataFrame([(i, t, s, "en", len(t or ""), "x", "y", "z", "s", 1) for i, t, s in awkward], SCHEMA)
+    return spark.createDataFrame([(i, t, s, "en", len(t or ""), "x", "y", "z", "s", 1, "d", "h", 2, 3, "w", "l") for i, t, s in awkward], SCHEMA)
 
 
 @pytest.fixture(scope="module")
@@ -136,7 +137,7 @@ def test_bpe_equals_library(spark):
     for t in texts:
         want = lib.encode(t, add_special_tokens=False).ids
         assert enc.encode(t) == want
-        assert list(enc.encode_stream(t[i:i + 7] for i in range(0, len(t), 7))) == want
+        assert [i for part in enc.encode_stream(t[i:i + 7] for i in range(0, len(t), 7)) for i in part] == want
         dec = bpe.Decoder(merges)
         assert "".join(dec.feed([i]) for i in want) + dec.close() == lib.decode(want, skip_special_tokens=False) == t
 
@@ -149,10 +150,41 @@ def test_bpe_pairs_and_memory():
         a, b = rng.choice(ids[:2000]), rng.choice(ids)
         x, y = merges.bytes_of[a], merges.bytes_of[b]
         assert merges.follows(a, b) == (merges.merge(x + y) == [x, y])
-    t = bpe.Transducer(merges)
+    t, out = bpe.Transducer(merges), []
     for _ in range(300):
-        list(t.feed(bytes(rng.choice(b"etaoinsh") for _ in range(100))))
-        assert len(t.buffer) <= 8 * merges.max_token + merges.lookahead
+        out += t.feed(bytes(rng.choice(b"etaoinsh") for _ in range(100)))
+        assert len(t.buffer) <= 8 * max(merges.max_token, merges.lookahead)
+    assert sum(len(merges.bytes_of[i]) for i in out) >= 30_000 - 8 * max(merges.max_token, merges.lookahead)
+
+
+def test_bpe_lookahead_is_enough():
+    """Tokens that end a lookahead before the end of a prefix are those of the whole piece, wherever it is cut."""
+    merges = bpe.Merges(bpe.vocabulary())
+    rng = random.Random(12)
+    tokens = sorted((b.decode() for b in merges.ids if b.isalpha() and b.isascii()), key=len)
+    for trial in range(120):
+        one = rng.choice(tokens[-2000:])
+        piece = "".join([rng.choice(tokens[-3000:]) for _ in range(60)] if trial % 3 == 0 else [one[:rng.randrange(1, len(one) + 1)]
+                        for _ in range(80)] if trial % 3 == 1 else [rng.choice("ab" if trial % 2 else "etaoin") for _ in range(700)]).encode()
+        t = bpe.Transducer(merges)
+        whole = [*t.feed(piece), *t.close()]
+        assert whole == [merges.ids[b] for b in merges.merge(piece)]
+        k = rng.randrange(1, 300)
+        t = bpe.Transducer(merges)
+        assert [i for at in range(0, len(piece), k) for i in t.feed(piece[at:at + k])] + list(t.close()) == whole
+
+
+def test_bpe_long_texts_go_chunk_by_chunk(spark):
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(bpe.vocabulary())
+    texts = [long_text(60_000) + "<|endoftext|>" + "x" * 150_000 + "  " + "é " * 120_000, "a b" * 70_000, " " * 250_000]
+    assert all(len(t) > 2 * bpe.CHUNK for t in texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in bpe.encode_documents(df, digest=True).collect():
+        ids = lib.encode(texts[r["doc_id"]], add_special_tokens=False).ids
+        assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
 
 
 def test_bpe_query(spark):
@@ -181,6 +213,18 @@ def test_matcher_exceptions():
     assert m.weigh(toxicity.fold("the trash can")) == (0, 0)
 
 
+def test_learned_exceptions(spark):
+    lexicon = {" trash ": 2.0, " idio": 3.0}
+    rows = [(f"please empty the trash tray{i} now", 0) for i in range(5)] + [(f"the old{i} trash compactor works", 0) for i in range(4)]
+    rows += [(f"what idiot{i} trash", 1) for i in range(4)] + [("one trash heap", 0)] * 9
+    sample = spark.createDataFrame(rows, "text string, label int")
+    learned = toxicity.learn_exceptions(sample, lexicon)
+    assert learned == ("the trash", "trash compactor")  # "trash heap" has many copies, but one context
+    m = toxicity.Matcher(lexicon, learned)
+    assert m.weigh(toxicity.fold("empty the trash")) == (0, 0)
+    assert m.weigh(toxicity.fold("you trash")) == (2.0, 1)
+
+
 def accuracy(rows, labels):
     held = [(r["predicted"], labels[r["doc_id"]]) for r in rows if r["held_out"] and labels.get(r["doc_id"]) is not None]
     hit = sum(p == y for p, y in held) / len(held)
@@ -224,6 +268,41 @@ def test_warc_round_trip(spark, folders):
     assert warc.query(spark, folders[1]).count() == 0
 
 
+def test_warc_on_pages(spark):
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        pages = [(r["page_id"], (r["html"] or "").encode()) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+        first = {}
+        for i, data in pages:
+            first[data] = min(i, first.get(data, i))
+        want = {(i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "response" if first[data] == i else "revisit",
+                 None if first[data] == i else first[data]) for i, data in pages}
+        got = warc.query(spark, sf).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+        assert len(got) == len(pages) and {tuple(r) for r in got} == want
+
+
+def test_warc_gaps_sizes_and_urls(spark, tmp_path):
+    urls = ["http://a/b c", "http://a/b%20c", "http://a/b\tc", "http://a/b  c", "plain", None]
+    rows = [(i, u, "p" * (i * 9000) + str(i)) for i, u in enumerate(urls)] + [(50 + i, "u", "q" * 3_000_000 + str(i)) for i in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_archives(warc.assign_types(spark, pages), f"{tmp_path}/w")
+    sizes = [f.stat().st_size for f in (tmp_path / "w").iterdir() if f.name.startswith("part-")]
+    assert sum(s > 3_000_000 for s in sizes) == 3 and max(sizes) < 3_100_000  # a long page is an archive of its own
+    records, gaps = warc.recovered(spark, f"{tmp_path}/w", f"{tmp_path}/log")
+    found = {r["record_id"]: r["target_uri"] for r in records.collect()}
+    assert gaps == 0 and len(found) == len(rows)
+    assert [found[f"<urn:page:{i}>"] for i in range(6)] == ["http://a/b%20c", "http://a/b%20c", "http://a/b%09c", "http://a/b%20%20c", "plain", None]
+    for f in sorted((tmp_path / "w").iterdir()):
+        if f.name.startswith("part-") and 10_000 < f.stat().st_size < 3_000_000:
+            data = bytearray(f.read_bytes())
+            data[5000] ^= 255
+            f.write_bytes(bytes(data))
+            (tmp_path / "w" / f".{f.name}.crc").unlink(missing_ok=True)
+    records, gaps = warc.recovered(spark, f"{tmp_path}/w", f"{tmp_path}/log")
+    assert gaps >= 1 and records.count() < len(rows)
+    log = spark.read.json(f"{tmp_path}/log").collect()
+    assert len(log) == gaps and all(r["stop"] > r["start"] and r["gap"] for r in log)
+
+
 def record(i, payload=b"hello"):
     block = b"HTTP/1.1 200 OK\r\n\r\n" + payload
     return (f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Block-Digest: sha1:"
@@ -548,18 +627,81 @@ def test_topk_blocks(spark):
     assert {tuple(r) for r in some.collect()} == {tuple(r) for r in one.collect()}
 
 
+def test_nodes_whose_hashes_collide(spark):
+    rows = spark.createDataFrame([(1, 10), (1, 11), (1, 12), (2, 10), (3, 3), (None, None)], "k1 long, k2 long")
+    found = rows.filter("k1 is not null")
+    moved = order_minhash.renamed_nodes(spark, found)
+    assert moved.count() == 2
+    named = order_minhash.node_names(rows, moved).collect()
+    assert len({r["k"] for r in named}) == 6 and {r["k"] for r in named if r["k1"] != 1} == {2, 3, None}
+    assert order_minhash.renamed_nodes(spark, found.filter("k1 > 1")) is None
+
+
 # pipeline --------------------------------------------------------------------------------------
 
+def plain_rest(text, gone):
+    """The text without words that are ``gone``; words that stay next to each other keep what is between them."""
+    found = list(re.finditer(r"[^\x20\x09-\x0D]+", text))
+    if not any(gone):
+        return text
+    out, last = "", None
+    for i, m in enumerate(found):
+        if not gone[i]:
+            out += (text[found[i - 1].end():m.end()] if last == i - 1 and last is not None else (" " if out else "") + m[0])
+            last = i
+    return out
+
+
 def test_pipeline(spark):
+    """The five stages against a plain Python chain over rows, texts and ids."""
     import corpus_pipeline
+    from tokenizers import Tokenizer
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    cols, before = docs.columns, docs
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        after = stage(spark, before, SF)
-        assert after.columns == cols, name
-        break
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang", "source").collect()]
+    model = toxicity.fitted(spark, docs, SF)
+    rows = [r for r in rows if model.score(r[1] or "") < 0.7]
+    rows.sort(key=lambda r: r[0])
+    rows = [r for i, (r, c) in enumerate(zip(rows, brute_classes([r[1] or "" for r in rows]))) if c == i]
+    split = [words(r[1] or "") for r in rows]
+    seen = collections.Counter(tuple(w[k:k + 35]) for w in split for k in range(len(w) - 34))
+    cut = []
+    for r, w in zip(rows, split):
+        gone = [False] * len(w)
+        for k in range(len(w) - 34):
+            if seen[tuple(w[k:k + 35])] > 1:
+                gone[k:k + 35] = [True] * 35
+        cut.append((r[0], plain_rest(r[1] or "", gone) if any(gone) else r[1], r[2], r[3]))
+    df = spark.createDataFrame(cut, "doc_id long, text string, lang string, source string")
+    keys = [tuple(r) for r in mixing.keyed(df, mixing.count_words(mixing.text_or_empty()), ["doc_id", "text"]).select(
+        "s", "h1", "h2", "size", "_doc.doc_id").collect()]
+    sizes = collections.Counter()
+    for s, _, _, n, _ in keys:
+        sizes[s] += n
+    taken = plain_mix([k[:4] for k in keys], targets(sizes), sizes)
+    words_of = {k[:4]: n for k in taken for n in [k[4]]}
+    text = {r[0]: r for r in cut}
+    lib = Tokenizer.from_file(bpe.vocabulary())
+    want = collections.Counter()
+    for *key, doc_id in keys:
+        n, size = words_of[tuple(key)], key[3]
+        _, t, lang, source = text[doc_id]
+        copies = [t] * (n // size if size else 0) + ([" ".join(words(t)[:n % size])] if size and n % size else [])
+        for c in copies:
+            want[doc_id, lang, source, tuple(lib.encode(c, add_special_tokens=False).ids)] += 1
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids"]
-    rows = out.collect()
-    assert rows and all(len(r["ids"]) == r["n_tokens"] for r in rows)
+    got = out.collect()
+    assert all(len(r["ids"]) == r["n_tokens"] for r in got)
+    assert collections.Counter((r["doc_id"], r["lang"], r["source"], tuple(r["ids"])) for r in got) == want
+
+
+def test_stages_keep_columns_and_whole_rows(spark):
+    import corpus_pipeline
+
+    now = spark.read.parquet(f"{SF}/documents.parquet")
+    cols = now.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, SF)
+        assert now.columns == cols, name
+        assert not now.filter("text is not null and n_chars != length(text)").count(), name
