@@ -70,10 +70,6 @@ def check_non_negative(df: DataFrame, table: str, col: str) -> DataFrame:
     return check_suite(df, table, [("non_negative", col)])
 
 
-def check_positive(df: DataFrame, table: str, col: str) -> DataFrame:
-    return check_suite(df, table, [("positive", col)])
-
-
 def check_accepted_values(df: DataFrame, table: str, col: str, values: list) -> DataFrame:
     """Values outside the accepted list; NULL passes."""
     return check_suite(df, table, [("accepted_values", col, values)])

@@ -266,15 +266,15 @@ def merge_insert_only(spark, sf):
 _STG_TRIPS = "stg_yellow"
 
 
-@query("merge_upsert", """SELECT * FROM yk WHERE pickup_datetime < TIMESTAMP '1998-01-01' AND rid NOT IN
-(SELECT rid FROM yk WHERE pickup_datetime >= TIMESTAMP '1997-07-01')
-UNION ALL SELECT * REPLACE (cast(total_amount + 1 AS decimal(18,3)) AS total_amount) FROM yk WHERE pickup_datetime >= TIMESTAMP '1997-07-01'""",
-       STG_YELLOW + """, yk AS (SELECT * EXCLUDE (rn) FROM (SELECT md5(concat_ws('-', cast(vendor_id AS varchar),
+_YK = STG_YELLOW + """, yk AS (SELECT * EXCLUDE (rn) FROM (SELECT md5(concat_ws('-', cast(vendor_id AS varchar),
 cast(pickup_datetime AS varchar), cast(pickup_location_id AS varchar))) AS rid, *,
 row_number() OVER (PARTITION BY vendor_id, pickup_datetime, pickup_location_id ORDER BY dropoff_datetime,
 dropoff_location_id, total_amount, trip_distance, passenger_count, rate_code_id, payment_type, fare_amount,
-tip_amount, tolls_amount, store_and_fwd_flag) AS rn FROM stg_yellow) WHERE rn = 1)""")
-def merge_upsert(spark, sf):
+tip_amount, tolls_amount, store_and_fwd_flag) AS rn FROM stg_yellow) WHERE rn = 1)"""
+
+
+def _keyed_yellow(spark, sf):
+    """One trip per vendor, pickup time and zone, with its key ``rid``."""
     from fareway.operators.dedup import dedup_first
 
     y = _stg_yellow(spark, sf)
@@ -282,9 +282,16 @@ def merge_upsert(spark, sf):
                                                  "trip_distance", "passenger_count", "rate_code_id", "payment_type",
                                                  "fare_amount", "tip_amount", "tolls_amount", "store_and_fwd_flag")]
     keyed = dedup_first(y, ["vendor_id", "pickup_datetime", "pickup_location_id"], order, tie_break=False)
-    keyed = keyed.select(F.md5(F.concat_ws("-", F.col("vendor_id").cast("string"),
+    return keyed.select(F.md5(F.concat_ws("-", F.col("vendor_id").cast("string"),
                                            F.col("pickup_datetime").cast("string"),
                                            F.col("pickup_location_id").cast("string"))).alias("rid"), *y.columns)
+
+
+@query("merge_upsert", """SELECT * FROM yk WHERE pickup_datetime < TIMESTAMP '1998-01-01' AND rid NOT IN
+(SELECT rid FROM yk WHERE pickup_datetime >= TIMESTAMP '1997-07-01')
+UNION ALL SELECT * REPLACE (cast(total_amount + 1 AS decimal(18,3)) AS total_amount) FROM yk WHERE pickup_datetime >= TIMESTAMP '1997-07-01'""", _YK)
+def merge_upsert(spark, sf):
+    keyed = _keyed_yellow(spark, sf)
     name = _name("trips_upsert")
     W.materialize_table(keyed.where(F.col("pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")), name)
     changed = keyed.where(F.col("pickup_datetime") >= F.lit("1997-07-01").cast("timestamp_ntz")).withColumn(
@@ -333,9 +340,12 @@ def strategy_view(spark, sf):
 _WIN = ("TIMESTAMP '1997-03-01'", "TIMESTAMP '1997-04-01'")
 
 
-@query("strategy_time_interval", f"""SELECT * FROM stg_yellow WHERE NOT (pickup_datetime >= {_WIN[0]} AND pickup_datetime < {_WIN[1]})
+_TIME_INTERVAL = f"""SELECT * FROM stg_yellow WHERE NOT (pickup_datetime >= {_WIN[0]} AND pickup_datetime < {_WIN[1]})
 UNION ALL SELECT * REPLACE (cast(total_amount + 1 AS decimal(18,3)) AS total_amount) FROM stg_yellow
-WHERE pickup_datetime >= {_WIN[0]} AND pickup_datetime < {_WIN[1]}""", STG_YELLOW)
+WHERE pickup_datetime >= {_WIN[0]} AND pickup_datetime < {_WIN[1]}"""
+
+
+@query("strategy_time_interval", _TIME_INTERVAL, STG_YELLOW)
 def strategy_time_interval(spark, sf):
     y = _stg_yellow(spark, sf)
     name = _name("ti")
@@ -347,9 +357,11 @@ def strategy_time_interval(spark, sf):
     return spark.table(name)
 
 
-@query("strategy_delete_insert", """SELECT * FROM stg_yellow WHERE pickup_location_id NOT IN (1, 2, 3)
-UNION ALL SELECT * REPLACE (cast(total_amount + 1 AS decimal(18,3)) AS total_amount) FROM stg_yellow WHERE pickup_location_id IN (1, 2, 3)""",
-       STG_YELLOW)
+_DELETE_INSERT = """SELECT * FROM stg_yellow WHERE pickup_location_id NOT IN (1, 2, 3)
+UNION ALL SELECT * REPLACE (cast(total_amount + 1 AS decimal(18,3)) AS total_amount) FROM stg_yellow WHERE pickup_location_id IN (1, 2, 3)"""
+
+
+@query("strategy_delete_insert", _DELETE_INSERT, STG_YELLOW)
 def strategy_delete_insert(spark, sf):
     y = _stg_yellow(spark, sf)
     name = _name("di")
@@ -359,6 +371,55 @@ def strategy_delete_insert(spark, sf):
     return L.materialize(src_rows, "delete_insert", name, key="pickup_location_id")
 
 
+# ------------------------------------------------------------------ the same strategies on a partitioned table
+
+_MONTH = "CAST(date_trunc('month', pickup_datetime) AS DATE)"
+
+
+def _by_month(df):
+    return df.withColumn("pickup_month", F.trunc(F.to_date("pickup_datetime"), "month"))
+
+
+@query("upsert_partitioned", f"""SELECT *, {_MONTH} AS pickup_month FROM yk WHERE pickup_datetime < TIMESTAMP '1997-07-01'
+UNION ALL SELECT * REPLACE (cast(total_amount + 1 AS decimal(18,3)) AS total_amount),
+CAST({_MONTH} + INTERVAL 1 MONTH AS DATE) AS pickup_month FROM yk WHERE pickup_datetime >= TIMESTAMP '1997-07-01'
+UNION ALL SELECT *, DATE '1997-07-01' AS pickup_month FROM yk WHERE pickup_datetime < TIMESTAMP '1995-06-01'""", _YK)
+def upsert_partitioned(spark, sf):
+    """Rows from July 1997 on move to the next month's partition, which
+    empties July 1997; rows appended there later do not bring its old ones back."""
+    keyed = _by_month(_keyed_yellow(spark, sf))
+    name = _name("trips_by_month")
+    cut = F.lit("1997-07-01").cast("timestamp_ntz")
+    W.materialize_table(keyed, name, partition_by=["pickup_month"])
+    moved = keyed.where(F.col("pickup_datetime") >= cut).withColumns({
+        "total_amount": (F.col("total_amount") + 1).cast("decimal(18,3)"), "pickup_month": F.add_months("pickup_month", 1)})
+    L.merge_upsert(name, moved, "rid")
+    early = keyed.where(F.col("pickup_datetime") < F.lit("1995-06-01").cast("timestamp_ntz"))
+    L.append_rows(name, early.withColumn("pickup_month", F.lit("1997-07-01").cast("date")))
+    return spark.table(name)
+
+
+@query("time_interval_partitioned", f"SELECT *, {_MONTH} AS pickup_month FROM ({_TIME_INTERVAL})", STG_YELLOW)
+def time_interval_partitioned(spark, sf):
+    y = _by_month(_stg_yellow(spark, sf))
+    name = _name("tip")
+    L.materialize(y, "replace", name, partition_by=["pickup_month"])
+    run = y.withColumn("total_amount", (F.col("total_amount") + 1).cast("decimal(18,3)"))
+    for _ in range(2):
+        L.materialize(run, "time_interval", name, time_col="pickup_datetime", start="1997-03-01", end="1997-04-01")
+    return spark.table(name)
+
+
+@query("delete_insert_partitioned", f"SELECT *, {_MONTH} AS pickup_month FROM ({_DELETE_INSERT})", STG_YELLOW)
+def delete_insert_partitioned(spark, sf):
+    y = _by_month(_stg_yellow(spark, sf))
+    name = _name("dip")
+    L.materialize(y, "replace", name, partition_by=["pickup_month"])
+    rows = y.where(F.col("pickup_location_id").isin(1, 2, 3)).withColumn(
+        "total_amount", (F.col("total_amount") + 1).cast("decimal(18,3)"))
+    return L.materialize(rows, "delete_insert", name, key="pickup_location_id")
+
+
 @query("full_refresh", "SELECT * FROM stg_yellow WHERE pickup_datetime >= TIMESTAMP '1998-01-01'", STG_YELLOW)
 def full_refresh(spark, sf):
     y = _stg_yellow(spark, sf)

@@ -27,20 +27,3 @@ FCT_TRIPS_CONTRACT = T.StructType([
     _f("improvement_surcharge", _MONEY), _f("total_amount", _MONEY), _f("payment_type", T.IntegerType()),
     _f("payment_type_description", T.StringType()),
 ])
-
-# Zone lookup as read from its CSV (every column text).
-ZONE_LOOKUP_TEXT = T.StructType([_f("LocationID", T.StringType()), _f("Borough", T.StringType()),
-                                 _f("Zone", T.StringType()), _f("service_zone", T.StringType())])
-
-# Payment seeds (two variants of names).
-PAYMENT_SEED_A = T.StructType([T.StructField("payment_type", T.IntegerType(), False),
-                               _f("description", T.StringType())])
-PAYMENT_SEED_B = T.StructType([T.StructField("payment_type_id", T.IntegerType(), False),
-                               _f("payment_type_name", T.StringType())])
-
-# Window sinks of the streaming jobs.
-TUMBLE_SINK = T.StructType([_f("window_start", T.TimestampType()), _f("PULocationID", T.IntegerType()),
-                            _f("num_trips", T.LongType()), _f("total_revenue", T.DoubleType())])
-SESSION_SINK = T.StructType([_f("PULocationID", T.IntegerType()), _f("session_start", T.TimestampType()),
-                             _f("session_end", T.TimestampType()), _f("num_trips", T.LongType())])
-TIPS_SINK = T.StructType([_f("window_start", T.TimestampType()), _f("total_tips", T.DoubleType())])
