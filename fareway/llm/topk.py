@@ -9,10 +9,10 @@ the lower bound on the distance at given norms. Candidates pass from coarse
 to fine levels, each pruned against the k-th best exact score known so far;
 survivors get their exact inner product.
 
-Vectors fall into blocks of bounded size by a hash of their id, queries are
-repeated once per block, and each task streams queries in batches past one
-block. Per block and query at most k rows leave; the final ranking is over k
-rows per block.
+Queries are shared with all tasks in chunks of bounded size. Each task streams
+its vectors past the queries in blocks, without a shuffle, and carries the
+k best of every query from block to block, so later blocks are pruned by all
+earlier ones. A task gives at most k rows per query; the final ranking is over these.
 
 Defined results: vectors that are null, or hold null or non-finite
 components, take no part, nor do rows without an id. Only vectors of equal
@@ -24,6 +24,7 @@ candidates has no rows. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -56,78 +57,118 @@ def segment_stats(m: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]
     return np.stack(means, 1), np.stack(devs, 1)
 
 
-class Block:
-    """A block of vectors with its segment statistics."""
-
-    def __init__(self, ids: np.ndarray, m: np.ndarray) -> None:
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.m = ids[order], m[order]
-        self.levels = [(s, *segment_stats(self.m, s)) for s in LEVELS if s < m.shape[1]]
-
-    def search(self, qid: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact scores of the ``k`` best, ties to the smaller id."""
-        alive = np.flatnonzero(self.ids != qid)
-        floor = -np.inf
-        for s, means, devs in self.levels:
-            if len(alive) <= 4 * k:
-                break
-            qm, qd = segment_stats(q[None, :], s)
-            bound = means[alive] @ qm[0] + devs[alive] @ qd[0]
-            best = alive[np.argpartition(-bound, k - 1)[:k]]
-            floor = max(floor, np.sort(self.m[best] @ q)[0])  # k candidates reach it
-            alive = alive[bound >= floor - 1e-6 * (abs(floor) + np.abs(bound) + 1)]
-        score = self.m[alive] @ q
-        top = np.lexsort((self.ids[alive], -score))[:k]
-        return self.ids[alive][top], score[top]
-
-
-def _search_blocks(k: int):
+class Searcher:
+    """The ``k`` best of each of the queries (ids, matrix of one row each) among the blocks seen so far."""
+
+    def __init__(self, ids: np.ndarray, m: np.ndarray, k: int, together: int = 256) -> None:
+        self.ids, self.m, self.k, self.together = ids, m, k, together
+        self.levels = [(s, *segment_stats(m, s)) for s in LEVELS if 4 * s <= m.shape[1]]  # finer ones cost as much as the scores
+        self.score = np.full((len(ids), k), -np.inf)
+        self.best = np.full((len(ids), k), np.iinfo(np.int64).max)
+
+    def add(self, ids: np.ndarray, m: np.ndarray) -> None:
+        stats = [segment_stats(m, s) for s, _, _ in self.levels]
+        for at in range(0, len(self.ids), self.together):
+            self._add(slice(at, at + self.together), ids, m, stats)
+
+    def _add(self, part: slice, ids: np.ndarray, m: np.ndarray, stats: list) -> None:
+        q, k = self.m[part], self.k
+        alive = ids[:, None] != self.ids[None, part]
+        floor = self.score[part, -1].copy()  # the k-th best so far
+        for (_, means, devs), (mean, dev) in zip(self.levels, stats, strict=True):
+            bound = mean @ means[part].T + dev @ devs[part].T
+            if np.isneginf(floor).any() and len(ids) > 4 * k:  # the most promising rows give a first floor
+                top = np.argpartition(-np.where(alive, bound, -np.inf), k, axis=0)[:k]
+                own = np.einsum("kqd,qd->kq", m[top], q)
+                reached = np.where(np.take_along_axis(alive, top, 0), own, -np.inf).min(axis=0)
+                floor = np.maximum(floor, reached)
+            low = np.where(np.isneginf(floor), -np.inf, floor - 1e-6 * (np.abs(np.where(np.isneginf(floor), 0, floor)) + 1))
+            alive &= bound * (1 + 1e-9 * np.sign(bound)) + 1e-6 >= low
+        if alive.mean() < 0.02:  # few survivors: their scores alone
+            row, col = np.nonzero(alive)
+            score = np.einsum("nd,nd->n", m[row], q[col])
+        else:
+            every = np.where(alive, m @ q.T, -np.inf)
+            if len(ids) > k:
+                floor = np.maximum(floor, np.partition(every, len(ids) - k, axis=0)[len(ids) - k])
+            row, col = np.nonzero((every >= floor) & alive)
+            score = every[row, col]
+        keep = score >= floor[col]
+        row, col, score = row[keep], col[keep], score[keep]
+        n = len(floor)
+        owner = np.concatenate([np.repeat(np.arange(n), k), col])
+        score = np.concatenate([self.score[part].ravel(), score])
+        found = np.concatenate([self.best[part].ravel(), ids[row]])
+        order = np.lexsort((found, -score, owner))  # ties to the smaller id
+        owner, score, found = owner[order], score[order], found[order]
+        first = np.searchsorted(owner, np.arange(n))
+        take = first[:, None] + np.arange(k)
+        self.score[part], self.best[part] = score[take], found[take]
+
+    def results(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the query, id and score of what was found."""
+        query, place = np.nonzero(~np.isneginf(self.score))
+        return query, self.best[query, place], self.score[query, place].astype(np.int64)
+
+
+def _matrix(column: pa.Array, rows: np.ndarray, dim: int) -> np.ndarray:
+    return column.take(pa.array(rows)).flatten().to_numpy().astype(np.float64).reshape(len(rows), dim)
+
+
+def _search(shared, k: int, block_rows: int):
+    """``shared``: per length of vectors, ids, hashes and matrix of the queries."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, rows, block = None, [], [], None
-        for batch in batches:
-            out: dict[str, list[int]] = {"query_id": [], "query_hash": [], "vec_id": [], "score": []}
-            pdf = {c: batch[c].to_pylist() for c in ("b", "dim", "is_query", "vec_id", "h")}
-            values = batch["v"].values.to_numpy()
-            ends = batch["v"].offsets.to_numpy()
-            pdf["v"] = [values[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)]
-            for b, dim, is_query, vid, h, v in zip(pdf["b"], pdf["dim"], pdf["is_query"], pdf["vec_id"], pdf["h"],
-                                                   pdf["v"], strict=True):
-                if at != (b, dim):
-                    at, ids, rows, block = (b, dim), [], [], None
-                if not is_query:
-                    ids.append(vid)
-                    rows.append(v)
-                    continue
-                if not ids:
-                    continue
-                if block is None:
-                    block = Block(np.array(ids, dtype=np.int64), np.array(rows, dtype=np.float64).reshape(len(ids), -1))
-                    rows = []
-                found, score = block.search(vid, np.array(v, dtype=np.float64), k)
-                out["query_id"] += [vid] * len(found)
-                out["query_hash"] += [h] * len(found)
-                out["vec_id"] += found.tolist()
-                out["score"] += score.astype(np.int64).tolist()
-            if out["vec_id"]:
-                yield pa.RecordBatch.from_pydict(out)
+        searchers = {dim: Searcher(ids, m, k) for dim, (ids, _, m) in shared.value.items()}
+        held: dict[int, list] = {dim: [] for dim in searchers}
+
+        def flush(dim: int) -> None:
+            if held[dim]:
+                searchers[dim].add(np.concatenate([i for i, _ in held[dim]]), np.concatenate([m for _, m in held[dim]]))
+                held[dim] = []
+
+        for b in batches:
+            dims, ids = b["dim"].to_numpy(), b["vec_id"].to_numpy()
+            for dim in searchers:
+                rows = np.flatnonzero(dims == dim)
+                if len(rows):
+                    held[dim].append((ids[rows], _matrix(b["v"], rows, dim)))
+                if sum(len(i) for i, _ in held[dim]) >= block_rows:
+                    flush(dim)
+        for dim, searcher in searchers.items():
+            flush(dim)
+            query, found, score = searcher.results()
+            names = shared.value[dim]
+            yield pa.RecordBatch.from_arrays([pa.array(names[0][query]), pa.array(names[1][query]), pa.array(found), pa.array(score)],
+                                             ["query_id", "query_hash", "vec_id", "score"])
 
     return run
 
 
-def search(spark: SparkSession, vectors: DataFrame, is_query, k: int = 5, block_rows: int = 5_000) -> DataFrame:
-    """``query_id``, ``rank``, ``vec_id``, ``score`` for quantized ``vectors``; ``is_query``: a condition on vec_id."""
+def search(spark: SparkSession, vectors: DataFrame, is_query, k: int = 5, block_rows: int = 4_000,
+           query_bytes: int = 8 << 20) -> DataFrame:
+    """``query_id``, ``rank``, ``vec_id``, ``score`` for quantized ``vectors``; ``is_query``: a condition on vec_id.
+
+    About ``query_bytes`` of queries are on the driver, and shared, at a time; each such chunk is one pass over the vectors."""
     small_batches(spark)
-    vectors = materialize(spark, vectors.withColumn("dim", F.size("v")).withColumn("h", F.xxhash64("v")), "topk")
-    blocks = max(1, -(-vectors.count() // block_rows))
-    data = vectors.select(F.pmod(F.xxhash64("vec_id", "h"), F.lit(blocks)).alias("b"), "dim", F.lit(False).alias("is_query"),
-                          "vec_id", "h", "v")
-    asked = vectors.filter(is_query).dropDuplicates(["vec_id", "dim", "h"]).select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("b"), "dim", F.lit(True).alias("is_query"),
-        "vec_id", "h", "v")
-    both = data.union(asked).repartition("b", "dim").sortWithinPartitions("b", "dim", "is_query")
-    found = both.mapInArrow(_search_blocks(k), OUT)
+    vectors = materialize(spark, vectors.withColumn("dim", F.size("v")).withColumn("h", F.xxhash64("v")).filter("dim > 0"), "topk")
+    asked = materialize(spark, vectors.filter(is_query).dropDuplicates(["vec_id", "dim", "h"]), "topk-queries")
+    total = asked.agg(F.sum((F.col("dim") + 2) * 8)).first()[0] or 0
+    chunks = max(1, -(-total // query_bytes))
+    found = []
+    for chunk in range(chunks):
+        got = asked.filter(F.pmod(F.xxhash64("vec_id", "h"), F.lit(chunks)) == chunk).select("vec_id", "dim", "h", "v").toArrow().combine_chunks()
+        dims = got["dim"].to_numpy()
+        queries = {}
+        for dim in np.unique(dims).tolist():
+            rows = np.flatnonzero(dims == dim)
+            queries[dim] = (got["vec_id"].to_numpy()[rows], got["h"].to_numpy()[rows], _matrix(got["v"].combine_chunks(), rows, dim))
+        shared = spark.sparkContext.broadcast(queries)
+        found.append(materialize(spark, vectors.select("vec_id", "dim", "v").mapInArrow(_search(shared, k, block_rows), OUT), "topk-found"))
+        shared.destroy()
+    every = reduce(lambda a, b: a.union(b), found)
     rank = F.row_number().over(Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return every.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -620,11 +620,25 @@ def test_topk(spark, folders):
     assert topk.query(spark, folders[1]).count() == 0
 
 
-def test_topk_blocks(spark):
+def test_topk_blocks_and_chunks(spark):
     v = topk.quantize(spark.read.parquet(f"{SF}/embeddings.parquet"))
-    some = topk.search(spark, v, F.col("vec_id") % 50 == 0, block_rows=40)
-    one = topk.search(spark, v, F.col("vec_id") % 50 == 0)
-    assert {tuple(r) for r in some.collect()} == {tuple(r) for r in one.collect()}
+    one = {tuple(r) for r in topk.search(spark, v, F.col("vec_id") % 50 == 0).collect()}
+    for block_rows, query_bytes in ((40, 8 << 20), (7, 700), (4000, 2000)):
+        some = topk.search(spark, v, F.col("vec_id") % 50 == 0, block_rows=block_rows, query_bytes=query_bytes)
+        assert {tuple(r) for r in some.collect()} == one
+
+
+def test_topk_ties_and_a_hot_vector(spark):
+    """A third of all rows is one vector; scores tie across blocks and tasks."""
+    rng = random.Random(3)
+    hot = [0.5, -0.5, 0.25, 1.0, 0.0, 0.0, 0.75, -1.0]
+    rows = [(i, hot if i % 3 == 0 else [rng.choice([-1.0, 0.0, 0.5, 1.0]) for _ in range(8)]) for i in range(400)]
+    v = topk.quantize(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5))
+    for block_rows in (3, 50, 4000):
+        assert {tuple(r) for r in topk.search(spark, v, F.col("vec_id") % 50 == 0, block_rows=block_rows).collect()} == brute_topk(rows)
+    few = rows[:3]
+    v = topk.quantize(spark.createDataFrame(few, "vec_id long, embedding array<float>"))
+    assert {tuple(r) for r in topk.search(spark, v, F.col("vec_id") % 50 == 0).collect()} == brute_topk(few)
 
 
 def test_nodes_whose_hashes_collide(spark):
