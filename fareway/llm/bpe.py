@@ -254,15 +254,19 @@ class Transducer:
 
 
 class Encoder:
-    """Text to ids. ``cache`` bounds how many short pieces are remembered."""
+    """Text to ids. ``cache`` bounds how many short pieces each of two generations remembers."""
 
-    def __init__(self, merges: Merges, cache: int = 150_000, longest_cached: int = 64) -> None:
+    def __init__(self, merges: Merges, cache: int = 200_000, longest_cached: int = 64) -> None:
         self.merges, self.size, self.longest = merges, cache, longest_cached
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.fast, self.exact = re.compile(FAST), regex.compile(PATTERN)
         self.special = re.compile("|".join(map(re.escape, sorted(merges.added, key=len, reverse=True)))) if merges.added else None
 
     def _piece(self, piece: str) -> tuple[int, ...]:
+        known = self.older.get(piece)
+        if known is not None:
+            return self._remember(piece, known)
         data, merges = piece.encode(), self.merges
         if len(piece) > self.longest:
             t = Transducer(merges)
@@ -273,15 +277,22 @@ class Encoder:
         while i > 0:
             ids = (last[i - 1], *ids)
             i -= len(merges.bytes_of[last[i - 1]])
+        return self._remember(piece, ids)
+
+    def _remember(self, piece: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        """Two generations: when the younger one is full it becomes the older one, and what is asked for again moves up."""
         if len(self.cache) >= self.size:
-            self.cache.clear()
+            self.older, self.cache = self.cache, {}
         self.cache[piece] = ids
         return ids
 
     def _plain(self, text: str) -> Iterable[int]:
         split = (self.exact if _odd().search(text) or _ASTRAL.search(text) else self.fast).findall
-        get, miss = self.cache.get, self._piece
-        return chain.from_iterable([get(p) or miss(p) for p in split(text)])
+        miss, out, pieces = self._piece, [], split(text)
+        for at in range(0, len(pieces), 20_000):  # the younger generation may change in between
+            get = self.cache.get
+            out.append([get(p) or miss(p) for p in pieces[at:at + 20_000]])
+        return chain.from_iterable(chain.from_iterable(out))
 
     def encode(self, text: str) -> list[int]:
         if self.special is None or not self.special.search(text):
@@ -308,15 +319,16 @@ class Encoder:
 
     def encode_stream(self, chunks: Iterable[str]) -> Iterator[list[int]]:
         """Ids of a text that arrives in chunks. What is held back is the end of a chunk from its last safe place on."""
-        rest, seen = "", 0
+        chunks = iter(chunks)
+        rest, seen = next(chunks, ""), 0
         for chunk in chunks:
-            rest += chunk
             at = self._safe(rest, seen)
             if at:
                 yield self.encode(rest[:at])
                 rest, seen = rest[at:], 0
             else:
                 seen = max(0, len(rest) - 1000)  # no place before; look on from here
+            rest += chunk
         yield self.encode(rest)
 
 
