@@ -10,8 +10,9 @@ from a row number alone, without any lookup.
 
 Defined results: a null text counts as empty (size 1, CRC 0). Rows equal in
 id and text are interchangeable and get distinct slots. A null id is a value
-like any other. An empty table gives an empty result. Extra columns are
-ignored.
+like any other. An empty table gives an empty result. Very long texts are only hashed
+and measured. Rows with equal hashes are ordered by nothing else, so which of them gets which
+slot does not matter. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -30,7 +30,8 @@ never decoded before they are cut. Phrases, windows and blocks are equal if thei
 
 Defined results: null and empty texts and texts below ``WINDOW`` words lose
 nothing. Two rows equal in id and text are two places, so both lose all
-words if they have 35 or more. Empty tables give empty results. Extra columns of
+words if they have 35 or more. Of phrases with equal hashes in a window the leftmost is its anchor. A
+very long text is one row; its segments are rows of their own. Empty tables give empty results. Extra columns of
 any name pass through the stage.
 """
 

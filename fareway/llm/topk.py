@@ -18,7 +18,8 @@ Defined results: vectors that are null, or hold null or non-finite
 components, take no part, nor do rows without an id. Only vectors of equal
 length are compared. Rows with the query's own id are not its candidates;
 repeated query rows are one query per distinct vector. A query without
-candidates has no rows. Extra columns are ignored.
+candidates has no rows; empty tables give none. Equal scores are ranked by the smaller id. Other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations

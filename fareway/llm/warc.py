@@ -16,7 +16,7 @@ Defined results: null html is an empty payload; a null url has no target
 header. A null page id is written as ``null``, read as null, and never chosen
 as the record to refer to; a payload found under null ids only is all
 ``response``. Rows repeating the smallest id of a payload are all
-``response``. Empty tables give no records. Extra columns are ignored. A very long
+``response``; payloads are equal if their digests are. Empty tables give no records. Extra columns are ignored. A very long
 page is an archive of its own and must stay below the 2 GB limit of a binary value. Gaps
 are logged and counted by ``recovered``; the query fails if there are any.
 """
