@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from fareway.functions import columns as X
 
 
-
 def money_sum(c: str | Column, scale: int = 2) -> Column:
     """Sum rounded once, at the end. Pass floating point through ``columns.exact``."""
     c = F.col(c) if isinstance(c, str) else c

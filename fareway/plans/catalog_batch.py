@@ -385,6 +385,7 @@ _PAY_CASE = ("CASE try_cast(payment_type AS int) WHEN 1 THEN 'Credit card' WHEN
              "WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided trip' ELSE 'EMPTY' END")
 
 
+# The labels.
 @query("case_payment", f"""SELECT payment_type, {_PAY_CASE} AS payment_type_description, count(*) AS trips
 FROM yellow_tripdata GROUP BY 1, 2""")
 def case_payment(spark, sf):
@@ -397,6 +398,7 @@ _VENDOR_CASE = ("CASE VendorID WHEN 1 THEN 'Creative Mobile Technologies' WHEN 2
                 "WHEN 4 THEN 'Unknown/Other' END")
 
 
+# The labels.
 @query("case_vendor", f"SELECT DISTINCT VendorID AS vendor_id, {_VENDOR_CASE} AS vendor_name FROM yellow_tripdata")
 def case_vendor(spark, sf):
     y = fx.raw_trips(spark, sf, "yellow")
