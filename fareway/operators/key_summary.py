@@ -8,7 +8,8 @@ get one.
 
 Bounds: a bitmap has at most ``MAX_BITS`` bits; the key hashes of a load of at
 most ``MAX_KEYS`` distinct keys are shared with all tasks to be looked up in bitmaps.
-A larger load goes by ranges alone. Names of files pass the driver, not rows.
+A larger load goes by ranges alone. Names of files and their row counts pass the driver, not rows.
+A task of Python holds a bitmap or two and a batch of rows, however many rows a file has.
 """
 
 from __future__ import annotations
@@ -19,12 +20,15 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fareway.session import staged
 from fareway.sources import versions as V
 
 MIN_BITS, MAX_BITS, MAX_KEYS = 1 << 10, 1 << 23, 2_000_000
+PIECE = 4096  # bytes of a bitmap that Spark's bitmap functions work on
 
 
 def _folder(spark: SparkSession, table: str) -> str:
@@ -65,22 +69,62 @@ def summarise(spark: SparkSession, table: str, key: list[str], columns: list[str
     new = file_names(target) - done
     if not new:
         return 0
-    rows = target.where(_in(new)).select(*{*key, *columns}, F.col("_metadata.file_path").alias("file"))
-    ranges = rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), *[a for c in columns for a in (
-        F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"), F.count_if(F.col(c).isNull()).alias(f"nulls_{c}"))])
-
-    def bitmap(pdf: pd.DataFrame) -> pd.DataFrame:  # the keys of one file
-        bits = min(MAX_BITS, max(MIN_BITS, 1 << (12 * len(pdf)).bit_length()))
-        field = np.zeros(bits, bool)
-        for at in _slots(pdf["h"].to_numpy(np.int64), bits):
-            field[at] = True
-        return pd.DataFrame({"file": pdf["file"].iloc[:1], "bitmap": [np.packbits(field).tobytes()]})
-
-    bitmaps = rows.select("file", _hash(key).alias("h")).groupBy("file").applyInPandas(bitmap, "file string, bitmap binary")
-    named = spark.createDataFrame([(f,) for f in sorted(new)], "file string")  # a file without rows gets a summary too
-    named.join(ranges.join(bitmaps, "file"), "file", "left").fillna(0, ["rows", *[f"nulls_{c}" for c in columns]]).withColumn(
-        "bitmap", F.coalesce("bitmap", F.lit(bytes(MIN_BITS // 8)))).write.mode("append").parquet(_folder(spark, table))
-    return spark.read.parquet(_folder(spark, table)).where(F.col("file").isin(sorted(new))).agg(F.sum("rows")).first()[0] or 0
+    named = _local(spark, _no=pa.array(range(len(new)), pa.int32()), file=pa.array(sorted(new)))
+    # A number instead of the name goes with each row.
+    rows = target.where(_in(new)).select(*{*key, *columns}, F.col("_metadata.file_path").alias("_file")).join(
+        F.broadcast(named.withColumnRenamed("file", "_file")), "_file").drop("_file")
+    ranges = named.join(staged(rows.groupBy("_no").agg(F.count(F.lit(1)).alias("rows"), *[a for c in columns for a in (
+        F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"), F.count_if(F.col(c).isNull()).alias(f"nulls_{c}"))])), "_no", "left").fillna(
+        0, ["rows", *[f"nulls_{c}" for c in columns]])  # a file without rows gets a summary too
+    counts = {r["_no"]: r["rows"] for r in ranges.select("_no", "rows").collect()}
+    found = bitmaps(rows.select("_no", _hash(key).alias("h")), {i: _bits(n) for i, n in counts.items()})
+    ranges.join(found, "_no", "left").drop("_no").withColumn("bitmap", F.coalesce("bitmap", F.lit(bytes(MIN_BITS // 8)))).write.mode(
+        "append").parquet(_folder(spark, table))
+    return sum(counts.values())
+
+
+def _local(spark: SparkSession, **columns: pa.Array) -> DataFrame:
+    """A row per file, without a Python task."""
+    return spark.createDataFrame(pa.table(columns))
+
+
+def _bits(rows: int) -> int:
+    return min(MAX_BITS, max(MIN_BITS, 1 << (12 * rows).bit_length()))
+
+
+def bitmaps(hashes: DataFrame, bits: dict[int, int]) -> DataFrame:
+    """``_no``, ``bitmap`` of the key hashes ``h`` of each file number, with ``bits`` bits.
+
+    A task sets the bits of its own rows, batch by batch, in one field at a time (a scan reads file after file); fields of
+    one file are then joined in pieces of ``PIECE`` bytes. So no task holds the rows of a file."""
+
+    def pieces(i: int, field: np.ndarray) -> pa.RecordBatch:
+        packed = np.packbits(field).tobytes()
+        at = range(0, len(packed), PIECE)
+        return pa.RecordBatch.from_arrays([pa.array([i] * len(at), pa.int32()), pa.array([k // PIECE for k in at], pa.int32()), pa.array(
+            [packed[k:k + PIECE] for k in at], pa.binary())], ["_no", "piece", "bitmap"])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, field = None, None
+        for batch in batches:
+            ids, h = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            starts = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist()] if len(ids) else []
+            for lo, hi in zip(starts, [*starts[1:], len(ids)], strict=True):
+                if ids[lo] != now:
+                    if now is not None:
+                        yield pieces(now, field)
+                    now = int(ids[lo])
+                    field = np.zeros(bits[now], bool)
+                for at in _slots(h[lo:hi], len(field)):
+                    field[at] = True
+        if now is not None:
+            yield pieces(now, field)
+
+    sizes = _local(hashes.sparkSession, _no=pa.array(list(bits), pa.int32()), size=pa.array([n // 8 for n in bits.values()], pa.int32()))
+    joined = hashes.mapInArrow(partial, "_no int, piece int, bitmap binary").groupBy("_no", "piece").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    whole = joined.groupBy("_no").agg(F.array_sort(F.collect_list(F.struct("piece", "bitmap"))).alias("p")).join(F.broadcast(sizes), "_no")
+    # bitmap_or_agg gives PIECE bytes for a shorter field as well: the rest is cut off.
+    return whole.select("_no", F.expr("substring(unhex(array_join(transform(p, x -> hex(x.bitmap)), '')), 1, size)").alias("bitmap"))
 
 
 def may_hold(table: str, source: DataFrame, key: list[str], within: list[str]) -> set[str]:

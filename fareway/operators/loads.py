@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from fareway.functions.columns import row_hash
 from fareway.operators import key_summary as KS
 from fareway.operators.reports import in_window
-from fareway.session import scratch_path
+from fareway.session import staged
 from fareway.sources import versions as V
 from fareway.sources.writers import add_columns, materialize_table, partition_columns
 
@@ -156,13 +156,6 @@ class Touched:
     folders: dict[tuple, str]
 
 
-def staged(source: DataFrame) -> DataFrame:
-    """The source, evaluated once: a load reads it for its partitions, its keys and its rows."""
-    path = scratch_path(source.sparkSession, "load-source")
-    source.write.parquet(path)
-    return source.sparkSession.read.schema(source.schema).parquet(path)
-
-
 def touched_rows(table: str, source: DataFrame, key: str | list[str] | None = None, time_col: str | None = None,
                  start: str | None = None, end: str | None = None) -> Touched:
     """The partitions of ``table`` that hold a matched key, a partition value of

@@ -5,6 +5,7 @@ import decimal
 import json
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -424,3 +425,37 @@ def test_sums_of_doubles_do_not_depend_on_order(spark):
         assert sums == {k: float(v) for k, v in exact.items()}
         streamed.add(str(sorted(sums.items())))
     assert len(seen) == len(streamed) == 1
+
+
+def _refused(*args, **kwargs):
+    raise AssertionError("not for large tables")
+
+
+def test_summaries_hold_no_file_in_one_python_task(spark, monkeypatch):
+    from pyspark.sql import GroupedData
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", _refused)
+    name = _name("wholefile")
+    rows = spark.range(3000).select(F.md5(F.col("id").cast("string")).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("id"))
+    W.materialize_table(rows.coalesce(1), name)
+    assert L.merge_insert_only(name, spark.range(2990, 3010).select(F.md5(F.col("id").cast("string")).alias("k"), "id"), "k") == 10
+    for r in KS.known(spark, name, ["k"]).collect():
+        file = spark.table(name).where(F.col("_metadata.file_path") == r["file"])
+        lo, hi, n = file.agg(F.min("k"), F.max("k"), F.count("*")).first()
+        assert (r["lo_k"], r["hi_k"], r["rows"], r["nulls_k"]) == (lo, hi, n, 0) and len(r["bitmap"]) * 8 == KS._bits(n)
+        want = np.zeros(KS._bits(n), bool)
+        for at in KS._slots(file.select(KS._hash(["k"]).alias("h")).toArrow()["h"].to_numpy(), len(want)):
+            want[at] = True
+        assert bytes(r["bitmap"]) == np.packbits(want).tobytes()
+
+
+def test_bitmaps_of_a_file_that_many_tasks_read(spark):
+    hashes = spark.range(5000).select((F.col("id") % 3).cast("int").alias("_no"), F.xxhash64("id").alias("h"))
+    bits = {0: KS.MIN_BITS, 1: 1 << 17, 2: 1 << 15, 9: KS.MIN_BITS}
+    got = {r["_no"]: bytes(r["bitmap"]) for r in KS.bitmaps(hashes.repartition(5), bits).collect()}
+    assert sorted(got) == [0, 1, 2]
+    for no in got:
+        want = np.zeros(bits[no], bool)
+        for at in KS._slots(hashes.where(F.col("_no") == no).toArrow()["h"].to_numpy(), bits[no]):
+            want[at] = True
+        assert got[no] == np.packbits(want).tobytes()
