@@ -57,14 +57,21 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def folder_of_file() -> F.Column:
-    """Folder of a row's file, as a path (file names in metadata are URL-encoded)."""
-    return F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "/[^/]*$", "")
+def sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of the files of a folder."""
+    p, fs = _fs(spark, path)
+    return {s.getPath().toString(): s.getLen() for s in fs.listStatus(p)}
+
+
+def folder_of(file: F.Column) -> F.Column:
+    """Folder of a file, as a path (file names in metadata are URL-encoded)."""
+    return F.regexp_replace(F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B"))), "/[^/]*$", "")
 
 
 def folders(rows: DataFrame, parts: list[str]) -> dict[tuple, str]:
     """Folder of every partition that has rows. Only partition values and file names are read."""
-    got = rows.select(*parts, folder_of_file().alias("_folder")).distinct().collect()
+    files = rows.select(*parts, F.col("_metadata.file_path").alias("_file")).distinct()  # decoded once a file, not once a row
+    got = files.select(*parts, folder_of(F.col("_file")).alias("_folder")).distinct().collect()
     return {tuple(r[c] for c in parts): r["_folder"] for r in got}
 
 

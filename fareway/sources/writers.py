@@ -6,7 +6,11 @@ Table locations are explicit paths under the shared checkpoint folder
 
 from __future__ import annotations
 
+import heapq
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +19,8 @@ from pyspark.sql import types as T
 from fareway.session import scratch_path
 from fareway.sources import versions, warehouse
 
+PART_ROWS = 500_000  # rows of a file that a report of n files is put together from
+
 
 def write_report(df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite",
                  partition_by: list[str] | None = None, max_records_per_file: int | None = 5_000_000) -> str:
@@ -23,20 +29,54 @@ def write_report(df: DataFrame, path: str, files: int | None = None, mode: str =
     By default the file count follows the data: AQE coalesces the last
     shuffle of a report into few partitions (one file while it is small) and
     ``max_records_per_file`` caps a file as it grows, without an extra pass
-    to count rows. ``files=n`` asks for exactly n files; a ``repartition``
-    keeps the upstream stages fully parallel (``coalesce`` would shrink them).
+    to count rows. ``files=n`` asks for exactly n files: the rows are first written
+    by all tasks (``coalesce`` alone would shrink the upstream stages), and n tasks put
+    these compressed columns together (a shuffle would hand each of them its rows unpacked).
     """
+    scratch = None
     if files:
-        df = df.repartition(files)
+        scratch = scratch_path(df.sparkSession, "parts")
+        df.write.option("compression", "zstd").option("maxRecordsPerFile", PART_ROWS).parquet(scratch)
+        df = in_tasks(df.sparkSession, scratch, df.schema, files)
     w = df.write.mode(mode)
     if max_records_per_file and not files:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    with apart(df.sparkSession) if files else nullcontext():
+        w.parquet(path)
+    versions.remove(df.sparkSession, [scratch] if scratch else [])
     return path
 
 
+@contextmanager
+def apart(spark: SparkSession) -> Iterator[None]:
+    """A union keeps the partitions of its inputs: Spark 4.1 else makes one of inputs that have one partition each."""
+    key = "spark.sql.unionOutputPartitioning"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def in_tasks(spark: SparkSession, path: str, schema: T.StructType, n: int) -> DataFrame:
+    """The parquet files under ``path`` in n partitions of about equal bytes, none of them empty.
+
+    To be used ``apart``. Files are dealt whole, the largest first; only their names and sizes pass the driver.
+    Few files are small (``PART_ROWS``): their rows are dealt instead."""
+    rows = spark.read.schema(schema).parquet(path)
+    sizes = {f: size for f, size in versions.sizes(spark, path).items() if f.endswith(".parquet")}
+    if len(sizes) < 4 * n:
+        return rows.repartition(n)
+    heap: list[tuple[int, int, list[str]]] = [(0, i, []) for i in range(n)]
+    for f in sorted(sizes, key=lambda f: (-sizes[f], f)):
+        held, i, names = heapq.heappop(heap)
+        heapq.heappush(heap, (held + sizes[f], i, [*names, f]))
+    return reduce(DataFrame.unionAll, [spark.read.schema(schema).parquet(*names).coalesce(1) for _, _, names in heap])
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """JSON-lines records (one object per line)."""
     df.write.mode(mode).json(path)

@@ -459,3 +459,18 @@ def test_bitmaps_of_a_file_that_many_tasks_read(spark):
         for at in KS._slots(hashes.where(F.col("_no") == no).toArrow()["h"].to_numpy(), bits[no]):
             want[at] = True
         assert got[no] == np.packbits(want).tobytes()
+
+
+def test_report_of_n_files_shuffles_no_rows(spark, monkeypatch):
+    monkeypatch.setattr(W, "PART_ROWS", 100)
+    rows = spark.range(0, 4000, 1, 5).select("id", F.col("id").cast("string").alias("t"), (F.col("id") % 3).alias("m"))
+    few = W.write_report(rows.limit(150), scratch_path(spark, "t-few"), files=4)  # fewer parts than it takes: rows are dealt
+    assert len([f for f in os.listdir(_local(few)) if f.endswith(".parquet")]) == 4 and spark.read.parquet(few).count() == 150
+    from pyspark.sql.classic.dataframe import DataFrame
+    monkeypatch.setattr(DataFrame, "repartition", _refused)
+    path = W.write_report(rows, scratch_path(spark, "t-n"), files=4)
+    back = spark.read.parquet(path)
+    sizes = [r["count"] for r in back.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert len(sizes) == 4 and min(sizes) >= 800 and back.exceptAll(rows).count() == 0 and back.count() == 4000
+    parts = W.write_report(rows, scratch_path(spark, "t-np"), files=2, partition_by=["m"])
+    assert spark.read.parquet(parts).groupBy("m").agg(F.count_distinct(F.col("_metadata.file_path")).alias("n")).where("n > 2").count() == 0
