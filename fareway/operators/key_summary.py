@@ -136,7 +136,7 @@ def may_hold(table: str, source: DataFrame, key: list[str], within: list[str]) -
     if have is None or not files:
         return files
     span = source.agg(*[a for c in columns for a in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"), F.count_if(
-        F.col(c).isNull()).alias(f"nulls_{c}"))]).first()
+        F.col(c).isNull()).alias(f"nulls_{c}"))], F.approx_count_distinct(_hash(key)).alias("n_keys")).first()
     have = have.where(F.col("file").isin(sorted(files)))
     without = files - {r["file"] for r in have.select("file").collect()}
 
@@ -147,9 +147,10 @@ def may_hold(table: str, source: DataFrame, key: list[str], within: list[str]) -
         return F.coalesce(both, F.lit(False)) | ((F.col(f"nulls_{c}") > 0) & F.lit(span[f"nulls_{c}"] > 0))
 
     near = have.where(reduce(lambda a, b: a & b, [meets(c) for c in columns]))
-    keys = source.select(_hash(key).alias("h")).distinct()
-    some = keys.limit(MAX_KEYS + 1).toArrow()["h"].to_numpy()
-    if len(some) <= MAX_KEYS:
+    some = None
+    if span["n_keys"] <= 1.5 * MAX_KEYS:  # an estimate: far more keys are not even listed
+        some = source.select(_hash(key).alias("h")).distinct().limit(MAX_KEYS + 1).toArrow()["h"].to_numpy()
+    if some is not None and len(some) <= MAX_KEYS:
         shared = spark.sparkContext.broadcast(some)
 
         def hit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

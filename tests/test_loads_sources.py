@@ -474,3 +474,13 @@ def test_report_of_n_files_shuffles_no_rows(spark, monkeypatch):
     assert len(sizes) == 4 and min(sizes) >= 800 and back.exceptAll(rows).count() == 0 and back.count() == 4000
     parts = W.write_report(rows, scratch_path(spark, "t-np"), files=2, partition_by=["m"])
     assert spark.read.parquet(parts).groupBy("m").agg(F.count_distinct(F.col("_metadata.file_path")).alias("n")).where("n > 2").count() == 0
+
+
+def test_keys_of_a_large_load_are_not_listed(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    name = _name("manykeys")
+    W.materialize_table(spark.range(50).select(F.col("id").cast("string").alias("k")), name)
+    monkeypatch.setattr(KS, "MAX_KEYS", 10)
+    monkeypatch.setattr(DataFrame, "toArrow", _refused)
+    assert L.merge_insert_only(name, spark.range(1000).select(F.col("id").cast("string").alias("k")), "k") == 950
