@@ -169,20 +169,27 @@ def touched_rows(table: str, source: DataFrame, key: str | list[str] | None = No
     parts = partition_columns(spark, table)
     if not parts:
         return Touched(target, parts, {})
-    found = []
-    if set(parts) <= set(source.columns):
-        found.append(target.join(source.select(*parts).distinct().withColumnsRenamed({c: f"_p_{c}" for c in parts}),
-                                 reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in parts]), "left_semi"))
-    if key:
+
+    def held_in(values: set[tuple]) -> Column:
+        return reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [
+            F.col(c).eqNullSafe(F.lit(v).cast(target.schema[c].dataType)) for c, v in zip(parts, value, strict=True)])
+            for value in values], F.lit(False))
+
+    def found(df: DataFrame) -> set[tuple]:
+        return {tuple(r) for r in df.select(*parts).distinct().collect()}
+
+    values: set[tuple] = set()
+    if set(parts) <= set(source.columns):  # partition values only, no rows
+        values |= found(target.select(*parts).distinct().join(
+            source.select(*parts).distinct().withColumnsRenamed({c: f"_p_{c}" for c in parts}),
+            reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in parts]), "left_semi"))
+    if key:  # in the other partitions
         k = _keys(key)
-        found.append(target.join(source.select(*k).distinct(), on=k, how="left_semi"))
+        values |= found(target.where(~held_in(values)).join(source.select(*k).distinct(), on=k, how="left_semi"))
     if time_col:
         t = F.col(time_col)
-        found.append(target.where((t >= F.lit(start).cast("timestamp_ntz")) & (t < F.lit(end).cast("timestamp_ntz"))))
-    values = {tuple(r) for f in found for r in f.select(*parts).distinct().collect()}
-    rows = target.where(reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [
-        F.col(c).eqNullSafe(F.lit(v).cast(target.schema[c].dataType)) for c, v in zip(parts, value, strict=True)])
-        for value in values], F.lit(False)))
+        values |= found(target.where((t >= F.lit(start).cast("timestamp_ntz")) & (t < F.lit(end).cast("timestamp_ntz"))))
+    rows = target.where(held_in(values))
     return Touched(rows, parts, V.folders(rows, parts) if values else {})
 
 

@@ -387,7 +387,7 @@ UNION ALL SELECT *, DATE '1997-07-01' AS pickup_month FROM yk WHERE pickup_datet
 def upsert_partitioned(spark, sf):
     """Rows from July 1997 on move to the next month's partition, which
     empties July 1997; rows appended there later do not bring its old ones back."""
-    keyed = _by_month(_keyed_yellow(spark, sf))
+    keyed = L.staged(_by_month(_keyed_yellow(spark, sf)))  # the table, the moved and the early rows are of one choice
     name = _name("trips_by_month")
     cut = F.lit("1997-07-01").cast("timestamp_ntz")
     W.materialize_table(keyed, name, partition_by=["pickup_month"])

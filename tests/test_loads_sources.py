@@ -484,3 +484,24 @@ def test_keys_of_a_large_load_are_not_listed(spark, monkeypatch):
     monkeypatch.setattr(KS, "MAX_KEYS", 10)
     monkeypatch.setattr(DataFrame, "toArrow", _refused)
     assert L.merge_insert_only(name, spark.range(1000).select(F.col("id").cast("string").alias("k")), "k") == 950
+
+
+def test_touched_partitions_by_value_and_by_key(spark):
+    name = _name("touched")
+    rows = [(1, 1), (2, 1), (3, 2), (4, None), (5, 3), (6, 4)]
+    L.materialize(spark.createDataFrame(rows, "k int, p int"), "replace", name, partition_by=["p"])
+    source = spark.createDataFrame([(5, 1), (7, None), (8, 9)], "k int, p int")
+    touched = L.touched_rows(name, source, "k")
+    assert set(touched.folders) == {(1,), (None,), (3,)}
+    assert sorted(r.k for r in touched.rows.collect()) == [1, 2, 4, 5]
+    L.merge_upsert(name, source, "k")
+    assert _rows(spark, name, "k", "p") == sorted([(1, 1), (2, 1), (3, 2), (4, None), (5, 1), (6, 4), (7, None), (8, 9)], key=str)
+
+
+def test_partitioned_upsert_chooses_its_rows_once(spark, sf_small, monkeypatch):
+    from fareway.plans import catalog_loads as C
+
+    seen, merge = [], L.merge_upsert
+    monkeypatch.setattr(L, "merge_upsert", lambda name, moved, key: seen.append(moved) or merge(name, moved, key))
+    C.upsert_partitioned(spark, sf_small)
+    assert "Window" not in seen[0]._jdf.queryExecution().toString()
